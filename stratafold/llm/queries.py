@@ -6,10 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratafold.llm import quality, secrets
 from stratafold.llm.common import table
+from stratafold.llm.simhash import near_duplicates
 from stratafold.llm.tokens import packed_documents, token_counts
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -24,4 +38,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": quality.oracle(), "op8_secret_scan": secrets.oracle()}
