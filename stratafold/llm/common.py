@@ -70,14 +70,14 @@ def count_words(text: Column | str) -> Column:
 def split_hot(df: DataFrame, keys: list[str], node: str, cap: int) -> DataFrame:
     """Cut buckets of more than `cap` rows into chunks and return every row once for each pair of chunks it belongs to.
 
-    Adds unit_i and unit_j. All rows of one (keys, unit_i, unit_j) form a unit of at most about 2 * cap rows, and any two
+    Adds chunk, unit_i and unit_j. All rows of one (keys, unit_i, unit_j) form a unit of at most about 2 * cap rows, and any two
     rows of a bucket meet in at least one unit. A bucket of m rows costs m * m / cap rows in place of m * m pairs.
     Buckets of one row are left out, as they hold no pair."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
     chunks = F.ceil(F.col("_m") / F.lit(cap)).cast("int")
     met = df.join(sizes, keys).withColumn("_n", chunks).withColumn("_c", F.pmod(F.xxhash64(node), F.col("_n")).cast("int"))
     met = met.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    return met.withColumn("unit_i", F.least("_c", "_j")).withColumn("unit_j", F.greatest("_c", "_j")).drop("_m", "_n", "_c", "_j")
+    return met.withColumn("unit_i", F.least("_c", "_j")).withColumn("unit_j", F.greatest("_c", "_j")).withColumnRenamed("_c", "chunk").drop("_m", "_n", "_j")
 
 
 def by_units(df: DataFrame, keys: list[str], work: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, rows: int = 131072) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratafold.llm import quality, secrets
 from stratafold.llm.common import table
+from stratafold.llm.embeddings import near_vectors
 from stratafold.llm.simhash import near_duplicates
 from stratafold.llm.tokens import packed_documents, token_counts
 
@@ -16,6 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
