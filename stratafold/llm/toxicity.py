@@ -35,7 +35,9 @@ THREATS = "kill hurt destroy beat shoot stab strangle murder töten umbringen ve
 TARGETS = "you your you're u ur yourself they them he she him her du dich dir ihr euch sie tu te toi vous ils elle tú ti usted ustedes ellos eres".split()
 NEGATIONS = "not no never isn't aren't wasn't don't nobody nicht kein keine nie niemals pas jamais aucun ne nunca ningún tampoco".split()
 REPORTS = "said says called calls quoted quote wrote claimed according alleged sagte nannte schrieb zitierte laut disait appelé écrit selon dijo llamó escribió según".split()
-PATTERNS = ("bare", "aimed", "negated", "reported", "threat", "aimed_threat")
+PATTERNS = ("bare", "aimed", "negated", "reported", "threat", "aimed_threat")  # and the variety of insults that are meant
+#: Weight of a document's insults from which the lexicon explains its label.
+EXPLAINED = 4.0
 #: Rounds of lexicon building: each works on the toxic documents that the lexicon does not explain yet.
 ROUNDS = 4
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
@@ -43,7 +45,10 @@ _ENDS = ".!?;:\n"
 _END = re.compile(f"[{_ENDS}]")
 #: Characters parsed at most on either side of a hit; a clause that is longer is parsed in several parts.
 WIDEST = 2000
-SHORTEST, LONGEST = 4, 12
+SHORTEST, LONGEST = 3, 12
+#: Least log-odds of a learned stem, stems per round at most, documents that a shorter stem weighs in a longer one's rate,
+#: and least log-odds of a word that is an insult.
+ENRICHED, MAX_STEMS, SHRINK, MEANT = 1.8, 500, 4.0, 0.7
 
 Arcs = dict[tuple[object, str], tuple[object, str]]
 
@@ -126,8 +131,10 @@ class Grammar:
         self.kind = dict.fromkeys(TARGETS, "U") | dict.fromkeys(NEGATIONS, "N") | dict.fromkeys(REPORTS, "R") | dict.fromkeys('"“”«»', "Q") | dict.fromkeys(THREATS, "T")
         self.lengths = sorted({len(b) for b in beginnings}, reverse=True)
         self.finder = ahocorasick.Automaton()
-        for w in {*words, *beginnings, *THREATS}:
-            self.finder.add_word(w, w)
+        tops = {b for b in beginnings if b[:-1] not in beginnings}
+        for w in {*words, *tops, *THREATS}:
+            if w in tops or not any(w[:k] in tops for k in range(1, len(w))):
+                self.finder.add_word(w, w)
         self.finder.make_automaton()
 
     def lexical(self, word: str) -> tuple[str, float]:
@@ -135,7 +142,7 @@ class Grammar:
         weight = self.words.get(word)
         if weight is None:
             weight = next((self.beginnings[word[:n]] for n in self.lengths if word[:n] in self.beginnings), None)
-        if weight is not None:
+        if weight is not None and weight >= MEANT:
             return "I", weight
         kind = self.kind.get(word, "o")
         return kind, 1.0 if kind == "T" else 0.0
@@ -144,6 +151,7 @@ class Grammar:
         """Weights of the clauses' patterns, damped by a logarithm. Only clauses with a lexicon entry are parsed."""
         low = (text or "").lower()
         total = [0.0] * len(PATTERNS)
+        meant: set[str] = set()
         done = 0
         for end, entry in self.finder.iter(low):
             at = end - len(entry) + 1
@@ -153,10 +161,10 @@ class Grammar:
             start = max(lo, 1 + max(low.rfind(c, lo, at) for c in _ENDS))
             stop = _END.search(low, end, hi)
             done = stop.start() if stop else hi
-            self.clause(low[start:done], total)
-        return [math.log1p(x) for x in total]
+            self.clause(low[start:done], total, meant)
+        return [math.log1p(max(0.0, x)) for x in (*total, len(meant))]
 
-    def clause(self, text: str, total: list[float]) -> None:
+    def clause(self, text: str, total: list[float], meant: set[str]) -> None:
         state = GRAMMAR.start
         last_hit = None
         for word in _WORD.findall(text):
@@ -165,6 +173,8 @@ class Grammar:
             if out in _OUTCOME:
                 total[_OUTCOME[out]] += weight
                 last_hit = (out, weight, 0) if out in "IT" else None
+                if out in "IA":
+                    meant.add(word)
             elif last_hit:
                 out_before, w, gone = last_hit
                 if kind == "U":  # a target that follows aims a bare insult or threat too
@@ -207,7 +217,7 @@ def _beginnings(words: dict[str, float], begins: dict[str, float]):
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 met = {*_WORD.findall((text or "").lower())}
-                if label and any(known.lexical(w)[0] == "I" for w in met):
+                if label and sum(known.lexical(w)[1] for w in met) >= EXPLAINED:
                     continue
                 found = {"", *(w + "$" for w in met)}
                 for n in range(SHORTEST, LONGEST + 1):
@@ -219,25 +229,29 @@ def _beginnings(words: dict[str, float], begins: dict[str, float]):
     return run
 
 
-def induce(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int, tried: int) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and word beginnings that mark toxic documents, with log-odds: those met in so many toxic documents that chance
-    explains none of the `tried` ones, and in next to no clean ones. The shortest such beginning stands for its longer ones;
-    where one continuation makes up nearly all of it, that one is taken."""
+def stems(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int, tried: int) -> list[str]:
+    """The shortest words and word beginnings that mark toxic documents: at least ENRICHED in them, and so clearly (by the
+    likelihood ratio) that chance explains none of the `tried` ones."""
     share = (n_toxic + 1) / (n_toxic + n_clean + 2)
-    least = (math.log(max(tried, 1)) + math.log(20)) / -math.log(share)
-    stats = {w: (t, n) for w, t, n in rows if t >= max(3, least) and n / (n_clean + 1) <= 0.02 * t / (n_toxic + 1)}
-    longer: dict[str, list[str]] = {}
-    for w in stats:
-        longer.setdefault(w[:-1], []).append(w)
+    odds = lambda t, n: math.log((t + 0.5) / (n_toxic + 1)) - math.log((n + 0.5) / (n_clean + 1))
+    least = math.log(max(tried, 1)) + math.log(20)
+    clear = lambda t, n: t * math.log(t / (share * (t + n))) + (n * math.log(n / ((1 - share) * (t + n))) if n else 0) >= least
+    found = {w for w, t, n in rows if w and odds(t, n) >= ENRICHED and clear(t, n)}
+    return [w for w in sorted(found) if not any(w[:k] in found for k in range(SHORTEST, len(w)))][:MAX_STEMS]
+
+
+def weigh(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> tuple[dict[str, float], dict[str, float]]:
+    """Log-odds of words and of word beginnings: each is drawn towards the one a letter shorter, so that a word seldom met
+    counts as its stem does, and a harmless word under a telling stem does not."""
+    share = (n_toxic + 1) / (n_toxic + n_clean + 2)
+    rate: dict[str, float] = {}
+    logit = lambda p: math.log(p / (1 - p))
     words: dict[str, float] = {}
     begins: dict[str, float] = {}
-    for w in sorted(stats, key=lambda w: (len(w), w)):
-        if w[:-1] in stats or any(w[:k] in begins for k in range(SHORTEST, len(w))):
-            continue
-        while next_ := [x for x in longer.get(w, []) if stats[x][0] >= 0.95 * stats[w][0]]:
-            w = max(next_, key=lambda x: (stats[x][0], x))
-        t, n = stats[w]
-        weight = min(8.0, max(0.5, math.log((t + 0.5) / (n_toxic + 1)) - math.log((n + 0.5) / (n_clean + 1))))
+    for w, t, n in sorted(rows, key=lambda r: (len(r[0]), r[0])):
+        above = rate.get(w[:-1], share)
+        rate[w] = (t + SHRINK * above) / (t + n + SHRINK)
+        weight = min(8.0, logit(min(0.9999, max(0.0001, rate[w]))) - logit(share))
         if w.endswith("$"):
             words[w[:-1]] = weight
         else:
@@ -246,10 +260,10 @@ def induce(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int, tried:
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> list[float]:
-    """Logistic regression by Newton steps, with non-negative weights for insults and threats that are meant."""
+    """Logistic regression by Newton steps with a small ridge; the intercept comes first."""
     x = np.c_[np.ones(len(x)), x]
     # two prior rows per class keep the fit finite on tiny or one-sided samples
-    x = np.r_[x, [[1.0] + [0.0] * 6] * 2, [[1.0, 2.0, 2.0, 0.0, 0.0, 0.0, 2.0]] * 2]
+    x = np.r_[x, [[1.0] + [0.0] * 7] * 2, [[1.0, 2.0, 2.0, 0.0, 0.0, 0.0, 2.0, 1.0]] * 2]
     y = np.r_[y, 0, 0, 1, 1]
     w = np.zeros(x.shape[1])
     for _ in range(50):
@@ -277,15 +291,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     begins: dict[str, float] = {}
     for turn in range(ROUNDS):
         met = sample.mapInArrow(_beginnings(words if turn else {}, begins), "w string, t long, n long").groupBy("w").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
-        met = materialise(met.where("t >= 3 or w = ''"), "beginnings")
+        met = materialise(met.where("t + n >= 3 or w = ''"), "beginnings")
         n_toxic, n_clean = next(((r["t"], r["n"]) for r in met.where("w = ''").collect()), (0, 0))
         if n_toxic < 3:
             break
-        least = 0.02 * (n_clean + 1) / (n_toxic + 1)
-        rows = met.where(F.col("n") <= F.lit(least) * F.col("t")).orderBy(F.desc("t"), "w").limit(20000).collect()
-        new_words, new_begins = induce([tuple(r) for r in rows], n_toxic, n_clean, met.count())
-        if not new_words and not new_begins:
+        least = math.exp(-ENRICHED) * (n_clean + 1) / (n_toxic + 1)
+        rows = met.where("t >= 3").where(F.col("n") <= F.lit(least) * (F.col("t") + 1)).orderBy(F.desc("t"), "w").limit(20000).collect()
+        new = stems([tuple(r) for r in rows], n_toxic, n_clean, met.where("t >= 3").count())
+        if not new:
             break
+        below = met.where(F.col("w").rlike("^(" + "|".join(re.escape(x) for x in new) + ")")).orderBy(F.desc(F.col("t") + F.col("n")), "w").limit(50000).collect()
+        new_words, new_begins = weigh([tuple(r) for r in below], n_toxic, n_clean)
         words |= new_words
         begins |= new_begins
     grammar = Grammar(words, begins)
@@ -297,7 +313,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label").cast(pa.int64())], ["x", "y"])
 
     rows = sample.mapInArrow(run, "x array<double>, y long").collect()
-    x = np.array([r["x"] for r in rows], float).reshape(-1, len(PATTERNS))
+    x = np.array([r["x"] for r in rows], float).reshape(-1, len(PATTERNS) + 1)
     grammar.weights = _fit(x, np.array([r["y"] for r in rows], float))
     return grammar
 
