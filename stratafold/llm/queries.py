@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratafold.llm import langid, quality, secrets, toxicity
 from stratafold.llm.common import table
 from stratafold.llm.embeddings import near_vectors
+from stratafold.llm.mixing import mix, mix_summary
 from stratafold.llm.simhash import near_duplicates
 from stratafold.llm.tokens import packed_documents, token_counts
 
@@ -26,6 +27,10 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_summary(*mix(table(spark, sf_dir, "documents")))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
