@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratafold.llm import langid, quality, secrets, toxicity
+from stratafold.llm import langid, quality, secrets, toxicity, warc
 from stratafold.llm.common import table
 from stratafold.llm.embeddings import near_vectors
 from stratafold.llm.mixing import mix, mix_summary
@@ -31,6 +31,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_summary(*mix(table(spark, sf_dir, "documents")))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -58,4 +62,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.oracle(), "op8_secret_scan": secrets.oracle()}
+    return {"op1_quality_rules": quality.oracle(), "op5_warc": warc.oracle(), "op8_secret_scan": secrets.oracle()}
