@@ -53,7 +53,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packed_documents(table(spark, sf_dir, "documents"))
+    packed, _ = packed_documents(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -19,8 +19,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from stratafold.llm.common import materialise
 
@@ -225,22 +226,26 @@ def shortest_pack_first(counts: dict[int, int], max_len: int) -> list[tuple[list
     return [(list(p), n) for at in room for p, n in at.items()]
 
 
-def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id", salts: int = 64) -> DataFrame:
+def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id", group: int = 200_000) -> DataFrame:
     """Add sequence_id and offset to pieces with a length of 1 to max_len: every piece lies in one sequence, sequences hold
     at most max_len ids, and the pieces of a sequence follow each other without a gap.
 
-    Only the histogram (at most max_len rows) reaches the driver. Pieces find their place by the rank within their length:
-    the rank is counted within (length, salt) groups whose number follows the length's share, so that a common length has
-    no group of its own on one task. The place of a rank is looked up in the patterns, whose number is bounded by the
-    histogram and not by the documents. An empty table gives an empty table. Ties are broken by document and start."""
+    Only the histogram (at most max_len rows) and the sizes of the ranking groups reach the driver. Pieces find their place
+    by the rank within their length; a length with over `group` pieces is ranked in several groups, so that a common length
+    has no task of its own. The place of a rank is looked up in the patterns, whose number is bounded by the histogram and
+    not by the documents. Ids of tokens do not move: they stay with the pieces and join when sequences are laid out. An
+    empty table gives an empty table. Ties are broken by document and start."""
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(id_col, "start"), F.lit(salts)).cast("int"))
-    sizes = salted.groupBy("length", "_salt").count().collect()
-    counts: dict[int, int] = {}
+    slim = pieces.drop("ids")
+    counts = {r["length"]: r["count"] for r in slim.groupBy("length").count().collect()}
+    groups = spark.createDataFrame([(k, -(-n // group)) for k, n in counts.items()] or [(0, 1)], "length long, _groups long")
+    salted = slim.join(F.broadcast(groups), "length").withColumn("_salt", F.pmod(F.xxhash64(id_col, "start"), F.col("_groups"))).drop("_groups")
+    salted = salted.select(*slim.columns, "_salt")
     base: dict[tuple[int, int], int] = {}
-    for r in sorted(sizes, key=lambda r: (r["length"], r["_salt"])):
-        base[r["length"], r["_salt"]] = counts.get(r["length"], 0)
-        counts[r["length"]] = counts.get(r["length"], 0) + r["count"]
+    seen = dict.fromkeys(counts, 0)
+    for r in sorted(salted.groupBy("length", "_salt").count().collect()):
+        base[r["length"], r["_salt"]] = seen[r["length"]]
+        seen[r["length"]] += r["count"]
     slots: dict[int, list[tuple[int, int, int]]] = {}  # by length: ranks taken before, first sequence, offset
     used = dict.fromkeys(counts, 0)
     seq = 0
@@ -259,26 +264,36 @@ def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id", salts:
         for batch in batches:
             length, salt, rank = (batch.column(c).to_numpy() for c in ("length", "_salt", "_rank"))
             sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            pair = length * salts + salt
-            for p in np.unique(pair):
-                at = np.flatnonzero(pair == p)
-                n = int(p) // salts
+            order = np.lexsort((salt, length))
+            edge = np.flatnonzero((np.diff(length[order]) != 0) | (np.diff(salt[order]) != 0)) + 1
+            for at in np.split(order, edge):
+                if not len(at):
+                    continue
+                n = int(length[at[0]])
                 before, first, off = table[n]
-                r = rank[at] - 1 + base[n, int(p) % salts]
+                r = rank[at] - 1 + base[n, int(salt[at[0]])]
                 k = np.searchsorted(before, r, "right") - 1
                 sequence[at], offset[at] = first[k] + r - before[k], off[k]
             keep = [i for i, c in enumerate(batch.schema.names) if c not in ("_salt", "_rank")]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(sequence), pa.array(offset)], [*(batch.schema.names[i] for i in keep), "sequence_id", "offset"])
 
-    from pyspark.sql import Window
-    from pyspark.sql.types import LongType, StructType
-
     ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(id_col, "start")))
-    schema = StructType([*pieces.schema.fields]).add("sequence_id", LongType()).add("offset", LongType())
+    schema = StructType([*slim.schema.fields]).add("sequence_id", LongType()).add("offset", LongType())
     return ranked.mapInArrow(place, schema)
 
 
-def packed_documents(docs: DataFrame, max_len: int = 2048, with_ids: bool = True, **how) -> DataFrame:
-    """Tokenise, cut and pack documents. The pieces are written to the shared folder once, so that the histogram and the
-    placing do not tokenise again."""
-    return pack(materialise(token_pieces(docs, max_len, with_ids=with_ids, **how), "pieces"), max_len)
+def packed_documents(docs: DataFrame, max_len: int = 2048, **how) -> tuple[DataFrame, DataFrame]:
+    """(packed, pieces): pieces are the tokenised and cut documents with their ids, written to the shared folder once;
+    packed has the same rows without ids and with their places."""
+    pieces = materialise(token_pieces(docs, max_len, **how), "pieces")
+    return pack(pieces, max_len, how.get("id_col", "doc_id")), pieces
+
+
+def sequences(packed: DataFrame, pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id", pad_id: int = 50256) -> DataFrame:
+    """The packed sequences: sequence_id, used (ids before padding) and ids, padded to max_len, except where `used` is a
+    power of two. Documents' ids must be distinct."""
+    met = packed.select(id_col, "start", "sequence_id", "offset").join(pieces.select(id_col, "start", "ids"), [id_col, "start"])
+    whole = met.groupBy("sequence_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("offset", "ids"))), lambda p: p["ids"])).alias("ids"))
+    used = F.size("ids")
+    pad = F.when(used.bitwiseAND(used - 1) == 0, 0).otherwise(F.lit(max_len) - used)
+    return whole.select("sequence_id", used.alias("used"), F.concat("ids", F.array_repeat(F.lit(pad_id), pad)).alias("ids"))
