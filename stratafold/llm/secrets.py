@@ -86,7 +86,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def scan_versions(versions: DataFrame, ledger: str, rules: tuple[SecretRule, ...] = RULES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Bring the ledger at path `ledger` up to date with `versions` and return (blob, spans), one row for every blob of
-    `versions`, with all findings of `rules`.
+    the ledger, with all findings of `rules`.
 
     The ledger holds rows (blob, scanned, spans): the rule versions applied to a blob and what they found. Only pairs of a
     blob and a rule version that it lacks are scanned, and each blob once, however many paths or versions share it. One
@@ -112,12 +112,16 @@ def scan_versions(versions: DataFrame, ledger: str, rules: tuple[SecretRule, ...
     return every
 
 
+def find_blobs(docs: DataFrame, ledger: str | None = None, rules: tuple[SecretRule, ...] = RULES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(blob, spans) for the blobs with a finding, written to the shared folder."""
+    ledger = ledger or fresh_path(docs.sparkSession, "ledger")
+    return materialise(scan_versions(docs, ledger, rules, text, id_col).where("size(spans) > 0"), "blob-findings")
+
+
 def find_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[SecretRule, ...] = RULES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, spans) for every row of docs: the ledger's findings joined back to all paths. Without a ledger a new one is
     begun in the shared folder. Rows that repeat, or share a text, share the findings; a null id keeps its findings."""
-    ledger = ledger or fresh_path(docs.sparkSession, "ledger")
-    found = scan_versions(docs, ledger, rules, text, id_col).where("size(spans) > 0")
-    found = materialise(found, "blob-findings")
+    found = find_blobs(docs, ledger, rules, text, id_col)
     paths = docs.select(id_col, blob_of(text).alias("blob"))
     return paths.join(found, "blob", "left").select(id_col, F.coalesce("spans", F.array().cast(_SPAN)).alias("spans"))
 

@@ -333,3 +333,16 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, text: str = "text", id_col
 
     slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text).alias("_text"))
     return slim.mapInArrow(run, f"_id {kind}, held_out boolean, score double, predicted int").withColumnRenamed("_id", id_col)
+
+
+def keep_clean(docs: DataFrame, grammar: Grammar, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of docs whose text scores below `least`."""
+    parts = grammar.words, grammar.beginnings, grammar.weights
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = Grammar(*parts)
+        for batch in batches:
+            col = batch.column(text)
+            yield batch.filter(pa.array([g.score(col[i].as_py()) < least for i in range(len(col))], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
