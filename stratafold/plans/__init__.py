@@ -1,0 +1,14 @@
+"""Query plans: registered queries and their oracles."""
+
+from __future__ import annotations
+
+from stratafold.plans import text_layer  # noqa: F401  (registers its queries)
+from stratafold.plans.registry import duck_sql, spark_queries
+
+
+def all_queries() -> dict:
+    return spark_queries()
+
+
+def all_sql() -> dict[str, str]:
+    return duck_sql()
