@@ -46,6 +46,10 @@ class Dialect:
     def one_of(self, x: str, values) -> str:
         return f"{x} IN ({', '.join(self.lit(v) for v in values)})"
 
+    def colon(self, x: str) -> str:
+        """Place of the first colon, half or full width; 0 if there is none."""
+        return f"position(':' IN replace({x}, '：', ':'))"
+
     def first_of(self, x: str, table, default: str = "''", how: str = "search") -> str:
         """The value of the first row (pattern, value) of a table whose pattern is found in x."""
         return "CASE " + " ".join(f"WHEN {getattr(self, how)(x, rx)} THEN {self.lit(v)}" for rx, v in table) + f" ELSE {default} END"
@@ -84,6 +88,11 @@ class Spark(Dialect):
         call = f"LATERAL VIEW posexplode({array}) e AS {index}, {value}" if index else f"LATERAL VIEW explode({array}) e AS {value}"
         return f"SELECT {keep} FROM {table} {call}"
 
+    def pin(self, table: str, **columns: str) -> str:
+        """Add columns that are worked out once, where they stand: a one-row generator keeps the optimiser from copying
+        them into every later condition."""
+        return f"SELECT * FROM {table} LATERAL VIEW inline(array(struct({', '.join(columns.values())}))) pinned AS {', '.join(columns)}"
+
     def split(self, x: str, by: str) -> str:
         return f"split({x}, {self.lit(by)})"
 
@@ -149,6 +158,9 @@ class Duck(Dialect):
         inner = f"SELECT *, unnest({array}) AS {value}" + (f", CAST(unnest(range(len({array}))) AS INT) AS {index}" if index else "") + f" FROM {table}"
         return f"SELECT {keep} FROM ({inner})"
 
+    def pin(self, table: str, **columns: str) -> str:
+        return f"SELECT *, {', '.join(f'{v} AS {k}' for k, v in columns.items())} FROM {table}"
+
     def split(self, x: str, by: str) -> str:
         return f"string_split({x}, {self.lit(by)})"
 
