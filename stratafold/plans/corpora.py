@@ -34,11 +34,12 @@ TEMPLATES = (
     "CASE WHEN k % 5 = 0 THEN 'Materials' ELSE 'www.example.com free copy' END",
     "concat('Weight ', p_size, ' kg, length ', p_size * 10, ' mm')",
     "'It is recommended that users should keep the marking'",
+    "'Field of application: lifting gear, CE and ATEX marked'",
 )
 
 
 def spec_lines(d: Dialect) -> str:
-    """doc_id, page_index, line_no, line: twenty lines for each part; fifty parts make a document."""
+    """doc_id, page_index, line_no, line: a line of each template for each part; fifty parts make a document."""
     made = "(SELECT p_partkey AS k, p_name, p_brand, p_type, p_size FROM part) p"
     rows = d.rows(made, d.array(TEMPLATES), "line", "line_no")
     return f"SELECT {d.div('k', '50')} AS doc_id, k % 50 AS page_index, line_no + 1 AS line_no, line FROM ({rows}) b"
