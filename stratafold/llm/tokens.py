@@ -26,7 +26,7 @@ from pyspark.sql.types import LongType, StructType
 from stratafold.llm.common import materialise
 
 #: Chunks kept per worker; beyond it the dictionary starts anew. It bounds memory and changes no result.
-MAX_CACHED = 1_000_000
+MAX_CACHED = 400_000
 _UNSAFE = re.compile(r"\s \s")
 #: Chunks of these characters only are cut by a second, faster library with the same vocabulary and merges.
 _COMMON = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
