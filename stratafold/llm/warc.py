@@ -106,6 +106,13 @@ class LoserTree:
             self._play(top)
 
 
+def _with_scheme(spark, folder: str) -> str:
+    """The folder as a URI with the scheme of the session's file system, for workers that have no Hadoop settings."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def _file_system(path: str):
     from pyarrow import fs
 
@@ -157,7 +164,7 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write all pages to archives under `folder` and return the index runs, committed to the shared folder: a run is the
     index of one task, sorted by URL key, capture time and page, with run and seq."""
-    made = with_revisits(pages).mapInArrow(_writer(folder), _INDEX.removeprefix("run string, seq long, "))
+    made = with_revisits(pages).mapInArrow(_writer(_with_scheme(pages.sparkSession, folder)), _INDEX.removeprefix("run string, seq long, "))
     runs = made.sortWithinPartitions("url_key", "captured", "page_id").withColumn("run", F.spark_partition_id().cast("string")).withColumn("seq", F.monotonically_increasing_id())
     return materialise(runs.select("run", "seq", "url_key", "captured", "page_id", "record_type", "refers_to", "payload_digest", "file", "offset", "length"), "capture-runs")
 
@@ -192,10 +199,12 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = False) -> Data
     """Read every record that the index names: page_id, payload_bytes, payload_digest, record_type, refers_to, and the
     payload of responses if wanted. Bytes and digest of a stored payload are worked out from what is read."""
 
+    uri = _with_scheme(index.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        files, root = _file_system(folder)
+        files, root = _file_system(uri)
         name, src = None, None
         for batch in batches:
             out: list[tuple] = []

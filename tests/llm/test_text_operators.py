@@ -1,0 +1,147 @@
+"""Quality rules, secrets, token counts, packing."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratafold.llm import quality, secrets
+from stratafold.llm.common import count_words, fresh_path
+from stratafold.llm.tokens import pack, packed_documents, sequences, shortest_pack_first, token_counts, token_pieces, tokenizer_path
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+TEXTS = [
+    None, "", "  \n\t", "one", "a b c a b c", "x  y   z\n \nq", "it's <|endoftext|> ok", "naïve café　中文 ½ 🎉\n\n end ", "word " * 3000,
+    "password = token=abcdefghijk and password:secret:abcdefghij", "Token: 'abcdefgh' AKIA1234567890ABCD é AKIA12 " + "0123456789abcdef" * 3, "api_key=short apikey: longenough1",
+    "line\nline\nother\n\nline", "the and of to in " * 30, "!! SHOUT!! " * 60,
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows + [rows[4], (None, "a b", None, None, None)], DOCS)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def words(t):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w]
+
+
+def test_word_counts(docs):
+    assert all(r.n == len(words(r.text)) for r in docs.select("text", count_words("text").alias("n")).collect())
+
+
+def test_quality_base_measures(docs, empty):
+    for r in quality.quality_rules(docs).collect():
+        t = "a b" if r.doc_id is None else TEXTS[r.doc_id] or ""
+        w = words(t)
+        tri = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        n = Counter(tri)
+        covered = {i + k for i, x in enumerate(tri) if n[x] > 1 for k in range(3)}
+        lines = [x for x in t.split("\n") if words(x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered))
+        assert r.base_failed == (len(w) < 50 or 100 * len(covered) > 50 * len(w))
+        assert not (r.base_failed and r.kept)
+    assert quality.quality_rules(docs).count() == docs.count()
+    assert quality.quality_rules(empty).count() == 0
+
+
+def base_spans(t):
+    kinds = {"assign": (r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A), "access": (r"AKIA[A-Z0-9]+", 0), "hex": (r"[0-9a-f]+", 0)}
+    out = []
+    for n, (kind, (p, flags)) in enumerate(kinds.items()):
+        for m in re.finditer(p, t, flags):
+            if len(m.group(2)) >= 8 if kind == "assign" else len(m.group(0)) >= {"access": 16, "hex": 32}[kind]:
+                out.append((m.start(), n, m.end(), kind))
+    return sorted(out)
+
+
+def test_secrets_base_spans(docs, empty):
+    got = secrets.secrets_digest(secrets.find_secrets(docs)).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        want = base_spans("a b" if r.doc_id is None else TEXTS[r.doc_id] or "")
+        text = ",".join(f"{k}:{s}:{e}" for s, _, e, k in want)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(x[3] == k for x in want) for k in ("assign", "access", "hex"))
+        assert not text or set(text.split(",")) <= set(r.spans.split(","))
+    assert secrets.find_secrets(empty).count() == 0
+
+
+def test_ledger_scans_each_pair_once(spark, docs):
+    ledger = fresh_path(spark, "ledger-test")
+    first = secrets.RULES[:2]
+    secrets.scan_versions(docs, ledger, first).count()
+    n = spark.read.parquet(ledger).count()
+    assert n == docs.select(F.coalesce("text", F.lit(""))).distinct().count()
+    secrets.scan_versions(docs, ledger, first).count()
+    assert spark.read.parquet(ledger).count() == n
+    done = secrets.scan_versions(docs, ledger, secrets.RULES[:3])
+    rows = spark.read.parquet(ledger)
+    assert rows.count() == 2 * n and {tuple(r.scanned) for r in rows.collect()} == {("assign@1", "access@1"), ("hex@1",)}
+    assert sum(len(r.spans) for r in done.collect()) == sum(len(base_spans(t or "")) for t in {*(t or "" for t in TEXTS)})
+
+
+def test_redaction(docs):
+    shown = secrets.find_secrets(docs).join(docs.dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "text", secrets.redact(F.col("text"), F.col("spans")).alias("clean"))
+    got = {r.doc_id: r.clean for r in shown.collect()}
+    assert got[3] == "one" and got[11] == "api_key=short [SECRET]" and "AKIA1234567890ABCD" not in got[10] and "AKIA12 " in got[10]
+
+
+@pytest.fixture(scope="module")
+def tok():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def test_token_counts(docs, empty, tok):
+    for r in token_counts(docs).collect():
+        t = "a b" if r.doc_id is None else TEXTS[r.doc_id] or ""
+        n = len(tok.encode(t, add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(t.encode()), n, n > 512)
+    assert token_counts(docs).count() == docs.count() and token_counts(empty).count() == 0
+
+
+def test_shortest_pack_first():
+    rng = np.random.default_rng(2)
+    counts = dict(Counter(rng.integers(1, 200, 5000).tolist())) | {200: 40}
+    used = Counter()
+    for lengths, packs in shortest_pack_first(counts, 200):
+        assert sum(lengths) <= 200 and packs > 0
+        for x in lengths:
+            used[x] += packs
+    assert dict(used) == counts and shortest_pack_first({}, 8) == []
+
+
+def test_packing_round_trip(spark, docs, empty, tok):
+    unique = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    packed, pieces = packed_documents(unique, 64)
+    rows = packed.collect()
+    for i, t in enumerate(TEXTS):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
+        mine = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        assert [r.start for r in mine] == list(np.cumsum([0, *(r.length for r in mine)])[:-1]) and sum(r.length for r in mine) == len(ids)
+        for r in mine:
+            part = np.array(ids[r.start : r.start + r.length], "<u4").tobytes()
+            assert r.ids_crc32 == zlib.crc32(part) and r.doc_tokens == len(ids)
+    by_seq = {}
+    for r in rows:
+        by_seq.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by_seq.values():
+        parts.sort()
+        assert [o for o, _ in parts] == list(np.cumsum([0, *(n for _, n in parts)])[:-1]) and sum(n for _, n in parts) <= 64
+    laid = {r.sequence_id: r for r in sequences(packed, pieces, 64).collect()}
+    assert all(len(x.ids) == (x.used if x.used & (x.used - 1) == 0 else 64) for x in laid.values()) and set(laid) == set(by_seq)
+    again = {(r.doc_id, r.start): (r.sequence_id, r.offset) for r in pack(pieces, 64, group=3).collect()}
+    assert len(set(again.values())) == len(rows)
+    assert packed_documents(empty, 64)[0].count() == 0 and token_pieces(empty).count() == 0
