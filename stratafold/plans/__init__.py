@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratafold.plans import batch, parameters, review, structure, text_layer  # noqa: F401  (they register their queries)
+from stratafold.plans import batch, parameters, records, review, structure, text_layer  # noqa: F401  (they register their queries)
 from stratafold.plans.registry import duck_sql, spark_queries
 
 
