@@ -19,8 +19,9 @@ def page_pointer(pages: DataFrame, sections: DataFrame) -> DataFrame:
     def advance(at: Column, lines: Column) -> Column:
         """Index after all the following titles that stand on the page without a gap."""
         rest = F.slice(s, at + 2, F.greatest(F.lit(0), F.size(s) - at - 1))
-        first_miss = F.aggregate(rest, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda a, t: F.struct((a["n"] + F.when(a["on"] & (t["title"] != "") & F.array_contains(lines, t["title"]), 1).otherwise(0)).alias("n"), (a["on"] & (t["title"] != "") & F.array_contains(lines, t["title"])).alias("on")))
-        return at + first_miss["n"]
+        hits = F.transform(rest, lambda t: (t["title"] != "") & F.array_contains(lines, t["title"]))
+        miss = F.array_position(hits, False)
+        return (at + F.when(miss > 0, miss - 1).otherwise(F.size(hits))).cast("int")
 
     empty = F.array().cast("array<struct<page_index:bigint,sec_ord:bigint>>")
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from stratafold.plans import batch, parameters, records, review, structure, text_layer  # noqa: F401  (they register their queries)
+from stratafold.plans.folded import FOLDED
 from stratafold.plans.registry import duck_sql, spark_queries
 
 
 def all_queries() -> dict:
-    return spark_queries()
+    return spark_queries() | FOLDED
 
 
 def all_sql() -> dict[str, str]:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratafold.operators.folds import merge_cell_texts, page_pointer, row_clusters
+from stratafold.operators.merge import merge_sections, review_loop
 from stratafold.sources.export import write_records, without_inner_keys
 from stratafold.sources.providers import Settings, decode_pages, regular_grid, with_recognised
 from stratafold.streaming.progress import EVENT_SCHEMA, event_counts, keep_history, last_events, sse
@@ -81,3 +82,17 @@ def test_streams(spark, tmp_path):
     q = event_counts(events).writeStream.format("memory").queryName("counts").outputMode("append").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.table("counts").schema.names == ["start", "end", "batch_id", "event_type", "count"]
+
+
+def test_section_merges_chain_from_the_end(spark):
+    rows = [(1, 1, "1", "A", "a", "next", True), (1, 2, "2", "B", "b\na", None, True), (1, 3, "3", "C", "c", "previous", False), (1, 4, "4", "D", "d\nc", "previous", True), (2, 1, "1", "only", "x", "previous", True)]
+    got = {(r.doc_id, r.sec_ord): (r.body, r.merged_into) for r in merge_sections(spark.createDataFrame(rows, "doc_id long, sec_ord long, sec_no string, title string, body string, direction string, keep_title boolean")).collect()}
+    assert got == {(1, 1): (None, 2), (1, 2): ("A\na\nb\nc\nD\nd", None), (1, 3): (None, 2), (1, 4): (None, 2), (2, 1): ("x", None)}
+
+
+def test_review_loop_keeps_the_best_round(spark):
+    state = spark.createDataFrame([(1, 90, 0), (2, 60, 15), (3, 70, 0), (4, 80, -5), (5, 10, 1)], "doc_id long, points long, gain long")
+    review = lambda s: s.select("doc_id", F.col("points").alias("score"), F.lit(False).alias("redline"), F.col("points").cast("string").alias("fingerprint"))
+    repair = lambda s: s.withColumn("points", F.col("points") + F.col("gain"))
+    got = {r.doc_id: (r.round, r.score, r.passed) for r in review_loop(state, review, repair, lambda df: df.cache()).collect()}
+    assert got == {1: (1, 90, True), 2: (3, 90, True), 3: (1, 70, False), 4: (1, 80, False), 5: (3, 12, False)}
