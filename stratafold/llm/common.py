@@ -53,6 +53,12 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def group_rows(total: int, least: int = 500, groups: int = 50_000) -> int:
+    """Rows per group when rows are numbered in groups: so many that about `groups` groups come out at most, whose sizes
+    the driver can hold, and no fewer than `least`."""
+    return max(least, -(-total // groups))
+
+
 def words_col(text: Column | str) -> Column:
     """Words of a text as an array; null and blank texts give an empty array."""
     text = F.col(text) if isinstance(text, str) else text

@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratafold.llm.common import count_words, materialise
+from stratafold.llm.common import count_words, group_rows, materialise
 
 WEIGHTS = (5.0, 2.0, 1.0)
-#: Words per block, slots per shard, documents per numbering group, most distinct sources (they are weighed on the driver).
-BLOCK, SLOTS, GROUP, MAX_SOURCES = 256, 16384, 100_000, 200_000
+#: Words per block, slots per shard, most distinct sources (they are weighed on the driver).
+BLOCK, SLOTS, MAX_SOURCES = 256, 16384, 200_000
 
 
 def targets(sizes: dict[str | None, int], total_share: float = 1.5, weights: tuple[float, ...] = WEIGHTS, most: float = 2.0) -> dict[str | None, float]:
@@ -123,7 +123,8 @@ def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str
     goal = targets(sizes, **shares)
     order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
     number = {s: i for i, s in enumerate(order)}
-    groups = {r["source"]: -(-r["rows"] // GROUP) for r in rows}
+    group = group_rows(sum(r["rows"] for r in rows))
+    groups = {r["source"]: -(-r["rows"] // group) for r in rows}
     n_blocks = [-(-sizes[s] // block) for s in order]
     keys = [seed * 1_000_003 + i * 101 for i in range(len(order))]
     plan = [whole_slots(sizes[s], round(goal[s]), block, keys[i]) for i, s in enumerate(order)]
@@ -138,7 +139,8 @@ def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str
     placed = placed.select("row_id", "source_no", "start", "size", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))).alias("block"))
     in_block = placed.select("source_no", "block", "row_id", F.greatest(F.lit(0), F.col("start") - F.col("block") * block).alias("lo"), F.least(F.lit(block), F.col("start") + F.col("size") - F.col("block") * block).alias("hi"), (F.col("block") * block - F.col("start")).alias("shift"))
     dealt = deal(spark, plan, n_blocks, keys, slots, seed)
-    met = dealt.join(in_block, ["source_no", "block"]).withColumn("hi", F.least("hi", "words")).where("hi > lo")
+    # the slots come out of a generator whose size the planner cannot tell, so no side may be broadcast on its estimate
+    met = dealt.hint("merge").join(in_block, ["source_no", "block"]).withColumn("hi", F.least("hi", "words")).where("hi > lo")
     takes = met.select("shard", "slot", "pass_no", "row_id", (F.col("lo") + F.col("shift")).alias("first"), (F.col("hi") - F.col("lo")).alias("words"))
     return members.select("row_id", "id", "h", "size", "source_size", "target"), takes
 
