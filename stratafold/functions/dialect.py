@@ -165,7 +165,7 @@ class Duck(Dialect):
         return f"string_split({x}, {self.lit(by)})"
 
     def series(self, n: int) -> str:
-        return f"range(1, {n + 1})"
+        return f"CAST(range(1, {n + 1}) AS INT[])"
 
     def div(self, a: str, b: str) -> str:
         return f"({a} // {b})"

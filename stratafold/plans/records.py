@@ -133,7 +133,7 @@ def t05_limits_before_dedupe(d):
     return with_(
         text_candidates(d)
         | made(d, "cand", "doc_id, page_index, line_no")
-        | {"o": "SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no) AS ord FROM params", "u": "SELECT *, row_number() OVER (PARTITION BY doc_id, name, clean_value ORDER BY ord) AS k FROM o WHERE ord <= 120"},
+        | {"o": "SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no) AS BIGINT) AS ord FROM params", "u": "SELECT *, row_number() OVER (PARTITION BY doc_id, name, clean_value ORDER BY ord) AS k FROM o WHERE ord <= 120"},
         "SELECT doc_id, name, clean_value, unit, ord FROM u WHERE k = 1",
     )
 
@@ -218,7 +218,7 @@ def m08_requirements(d):
     """First sixty requirement sentences of a document, clipped."""
     kind = d.first_of("line", Parser.RULE_PATTERNS)
     return with_(
-        {"l": spec_lines(d), "r": f"SELECT *, {kind} AS rule_type FROM l", "k": "SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no) AS place FROM r WHERE rule_type <> ''"},
+        {"l": spec_lines(d), "r": f"SELECT *, {kind} AS rule_type FROM l", "k": "SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no) AS BIGINT) AS place FROM r WHERE rule_type <> ''"},
         "SELECT doc_id, place, rule_type, left(line, 180) AS requirement FROM k WHERE place <= 60",
     )
 

@@ -107,7 +107,7 @@ def g05_hard_headings(d):
 def t01_top_suspicious(d):
     """The five most suspicious lines of a document: most reasons first, then place."""
     return with_(
-        {"spec": spec_lines(d), "r": d.pin("spec", **reason_columns(d, HEADING_REASONS)), "s": f"SELECT doc_id, page_index, line_no, line, {score_of(HEADING_REASONS)} AS score FROM r", "k": "SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, page_index, line_no) AS place FROM s WHERE score > 0"},
+        {"spec": spec_lines(d), "r": d.pin("spec", **reason_columns(d, HEADING_REASONS)), "s": f"SELECT doc_id, page_index, line_no, line, {score_of(HEADING_REASONS)} AS score FROM r", "k": "SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, page_index, line_no) AS BIGINT) AS place FROM s WHERE score > 0"},
         "SELECT doc_id, place, page_index, line_no, score FROM k WHERE place <= 5",
     )
 
@@ -166,13 +166,13 @@ def v11_redlines(d):
 
 @query
 def t03_problem_list(d):
-    return with_(scored(d), "SELECT doc_id, problem_id, blocking, row_number() OVER (PARTITION BY doc_id ORDER BY blocking DESC, points DESC, problem_id) AS place FROM f")
+    return with_(scored(d), "SELECT doc_id, problem_id, blocking, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY blocking DESC, points DESC, problem_id) AS BIGINT) AS place FROM f")
 
 
 @query
 def t04_fix_actions(d):
     """Distinct actions of a document, blocking ones first."""
-    return with_(scored(d) | {"a": "SELECT doc_id, action, max(CASE WHEN blocking THEN 1 ELSE 0 END) AS blocks, max(points) AS points FROM f GROUP BY doc_id, action"}, "SELECT doc_id, action, row_number() OVER (PARTITION BY doc_id ORDER BY blocks DESC, points DESC, action) AS place FROM a")
+    return with_(scored(d) | {"a": "SELECT doc_id, action, max(CASE WHEN blocking THEN 1 ELSE 0 END) AS blocks, max(points) AS points FROM f GROUP BY doc_id, action"}, "SELECT doc_id, action, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY blocks DESC, points DESC, action) AS BIGINT) AS place FROM a")
 
 
 @query
@@ -188,7 +188,7 @@ def p06_rejected_documents(d):
 
 @query
 def v14_suspicious_ocr_headings(d):
-    return f"SELECT doc_id, line_no, length(line) AS n FROM ({doc_lines(d)}) l WHERE {d.search('line', Review.SUSPICIOUS_OCR_HEADING_RE)}"
+    return f"SELECT doc_id, line_no, CAST(length(line) AS BIGINT) AS n FROM ({doc_lines(d)}) l WHERE {d.search('line', Review.SUSPICIOUS_OCR_HEADING_RE)}"
 
 
 @query
@@ -232,7 +232,7 @@ def m15_topic_tags(d):
     """First twenty distinct section titles of a document that are translated."""
     tag = d.first_of("title", Local.TRANSLATION_PATTERNS)
     return with_(
-        sections(d) | {"t": f"SELECT doc_id, sec_ord, {tag} AS tag FROM heads WHERE sec_ord <= 30", "u": "SELECT doc_id, tag, min(sec_ord) AS sec_ord FROM t WHERE tag <> '' GROUP BY doc_id, tag", "k": "SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sec_ord, tag) AS place FROM u"},
+        sections(d) | {"t": f"SELECT doc_id, sec_ord, {tag} AS tag FROM heads WHERE sec_ord <= 30", "u": "SELECT doc_id, tag, min(sec_ord) AS sec_ord FROM t WHERE tag <> '' GROUP BY doc_id, tag", "k": "SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY sec_ord, tag) AS BIGINT) AS place FROM u"},
         "SELECT doc_id, tag, place FROM k WHERE place <= 20",
     )
 

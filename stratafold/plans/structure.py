@@ -198,7 +198,7 @@ def x15_products(d):
             "r": "SELECT *, CASE WHEN model <> '' THEN model ELSE line END AS display FROM p",
             "k": "SELECT *, row_number() OVER (PARTITION BY doc_id, display ORDER BY page_index, line_no) AS k FROM r",
         },
-        "SELECT doc_id, display, model, page_index, row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no) AS product_no FROM k WHERE k = 1",
+        "SELECT doc_id, display, model, page_index, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no) AS BIGINT) AS product_no FROM k WHERE k = 1",
     )
 
 

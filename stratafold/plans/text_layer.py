@@ -84,7 +84,7 @@ def profiled(d: Dialect, lines: str, tables: str = "0", pages: str = "1") -> str
 
 @query
 def c01_normalised_lines(d):
-    return f"SELECT doc_id, line_no, length(line) AS n_chars, {d.words('line')} AS n_words, left(line, 40) AS head FROM ({doc_lines(d)}) l"
+    return f"SELECT doc_id, line_no, CAST(length(line) AS BIGINT) AS n_chars, CAST({d.words('line')} AS BIGINT) AS n_words, left(line, 40) AS head FROM ({doc_lines(d)}) l"
 
 
 @query
@@ -120,7 +120,7 @@ def f02_repeated_noise(d):
 def f01_clean_lines(d):
     return with_(
         {"l": doc_lines(d), "noise": repeated_noise(d, "l", "3")},
-        f"SELECT l.doc_id, line_no, length(l.line) AS n_chars FROM l LEFT JOIN noise n ON l.source = n.source AND l.line = n.line WHERE n.line IS NULL AND NOT {L.header_noise(d, 'l.line')}",
+        f"SELECT l.doc_id, line_no, CAST(length(l.line) AS BIGINT) AS n_chars FROM l LEFT JOIN noise n ON l.source = n.source AND l.line = n.line WHERE n.line IS NULL AND NOT {L.header_noise(d, 'l.line')}",
     )
 
 
@@ -175,7 +175,7 @@ def ocr_evaluated(d: Dialect, lines: str) -> str:
     return with_(
         {
             "o1": f"SELECT doc_id, {d.join_in_order('line', 'line_no')} AS t, count(*) AS n_lines, CAST(count(DISTINCT line) AS BIGINT) AS n_distinct, {tally('length(line) <= 1')} AS single, {tally('length(line) < 6')} AS short, {tally(f'{letters} = 1')} AS one_letter, {tally(L.ocr_line_signal(d, 'line'))} AS sections FROM {lines} GROUP BY doc_id",
-            "o2": f"SELECT *, length(t) AS text_length, {d.count('t', Ocr.CONTENT_CHAR_RE)} AS content_chars, {d.count('t', Rx(r'[^A-Za-z0-9_ÄÖÜäöüßàâçéèêëîïôûùüÿñáíóúÁÉÍÓÚÑÀÂÇÈÊËÎÏÔÛÙ一-鿿\s]'))} AS puncts, {d.count('t', Ocr.STANDARD_SIGNAL_RE)} AS standards, {d.count('t', Ocr.TABLE_SIGNAL_RE)} AS figures FROM o1",
+            "o2": f"SELECT *, CAST(length(t) AS BIGINT) AS text_length, {d.count('t', Ocr.CONTENT_CHAR_RE)} AS content_chars, {d.count('t', Rx(r'[^A-Za-z0-9_ÄÖÜäöüßàâçéèêëîïôûùüÿñáíóúÁÉÍÓÚÑÀÂÇÈÊËÎÏÔÛÙ一-鿿\s]'))} AS puncts, {d.count('t', Ocr.STANDARD_SIGNAL_RE)} AS standards, {d.count('t', Ocr.TABLE_SIGNAL_RE)} AS figures FROM o1",
             "o3": f"SELECT *, {share('puncts', 'text_length - n_lines + 1')} AS punct_m, {share('single', 'n_lines')} AS single_m, {share('(n_lines - n_distinct)', 'n_lines')} AS dup_m, {share('short', 'n_lines')} AS short_m, {share('one_letter', 'n_lines')} AS letter_m FROM o2",
             "o4": "SELECT *, short_m > 500 OR letter_m > 300 AS fragmented, punct_m <= 400 AND single_m <= 400 AND dup_m <= 350 AS good, sections + standards + figures > 0 AS strong FROM o3",
             "o5": "SELECT *, CASE WHEN content_chars < 12 THEN 0 WHEN content_chars >= 80 AND n_lines >= 4 AND good THEN 2 WHEN content_chars >= 36 AND strong AND single_m <= 600 THEN 1 WHEN content_chars >= 28 AND good AND n_lines >= 3 THEN 1 ELSE 0 END AS level FROM o4",
