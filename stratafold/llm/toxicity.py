@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from stratafold.llm.common import materialise
 
+#: Word beginnings that a task counts before it hands its counts on.
+HELD = 200_000
 #: Labelled rows used for fitting, at most, of either class.
 MAX_TOXIC, MAX_CLEAN = 3000, 6000
 #: Start of the insult lexicon; labels add words and word beginnings to it.
@@ -223,8 +225,14 @@ def _beginnings(words: dict[str, float], begins: dict[str, float]):
                 for n in range(SHORTEST, LONGEST + 1):
                     found.update(w[:n] for w in met if len(w) >= n)
                 (toxic if label else clean).update(found)
+                if len(toxic) + len(clean) > HELD:
+                    yield counted(toxic, clean)
+                    toxic, clean = Counter(), Counter()
+        yield counted(toxic, clean)
+
+    def counted(toxic: Counter, clean: Counter) -> pa.RecordBatch:
         keys = [*{*toxic, *clean}]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()), pa.array([clean[k] for k in keys], pa.int64())], ["w", "t", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()), pa.array([clean[k] for k in keys], pa.int64())], ["w", "t", "n"])
 
     return run
 
