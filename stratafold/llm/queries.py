@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratafold.llm import langid, quality, secrets, toxicity, warc
+from stratafold.llm import embeddings, langid, quality, secrets, toxicity, warc
 from stratafold.llm.common import table
 from stratafold.llm.embeddings import near_vectors
 from stratafold.llm.mixing import mix, mix_summary
@@ -62,4 +62,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.oracle(), "op5_warc": warc.oracle(), "op8_secret_scan": secrets.oracle()}
+    return {"op1_quality_rules": quality.oracle(), "op3_embedding_near_dedup": embeddings.oracle(), "op5_warc": warc.oracle(), "op8_secret_scan": secrets.oracle()}
