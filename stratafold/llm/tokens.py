@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from stratafold.llm.common import materialise
+from stratafold.llm.common import group_rows, materialise
 
 #: Chunks kept per worker; beyond it the dictionary starts anew. It bounds memory and changes no result.
 MAX_CACHED = 400_000
@@ -226,18 +226,19 @@ def shortest_pack_first(counts: dict[int, int], max_len: int) -> list[tuple[list
     return [(list(p), n) for at in room for p, n in at.items()]
 
 
-def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id", group: int = 200_000) -> DataFrame:
+def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id") -> DataFrame:
     """Add sequence_id and offset to pieces with a length of 1 to max_len: every piece lies in one sequence, sequences hold
     at most max_len ids, and the pieces of a sequence follow each other without a gap.
 
     Only the histogram (at most max_len rows) and the sizes of the ranking groups reach the driver. Pieces find their place
-    by the rank within their length; a length with over `group` pieces is ranked in several groups, so that a common length
-    has no task of its own. The place of a rank is looked up in the patterns, whose number is bounded by the histogram and
+    by the rank within their length; a length with many pieces is ranked in several groups, so that a common length has no
+    task of its own. The place of a rank is looked up in the patterns, whose number is bounded by the histogram and
     not by the documents. Ids of tokens do not move: they stay with the pieces and join when sequences are laid out. An
     empty table gives an empty table. Ties are broken by document and start."""
     spark = pieces.sparkSession
     slim = pieces.drop("ids")
     counts = {r["length"]: r["count"] for r in slim.groupBy("length").count().collect()}
+    group = group_rows(sum(counts.values()))
     groups = spark.createDataFrame([(k, -(-n // group)) for k, n in counts.items()] or [(0, 1)], "length long, _groups long")
     salted = slim.join(F.broadcast(groups), "length").withColumn("_salt", F.pmod(F.xxhash64(id_col, "start"), F.col("_groups"))).drop("_groups")
     salted = salted.select(*slim.columns, "_salt")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratafold.llm import quality, secrets
+from stratafold.llm import quality, secrets, tokens
 from stratafold.llm.common import count_words, fresh_path
 from stratafold.llm.tokens import pack, packed_documents, sequences, shortest_pack_first, token_counts, token_pieces, tokenizer_path
 
@@ -123,7 +123,7 @@ def test_shortest_pack_first():
     assert dict(used) == counts and shortest_pack_first({}, 8) == []
 
 
-def test_packing_round_trip(spark, docs, empty, tok):
+def test_packing_round_trip(spark, docs, empty, tok, monkeypatch):
     unique = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     packed, pieces = packed_documents(unique, 64)
     rows = packed.collect()
@@ -142,6 +142,7 @@ def test_packing_round_trip(spark, docs, empty, tok):
         assert [o for o, _ in parts] == list(np.cumsum([0, *(n for _, n in parts)])[:-1]) and sum(n for _, n in parts) <= 64
     laid = {r.sequence_id: r for r in sequences(packed, pieces, 64).collect()}
     assert all(len(x.ids) == (x.used if x.used & (x.used - 1) == 0 else 64) for x in laid.values()) and set(laid) == set(by_seq)
-    again = {(r.doc_id, r.start): (r.sequence_id, r.offset) for r in pack(pieces, 64, group=3).collect()}
+    monkeypatch.setattr(tokens, "group_rows", lambda total: 3)
+    again = {(r.doc_id, r.start): (r.sequence_id, r.offset) for r in pack(pieces, 64).collect()}
     assert len(set(again.values())) == len(rows)
     assert packed_documents(empty, 64)[0].count() == 0 and token_pieces(empty).count() == 0
