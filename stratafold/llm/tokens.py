@@ -25,8 +25,9 @@ from pyspark.sql.types import LongType, StructType
 
 from stratafold.llm.common import group_rows, materialise
 
-#: Chunks kept per worker; beyond it the dictionary starts anew. It bounds memory and changes no result.
-MAX_CACHED = 400_000
+#: Chunks kept per worker, in two halves: when the younger is full it takes the place of the older, from which chunks that
+#: are met again come back. It bounds memory and changes no result.
+MAX_CACHED = 300_000
 _UNSAFE = re.compile(r"\s \s")
 #: Chunks of these characters only are cut by a second, faster library with the same vocabulary and merges.
 _COMMON = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
@@ -72,6 +73,7 @@ class Chunks:
         self.value = value
         self.first: dict[str, object] = {}
         self.later: dict[str, object] = {}
+        self.older: tuple[dict[str, object], dict[str, object]] = ({}, {})
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.quick = _same_vocabulary(self.tok, set(special))
@@ -84,11 +86,15 @@ class Chunks:
 
     def learn(self, texts: list[list[str]]) -> None:
         """Cut the chunks that are new in these texts (lists of chunks) into pieces."""
-        if len(self.first) + len(self.later) > MAX_CACHED:
+        if len(self.first) + len(self.later) > MAX_CACHED // 2:
+            self.older = self.first, self.later
             self.first, self.later = {}, {}
         heads = {c[0] for c in texts} - self.first.keys()
         tails = set().union(*[c[1:] for c in texts]) - self.later.keys() if texts else set()
-        for keep, new, lead in ((self.first, list(heads), ""), (self.later, list(tails), " ")):
+        for keep, old, found, lead in ((self.first, self.older[0], heads, ""), (self.later, self.older[1], tails, " ")):
+            again = found & old.keys()
+            keep.update((c, old[c]) for c in again)
+            new = list(found - again)
             for i in range(0, len(new), 4096):
                 part = new[i : i + 4096]
                 if self.quick:
