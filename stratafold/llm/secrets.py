@@ -29,6 +29,12 @@ def _either_case(words: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
 
 
+#: A key from its header to its END line. The END line must be the next thing with a dash, bar an encryption header; where
+#: it is missing, the Base64 text that begins right after the header is taken, with blanks, line ends and their escapes. A
+#: header named in prose stays a match of its own. Loops are over single characters, so that no text exhausts the stack.
+_PEM = "-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_SEALED = "[\\x09-\\x0D\\x20\\\\nr]*Proc-Type:[^:-]*DEK-Info:\\x20*[A-Za-z0-9-]+,[0-9A-Fa-f]+"
+_BODY = "[\\x09-\\x0D\\x20\\\\]*[A-Za-z0-9+/]{16,}[A-Za-z0-9+/=\\x09-\\x0D\\x20\\\\]*[A-Za-z0-9+/=]"
 _NAMES = _either_case("password|passwd|secret|token|api_?key")
 #: The first three are the base kinds. A run of hex digits or an access key that is too short holds no longer match, so
 #: their length is part of the pattern; a short assignment still uses up its text, so its length is tested afterwards.
@@ -36,12 +42,13 @@ RULES = (
     SecretRule("assign", f"({_NAMES})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8),
     SecretRule("access", "AKIA[A-Z0-9]{12,}"),
     SecretRule("hex", "[0-9a-f]{32,}"),
-    SecretRule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    SecretRule("pem", f"{_PEM}(?:(?:{_SEALED})?(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----|{_BODY}))?", version=2),
     SecretRule("bearer", "[Bb]earer\\x20+[A-Za-z0-9._~+/-]{20,}=*"),
     SecretRule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}"),
     SecretRule("forge", "gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}"),
-    SecretRule("login", "[a-z][a-z0-9+.-]{1,15}://[^\\x20/:@\"'<>]{1,64}:[^\\x20/@\"'<>]{3,128}@"),
+    # a longer scheme matches from a later letter on, and a bound on it keeps long words cheap
+    SecretRule("login", "[a-z][a-z0-9+.-]{1,15}://[^\\x09-\\x0D\\x20/:@\"'<>]+:[^\\x09-\\x0D\\x20/@\"'<>]{3,}@", version=2),
 )
 BASE = ("assign", "access", "hex")
 _SPAN = "array<struct<start:long,kind_no:int,end:long,kind:string>>"
@@ -108,10 +115,10 @@ def scan_versions(versions: DataFrame, ledger: str, rules: tuple[SecretRule, ...
     none = F.array().cast(_SPAN)
     new = todo.join(found, "blob", "left").select("blob", F.col("todo").alias("scanned"), F.coalesce("spans", none).alias("spans"))
     new.write.mode("append").parquet(ledger)
-    keys = {r.kind for r in rules}
-    own = F.filter(F.flatten(F.collect_list("spans")), lambda s: s["kind"].isin(*keys))
-    every = spark.read.parquet(ledger).groupBy("blob").agg(F.sort_array(F.array_distinct(own)).alias("spans"))
-    return every
+    # spans of a rule version that `rules` no longer has stay in the ledger but do not count
+    kinds = F.transform(F.array_intersect("scanned", all_keys), lambda k: F.substring_index(k, "@", 1))
+    own = spark.read.parquet(ledger).select("blob", F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])).alias("spans"))
+    return own.groupBy("blob").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
 def find_blobs(docs: DataFrame, ledger: str | None = None, rules: tuple[SecretRule, ...] = RULES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
