@@ -10,7 +10,7 @@ def page_pointer(pages: DataFrame, sections: DataFrame) -> DataFrame:
     """(doc_id, page_index, sec_ord): pages in order advance to the next section for as long as its title is a line of the
     page. pages(doc_id, page_index, lines array), sections(doc_id, sec_ord, title). A skipped title stops the pointer.
 
-    The fold runs over one document's pages and titles, which the size guards bound."""
+    The fold runs over one document's pages and titles, all of them."""
     titles = sections.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sec_ord", "title"))).alias("s"))
     ordered = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_index", "lines"))).alias("p"))
     met = ordered.join(titles, "doc_id")

@@ -21,7 +21,7 @@ def merge_sections(sections: DataFrame) -> DataFrame:
     none stands twice. keep_title makes the title a line of its own. Every input row comes back: survivors with their
     body, merged ones with the section they ended up in.
 
-    The chain depends on the merges after it, so it runs over one document at a time, whose size the guards bound."""
+    The chain depends on the merges after it, so it runs over one document at a time, with all of its sections."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         rows = part.sort_values("sec_ord").reset_index(drop=True)

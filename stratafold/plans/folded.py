@@ -16,7 +16,7 @@ from stratafold.plans.structure import sections
 def j04_page_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section of every page of the catalogue by the greedy pointer over section titles."""
     pages = run_sql(spark, sf_dir, spec_lines(SPARK)).groupBy("doc_id", "page_index").agg(F.collect_list("line").alias("lines"))
-    heads = run_sql(spark, sf_dir, with_(sections(SPARK), "SELECT doc_id, sec_ord, title FROM heads WHERE sec_ord <= 500"))
+    heads = run_sql(spark, sf_dir, with_(sections(SPARK), "SELECT doc_id, sec_ord, title FROM heads"))
     return page_pointer(pages, heads)
 
 
@@ -35,7 +35,7 @@ def w06_section_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
         sf_dir,
         with_(
             sections(SPARK),
-            "SELECT h.doc_id, h.sec_ord, h.sec_no, h.title, concat_ws('\\n', sort_array(collect_set(CASE WHEN s.block_type = '正文' THEN s.line END))) AS body, CASE WHEN h.sec_ord = 1 THEN 'next' WHEN length(h.title) <= 6 THEN 'previous' END AS direction, true AS keep_title FROM heads h JOIN s6 s ON h.doc_id = s.doc_id AND h.sec_ord = s.sec_ord WHERE h.sec_ord <= 500 GROUP BY h.doc_id, h.sec_ord, h.sec_no, h.title",
+            "SELECT h.doc_id, h.sec_ord, h.sec_no, h.title, concat_ws('\\n', sort_array(collect_set(CASE WHEN s.block_type = '正文' THEN s.line END))) AS body, CASE WHEN h.sec_ord = 1 THEN 'next' WHEN length(h.title) <= 6 THEN 'previous' END AS direction, true AS keep_title FROM heads h JOIN s6 s ON h.doc_id = s.doc_id AND h.sec_ord = s.sec_ord GROUP BY h.doc_id, h.sec_ord, h.sec_no, h.title",
         ),
     )
     return merge_sections(rows)

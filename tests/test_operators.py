@@ -5,8 +5,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stratafold.functions.dialect import SPARK
 from stratafold.operators.folds import merge_cell_texts, page_pointer, row_clusters
 from stratafold.operators.merge import merge_sections, review_loop
+from stratafold.plans.folded import FOLDED
+from stratafold.plans.registry import run_sql, with_
+from stratafold.plans.structure import sections
 from stratafold.sources.export import write_records, without_inner_keys
 from stratafold.sources.providers import Settings, decode_pages, regular_grid, with_recognised
 from stratafold.streaming.progress import EVENT_SCHEMA, event_counts, keep_history, last_events, sse
@@ -19,6 +23,21 @@ def test_page_pointer_stops_at_a_skipped_title(spark):
     assert got == {0: 1, 1: 3, 2: 3, 3: 3}
 
 
+def test_documents_of_more_than_500_sections_stay_whole(spark, tmp_path):
+    part = [(k, f"steel part {c}{k}", f"Brand#{k}", "STANDARD STEEL", k % 50 + 1) for k in range(50) for c in "ab"]
+    spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    heads = run_sql(spark, str(tmp_path), with_(sections(SPARK), "SELECT sec_ord FROM heads"))
+    n = heads.count()
+    assert n > 500
+    got = FOLDED["w06_section_merges"](spark, str(tmp_path)).collect()
+    assert sorted(r.sec_ord for r in got) == list(range(1, n + 1))
+    seen = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr("stratafold.plans.folded.page_pointer", lambda pages, titles: seen.append(titles) or titles)
+        FOLDED["j04_page_pointer"](spark, str(tmp_path))
+    assert sorted(r.sec_ord for r in seen[0].collect()) == list(range(1, n + 1))
+
+
 def test_row_clusters_follow_the_running_mean(spark):
     boxes = [(1, 10.0, 5.0, 10.0), (2, 12.0, 50.0, 10.0), (3, 22.0, 5.0, 10.0), (4, 60.0, 5.0, 10.0)]
     df = spark.createDataFrame([(boxes,)], "b array<struct<id:long,cy:double,cx:double,height:double>>")
