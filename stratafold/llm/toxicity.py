@@ -45,8 +45,6 @@ ROUNDS = 4
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
 _ENDS = ".!?;:\n"
 _END = re.compile(f"[{_ENDS}]")
-#: Characters parsed at most on either side of a hit; a clause that is longer is parsed in several parts.
-WIDEST = 2000
 SHORTEST, LONGEST = 3, 12
 #: Least log-odds of a learned stem, stems per round at most, documents that a shorter stem weighs in a longer one's rate,
 #: and least log-odds of a word that is an insult.
@@ -159,17 +157,18 @@ class Grammar:
             at = end - len(entry) + 1
             if end < done or (at and low[at - 1].isalpha()):
                 continue
-            lo, hi = max(done, at - WIDEST), min(len(low), end + WIDEST)
-            start = max(lo, 1 + max(low.rfind(c, lo, at) for c in _ENDS))
-            stop = _END.search(low, end, hi)
-            done = stop.start() if stop else hi
-            self.clause(low[start:done], total, meant)
+            start = max(done, 1 + max(low.rfind(c, done, at) for c in _ENDS))
+            stop = _END.search(low, end)
+            done = stop.start() if stop else len(low)
+            self.clause(low, start, done, total, meant)
         return [math.log1p(max(0.0, x)) for x in (*total, len(meant))]
 
-    def clause(self, text: str, total: list[float], meant: set[str]) -> None:
+    def clause(self, text: str, start: int, stop: int, total: list[float], meant: set[str]) -> None:
+        """Run the table over text[start:stop], a whole clause, word by word."""
         state = GRAMMAR.start
         last_hit = None
-        for word in _WORD.findall(text):
+        for found in _WORD.finditer(text, start, stop):
+            word = found.group()
             kind, weight = self.lexical(word)
             state, out = GRAMMAR.arcs[state, kind]
             if out in _OUTCOME:

@@ -67,6 +67,17 @@ def test_grammar_patterns():
     assert outcome("idiot " * 50_000)["variety"] < 1
 
 
+def test_long_clauses_are_parsed_whole():
+    fill = "word " * 1500
+    said = outcome("she said " + fill + "idiot")
+    assert said["reported"] > 0 and said["bare"] == 0
+    quoted = outcome('"' + fill + "idiot " + fill + 'moron"')
+    assert quoted["reported"] > 0 and quoted["bare"] == 0
+    # the old cut lay 2,000 characters behind a hit: here between a target or a negation and the next insult
+    gap = "idiot " + "x" * 1994 + " "
+    assert outcome(gap + "you are moron")["aimed"] > 0 and outcome("idiot " + "x" * 1990 + " not moron")["negated"] > 0
+
+
 def test_composition_equals_running_in_turn():
     rng = random.Random(3)
     neg, rep, tgt = toxicity.negation(), toxicity.reported(), toxicity.targeted()
