@@ -32,11 +32,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component, once; rows without an id stay."""
-    classes = near_duplicates(docs)
-    keep = classes.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return _documents(named.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS)))
+    """The row with the smallest id (and then hash of id and text) of each SimHash component, once; rows without an id stay.
+    Components are those of rows, told apart by id and text, so that rows with one id and two texts do not link groups."""
+    named = docs.where("doc_id is not null").select(*COLUMNS, F.xxhash64("doc_id", "text").alias("h"))
+    classes = near_duplicates(named.select("h", "text"), id_col="h").select("h", "component_id").distinct()
+    first = named.select("doc_id", "h").distinct().join(classes, "h").groupBy("component_id").agg(F.min(F.struct("doc_id", "h")).alias("row"))
+    kept = named.join(first.select("row.doc_id", "row.h"), ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
+    return _documents(kept.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS)))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
+import corpus_pipeline
 from stratafold.llm.common import connected_components, shared_dir
 from stratafold.llm.embeddings import near_vectors
 from stratafold.llm.simhash import near_duplicates, near_pairs, shingle_fingerprint
@@ -75,6 +76,15 @@ def test_near_duplicates_match_brute_force(spark):
     assert root[202] == 200 and any(fp[a] != fp[b] for a, b in links)
 
 
+def test_dedup_stage_tells_rows_with_one_id_apart(spark):
+    rng = np.random.default_rng(8)
+    x, y, z, u, v = (" ".join(rng.choice([f"w{i}" for i in range(400)], 300)) for _ in range(5))
+    rows = [(1, x), (2, x), (2, y), (3, z), (3, u), (4, u), (5, v), (5, v), (None, v), (None, v)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, x), (2, y), (3, z), (3, u), (5, v), (None, v), (None, v)], key=str)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
