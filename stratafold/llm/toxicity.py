@@ -1,6 +1,6 @@
 """Toxicity (op 6): a weighted finite-state pattern grammar over clauses.
 
-A lexical transducer reads words and writes classes; transducers for negation, reported speech, targets and threats are
+A lexical transducer reads words and writes classes; transducers for threats, negation, reported speech and targets are
 composed with it into one table, which is run over each clause that holds an insult or a threat. What counts is the pattern
 that a clause ends up in (bare, aimed, negated or reported insult; threat with or without a target), not the word alone.
 Weights of words, word beginnings and patterns are learned from labels.
@@ -33,7 +33,20 @@ INSULTS = (
     "idiote imbécile stupide connard connasse ordure minable abruti crétin "
     "idiota imbécil estúpido estúpida basura asqueroso escoria payaso inútil"
 ).split()
-THREATS = "kill hurt destroy beat shoot stab strangle murder töten umbringen verprügeln tuer frapper détruire matar golpear destruir".split()
+#: Verbs of violence: forms that threaten by themselves, and forms that mostly tell of what was done, which threaten only
+#: after a word of intent.
+THREATS = (
+    "kill hurt destroy beat shoot stab strangle murder töten töte umbringen umbringe umzubringen verprügeln verprügle verprügele "
+    "tuer tue tuerai tuera tueras tuerons tueront frapper frapperai frappera frapperont détruire détruirai détruira détruiront "
+    "matar mataré matará matarán matarte golpear golpearé golpeará golpearte destruir destruiré destruirá destruirte"
+).split()
+NARRATED = (
+    "kills killed killing hurts hurting destroys destroyed destroying beats beaten beating shoots shot shooting stabs stabbed stabbing "
+    "strangles strangled strangling murders murdered murdering tötest tötet tötete töteten getötet umbringst umbringt umgebracht verprügelst verprügelt "
+    "tues tué tués tuée tuées tuez frappes frappé frappés frappée frappez détruis détruit détruite détruits "
+    "mata matas mato mató matado matando golpea golpeo golpeó golpeado golpeando destruye destruyo destruyó destruido destruyendo"
+).split()
+INTENT = "will i'll we'll he'll she'll they'll you'll gonna shall should must deserve deserves i'm we're am werde werden wirst wird sollst sollte solltest vais va allons serez seras sera mérites voy vamos vas deberías debería serás".split()
 TARGETS = "you your you're u ur yourself they them he she him her du dich dir ihr euch sie tu te toi vous ils elle tú ti usted ustedes ellos eres".split()
 NEGATIONS = "not no never isn't aren't wasn't don't nobody nicht kein keine nie niemals pas jamais aucun ne nunca ningún tampoco".split()
 REPORTS = "said says called calls quoted quote wrote claimed according alleged sagte nannte schrieb zitierte laut disait appelé écrit selon dijo llamó escribió según".split()
@@ -82,9 +95,19 @@ def compose(first: Transducer, second: Transducer, symbols: str) -> Transducer:
     return Transducer(start, arcs)
 
 
-# Symbols: I insult, T threat, U target, N negation, R report, Q quotation mark, o other; written besides: n negated insult,
-# m negated threat, r reported insult or threat, A aimed insult, H aimed threat.
+# Symbols: I insult, T threat, U target, N negation, R report, Q quotation mark, o other; read besides: P intent, D narrated
+# violence; written besides: n negated insult, m negated threat, r reported insult or threat, A aimed insult, H aimed threat.
 _SYMBOLS = "ITUNRQo"
+_READ = _SYMBOLS + "PD"
+
+
+def threatening(reach: int = 3) -> Transducer:
+    """Narrated violence at most `reach` words after a word of intent is a threat; elsewhere it is nothing."""
+    arcs: Arcs = {}
+    for k in range(reach + 1):
+        for s in _READ:
+            arcs[k, s] = (reach, "o") if s == "P" else (max(0, k - 1), ("T" if k else "o") if s == "D" else s)
+    return Transducer(0, arcs)
 
 
 def negation(reach: int = 3) -> Transducer:
@@ -117,7 +140,7 @@ def targeted(reach: int = 6) -> Transducer:
     return Transducer(0, arcs)
 
 
-GRAMMAR = compose(compose(negation(), reported(), _SYMBOLS), targeted(), _SYMBOLS)
+GRAMMAR = compose(compose(compose(threatening(), negation(), _READ), reported(), _READ), targeted(), _READ)
 _OUTCOME = {"I": 0, "A": 1, "n": 2, "r": 3, "T": 4, "H": 5}
 
 
@@ -128,11 +151,11 @@ class Grammar:
         import ahocorasick
 
         self.words, self.beginnings, self.weights = words, beginnings, weights
-        self.kind = dict.fromkeys(TARGETS, "U") | dict.fromkeys(NEGATIONS, "N") | dict.fromkeys(REPORTS, "R") | dict.fromkeys('"“”«»', "Q") | dict.fromkeys(THREATS, "T")
+        self.kind = dict.fromkeys(TARGETS, "U") | dict.fromkeys(NEGATIONS, "N") | dict.fromkeys(REPORTS, "R") | dict.fromkeys('"“”«»', "Q") | dict.fromkeys(INTENT, "P") | dict.fromkeys(NARRATED, "D") | dict.fromkeys(THREATS, "T")
         self.lengths = sorted({len(b) for b in beginnings}, reverse=True)
         self.finder = ahocorasick.Automaton()
         tops = {b for b in beginnings if b[:-1] not in beginnings}
-        for w in {*words, *tops, *THREATS}:
+        for w in {*words, *tops, *THREATS, *NARRATED}:
             if w in tops or not any(w[:k] in tops for k in range(1, len(w))):
                 self.finder.add_word(w, w)
         self.finder.make_automaton()
@@ -145,7 +168,7 @@ class Grammar:
         if weight is not None and weight >= MEANT:
             return "I", weight
         kind = self.kind.get(word, "o")
-        return kind, 1.0 if kind == "T" else 0.0
+        return kind, 1.0 if kind in "TD" else 0.0
 
     def features(self, text: str | None) -> list[float]:
         """Weights of the clauses' patterns, damped by a logarithm. Only clauses with a lexicon entry are parsed."""
@@ -269,9 +292,11 @@ def weigh(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> tuple
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> list[float]:
     """Logistic regression by Newton steps with a small ridge; the intercept comes first."""
     x = np.c_[np.ones(len(x)), x]
-    # two prior rows per class keep the fit finite on tiny or one-sided samples
-    x = np.r_[x, [[1.0] + [0.0] * 7] * 2, [[1.0, 2.0, 2.0, 0.0, 0.0, 0.0, 2.0, 1.0]] * 2]
-    y = np.r_[y, 0, 0, 1, 1]
+    # two prior rows per class keep the fit finite on tiny or one-sided samples; two more say that one aimed threat alone is
+    # toxic, as labels without threats give that pattern no weight
+    aimed = [1.0, 0.0, 0.0, 0.0, 0.0, 0.0, math.log(2), 0.0]
+    x = np.r_[x, [[1.0] + [0.0] * 7] * 2, [[1.0, 2.0, 2.0, 0.0, 0.0, 0.0, 2.0, 1.0]] * 2, [aimed] * 2]
+    y = np.r_[y, 0, 0, 1, 1, 1, 1]
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -67,6 +67,19 @@ def test_grammar_patterns():
     assert outcome("idiot " * 50_000)["variety"] < 1
 
 
+def test_aimed_threats_count_without_insults():
+    import numpy as np
+
+    for text in ("i will kill you", "you will get killed", "we're killing them all", "ich töte dich", "vous serez tués"):
+        assert outcome(text)["aimed_threat"] > 0
+    rng = np.random.default_rng(4)
+    toxic = np.c_[rng.uniform(1, 4, (300, 2)), np.zeros((300, 4)), np.ones(300)]
+    x = np.r_[toxic, np.zeros((3000, 7))]
+    g = toxicity.Grammar({"idiot": 2.0}, {}, toxicity._fit(x, np.r_[np.ones(300), np.zeros(3000)]))
+    assert g.score("I will kill you") >= 0.5 > g.score("a plain text")
+    assert not any(outcome("he was killed in the war and she shot the film").values())
+
+
 def test_long_clauses_are_parsed_whole():
     fill = "word " * 1500
     said = outcome("she said " + fill + "idiot")
