@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -28,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
         jdir = sc._jsc.sc().getCheckpointDir()
         found = jdir.get() if jdir.isDefined() else None
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="stratafold-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
@@ -53,6 +57,27 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release() -> None:
+    """Give memory that Arrow and the C library hold on to back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, after whose end its worker, which Spark reuses, keeps no memory of the task."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return inner
+
+
 def group_rows(total: int, least: int = 500, groups: int = 50_000) -> int:
     """Rows per group when rows are numbered in groups: so many that about `groups` groups come out at most, whose sizes
     the driver can hold, and no fewer than `least`."""
@@ -111,7 +136,7 @@ def by_units(df: DataFrame, keys: list[str], work: Callable[[pa.Table], Iterator
         if n:
             yield from work(pa.Table.from_batches(held))
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(run), schema)
 
 
 def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

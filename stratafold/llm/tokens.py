@@ -1,10 +1,10 @@
 """Token counts (op 9) and packing into fixed-length sequences (op 10).
 
-Both use one observation about the byte-level pre-tokeniser: a space that a non-blank character follows always starts a new
-pre-token, whatever stands before it. So a text falls apart at its spaces into chunks whose pieces never depend on the
+Token counts use one observation about the byte-level pre-tokeniser: a space that a non-blank character follows always starts
+a new pre-token, whatever stands before it. So a text falls apart at its spaces into chunks whose pieces never depend on the
 neighbours, and each distinct chunk has to be cut into pieces only once. Where a space has blanks on both sides (they would
 be one pre-token), or the text holds the string of a special token, the text goes to the tokeniser whole; both ways give the
-tokeniser's own result.
+tokeniser's own result. Packing needs the ids themselves and cuts whole texts.
 """
 
 from __future__ import annotations
@@ -23,14 +23,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from stratafold.llm.common import group_rows, materialise
+from stratafold.llm.common import group_rows, materialise, tidy
 
-#: Chunks kept per worker, in two halves: when the younger is full it takes the place of the older, from which chunks that
-#: are met again come back. It bounds memory and changes no result.
-MAX_CACHED = 300_000
+#: Bytes of chunks that a task keeps with their counts, at most; beyond it starts anew. It bounds memory and changes no result.
+MAX_CACHED = 24_000_000
 _UNSAFE = re.compile(r"\s \s")
-#: Chunks of these characters only are cut by a second, faster library with the same vocabulary and merges.
+#: Texts of these characters only, without very long runs of blanks, are cut by a second, faster library with the same
+#: vocabulary and merges.
 _COMMON = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
+_BLANKS = re.compile(r"\s{10000}")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -58,10 +59,10 @@ def _same_vocabulary(tok, special: set[str]) -> Callable[[str], list[int]] | Non
     return tiktoken.Encoding("chunks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-class Chunks:
-    """The pieces of each distinct chunk, worked out once per worker: `value` maps a chunk's ids to what is kept."""
+class Tokens:
+    """The tokeniser of a file, without special tokens, truncation or padding."""
 
-    def __init__(self, path: str, value: Callable[[list[int]], object]):
+    def __init__(self, path: str):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -70,38 +71,41 @@ class Chunks:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.value = value
-        self.first: dict[str, object] = {}
-        self.later: dict[str, object] = {}
-        self.older: tuple[dict[str, object], dict[str, object]] = ({}, {})
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.quick = _same_vocabulary(self.tok, set(special))
 
-    def whole(self, text: str) -> object:
-        return self.value(self.tok.encode(text, add_special_tokens=False).ids)
+    def ids(self, text: str) -> list[int]:
+        if self.quick and _COMMON.fullmatch(text) and not (len(text) >= 10000 and _BLANKS.search(text)) and not (self.special and self.special.search(text)):
+            return self.quick(text)
+        return self.tok.encode(text, add_special_tokens=False).ids
 
-    def safe(self, text: str) -> bool:
+    def falls_apart(self, text: str) -> bool:
+        """True if the pieces of the text are those of the chunks between its spaces."""
         return not _UNSAFE.search(text) and not (self.special and self.special.search(text))
 
-    def learn(self, texts: list[list[str]]) -> None:
-        """Cut the chunks that are new in these texts (lists of chunks) into pieces."""
-        if len(self.first) + len(self.later) > MAX_CACHED // 2:
-            self.older = self.first, self.later
-            self.first, self.later = {}, {}
-        heads = {c[0] for c in texts} - self.first.keys()
-        tails = set().union(*[c[1:] for c in texts]) - self.later.keys() if texts else set()
-        for keep, old, found, lead in ((self.first, self.older[0], heads, ""), (self.later, self.older[1], tails, " ")):
-            again = found & old.keys()
-            keep.update((c, old[c]) for c in again)
-            new = list(found - again)
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                if self.quick:
-                    keep.update((c, self.value(self.quick(lead + c))) for c in part if _COMMON.fullmatch(c))
-                    part = [c for c in part if c not in keep]
-                done = self.tok.encode_batch_fast([lead + c for c in part], add_special_tokens=False)
-                keep.update(zip(part, [self.value(e.ids) for e in done]))
+
+@lru_cache(maxsize=2)
+def _tokens(path: str) -> Tokens:
+    """Loaded once per worker; about 50 MB, which no text adds to."""
+    return Tokens(path)
+
+
+class Counts(dict):
+    """Number of pieces of each distinct chunk, worked out when it is first met. `lead` stands before every chunk."""
+
+    def __init__(self, tokens: Tokens, lead: str):
+        super().__init__()
+        self.tokens, self.lead, self.held = tokens, lead, 0
+
+    def __missing__(self, chunk: str) -> int:
+        n = len(self.tokens.ids(self.lead + chunk))
+        self.held += 100 + len(chunk)
+        if self.held > MAX_CACHED:
+            self.clear()
+            self.held = 0
+        self[chunk] = n
+        return n
 
 
 def _as_bytes(ids: list[int]) -> bytes:
@@ -111,95 +115,83 @@ def _as_bytes(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-@lru_cache(maxsize=4)
-def _chunks(path: str, kind: str) -> Chunks:
-    return Chunks(path, len if kind == "count" else _as_bytes)
-
-
-def _texts(batch: pa.RecordBatch, name: str) -> Iterator[list[str]]:
-    """The texts of a batch, a few MB at a time; null is empty."""
-    col = batch.column(name)
-    part: list[str] = []
-    size = 0
-    for i in range(len(col)):
-        text = col[i].as_py() or ""
-        part.append(text)
-        size += len(text)
-        if size > 4_000_000:
-            yield part
-            part, size = [], 0
-    yield part
-
-
 def token_counts(docs: DataFrame, text: str = "text", id_col: str = "doc_id", path: str | None = None, limit: int = 512) -> DataFrame:
     """One row per document: id, n_bytes (UTF-8), n_tokens, over_limit.
 
-    The distinct chunks of the documents at hand are counted once, joined to each document's chunk frequencies and summed;
-    ids of a document are never laid out. The join is local to a worker, which keeps the chunks it has met, so nothing is
-    shuffled. Null texts count as empty: 0 bytes, 0 tokens. Repeated rows give repeated rows; other columns are not read."""
+    The distinct chunks of a task's documents are counted once, joined to each document's chunk frequencies and summed; ids
+    of a document are never laid out. The join is local to a task, which keeps the chunks it has met (MAX_CACHED bytes), so
+    nothing is shuffled. Null and empty texts count as empty: 0 bytes, 0 tokens; a text of any length is read whole. Repeated
+    rows and null ids give rows of their own; other columns are not read, whatever their names; an empty table gives an
+    empty table."""
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _chunks(path, "count")
+        tokens = _tokens(path)
+        first, later = Counts(tokens, ""), Counts(tokens, " ")
         for batch in batches:
             n_bytes, n_tokens = [], []
-            for texts in _texts(batch, "_text"):
-                split = [t.split(" ") if cache.safe(t) else None for t in texts]
-                freq = [None if s is None else Counter(s[1:]) for s in split]
-                cache.learn([[s[0], *f] for s, f in zip(split, freq) if s is not None])
-                first, later = cache.first, cache.later
-                for t, s, f in zip(texts, split, freq):
-                    n_bytes.append(len(t.encode("utf-8", "surrogatepass")))
-                    n_tokens.append(cache.whole(t) if s is None else first[s[0]] + sum(later[c] * k for c, k in f.items()))
-            tokens = pa.array(n_tokens, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n_bytes, pa.int64()), tokens, pa.array([k > limit for k in n_tokens], pa.bool_())], ["_id", "n_bytes", "n_tokens", "over_limit"])
+            col = batch.column("_text")
+            for i in range(len(col)):
+                t = col[i].as_py() or ""
+                n_bytes.append(len(t.encode()))
+                if tokens.falls_apart(t):
+                    head, *tail = t.split(" ")
+                    freq = Counter(tail)
+                    n_tokens.append(first[head] + sum(map(int.__mul__, map(later.__getitem__, freq), freq.values())))
+                else:
+                    n_tokens.append(len(tokens.ids(t)))
+            counts = pa.array(n_tokens, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n_bytes, pa.int64()), counts, pa.array([k > limit for k in n_tokens], pa.bool_())], ["_id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    return slim.mapInArrow(run, f"_id {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("_id", id_col)
+    return slim.mapInArrow(tidy(run), f"_id {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("_id", id_col)
 
 
 def token_pieces(docs: DataFrame, max_len: int = 2048, text: str = "text", id_col: str = "doc_id", path: str | None = None, end_id: int = 1, with_ids: bool = True) -> DataFrame:
     """Documents as token pieces of at most max_len ids: all pieces but the last are full. A document's ids are those of
-    its text (null: empty) and end_id. Columns: id, start, length, ids_crc32, doc_tokens, and ids when with_ids."""
+    its text (null: empty) and end_id. Columns: id, start, length, ids_crc32, doc_tokens, and ids when with_ids.
+
+    Every row is a document: repeated rows and null ids give pieces of their own. Long texts are cut into as many pieces as
+    they need. Other columns are not read, whatever their names; an empty table gives an empty table."""
     path = path or tokenizer_path()
     kind = docs.schema[id_col].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _chunks(path, "ids")
+        tokens = _tokens(path)
+        names = ["_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
         for batch in batches:
-            at = 0
-            for texts in _texts(batch, "_text"):
-                split = [t.split(" ") if cache.safe(t) else None for t in texts]
-                cache.learn([s for s in split if s is not None])
-                first, get = cache.first, cache.later.__getitem__
-                rows: list[int] = []
-                starts, lengths, crcs, totals, parts = [], [], [], [], []
-                for k, (t, s) in enumerate(zip(texts, split)):
-                    ids = (cache.whole(t) if s is None else first[s[0]] + b"".join(map(get, s[1:]))) + end
-                    total = len(ids) // 4
-                    for start in range(0, total, max_len):
-                        part = ids[4 * start : 4 * (start + max_len)]
-                        rows.append(at + k)
-                        starts.append(start)
-                        lengths.append(len(part) // 4)
-                        crcs.append(zlib.crc32(part))
-                        totals.append(total)
-                        if with_ids:
-                            parts.append(part)
-                at += len(texts)
-                out = [batch.column("_id").take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals))]
-                names = ["_id", "start", "length", "ids_crc32", "doc_tokens"]
+            col = batch.column("_text")
+            rows: list[tuple] = []
+            parts: list[bytes] = []
+            held = 0
+
+            def flush() -> pa.RecordBatch:
+                out = [batch.column("_id").take(pa.array([r[0] for r in rows], pa.int64())), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(1, 5))]
                 if with_ids:
-                    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                    offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
                     out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), "<i4"))))
-                    names.append("ids")
-                if rows:
-                    yield pa.RecordBatch.from_arrays(out, names)
+                return pa.RecordBatch.from_arrays(out, names)
+
+            for i in range(len(col)):
+                t = col[i].as_py()
+                ids = tokens.ids(t) if t else []
+                ids.append(end_id)
+                total = len(ids)
+                for start in range(0, total, max_len):
+                    part = _as_bytes(ids[start : start + max_len] if total > max_len else ids)
+                    rows.append((i, start, len(part) // 4, zlib.crc32(part), total))
+                    if with_ids:
+                        parts.append(part)
+                    held += len(part)
+                if held > 8_000_000:
+                    yield flush()
+                    rows, parts, held = [], [], 0
+            if rows:
+                yield flush()
 
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    made = slim.mapInArrow(run, f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
+    made = slim.mapInArrow(tidy(run), f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
     return made.withColumnRenamed("_id", id_col)
 
 
