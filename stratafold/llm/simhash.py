@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratafold.llm.common import by_units, connected_components, local_forest, materialise, split_hot
+from stratafold.llm.common import by_units, connected_components, local_forest, materialise, split_hot, tidy
 
 #: Bit blocks (first bit, bits) that cut a fingerprint in five. Fingerprints that differ in at most 3 bits agree on at least
 #: two blocks, so the ten pairs of blocks lose no link, and a key has 25 or 26 bits.
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
 
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    return slim.mapInArrow(run, f"_id {kind}, fp long").withColumnRenamed("_id", id_col)
+    return slim.mapInArrow(tidy(run), f"_id {kind}, fp long").withColumnRenamed("_id", id_col)
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -125,13 +125,36 @@ def _links(whole: pa.Table) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
 
 
+def _masks() -> list[list[int]]:
+    """For each pair of blocks, four masks that share out the bits outside it (as signed longs)."""
+    out = []
+    for i in range(5):
+        for j in range(i):
+            own = {b for k in (i, j) for b in range(BLOCKS[k][0], BLOCKS[k][0] + BLOCKS[k][1])}
+            rest = [b for b in range(64) if b not in own]
+            out.append([int(np.array(sum(1 << b for b in rest[k::4]), np.uint64).view(np.int64)) for k in range(4)])
+    return out
+
+
+def _rekey(met: DataFrame, cap: int) -> DataFrame:
+    """Keys with over `cap` fingerprints are taken further: the bits outside a key's blocks fall in four parts, and
+    fingerprints that differ in at most three bits agree on one of them. Their rows move to keys made of the old key and a
+    part, four for each; that loses no link either. Keys are hashed; keys that fall together are compared as one."""
+    hot = materialise(met.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > cap).select("key"), "hot-keys")
+    rest = met.join(hot, "key", "left_anti")
+    parts = F.array(*[F.array(*[F.lit(m).cast("long") for m in masks]) for masks in _masks()])
+    mine = F.element_at(parts, F.shiftright("key", 32).cast("int") + 1)
+    finer = F.transform(mine, lambda m, k: F.xxhash64("key", k, F.col("fp").bitwiseAND(m)))
+    return rest.unionByName(met.join(hot, "key", "left_semi").select("fp", "rep", F.explode(finer).alias("key")))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", cap: int = 2048) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id (smallest id reachable over links of at most
     three differing bits).
 
     Equal fingerprints are folded to their smallest id first, so copies never meet as pairs. The distinct fingerprints meet
-    under ten keys of two bit blocks each, which loses no link; keys with over `cap` fingerprints are cut into chunks that
-    meet pairwise on different tasks. A task returns a spanning forest of its links, not the links. Null and wordless texts
+    under ten keys of two bit blocks each, which loses no link; keys with over `cap` fingerprints are replaced by finer ones,
+    and what is still over `cap` then is cut into chunks that meet pairwise on different tasks. A task returns a spanning forest of its links, not the links. Null and wordless texts
     have fingerprint zero and link like any other. A null id stays a component of its own (null). Repeated rows give
     repeated rows; other columns are not read; an empty table gives an empty table."""
     made = materialise(fingerprints(docs, text, id_col).withColumnRenamed(id_col, "id"), "fingerprints")
@@ -140,7 +163,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     cut = lambda k: F.shiftrightunsigned("fp", BLOCKS[k][0]).bitwiseAND(F.lit((1 << BLOCKS[k][1]) - 1))
     pairs = [(i, j) for i in range(5) for j in range(i)]
     keys = F.array(*[F.lit(n << 32).cast("long") + F.shiftleft(cut(i), 13) + cut(j) for n, (i, j) in enumerate(pairs)])
-    met = split_hot(folded.select("fp", "rep", F.explode(keys).alias("key")), ["key"], "rep", cap)
+    met = split_hot(_rekey(folded.select("fp", "rep", F.explode(keys).alias("key")), cap), ["key"], "rep", cap)
     links = by_units(met.select("key", "unit_i", "unit_j", "fp", "rep"), ["key", "unit_i", "unit_j"], _links, "a long, b long")
     roots = connected_components(links, "simhash")
     by_fp = folded.join(roots, folded["rep"] == roots["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
