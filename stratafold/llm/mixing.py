@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratafold.llm.common import count_words, group_rows, materialise
+from stratafold.llm.common import WS, count_words, group_rows, materialise, tidy
 
 WEIGHTS = (5.0, 2.0, 1.0)
-#: Words per block, slots per shard, most distinct sources (they are weighed on the driver).
-BLOCK, SLOTS, MAX_SOURCES = 256, 16384, 200_000
+#: Words per block, slots per shard, and sources up to which their facts are broadcast (about 100 bytes each).
+BLOCK, SLOTS, FEW_SOURCES = 256, 16384, 20_000
 
 
 def targets(sizes: dict[str | None, int], total_share: float = 1.5, weights: tuple[float, ...] = WEIGHTS, most: float = 2.0) -> dict[str | None, float]:
@@ -111,14 +111,16 @@ def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str
     its size, so a source with a third of all rows has no task of its own. Multinomial draws are made shard by shard, each
     from its own seed, in parallel; slots by which a source passes its share are dealt to the sources that fell short, so
     that each source ends on its target to the word. Reruns agree: all draws hang on the seed, the ids and the sizes.
-    Repeated rows count as documents of their own. An empty table, or one without words, gives an empty mix."""
+    Repeated rows and null ids count as documents of their own; other columns are not read, whatever their names. An empty
+    table, or one without words, gives an empty mix.
+
+    One row per source reaches the driver, which weighs the sources (about 300 bytes each, however many there are); up to
+    FEW_SOURCES of them are broadcast, more are joined by a shuffle."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), count_words(text).alias("size"), F.xxhash64(id_col, text).alias("h"))
     base = materialise(base, "sizes")
     known = base.groupBy("source").agg(F.sum("size").cast("long").alias("size"), F.count(F.lit(1)).alias("rows"))
-    rows = known.limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"over {MAX_SOURCES} distinct sources; group them first")
+    rows = known.collect()
     sizes = {r["source"]: r["size"] for r in rows}
     goal = targets(sizes, **shares)
     order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
@@ -130,7 +132,8 @@ def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str
     plan = [whole_slots(sizes[s], round(goal[s]), block, keys[i]) for i, s in enumerate(order)]
     facts = spark.createDataFrame([(s, number[s], groups[s], sizes[s], float(goal[s])) for s in order] or [(None, -1, 1, 0, 0.0)], "source string, source_no int, groups long, source_size long, target double")
     # number of words before each document in its source: within its group, plus all groups before
-    numbered = base.join(F.broadcast(facts), base["source"].eqNullSafe(facts["source"])).select("id", "size", "h", "source_no", "source_size", "target", F.pmod(F.hash("h", F.lit(seed)), F.col("groups")).alias("g"))
+    facts = F.broadcast(facts) if len(order) <= FEW_SOURCES else facts
+    numbered = base.join(facts, base["source"].eqNullSafe(facts["source"])).select("id", "size", "h", "source_no", "source_size", "target", F.pmod(F.hash("h", F.lit(seed)), F.col("groups")).alias("g"))
     inside = Window.partitionBy("source_no", "g").orderBy("h", "id", "row_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = numbered.withColumn("row_id", F.monotonically_increasing_id())
     members = materialise(numbered.withColumn("before", F.sum("size").over(inside) - F.col("size")), "members")
@@ -162,7 +165,8 @@ def deal(spark, plan: list[tuple[int, int]], n_blocks: list[int], keys: list[int
         for batch in batches:
             for shard in batch.column("id").to_pylist():
                 c = np.random.default_rng([seed, shard]).multinomial(length(shard), share)
-                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(c), pa.int64()), pa.array(range(len(c)), pa.int32()), pa.array(c, pa.int64()), pa.array(np.cumsum(c) - c, pa.int64())], ["shard", "source_no", "n", "offset"])
+                at = np.flatnonzero(c)
+                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(c[at], pa.int64()), pa.array((np.cumsum(c) - c)[at], pa.int64())], ["shard", "source_no", "n", "offset"])
 
     ids = spark.range(0, shards, 1, max(1, min(shards, 4 * spark.sparkContext.defaultParallelism)))
     drawn = materialise(ids.mapInArrow(draw, "shard long, source_no int, n long, offset long"), "shard-counts")
@@ -173,7 +177,14 @@ def deal(spark, plan: list[tuple[int, int]], n_blocks: list[int], keys: list[int
     extra = np.concatenate([[0], np.cumsum(np.maximum(got - need, 0))])
     lack = np.maximum(need - got, 0)
     lack_end = np.cumsum(lack)
-    before = drawn.withColumn("before", F.sum("n").over(Window.partitionBy("source_no").orderBy("shard")) - F.col("n")).where("n > 0")
+    # number of a source's slots before each shard: within its run of shards, plus all runs before
+    runs = drawn.withColumn("run", F.expr("shard div 1024"))
+    of_run = runs.groupBy("source_no", "run").agg(F.sum("n").alias("m"))
+    of_run = of_run.withColumn("base", F.sum("m").over(Window.partitionBy("source_no").orderBy("run")) - F.col("m")).drop("m")
+    inside = F.sum("n").over(Window.partitionBy("source_no", "run").orderBy("shard")) - F.col("n")
+    before = runs.withColumn("inside", inside).join(of_run, ["source_no", "run"]).select("shard", "source_no", "n", "offset", (F.col("inside") + F.col("base")).alias("before"))
+    # slots are laid out shard by shard, whatever source they go to
+    before = before.repartition(max(1, min(shards, 4 * spark.sparkContext.defaultParallelism)), "shard")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,7 +210,7 @@ def deal(spark, plan: list[tuple[int, int]], n_blocks: list[int], keys: list[int
                 slot = permute(offset + np.arange(n), length(shard), seed * 7919 + shard)
                 yield pa.RecordBatch.from_arrays([pa.array([shard] * n, pa.int64()), pa.array(slot, pa.int32()), pa.array(who, pa.int32()), pa.array(pass_no, pa.int32()), pa.array(block), pa.array(words)], ["shard", "slot", "source_no", "pass_no", "block", "words"])
 
-    return before.mapInArrow(fill, kind)
+    return before.mapInArrow(tidy(fill), kind)
 
 
 def mix_summary(members: DataFrame, takes: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -208,9 +219,12 @@ def mix_summary(members: DataFrame, takes: DataFrame, id_col: str = "doc_id") ->
     return members.join(taken, "row_id", "left").select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_text(text: str = "text", takes: str = "takes"):
+def mixed_text(text: str = "text", takes: str = "takes", size: str = "size"):
     """Text of a document's takes, an array of (pass_no, first, words) in order: a pass that takes all words gives the text
-    itself, any other the words it takes; passes follow each other on new lines."""
-    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    one = lambda t: F.array_join(F.slice(words, t["first"].cast("int") + 1, t["words"].cast("int")), " ")
-    return F.array_join(F.transform(F.col(takes), lambda t: F.when((t["first"] == 0) & (t["words"] == F.col("size")), F.col(text)).otherwise(one(t))), "\n")
+    itself, any other the words it takes; passes follow each other on new lines. The text is split once, and only if a
+    pass takes a part of it."""
+    whole = lambda t: (t["first"] == 0) & (t["words"] == F.col(size))
+    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), WS), lambda w: w != "")
+    one = lambda t, w: F.when(whole(t), F.col(text)).otherwise(F.array_join(F.slice(w, t["first"].cast("int") + 1, t["words"].cast("int")), " "))
+    cut = F.element_at(F.transform(F.array(words), lambda w: F.array_join(F.transform(F.col(takes), lambda t: one(t, w)), "\n")), 1)
+    return F.when(F.forall(F.col(takes), whole), F.array_join(F.transform(F.col(takes), lambda t: F.col(text)), "\n")).otherwise(cut)
