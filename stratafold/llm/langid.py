@@ -12,13 +12,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratafold.llm.common import materialise
+from stratafold.llm.common import materialise, tidy
 
 BITS = 16
 BUCKETS = 1 << BITS
 ORDERS = (1, 2, 3)
-#: Labelled documents used for fitting at most; a fifth of them sets the temperature.
-MAX_TRAIN = 4000
+#: Labelled documents used for fitting at most, or MIN_EACH for each language where that is more; a fifth of them sets the
+#: temperature.
+MAX_TRAIN, MIN_EACH = 4000, 8
 #: FTRL-proximal: learning rate and smoothing of the per-coordinate steps, L1 and L2 penalties, passes.
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.002, 0.01, 3
 _SLICE = 1 << 20
@@ -151,27 +152,33 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], n_langs: int, seed: in
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", most: int = MAX_TRAIN) -> Model:
     """Learn from documents with a language whose id's CRC-32 leaves a remainder of 0 or 2 by three. Document frequencies
-    are counted over all of them; the weights come from at most `most` of them, drawn evenly over the languages by hash."""
-    usable = docs.where(F.col(lang).isNotNull() & F.coalesce(~held_out(id_col), F.lit(True))).select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    are counted over all of them; the weights come from at most `most` of them (MIN_EACH for each language where that is
+    more), drawn evenly over the languages by hash. Every language is learned; one takes about 2 MB of the driver in training
+    and a quarter of a MB in the model. Null texts are left out and copies of a row count once in the sample; other columns
+    are not read, whatever their names. Without usable documents the model knows no language."""
+    usable = docs.where(F.col(lang).isNotNull() & F.coalesce(~held_out(id_col), F.lit(True))).select(F.xxhash64(F.col(id_col), F.col(text), F.lit(17)).alias("h"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     usable = usable.where("text is not null")
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1000).collect()}
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     counts = np.ones(BUCKETS)
     n_docs = 0
-    for r in usable.select("text").mapInArrow(_document_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in usable.select("text").mapInArrow(tidy(_document_counts), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         if r["bucket"] < 0:
             n_docs = r["n"]
         else:
             counts[r["bucket"]] += r["n"]
     idf = np.log((n_docs + 1) / counts) + 1.0
+    most = max(most, MIN_EACH * len(langs))
     quota = most / len(langs)
-    share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, quota / sizes[k]))])
-    drawn = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
-    sample = materialise(usable.where(drawn).orderBy(F.xxhash64("id", F.lit(17)), "id").limit(most + most // 4), "language-sample")
+    shares = docs.sparkSession.createDataFrame([(k, min(1.0, quota / n)) for k, n in sizes.items()], "lang string, share double")
+    drawn = usable.join(shares, "lang").where(F.pmod(F.col("h"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    # hashes are chosen before texts move; a copied row counts once
+    chosen = materialise(drawn.select("h").distinct().orderBy("h").limit(most + most // 4), "language-sample")
+    sample = usable.join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h", "lang"]).select("lang", "text")
     rows = []
-    for r in sample.mapInArrow(_sparse, "lang string, at binary, tf binary").collect():
+    for r in sample.mapInArrow(tidy(_sparse), "lang string, at binary, tf binary").collect():
         at = np.frombuffer(r["at"], np.uint16).astype(np.int64)
         rows.append((langs.index(r["lang"]), at, np.frombuffer(r["tf"], np.float32) * idf[at] * 10.0))
     rows.sort(key=lambda r: (r[1].tobytes(), r[0], r[2].tobytes()))
@@ -189,7 +196,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "
 
 def predict_language(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, held_out, lang_pred, score) for every document. `und` with score 0 if the text is null or has no letter, or if
-    nothing could be learned. Nothing but the text enters the prediction; whole texts are read."""
+    nothing could be learned. Nothing but the text enters the prediction; whole texts are read. Repeated rows and null ids give
+    rows of their own; other columns are not read, whatever their names; an empty table gives an empty table."""
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^16 weights per language
 
@@ -201,4 +209,4 @@ def predict_language(docs: DataFrame, model: Model, text: str = "text", id_col:
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["_id", "held_out", "lang_pred", "score"])
 
     slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text).alias("_text"))
-    return slim.mapInArrow(run, f"_id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("_id", id_col)
+    return slim.mapInArrow(tidy(run), f"_id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("_id", id_col)
