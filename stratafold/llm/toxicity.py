@@ -1,7 +1,7 @@
 """Toxicity (op 6): a weighted finite-state pattern grammar over clauses.
 
-A lexical transducer reads words and writes classes; transducers for threats, negation, reported speech and targets are
-composed with it into one table, which is run over each clause that holds an insult or a threat. What counts is the pattern
+A lexical transducer reads words and writes classes; transducers for threats, insults, negation, reported speech and targets
+are composed with it into one table, which is run over each clause that holds an insult or a threat. What counts is the pattern
 that a clause ends up in (bare, aimed, negated or reported insult; threat with or without a target), not the word alone.
 Weights of words, word beginnings and patterns are learned from labels.
 """
@@ -13,16 +13,17 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratafold.llm.common import materialise
+from stratafold.llm.common import materialise, tidy
 
 #: Word beginnings that a task counts before it hands its counts on.
-HELD = 200_000
+HELD = 100_000
 #: Labelled rows used for fitting, at most, of either class.
 MAX_TOXIC, MAX_CLEAN = 3000, 6000
 #: Start of the insult lexicon; labels add words and word beginnings to it.
@@ -46,6 +47,8 @@ NARRATED = (
     "tues tué tués tuée tuées tuez frappes frappé frappés frappée frappez détruis détruit détruite détruits "
     "mata matas mato mató matado matando golpea golpeo golpeó golpeado golpeando destruye destruyo destruyó destruido destruyendo"
 ).split()
+#: Words that insult only a target that stands before them.
+WEAK = "pig pigs rat rats snake coward cowards liar liars parasite parasites schwein schweine ratte ratten feigling lügner schmarotzer porc porcs lâche menteur menteuse cerdo cerda rata ratas cobarde mentiroso mentirosa parásito".split()
 INTENT = "will i'll we'll he'll she'll they'll you'll gonna shall should must deserve deserves i'm we're am werde werden wirst wird sollst sollte solltest vais va allons serez seras sera mérites voy vamos vas deberías debería serás".split()
 TARGETS = "you your you're u ur yourself they them he she him her du dich dir ihr euch sie tu te toi vous ils elle tú ti usted ustedes ellos eres".split()
 NEGATIONS = "not no never isn't aren't wasn't don't nobody nicht kein keine nie niemals pas jamais aucun ne nunca ningún tampoco".split()
@@ -58,10 +61,11 @@ ROUNDS = 4
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
 _ENDS = ".!?;:\n"
 _END = re.compile(f"[{_ENDS}]")
+#: Letters of the word beginnings that are features beside the whole words.
 SHORTEST, LONGEST = 3, 12
-#: Least log-odds of a learned stem, stems per round at most, documents that a shorter stem weighs in a longer one's rate,
-#: and least log-odds of a word that is an insult.
-ENRICHED, MAX_STEMS, SHRINK, MEANT = 1.8, 500, 4.0, 0.7
+#: Least log-odds of a learned stem, documents that a shorter stem weighs in a longer one's rate, and least log-odds of a
+#: word that is an insult.
+ENRICHED, SHRINK, MEANT = 1.8, 4.0, 0.7
 
 Arcs = dict[tuple[object, str], tuple[object, str]]
 
@@ -96,9 +100,9 @@ def compose(first: Transducer, second: Transducer, symbols: str) -> Transducer:
 
 
 # Symbols: I insult, T threat, U target, N negation, R report, Q quotation mark, o other; read besides: P intent, D narrated
-# violence; written besides: n negated insult, m negated threat, r reported insult or threat, A aimed insult, H aimed threat.
+# violence, W weak insult; written besides: n negated insult, m negated threat, r reported insult or threat, A aimed insult, H aimed threat.
 _SYMBOLS = "ITUNRQo"
-_READ = _SYMBOLS + "PD"
+_READ = _SYMBOLS + "PDW"
 
 
 def threatening(reach: int = 3) -> Transducer:
@@ -110,6 +114,16 @@ def threatening(reach: int = 3) -> Transducer:
     return Transducer(0, arcs)
 
 
+def insulting(reach: int = 4) -> Transducer:
+    """A weak insult at most `reach` words after a target is an insult; elsewhere it is nothing."""
+    arcs: Arcs = {}
+    for k in range(reach + 1):
+        for s in _SYMBOLS + "W":
+            after = reach if s == "U" else max(0, k - 1)
+            arcs[k, s] = after, ("I" if k else "o") if s == "W" else s
+    return Transducer(0, arcs)
+
+
 def negation(reach: int = 3) -> Transducer:
     """An insult or threat at most `reach` words after a negation is negated."""
     arcs: Arcs = {}
@@ -140,7 +154,7 @@ def targeted(reach: int = 6) -> Transducer:
     return Transducer(0, arcs)
 
 
-GRAMMAR = compose(compose(compose(threatening(), negation(), _READ), reported(), _READ), targeted(), _READ)
+GRAMMAR = compose(compose(compose(compose(threatening(), insulting(), _READ), negation(), _READ), reported(), _READ), targeted(), _READ)
 _OUTCOME = {"I": 0, "A": 1, "n": 2, "r": 3, "T": 4, "H": 5}
 
 
@@ -151,11 +165,11 @@ class Grammar:
         import ahocorasick
 
         self.words, self.beginnings, self.weights = words, beginnings, weights
-        self.kind = dict.fromkeys(TARGETS, "U") | dict.fromkeys(NEGATIONS, "N") | dict.fromkeys(REPORTS, "R") | dict.fromkeys('"“”«»', "Q") | dict.fromkeys(INTENT, "P") | dict.fromkeys(NARRATED, "D") | dict.fromkeys(THREATS, "T")
+        self.kind = dict.fromkeys(TARGETS, "U") | dict.fromkeys(NEGATIONS, "N") | dict.fromkeys(REPORTS, "R") | dict.fromkeys('"“”«»', "Q") | dict.fromkeys(INTENT, "P") | dict.fromkeys(NARRATED, "D") | dict.fromkeys(WEAK, "W") | dict.fromkeys(THREATS, "T")
         self.lengths = sorted({len(b) for b in beginnings}, reverse=True)
         self.finder = ahocorasick.Automaton()
         tops = {b for b in beginnings if b[:-1] not in beginnings}
-        for w in {*words, *tops, *THREATS, *NARRATED}:
+        for w in {*words, *tops, *THREATS, *NARRATED, *WEAK}:
             if w in tops or not any(w[:k] in tops for k in range(1, len(w))):
                 self.finder.add_word(w, w)
         self.finder.make_automaton()
@@ -168,7 +182,7 @@ class Grammar:
         if weight is not None and weight >= MEANT:
             return "I", weight
         kind = self.kind.get(word, "o")
-        return kind, 1.0 if kind in "TD" else 0.0
+        return kind, 1.0 if kind in "TDW" else 0.0
 
     def features(self, text: str | None) -> list[float]:
         """Weights of the clauses' patterns, damped by a logarithm. Only clauses with a lexicon entry are parsed."""
@@ -267,7 +281,7 @@ def stems(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int, tried: i
     least = math.log(max(tried, 1)) + math.log(20)
     clear = lambda t, n: t * math.log(t / (share * (t + n))) + (n * math.log(n / ((1 - share) * (t + n))) if n else 0) >= least
     found = {w for w, t, n in rows if w and odds(t, n) >= ENRICHED and clear(t, n)}
-    return [w for w in sorted(found) if not any(w[:k] in found for k in range(SHORTEST, len(w)))][:MAX_STEMS]
+    return [w for w in sorted(found) if not any(w[:k] in found for k in range(SHORTEST, len(w)))]
 
 
 def weigh(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> tuple[dict[str, float], dict[str, float]]:
@@ -295,7 +309,7 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> list[float]:
     # two prior rows per class keep the fit finite on tiny or one-sided samples; two more say that one aimed threat alone is
     # toxic, as labels without threats give that pattern no weight
     aimed = [1.0, 0.0, 0.0, 0.0, 0.0, 0.0, math.log(2), 0.0]
-    x = np.r_[x, [[1.0] + [0.0] * 7] * 2, [[1.0, 2.0, 2.0, 0.0, 0.0, 0.0, 2.0, 1.0]] * 2, [aimed] * 2]
+    x = np.r_[x, [[1.0] + [0.0] * 7] * 2, [[1.0, 2.0, 2.0, 0.0, 0.0, 0.0, 0.0, 1.0]] * 2, [aimed] * 2]
     y = np.r_[y, 0, 0, 1, 1, 1, 1]
     w = np.zeros(x.shape[1])
     for _ in range(50):
@@ -312,27 +326,33 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> list[float]:
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "toxic", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Grammar:
     """Learn from at most max_toxic and max_clean labelled documents whose id's CRC-32 is not a multiple of five. A document
     with several labels counts as toxic if one of them says so. Near copies in the sample count once, so that the words of
-    a copied document do not pass for signs. Without usable labels the start lexicon decides alone."""
+    a copied document do not pass for signs. Without usable labels (an empty table, null labels or ids) the start lexicon
+    decides alone. Rows that repeat in docs count once, null texts as empty; other columns are not read, whatever their
+    names. What reaches the driver are words of the sample, so it is bounded by the sample and not by docs."""
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label).alias("label"))
     pick = lambda value, most: usable.where(F.col("label") == value).orderBy(F.xxhash64(id_col), id_col).limit(most)
     chosen = materialise(pick(1, max_toxic).unionByName(pick(0, max_clean)), "labelled")
-    known = docs.select(id_col, F.col(text).alias("text")).join(F.broadcast(chosen), id_col).select("text", "label")
-    signed = known.mapInArrow(_signed, "text string, label int, s0 long, s1 long, s2 long")
+    known = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("text")).join(F.broadcast(chosen.withColumnRenamed(id_col, "_id")), "_id").select("text", "label")
+    signed = known.mapInArrow(tidy(_signed), "text string, label int, s0 long, s1 long, s2 long")
     sample = materialise(signed.dropDuplicates(["s0", "label"]).dropDuplicates(["s1", "label"]).dropDuplicates(["s2", "label"]), "sample")
     words = dict.fromkeys(INSULTS, 2.0)
     begins: dict[str, float] = {}
     for turn in range(ROUNDS):
-        met = sample.mapInArrow(_beginnings(words if turn else {}, begins), "w string, t long, n long").groupBy("w").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+        met = sample.mapInArrow(tidy(_beginnings(words if turn else {}, begins)), "w string, t long, n long").groupBy("w").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
         met = materialise(met.where("t + n >= 3 or w = ''"), "beginnings")
         n_toxic, n_clean = next(((r["t"], r["n"]) for r in met.where("w = ''").collect()), (0, 0))
         if n_toxic < 3:
             break
         least = math.exp(-ENRICHED) * (n_clean + 1) / (n_toxic + 1)
-        rows = met.where("t >= 3").where(F.col("n") <= F.lit(least) * (F.col("t") + 1)).orderBy(F.desc("t"), "w").limit(20000).collect()
+        # what comes back are words of a sample of at most max_toxic and max_clean documents
+        rows = met.where("t >= 3").where(F.col("n") <= F.lit(least) * (F.col("t") + 1)).collect()
         new = stems([tuple(r) for r in rows], n_toxic, n_clean, met.where("t >= 3").count())
         if not new:
             break
-        below = met.where(F.col("w").rlike("^(" + "|".join(re.escape(x) for x in new) + ")")).orderBy(F.desc(F.col("t") + F.col("n")), "w").limit(50000).collect()
+        by_length: dict[int, list[str]] = {}
+        for x in new:
+            by_length.setdefault(len(x), []).append(x)
+        below = met.where(reduce(lambda a, b: a | b, [F.substring("w", 1, n).isin(part) for n, part in by_length.items()])).collect()
         new_words, new_begins = weigh([tuple(r) for r in below], n_toxic, n_clean)
         words |= new_words
         begins |= new_begins
@@ -344,7 +364,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
             x = [g.features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label").cast(pa.int64())], ["x", "y"])
 
-    rows = sample.mapInArrow(run, "x array<double>, y long").collect()
+    rows = sample.mapInArrow(tidy(run), "x array<double>, y long").collect()
     x = np.array([r["x"] for r in rows], float).reshape(-1, len(PATTERNS) + 1)
     grammar.weights = _fit(x, np.array([r["y"] for r in rows], float))
     return grammar
@@ -352,7 +372,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
 
 def score_toxicity(docs: DataFrame, grammar: Grammar, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, held_out, score, predicted) for every document; predicted is 1 if score >= 0.5. Null and empty texts get the
-    score of a text without patterns. Nothing but the text enters the score."""
+    score of a text without patterns. Nothing but the text enters the score; whole texts are read. Repeated rows and null ids
+    give rows of their own; other columns are not read, whatever their names; an empty table gives an empty table."""
     parts = grammar.words, grammar.beginnings, grammar.weights
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -364,11 +385,11 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, text: str = "text", id_col
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], ["_id", "held_out", "score", "predicted"])
 
     slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.col(text).alias("_text"))
-    return slim.mapInArrow(run, f"_id {kind}, held_out boolean, score double, predicted int").withColumnRenamed("_id", id_col)
+    return slim.mapInArrow(tidy(run), f"_id {kind}, held_out boolean, score double, predicted int").withColumnRenamed("_id", id_col)
 
 
 def keep_clean(docs: DataFrame, grammar: Grammar, text: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of docs whose text scores below `least`."""
+    """The rows of docs whose text scores below `least`, with all their columns; rows with equal texts share a fate."""
     parts = grammar.words, grammar.beginnings, grammar.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,4 +398,4 @@ def keep_clean(docs: DataFrame, grammar: Grammar, text: str = "text", least: flo
             col = batch.column(text)
             yield batch.filter(pa.array([g.score(col[i].as_py()) < least for i in range(len(col))], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
