@@ -52,6 +52,8 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 _SPAN = "array<struct<start:long,kind_no:int,end:long,kind:string>>"
+#: What the ledger keeps of a finding: its rule and version, not the place of that rule in a caller's list.
+_FOUND = "array<struct<start:long,end:long,rule:string>>"
 
 
 def blob_of(text: Column | str) -> Column:
@@ -61,10 +63,11 @@ def blob_of(text: Column | str) -> Column:
 
 
 def find_spans(blobs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
-    """(blob, spans) for blobs(blob, text, todo) with a finding; todo names the rule versions to apply.
+    """(blob, spans) for blobs(blob, text, todo), one row for each blob, with a finding; todo names the rule versions to apply.
 
     A match's place follows from the lengths of the matches and of the text between them, summed up in order, so a text
-    with very many matches costs time in proportion. Spans are code points, end exclusive, by start and then rule order."""
+    with very many matches costs time in proportion. Spans are (start, end, rule and version), in code points, end
+    exclusive."""
     t = F.col("text")
     none = F.array().cast("array<string>")
     found = blobs.select("blob", "text", *(F.when(F.array_contains("todo", r.key), F.regexp_extract_all(t, F.lit(r.pattern), F.lit(0))).otherwise(none).alias(f"m{n}") for n, r in enumerate(rules)))
@@ -72,18 +75,18 @@ def find_spans(blobs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataF
         *(
             F.when(
                 F.size(f"m{n}") > 0,
-                F.struct(F.lit(n).alias("kind_no"), F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"), F.arrays_zip(F.slice(F.split(t, r.pattern, -1), F.lit(1), F.size(f"m{n}")).alias("before"), F.col(f"m{n}").alias("hit"), F.regexp_extract_all(t, F.lit(r.pattern), F.lit(r.group)).alias("part")).alias("hits")),
+                F.struct(F.lit(n).alias("kind_no"), F.lit(r.key).alias("rule"), F.lit(r.least).alias("least"), F.arrays_zip(F.slice(F.split(t, r.pattern, -1), F.lit(1), F.size(f"m{n}")).alias("before"), F.col(f"m{n}").alias("hit"), F.regexp_extract_all(t, F.lit(r.pattern), F.lit(r.group)).alias("part")).alias("hits")),
             )
             for n, r in enumerate(rules)
         )
     )
     by_kind = found.where(" or ".join(f"size(m{n}) > 0" for n in range(len(rules)))).select("blob", F.explode(F.filter(some, lambda x: x.isNotNull())).alias("k"))
-    hits = by_kind.select("blob", "k.kind_no", "k.kind", "k.least", F.posexplode("k.hits").alias("no", "h"))
+    hits = by_kind.select("blob", "k.kind_no", "k.rule", "k.least", F.posexplode("k.hits").alias("no", "h"))
     so_far = Window.partitionBy("blob", "kind_no").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sized = hits.select("blob", "kind_no", "kind", "least", "no", F.length("h.before").alias("gap"), F.length("h.hit").alias("len"), F.length("h.part").alias("part"))
+    sized = hits.select("blob", "kind_no", "rule", "least", "no", F.length("h.before").alias("gap"), F.length("h.hit").alias("len"), F.length("h.part").alias("part"))
     placed = sized.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(so_far)).where("part >= least")
-    span = F.struct((F.col("end") - F.col("len")).alias("start"), "kind_no", "end", "kind")
-    return placed.groupBy("blob").agg(F.sort_array(F.collect_set(span)).cast(_SPAN).alias("spans"))
+    span = F.struct((F.col("end") - F.col("len")).alias("start"), "end", "rule")
+    return placed.groupBy("blob").agg(F.collect_list(span).cast(_FOUND).alias("spans"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -95,9 +98,13 @@ def scan_versions(versions: DataFrame, ledger: str, rules: tuple[SecretRule, ...
     """Bring the ledger at path `ledger` up to date with `versions` and return (blob, spans), one row for every blob of
     the ledger, with all findings of `rules`.
 
-    The ledger holds rows (blob, scanned, spans): the rule versions applied to a blob and what they found. Only pairs of a
-    blob and a rule version that it lacks are scanned, and each blob once, however many paths or versions share it. One
-    version stands in for its blob: the texts of the others stay where they are. Null texts are the empty blob."""
+    The ledger holds rows (blob, scanned, spans): the rule versions applied to a blob and what they found, each finding with
+    its rule version. Only pairs of a blob and a rule version that it lacks are scanned, and each blob once, however many
+    paths, versions or repeated rows share it. One version stands in for its blob: the texts of the others stay where they
+    are. Findings of rule versions that `rules` does not name stay in the ledger and do not count; spans are ordered by
+    start and then by the order of `rules`, so another order may be given each time. Null texts are the empty blob and null
+    ids do not matter; texts are scanned whole, whatever their length; other columns are not read; an empty table adds
+    nothing to the ledger."""
     spark = versions.sparkSession
     all_keys = F.array(*[F.lit(r.key) for r in rules])
     hashed = versions.select(F.col(id_col).alias("id"), blob_of(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -110,15 +117,17 @@ def scan_versions(versions: DataFrame, ledger: str, rules: tuple[SecretRule, ...
     todo = materialise(todo.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "blob", "todo"), "todo")
     # rows may share id and text: one of them is kept before the join, by the join's own keys
     single = hashed.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "blob", "text").dropDuplicates(["id", "blob"])
-    unseen = single.join(todo.hint("shuffle_hash"), ["id", "blob"])
+    unseen = single.join(todo, ["id", "blob"])
     found = materialise(find_spans(unseen.select("blob", "text", "todo"), rules), "findings")
-    none = F.array().cast(_SPAN)
+    none = F.array().cast(_FOUND)
     new = todo.join(found, "blob", "left").select("blob", F.col("todo").alias("scanned"), F.coalesce("spans", none).alias("spans"))
     new.write.mode("append").parquet(ledger)
-    # spans of a rule version that `rules` no longer has stay in the ledger but do not count
-    kinds = F.transform(F.array_intersect("scanned", all_keys), lambda k: F.substring_index(k, "@", 1))
-    own = spark.read.parquet(ledger).select("blob", F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])).alias("spans"))
-    return own.groupBy("blob").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+    place = F.create_map(*[F.lit(x) for n, r in enumerate(rules) for x in (r.key, n)])
+    kind = F.create_map(*[F.lit(x) for r in rules for x in (r.key, r.kind)])
+    named = F.filter("spans", lambda s: s["rule"].isin(*(r.key for r in rules)))
+    own = F.transform(named, lambda s: F.struct(s["start"].alias("start"), place[s["rule"]].alias("kind_no"), s["end"].alias("end"), kind[s["rule"]].alias("kind")))
+    kept = spark.read.parquet(ledger).select("blob", own.cast(_SPAN).alias("spans"))
+    return kept.groupBy("blob").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
 def find_blobs(docs: DataFrame, ledger: str | None = None, rules: tuple[SecretRule, ...] = RULES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -129,7 +138,8 @@ def find_blobs(docs: DataFrame, ledger: str | None = None, rules: tuple[SecretRu
 
 def find_secrets(docs: DataFrame, ledger: str | None = None, rules: tuple[SecretRule, ...] = RULES, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, spans) for every row of docs: the ledger's findings joined back to all paths. Without a ledger a new one is
-    begun in the shared folder. Rows that repeat, or share a text, share the findings; a null id keeps its findings."""
+    begun in the shared folder. Rows that repeat, or share a text, share the findings; a null id keeps its findings; other
+    columns are not read, whatever their names; an empty table gives an empty table."""
     found = find_blobs(docs, ledger, rules, text, id_col)
     paths = docs.select(id_col, blob_of(text).alias("blob"))
     return paths.join(found, "blob", "left").select(id_col, F.coalesce("spans", F.array().cast(_SPAN)).alias("spans"))
@@ -146,16 +156,41 @@ def secrets_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return found.select(id_col, *(count(k) for k in BASE), F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each span (overlapping ones as one) replaced by `mark`."""
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+def disjoint(spans: Column) -> Column:
+    """Spans, sorted by start, as (start, end) without overlaps: overlapping ones become one."""
+    none = F.array().cast("array<struct<start:long,end:long>>")
 
     def step(acc: Column, s: Column) -> Column:
-        before = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+        open_ = acc["open"]
+        now = F.struct(s["start"].alias("start"), s["end"].alias("end"))
+        wider = F.struct(open_["start"].alias("start"), F.greatest(open_["end"], s["end"]).alias("end"))
+        apart = s["start"] >= open_["end"]
+        return F.struct(F.when(apart, F.concat(acc["done"], F.array(open_))).otherwise(acc["done"]).alias("done"), F.when(apart, now).otherwise(wider).alias("open"))
 
-    return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), 2147483647)))
+    first = F.struct(none.alias("done"), F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end")).alias("open"))
+    return F.aggregate(spans, first, step, lambda acc: F.filter(F.concat(acc["done"], F.array(acc["open"])), lambda s: s["end"] > s["start"]))
+
+
+def redact(text: Column, spans: Column, mark: str = "[SECRET]", step: int = 4096) -> Column:
+    """The text with each span (overlapping ones as one) replaced by `mark`. A text is worked on in pieces of `step` code
+    points, so that a long one with many spans is not read from its beginning for every span."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+
+    def cut(piece: Column, no: Column, spans: Column) -> Column:
+        low = no.cast("long") * step
+        own = F.filter(spans, lambda s: (s["start"] < low + step) & (s["end"] > low))
+        before = lambda own, k: F.when(k > 0, own[k - 1]["end"]).otherwise(low)
+        between = lambda own, s, k: F.concat(F.substring(piece, (before(own, k) - low + 1).cast("int"), F.greatest(s["start"] - before(own, k), F.lit(0)).cast("int")), F.when(s["start"] >= low, F.lit(mark)).otherwise(F.lit("")))
+        rest = lambda own: F.substring(piece, (F.element_at(own, -1)["end"] - low + 1).cast("int"), step)
+        some = _let(own, lambda own: F.concat(F.array_join(F.transform(own, lambda s, k: between(own, s, k)), ""), rest(own)))
+        return F.when(F.exists(spans, lambda s: (s["start"] < low + step) & (s["end"] > low)), some).otherwise(piece)
+
+    return _let(disjoint(spans), lambda spans: F.array_join(F.transform(pieces, lambda piece, no: cut(piece, no, spans)), ""))
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with value worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def oracle(rules: tuple[SecretRule, ...] = RULES) -> str:
