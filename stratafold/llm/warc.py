@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratafold.llm.common import fresh_path, materialise
+from stratafold.llm.common import fresh_path, materialise, tidy
 
 #: Payloads of at least this many bytes are stored once; bytes per archive file; first capture time where none is given.
 LEAST_REVISIT, ARCHIVE_BYTES, EPOCH = 100, 1 << 28, datetime(2024, 1, 1, tzinfo=timezone.utc)
-_INDEX = "run string, seq long, url_key string, captured string, page_id long, record_type string, refers_to long, payload_digest string, file string, offset long, length long"
+_INDEX = "run long, seq long, url_key string, captured string, page_id long, record_type string, refers_to long, payload_digest string, file string, offset long, length long"
 
 
 def url_key(url: str | None) -> str:
@@ -127,7 +127,8 @@ def _writer(folder: str):
         try:
             for batch in batches:
                 rows: list[tuple] = []
-                for x in batch.to_pylist():
+                for i in range(batch.num_rows):
+                    x = {c: batch.column(c)[i].as_py() for c in ("page_id", "url", "html", "payload_digest", "refers_to")}
                     if out is None or at > ARCHIVE_BYTES:
                         if out is not None:
                             out.close()
@@ -164,35 +165,55 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write all pages to archives under `folder` and return the index runs, committed to the shared folder: a run is the
     index of one task, sorted by URL key, capture time and page, with run and seq."""
-    made = with_revisits(pages).mapInArrow(_writer(_with_scheme(pages.sparkSession, folder)), _INDEX.removeprefix("run string, seq long, "))
-    runs = made.sortWithinPartitions("url_key", "captured", "page_id").withColumn("run", F.spark_partition_id().cast("string")).withColumn("seq", F.monotonically_increasing_id())
+    made = with_revisits(pages).mapInArrow(tidy(_writer(_with_scheme(pages.sparkSession, folder))), _INDEX.removeprefix("run long, seq long, "))
+    runs = made.sortWithinPartitions("url_key", "captured", "page_id").withColumn("run", F.spark_partition_id().cast("long")).withColumn("seq", F.monotonically_increasing_id())
     return materialise(runs.select("run", "seq", "url_key", "captured", "page_id", "record_type", "refers_to", "payload_digest", "file", "offset", "length"), "capture-runs")
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The slices of all runs that fall into one range, merged. They come run by run, each in order; their columns stay in
+    Arrow, and only the heads of the runs are laid out as keys."""
+    from pyspark import TaskContext
+
     held = list(batches)
-    if not held:
+    if not sum(b.num_rows for b in held):
         return
-    whole = pa.Table.from_batches(held)
-    run, seq = whole.column("run").to_pylist(), whole.column("seq").to_numpy()
-    keys = list(zip(*(whole.column(c).to_pylist() for c in ("url_key", "captured"))))
-    page = whole.column("page_id").to_pylist()
-    parts: dict[str, list[int]] = {}
-    for i, r in enumerate(run):
-        parts.setdefault(r, []).append(i)
-    item = lambda i: ((*keys[i], page[i] is not None, page[i] or 0), i)
-    runs = [map(item, sorted(parts[r], key=seq.__getitem__)) for r in sorted(parts)]
-    order = pa.array([i for _, i in LoserTree(runs)], pa.int64())
-    merged = whole.take(order).append_column("place", pa.array(np.arange(len(order), dtype=np.int64)))
-    yield from merged.combine_chunks().to_batches(max_chunksize=65536)
-
-
-def merge_index(runs: DataFrame) -> DataFrame:
-    """The runs merged into one order by URL key, capture time and page: ranges of that key are cut from samples, and each
-    task merges the slices of all runs that fall into its range. The key ends in the page, so one URL or host with many
-    captures spreads over ranges. place counts within a range; ranges follow each other."""
-    ranged = runs.repartitionByRange("url_key", "captured", "page_id")
-    return materialise(ranged.mapInArrow(_merge, _INDEX + ", place long"), "capture-index")
+    whole = pa.Table.from_batches(held).combine_chunks()
+    run = whole.column("run").to_numpy()
+    edges = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(run)]
+    url, captured, page = (whole.column(c).chunk(0) for c in ("url_key", "captured", "page_id"))
+
+    def slice_of(lo: int, hi: int) -> Iterator[tuple]:
+        for i in range(lo, hi):
+            p = page[i].as_py()
+            yield (url[i].as_py(), captured[i].as_py(), p is not None, p or 0), i
+
+    tree = LoserTree([slice_of(lo, hi) for lo, hi in zip(edges, edges[1:])])
+    range_no = TaskContext.get().partitionId()
+    at = 0
+    order = np.fromiter((i for _, i in tree), np.int64, len(run))
+    for low in range(0, len(order), 65536):
+        part = whole.take(pa.array(order[low : low + 65536]))
+        n = part.num_rows
+        part = part.append_column("range_no", pa.array(np.full(n, range_no, np.int64))).append_column("place", pa.array(np.arange(at, at + n)))
+        at += n
+        yield from part.combine_chunks().to_batches()
+
+
+#: Index rows of a range, about; a row takes some 300 bytes of the task that merges it.
+RANGE_ROWS = 200_000
+
+
+def merge_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The runs merged into one order by URL key, capture time and page: range_no and place put all rows in that order.
+
+    Ranges of the key are cut from samples, about range_rows rows each, so that a task's memory does not grow with the
+    input; Spark's range exchange brings a range the slices of all runs, in the order of the runs, and the task merges them
+    with a loser tree. The key of the ranges ends in file and offset, so one URL, host or repeated page with many captures
+    spreads over ranges; where a page repeats within one capture time its rows stand in any order."""
+    n = max(1, -(-runs.count() // range_rows))
+    ranged = runs.repartitionByRange(n, "url_key", "captured", "page_id", "file", "offset").sortWithinPartitions("run", "seq")
+    return materialise(ranged.mapInArrow(tidy(_merge), _INDEX + ", range_no long, place long"), "capture-index")
 
 
 def read_archives(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -206,8 +227,12 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = False) -> Data
 
         files, root = _file_system(uri)
         name, src = None, None
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), *([pa.binary()] if payloads else [])]
+        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *(["payload"] if payloads else [])]
+        table = lambda out: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
         for batch in batches:
             out: list[tuple] = []
+            held = 0
             for file, offset, length in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length"))):
                 if file != name:
                     if src is not None:
@@ -217,21 +242,24 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = False) -> Data
                 if x["payload"] is not None and (len(x["payload"]) != x["payload_bytes"] or hashlib.sha256(x["payload"]).hexdigest() != x["payload_digest"]):
                     raise ValueError(f"record at {offset} of {file} does not match its digest")
                 out.append((x["page_id"], x["payload_bytes"], x["payload_digest"], x["record_type"], x["refers_to"], *([x["payload"]] if payloads else [])))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), *([pa.binary()] if payloads else [])]
-            names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *(["payload"] if payloads else [])]
+                held += len(x["payload"] or b"") * payloads
+                if held > 8_000_000:
+                    yield table(out)
+                    out, held = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+                yield table(out)
         if src is not None:
             src.close()
 
     slim = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
-    return slim.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads)
+    return slim.mapInArrow(tidy(run), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads)
 
 
 def archive_round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write pages(page_id, url, html) to archives, merge their index and read the archives back: a row per page. Null html
-    is an empty payload, a null URL has an empty key, a null page_id is kept and never referred to. Other columns are not
-    read; an empty table gives an empty table."""
+    is an empty payload, a null URL has an empty key, a null page_id is kept and never referred to. Repeated rows are archived
+    as often as they occur; long payloads are kept whole. Other columns are not read, whatever their names; an empty table
+    gives an empty table."""
     folder = folder or fresh_path(pages.sparkSession, "archives")
     return read_archives(merge_index(write_archives(pages, folder)), folder)
 
