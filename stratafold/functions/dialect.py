@@ -124,6 +124,28 @@ class Spark(Dialect):
     def number(self, x: str) -> str:
         return f"try_cast({x} AS DOUBLE)"
 
+    def record(self, **fields: str) -> str:
+        """A JSON object of the fields, none of which is null."""
+        return f"to_json(named_struct({', '.join(f'{self.lit(k)}, {v}' for k, v in fields.items())}))"
+
+    def quoted(self, x: str) -> str:
+        """A text as JSON."""
+        return f"substr(to_json(named_struct('x', {x})), 6, length(to_json(named_struct('x', {x}))) - 6)"
+
+    def pattern_split(self, x: str, by: str) -> str:
+        return self.split(x, f"[{by}]")
+
+    def head(self, array: str, n: int) -> str:
+        """The first n elements of an array."""
+        return f"slice({array}, 1, {n})"
+
+    def list_in_order(self, x: str, order: str, where: str = "true") -> str:
+        """The values of a group as an array, by order."""
+        return f"transform(array_sort(collect_list(CASE WHEN {where} THEN named_struct('o', {order}, 'x', {x}) END)), s -> s.x)"
+
+    def joined(self, array: str, by: str) -> str:
+        return f"array_join({array}, {self.lit(by)})"
+
 
 class Duck(Dialect):
     name = "duckdb"
@@ -191,5 +213,23 @@ class Duck(Dialect):
     def number(self, x: str) -> str:
         return f"try_cast({x} AS DOUBLE)"
 
+    def record(self, **fields: str) -> str:
+        return f"CAST(json_object({', '.join(f'{self.lit(k)}, {v}' for k, v in fields.items())}) AS VARCHAR)"
+
+    def quoted(self, x: str) -> str:
+        return f"CAST(to_json({x}) AS VARCHAR)"
+
+    def pattern_split(self, x: str, by: str) -> str:
+        return self.split(x, by)
+
+    def head(self, array: str, n: int) -> str:
+        return f"({array})[1:{n}]"
+
+    def list_in_order(self, x: str, order: str, where: str = "true") -> str:
+        return f"coalesce(list({x} ORDER BY {order}) FILTER ({where}), [])"
+
+    def joined(self, array: str, by: str) -> str:
+        return f"array_to_string({array}, {self.lit(by)})"
+
 
 SPARK, DUCK = Spark(), Duck()

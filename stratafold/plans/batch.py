@@ -67,16 +67,6 @@ def c08_safe_names(d):
     return f"SELECT page_id, regexp_replace(regexp_replace(url, '^.*/', ''), '[^A-Za-z0-9_.-]', '_'{'' if d.name == 'spark' else ', ' + chr(39) + 'g' + chr(39)}) AS safe_name FROM pages WHERE url IS NOT NULL"
 
 
-@query
-def a16_state_snapshot(d):
-    return "SELECT role, count(*) AS n_turns, CAST(count(DISTINCT conv_id) AS BIGINT) AS n_conversations, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM conversations GROUP BY role"
-
-
-@query
-def a17_state_fingerprint(d):
-    return f"SELECT conv_id, {d.sha256(d.join_in_order('concat(role, ' + d.lit(':') + ', text)', 'turn'))} AS fingerprint FROM conversations GROUP BY conv_id"
-
-
 @query
 def w07_previous_turn(d):
     return "SELECT conv_id, turn, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM conversations"

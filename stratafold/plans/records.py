@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from stratafold.functions import lines as L
 from stratafold.functions.dialect import Dialect
-from stratafold.functions.patterns import Local, Markdown, Parser, Refine, Review, Rx
-from stratafold.plans.corpora import doc_lines, spec_cells, spec_lines
-from stratafold.plans.parameters import canonical, made, name_of, text_candidates, value_like
+from stratafold.functions.patterns import Local, Markdown, Parser, Refine, Rx
+from stratafold.plans.corpora import doc_lines, spec_lines
+from stratafold.plans.parameters import made, text_candidates, value_like
 from stratafold.plans.registry import query, with_
-from stratafold.plans.review import HEADING_REASONS, SOFT_REASONS, issues, reason_columns
-from stratafold.plans.structure import FAMILIES, blocks, sections
+from stratafold.plans.review import HEADING_REASONS, SOFT_REASONS, reason_columns
+from stratafold.plans.structure import blocks, sections
 from stratafold.plans.text_layer import profiled, tally
 
 #: Labels of document types; process words; date shapes of the version date, in order.
@@ -59,19 +59,6 @@ def j02_section_facts(d):
     )
 
 
-@query
-def j03_parameter_anchors(d):
-    """The first product whose name stands in a parameter's condition, else its section."""
-    return with_(
-        {
-            "prod": "SELECT p_brand AS display, min(p_partkey) AS product_no FROM part GROUP BY p_brand",
-            "par": "SELECT p_partkey, concat('for ', p_brand, ' size ', p_size) AS cond FROM part",
-            "hit": "SELECT p_partkey, min(product_no) AS product_no FROM par JOIN prod ON contains(cond, display) GROUP BY p_partkey",
-        },
-        "SELECT par.p_partkey, CASE WHEN product_no IS NULL THEN 'section' ELSE 'product' END AS kind, product_no FROM par LEFT JOIN hit ON par.p_partkey = hit.p_partkey",
-    )
-
-
 @query
 def j06_j07_backfill(d):
     """Blocks without a section get the document's first one."""
@@ -162,16 +149,6 @@ def d10_standard_dedupe(d):
     return with_(sections(d) | {"c": codes, "r": "SELECT *, row_number() OVER (PARTITION BY doc_id, code, sec_ord ORDER BY page_index, line_no, n) AS k FROM c WHERE code <> ''"}, "SELECT doc_id, code, sec_ord, page_index FROM r WHERE k = 1")
 
 
-@query
-def d14_code_conflict(d):
-    """Codes found in a document against the code expected by its name: agreement, or the first conflict."""
-    tokens = d.rows("l", d.extract_all("line", Rx(r"\b[A-Z]{2,4}/?[A-Z]? ?\d+-\d{2,4}\b"), 0), "token", "n", "doc_id, token")
-    return with_(
-        {"l": spec_lines(d), "t": tokens, "c": f"SELECT DISTINCT doc_id, {canonical(d, 'token')} AS code FROM t", "e": "SELECT DISTINCT doc_id, concat('GB/T ', 100 + doc_id % 50, '-1975') AS expected FROM l"},
-        "SELECT e.doc_id, expected, max(CASE WHEN code = expected THEN 1 ELSE 0 END) AS agrees, min(CASE WHEN code <> expected THEN code END) AS first_conflict FROM e LEFT JOIN c ON e.doc_id = c.doc_id GROUP BY e.doc_id, expected",
-    )
-
-
 @query
 def g02_local_cleanup(d):
     """What the cleanup does to blocks: hard table fragments go, weak titles become body text."""
@@ -199,53 +176,6 @@ def w06_merge_directions(d):
     )
 
 
-@query
-def m05_chapter_summaries(d):
-    """First sixty sections with a summary text: facts where there are some, else a note."""
-    return with_(
-        sections(d) | {"sn": f"SELECT doc_id, sec_ord, count(*) AS n FROM s6 WHERE {d.search('line', Parser.STANDARD_RE)} GROUP BY doc_id, sec_ord"},
-        "SELECT h.doc_id, h.sec_ord, CASE WHEN coalesce(n, 0) > 0 THEN concat('本章节围绕', title, '，引用标准：', n, '项。') ELSE concat('当前仅稳定识别到', title, '，正文仍然较少。') END AS summary FROM heads h LEFT JOIN sn ON h.doc_id = sn.doc_id AND h.sec_ord = sn.sec_ord WHERE h.sec_ord <= 60",
-    )
-
-
-@query
-def m06_numeric_summary(d):
-    return with_(text_candidates(d) | made(d, "cand", "doc_id, page_index, line_no"), "SELECT doc_id, name, comparator, unit, count(*) AS n, CAST(count(DISTINCT clean_value) AS BIGINT) AS n_values FROM params GROUP BY doc_id, name, comparator, unit")
-
-
-@query
-def m08_requirements(d):
-    """First sixty requirement sentences of a document, clipped."""
-    kind = d.first_of("line", Parser.RULE_PATTERNS)
-    return with_(
-        {"l": spec_lines(d), "r": f"SELECT *, {kind} AS rule_type FROM l", "k": "SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no) AS BIGINT) AS place FROM r WHERE rule_type <> ''"},
-        "SELECT doc_id, place, rule_type, left(line, 180) AS requirement FROM k WHERE place <= 60",
-    )
-
-
-@query
-def m16_process_tags(d):
-    tags = d.array([f"CASE WHEN contains(lower(line), {d.lit(w)}) THEN {d.lit(t)} ELSE '' END" for w, t in PROCESS_WORDS])
-    return with_({"l": spec_lines(d), "t": d.rows("l", tags, "tag", "n", "doc_id, tag")}, "SELECT DISTINCT doc_id, tag FROM t WHERE tag <> ''")
-
-
-@query
-def m20_m21_model_tags(d):
-    return with_({"l": spec_lines(d), "t": f"SELECT doc_id, {d.extract('line', Parser.MODEL_RE)} AS model FROM l"}, "SELECT doc_id, model, count(*) AS n FROM t WHERE model <> '' GROUP BY doc_id, model")
-
-
-@query
-def k06_k07_page_of_number(d):
-    """The page in a table's number, and what it names."""
-    return with_(tables(d), f"SELECT doc_id, table_no, CAST({d.extract('table_no', Rx('第([0-9]+)页'), 1)} AS BIGINT) AS page_no FROM tbl")
-
-
-@query
-def k08_k09_traces(d):
-    codes = " ".join(f"WHEN {d.extract('line', Parser.STANDARD_RE, 1)} LIKE '{p}%' THEN '{p}'" for p in FAMILIES)
-    return with_(sections(d), f"SELECT doc_id, CASE {codes} ELSE '其他' END AS family, CAST(count(DISTINCT sec_ord) AS BIGINT) AS n_sections, min(page_index) AS first_page FROM s6 WHERE {d.search('line', Parser.STANDARD_RE)} GROUP BY 1, 2")
-
-
 @query
 def c06_heading_prefixes(d):
     """Lines without the date or number that recognition puts before some headings."""
@@ -272,60 +202,12 @@ def f32_preserved_tokens(d):
     return with_({"l": spec_lines(d), "w": d.rows("l", d.split("line", " "), "word", "n", "doc_id, word")}, f"SELECT doc_id, word, count(*) AS n FROM w WHERE length(word) <= 8 AND {d.full('word', Local.TECH_TOKEN_RE)} GROUP BY doc_id, word")
 
 
-@query
-def v01_markdown_checks(d):
-    return with_(sections(d), f"SELECT doc_id, count(*) AS n_headings, {tally('length(title) <= 4')} AS n_short, {tally(d.search('title', Review.SENTENCE_HEADING_RE))} AS n_sentences, count(*) <= 2 AS too_short FROM heads GROUP BY doc_id")
-
-
-@query
-def v09_table_criticality(d):
-    """Pages that speak of tables without having one: a table-driven line and two distinct table signals."""
-    return with_(
-        {"l": spec_lines(d), "s": f"SELECT doc_id, page_index, max(CASE WHEN {d.search('line', Review.TABLE_DRIVEN_TITLE_RE)} THEN 1 ELSE 0 END) AS title_hit, CAST(count(DISTINCT lower(nullif({d.extract('line', Review.TABLE_DRIVEN_BODY_RE)}, ''))) AS BIGINT) AS n_signals FROM l GROUP BY doc_id, page_index"},
-        "SELECT doc_id, page_index, n_signals, title_hit = 1 AND n_signals >= 2 AS critical FROM s",
-    )
-
-
-@query
-def v18_suspicious_parameters(d):
-    return with_(text_candidates(d) | made(d, "cand", "doc_id, page_index, line_no"), f"SELECT DISTINCT doc_id, name FROM params WHERE {d.search('name', Review.FRONT_MATTER_PARAM_RE)} OR {d.search('name', Review.DATE_LIKE_RE)} OR {d.search('name', Review.METADATA_PARAM_RE)} OR length(name) > 20")
-
-
-@query
-def p01_active_documents(d):
-    """Documents by what the loop does next: rejected, passed, or another round, from their issues."""
-    return with_(
-        issues(d) | {"n": "SELECT doc_id, count(*) AS n_issues FROM iss GROUP BY doc_id"},
-        "SELECT CASE WHEN doc_type = 'unknown' THEN 'rejected' WHEN coalesce(n_issues, 0) = 0 THEN 'passed' ELSE 'repair' END AS next_step, count(*) AS n_docs, CAST(sum(coalesce(n_issues, 0)) AS BIGINT) AS n_issues FROM prof LEFT JOIN n ON prof.doc_id = n.doc_id GROUP BY 1",
-    )
-
-
 @query
 def s09_ocr_plan(d):
     """Recognition plan of a document by its pages: reduced resolution from eight pages on, six pages a batch."""
     return with_({"l": spec_lines(d), "p": "SELECT doc_id, CAST(count(DISTINCT page_index) AS BIGINT) AS pages FROM l WHERE doc_id % 3 = 0 OR page_index < 5 GROUP BY doc_id"}, f"SELECT doc_id, pages, CASE WHEN pages >= 8 THEN 220 ELSE 300 END AS dpi, {d.div('(pages + 5)', '6')} AS batches FROM p")
 
 
-@query
-def r22_r26_entries(d):
-    """Section entries with the heading that readers see: without the number if it is synthetic."""
-    return with_(sections(d), "SELECT doc_id, sec_ord, CASE WHEN sec_no LIKE 'U%' THEN title ELSE concat(sec_no, ' ', title) END AS heading, concat(sec_no, ' ', title) AS section_ref FROM heads")
-
-
-@query
-def n05_n07_filled_records(d):
-    return with_({"k": spec_cells(d), "r": f"SELECT *, {name_of(d, 'label', d.lit(''))} AS name FROM k"}, "SELECT doc_id, page_index, row_idx, coalesce(nullif(name, ''), label) AS name, CASE WHEN unit = '' THEN '文档' ELSE unit END AS anchor, CAST(75 AS BIGINT) AS confidence_pct FROM r")
-
-
-@query
-def a10_ocr_rounds(d):
-    """Recognition summed up over rounds; a round is a source layer of the documents."""
-    return with_(
-        {"l": doc_lines(d), "p": "SELECT source, doc_id, count(*) AS n FROM l GROUP BY source, doc_id"},
-        f"SELECT source, count(*) AS target_pages, {tally('n >= 4')} AS good_pages, CAST(floor(1000.0 * {tally('n >= 4')} / greatest(1, count(*)) + 0.5) AS BIGINT) AS permille, max(n) AS longest FROM p GROUP BY source",
-    )
-
-
 @query
 def refine_line_noise(d):
     return with_({"l": doc_lines(d)}, f"SELECT doc_id, {tally(d.full('line', Refine.PURE_NUMBER_RE))} AS numbers, {tally(d.search('line', Refine.COPYRIGHT_RE))} AS notices, {tally(L.uneven_brackets('line'))} AS brackets FROM l GROUP BY doc_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,11 +25,18 @@ def with_(parts: dict[str, str], last: str) -> str:
 
 
 def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Plan SQL over the tables of a folder. Views are bound when the text is analysed, so later calls do not disturb it."""
-    for name in TABLES:
-        if re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", sql):
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """Plan SQL over the tables of a folder. They are bound under names of this package, one for each folder, so that no
+    view of the user's session is touched."""
+    known: dict[str, str] = {}
+
+    def bound(found: re.Match) -> str:
+        name = found[2]
+        if name not in known:
+            known[name] = f"stratafold_{name}_{crc32(sf_dir.encode()):08x}"
+            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(known[name])
+        return f"{found[1]}{known[name]}"
+
+    return spark.sql(re.sub(rf"\b((?:FROM|JOIN)\s+)({'|'.join(TABLES)})\b(?!\s*\()", bound, sql))
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,43 +4,10 @@ from __future__ import annotations
 
 from stratafold.functions.dialect import Dialect
 from stratafold.functions.lines import any_of
-from stratafold.functions.patterns import Local, Refine, Review, Rx, Tags
+from stratafold.functions.patterns import Refine, Rx, Tags
 from stratafold.plans.corpora import doc_lines, spec_cells, spec_lines
 from stratafold.plans.registry import query, with_
 from stratafold.plans.structure import sections
-from stratafold.plans.text_layer import profiled, tally
-
-#: Issues with problem id, dimension, points, action and whether they block; full marks; cap and pass mark.
-DEDUCTIONS = (
-    ("正文主链缺失", "doc_chain_missing", "base", 10, "重跑解析", False),
-    ("markdown内容过少", "markdown_too_short", "base", 8, "重建Markdown", False),
-    ("表格视图缺失", "table_view_missing", "base", 5, "重建Markdown", False),
-    ("自动表标题残留", "auto_table_title_left", "base", 4, "重建Markdown", False),
-    ("LLM自述无内容", "llm_stub_summary", "factual", 10, "重建摘要", True),
-    ("参数摘要为空", "param_summary_empty", "factual", 8, "重建摘要", False),
-    ("文件名与正文不一致", "metadata_mismatch", "factual", 10, "重跑解析", True),
-    ("核心表格缺失", "table_core_missing", "factual", 8, "重跑解析", True),
-    ("参数标签存在噪音", "noisy_parameter_tags", "factual", 7, "清洗标签", False),
-    ("标签存在句子污染", "sentence_tag_pollution", "factual", 7, "重建标签", False),
-    ("标准引用标签为空", "standard_tag_empty", "factual", 4, "重建标签", False),
-    ("参数标签为空", "param_tag_empty", "factual", 4, "重建标签", False),
-    ("产品型号标签为空", "product_model_tag_empty", "factual", 4, "重建标签", False),
-    ("章节摘要为空", "chapter_summary_empty", "factual", 6, "重建摘要", False),
-    ("摘要疑似模板回退", "summary_template_fallback", "factual", 6, "重建摘要", True),
-    ("摘要模板回退（已记录原因）", "summary_fallback_explained", "factual", 6, "重建摘要", False),
-    ("结构未建立", "structure_missing", "consistency", 5, "重跑解析", False),
-    ("表格未消费", "table_to_param_missing", "consistency", 8, "重跑解析", False),
-    ("标准实体缺失", "standard_entity_missing", "consistency", 4, "重跑解析", False),
-    ("结构主线缺失", "structured_backbone_missing", "consistency", 5, "重跑解析", False),
-    ("疑似扫描件", "scan_like", "consistency", 6, "标记需OCR", True),
-    ("OCR覆盖不足", "ocr_coverage_weak", "consistency", 5, "标记需OCR", True),
-    ("OCR标题噪音明显", "ocr_heading_noise", "consistency", 6, "重跑解析", True),
-    ("OCR标题噪音轻度", "ocr_heading_noise_minor", "consistency", 5, "观察", False),
-    ("OCR参数污染明显", "ocr_parameter_pollution", "consistency", 6, "重跑解析", True),
-)
-FULL_MARKS = {"base": 35, "factual": 40, "consistency": 25}
-REDLINES = ("正文主链缺失", "表格未消费", "疑似扫描件")
-REDLINE_CAP, PASS_MARK = 74, 85
 
 #: Reason codes of suspicious headings and blocks with the test that raises them; those that settle the case.
 HEADING_REASONS = ("generic_page_word", "month_year_only", "number_only", "ics_code", "dimension_code", "copyright_notice", "metadata_marker", "trailing_hyphen", "leading_conjunction", "split_token_line", "unit_only", "short_token", "letter_range", "value_fragment", "sentence_verb_fragment", "sentence_fragment", "lowercase_fragment", "too_short_for_heading")
@@ -112,90 +79,6 @@ def t01_top_suspicious(d):
     )
 
 
-def issues(d: Dialect) -> dict[str, str]:
-    """Issue facts of the given documents, from their profile: one row per document and issue."""
-    rules = {
-        "正文主链缺失": "line_count <= 1",
-        "markdown内容过少": "line_count <= 3",
-        "标准实体缺失": "standards = 0 AND signals > 0",
-        "结构未建立": "signals = 0",
-        "疑似扫描件": "needs_ocr",
-        "产品型号标签为空": "models = 0",
-        "参数标签为空": "signals <= 1",
-        "OCR标题噪音轻度": "layout = 'fragmented'",
-    }
-    cases = d.array([f"CASE WHEN {v} THEN {d.lit(k)} ELSE '' END" for k, v in rules.items()])
-    return {"prof": profiled(d, f"({doc_lines(d)}) l"), "iss": f"SELECT doc_id, issue FROM ({d.rows('prof', cases, 'issue', 'n', 'doc_id, n, issue')}) i WHERE issue <> ''"}
-
-
-def deductions(d: Dialect) -> str:
-    rows = ", ".join(f"({d.lit(a)}, {d.lit(b)}, {d.lit(c)}, {p}, {d.lit(act)}, {str(blk).lower()})" for a, b, c, p, act, blk in DEDUCTIONS)
-    return f"SELECT * FROM (VALUES {rows}) AS v(issue, problem_id, dimension, points, action, blocking)"
-
-
-def scored(d: Dialect) -> dict[str, str]:
-    part = lambda k: f"greatest(0, {FULL_MARKS[k]} - coalesce(sum(CASE WHEN dimension = '{k}' THEN points END), 0))"
-    red = f"coalesce(max(CASE WHEN f.issue IN ({', '.join(d.lit(r) for r in REDLINES)}) THEN 1 ELSE 0 END), 0)"
-    return issues(d) | {
-        "ded": deductions(d),
-        "f": "SELECT DISTINCT i.doc_id, i.issue, problem_id, dimension, points, action, blocking FROM iss i JOIN ded ON i.issue = ded.issue",
-        "dims": f"SELECT p.doc_id, CAST({part('base')} AS BIGINT) AS base, CAST({part('factual')} AS BIGINT) AS factual, CAST({part('consistency')} AS BIGINT) AS consistency, {red} = 1 AS redline, count(f.issue) AS n_issues FROM prof p LEFT JOIN f ON p.doc_id = f.doc_id GROUP BY p.doc_id",
-        "total": f"SELECT *, CASE WHEN redline THEN least({REDLINE_CAP}, base + factual + consistency) ELSE base + factual + consistency END AS score FROM dims",
-    }
-
-
-@query
-def a14_deduction_rollup(d):
-    return with_(scored(d), "SELECT doc_id, dimension, CAST(sum(points) AS BIGINT) AS points, count(*) AS n_issues FROM f GROUP BY doc_id, dimension")
-
-
-@query
-def a15_scores(d):
-    return with_(scored(d), f"SELECT doc_id, base, factual, consistency, redline, n_issues, score, score >= {PASS_MARK} AND NOT redline AS passed FROM total")
-
-
-@query
-def a15_pass_by_label(d):
-    return with_(scored(d), f"SELECT quality, score >= {PASS_MARK} AND NOT redline AS passed, count(*) AS n_docs FROM total t JOIN labels l ON t.doc_id = l.doc_id GROUP BY 1, 2")
-
-
-@query
-def v11_redlines(d):
-    return with_(issues(d), f"SELECT doc_id, issue AS redline FROM iss WHERE issue IN ({', '.join(d.lit(r) for r in REDLINES)})")
-
-
-@query
-def t03_problem_list(d):
-    return with_(scored(d), "SELECT doc_id, problem_id, blocking, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY blocking DESC, points DESC, problem_id) AS BIGINT) AS place FROM f")
-
-
-@query
-def t04_fix_actions(d):
-    """Distinct actions of a document, blocking ones first."""
-    return with_(scored(d) | {"a": "SELECT doc_id, action, max(CASE WHEN blocking THEN 1 ELSE 0 END) AS blocks, max(points) AS points FROM f GROUP BY doc_id, action"}, "SELECT doc_id, action, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY blocks DESC, points DESC, action) AS BIGINT) AS place FROM a")
-
-
-@query
-def a11_top_failure_reasons(d):
-    return with_(scored(d) | {"n": "SELECT issue, count(*) AS n_docs FROM f GROUP BY issue"}, "SELECT issue, n_docs FROM n ORDER BY n_docs DESC, issue LIMIT 3")
-
-
-@query
-def p06_rejected_documents(d):
-    """Documents of an unknown type are rejected before review: score 0, redline, no rounds."""
-    return with_({"prof": profiled(d, f"({doc_lines(d)}) l")}, "SELECT doc_id, CAST(0 AS BIGINT) AS score, true AS redline, CAST(0 AS BIGINT) AS rounds FROM prof WHERE doc_type = 'unknown'")
-
-
-@query
-def v14_suspicious_ocr_headings(d):
-    return f"SELECT doc_id, line_no, CAST(length(line) AS BIGINT) AS n FROM ({doc_lines(d)}) l WHERE {d.search('line', Review.SUSPICIOUS_OCR_HEADING_RE)}"
-
-
-@query
-def v20_v22_low_signal_lines(d):
-    return f"SELECT doc_id, page_index, line_no, {d.search('line', Review.TABLE_DRIVEN_TITLE_RE)} AS table_driven, {d.search('line', Review.OCR_TABLE_SIGNAL_RE)} AS table_signal, {d.search('line', Review.STANDARD_CODE_RE)} AS has_code, {d.search('line', Review.SUSPICIOUS_PARAM_TAG_RE)} AS suspicious_tag FROM ({spec_lines(d)}) l"
-
-
 @query
 def m01_markdown(d):
     """Markdown of sections: a heading two levels below its own, at most six, then its body lines in order."""
@@ -216,37 +99,12 @@ def m01_table_rows(d):
     return f"SELECT doc_id, page_index, row_idx, concat('| ', label, ' | ', value, ' | ', unit, ' |') AS md FROM ({spec_cells(d)}) k"
 
 
-@query
-def k04_trace_counts(d):
-    return with_(sections(d), "SELECT h.doc_id, count(*) AS n_sections, CAST(sum(CASE WHEN sec_no LIKE 'U%' THEN 1 ELSE 0 END) AS BIGINT) AS n_synthetic, min(page_index) AS first_page, max(page_index) AS last_page FROM heads h GROUP BY h.doc_id")
-
-
 @query
 def m17_parameter_tags(d):
     tag = d.first_of("line", Tags.PARAMETER_TAG_PATTERNS)
     return with_({"t": f"SELECT doc_id, {tag} AS tag FROM ({spec_lines(d)}) l"}, "SELECT DISTINCT doc_id, tag FROM t WHERE tag <> ''")
 
 
-@query
-def m15_topic_tags(d):
-    """First twenty distinct section titles of a document that are translated."""
-    tag = d.first_of("title", Local.TRANSLATION_PATTERNS)
-    return with_(
-        sections(d) | {"t": f"SELECT doc_id, sec_ord, {tag} AS tag FROM heads WHERE sec_ord <= 30", "u": "SELECT doc_id, tag, min(sec_ord) AS sec_ord FROM t WHERE tag <> '' GROUP BY doc_id, tag", "k": "SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY sec_ord, tag) AS BIGINT) AS place FROM u"},
-        "SELECT doc_id, tag, place FROM k WHERE place <= 20",
-    )
-
-
-@query
-def m22_m23_hint_tags(d):
-    return f"SELECT DISTINCT doc_id, {d.extract('line', Tags.APPLICATION_HINT_RE, 1)} AS application, upper({d.extract('line', Tags.CERTIFICATION_RE)}) AS certificate FROM ({spec_lines(d)}) l WHERE {d.search('line', Tags.APPLICATION_HINT_RE)} OR {d.search('line', Tags.CERTIFICATION_RE)}"
-
-
-@query
-def m04_summary_counts(d):
-    return with_({"p": profiled(d, f"({doc_lines(d)}) l")}, f"SELECT doc_type, language, count(*) AS n_docs, CAST(sum(line_count) AS BIGINT) AS n_lines, {tally('needs_ocr')} AS n_ocr FROM p GROUP BY doc_type, language")
-
-
 @query
 def f31_symbol_heavy(d):
     bare = d.replace_all("line", Rx("[^A-Za-z0-9À-ɏ一-鿿]"), "")
