@@ -72,23 +72,6 @@ def w07_previous_turn(d):
     return "SELECT conv_id, turn, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM conversations"
 
 
-@query
-def j10_boxes_to_cells(d):
-    """Text boxes to table cells: centre inside with the most overlap, else the most overlap, else the nearest centre within
-    reach, else none. Boxes and cells are laid out from the parts: two by two cells of 100 by 40, four boxes."""
-    cells = d.rows("(SELECT p_partkey AS page, p_size FROM part) p", d.series(4), "cell")
-    boxes = d.rows("(SELECT p_partkey AS page, p_size FROM part) p", d.series(4), "box")
-    return with_(
-        {
-            "c": f"SELECT page, cell, ((cell - 1) % 2) * 100 AS x1, {d.div('cell - 1', '2')} * 40 AS y1, ((cell - 1) % 2) * 100 + 100 AS x2, {d.div('cell - 1', '2')} * 40 + 40 AS y2 FROM ({cells}) a",
-            "b": f"SELECT page, box, ((box - 1) % 2) * 100 + p_size AS x1, {d.div('box - 1', '2')} * 40 + p_size % 30 AS y1, ((box - 1) % 2) * 100 + p_size + 60 AS x2, {d.div('box - 1', '2')} * 40 + p_size % 30 + 20 AS y2 FROM ({boxes}) a",
-            "m": "SELECT b.page, b.box, c.cell, greatest(0, least(b.x2, c.x2) - greatest(b.x1, c.x1)) * greatest(0, least(b.y2, c.y2) - greatest(b.y1, c.y1)) AS overlap, (b.x1 + b.x2) BETWEEN 2 * c.x1 AND 2 * c.x2 AND (b.y1 + b.y2) BETWEEN 2 * c.y1 AND 2 * c.y2 AS inside, abs(b.x1 + b.x2 - c.x1 - c.x2) + abs(b.y1 + b.y2 - c.y1 - c.y2) AS far FROM b JOIN c ON b.page = c.page",
-            "k": "SELECT *, CAST(row_number() OVER (PARTITION BY page, box ORDER BY CASE WHEN inside THEN 0 WHEN overlap > 0 THEN 1 ELSE 2 END, overlap DESC, far, cell) AS BIGINT) AS place FROM m WHERE inside OR overlap > 0 OR far <= 70",
-        },
-        "SELECT page, box, cell, CAST(overlap AS BIGINT) AS overlap FROM k WHERE place = 1",
-    )
-
-
 @query
 def s10_landing_files(d):
     return "SELECT page_id, CASE WHEN lower(url) LIKE '%.pdf' THEN 'pdf' ELSE 'other' END AS kind, CAST(length(html) AS BIGINT) AS n_chars FROM pages"

@@ -127,51 +127,6 @@ def x11_x12_text_parameters(d):
     return with_(text_candidates(d) | made(d, "cand", "doc_id, page_index, line_no"), "SELECT * FROM params")
 
 
-@query
-def d06_parameter_dedupe(d):
-    """First place of each (name, value) of a document."""
-    return with_(
-        text_candidates(d) | made(d, "cand", "doc_id, page_index, line_no") | {"r": "SELECT *, row_number() OVER (PARTITION BY doc_id, name, clean_value ORDER BY page_index, line_no) AS k FROM params"},
-        "SELECT doc_id, name, clean_value, unit, comparator, page_index, concat('param-', row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no)) AS param_id FROM r WHERE k = 1",
-    )
-
-
-@query
-def x08_key_value_parameters(d):
-    """Parameters of key-value tables; the unit column is the condition, the context names the unit."""
-    return with_(
-        {"k": spec_cells(d), "cand": f"SELECT doc_id, page_index, row_idx, {name_of(d, 'label', d.lit('Dimensions label unit value'))} AS name, value, unit AS context, unit FROM k WHERE {value_like(d, 'value')}"} | made(d, "cand", "doc_id, page_index, row_idx", "unit"),
-        "SELECT * FROM params",
-    )
-
-
-@query
-def d05_last_value_wins(d):
-    """Per document and name the value of the last page, at the place of the first."""
-    return with_(
-        {"k": spec_cells(d), "cand": f"SELECT doc_id, page_index, row_idx, label AS name, value, unit AS context, unit FROM k WHERE {value_like(d, 'value')}"} | made(d, "cand", "doc_id, page_index, row_idx", "unit"),
-        "SELECT doc_id, name, max_by(clean_value, page_index * 10 + row_idx) AS clean_value, min(page_index) AS first_page FROM params GROUP BY doc_id, name",
-    )
-
-
-@query
-def d04_largest_table(d):
-    """Per document and title the table with the most cells, first one on ties."""
-    return with_(
-        {"k": spec_cells(d), "t": "SELECT doc_id, page_index, page_index % 9 AS title_no, sum(length(value)) AS n FROM k GROUP BY doc_id, page_index"},
-        "SELECT doc_id, title_no, page_index, CAST(n AS BIGINT) AS n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, title_no ORDER BY n DESC, page_index) AS k FROM t) r WHERE k = 1",
-    )
-
-
-@query
-def x07_matrix_parameters(d):
-    """Table of parts by attribute: a row per part and numeric attribute, with the part as condition."""
-    return with_(
-        {"p": "SELECT p_partkey, p_brand, p_size FROM part", "m": d.rows("p", d.array(["concat('size=', p_size)", "concat('length=', p_size * 10)"]), "pair", "n")},
-        "SELECT p_partkey, n AS col_no, concat('Brand=', p_brand) AS condition, substr(pair, 1, position('=' IN pair) - 1) AS name, substr(pair, position('=' IN pair) + 1) AS value FROM m",
-    )
-
-
 def canonical(d: Dialect, x: str) -> str:
     g = lambda n: d.extract(x, Guard.STANDARD_CODE_TOKEN_RE, n)
     year = d.replace_all(g(4), Rx("[-—–_.一]+"), "-")

@@ -33,11 +33,6 @@ def tables(d: Dialect) -> dict[str, str]:
     }
 
 
-@query
-def x01_tables(d):
-    return with_(tables(d), "SELECT doc_id, table_no, title, sec_ord FROM tbl")
-
-
 @query
 def j01_tables_of_sections(d):
     """Every section with the number of its tables; sections without one stay."""
@@ -107,13 +102,6 @@ def t06_t11_metadata(d):
     )
 
 
-@query
-def t08_table_titles(d):
-    """Title of the first table of a page: its first caption, generic heading or shape line that is not of low signal."""
-    cand = f"{d.match('line', Parser.TABLE_CAPTION_RE)} OR {d.search('line', Parser.GENERIC_SHORT_HEADING_RE)}"
-    return with_({"l": spec_lines(d), "c": f"SELECT *, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY line_no) AS k FROM l WHERE ({cand}) AND NOT {d.full('line', Parser.LOW_SIGNAL_TABLE_TITLE_RE)}"}, "SELECT doc_id, page_index, line AS title FROM c WHERE k = 1")
-
-
 @query
 def t05_limits_before_dedupe(d):
     """First 120 parameters of a document, then first of each name and value."""
@@ -125,16 +113,6 @@ def t05_limits_before_dedupe(d):
     )
 
 
-@query
-def x05_x06_model_table(d):
-    """A table of brands by part type: columns are models, rows labels; size is the value."""
-    model = d.extract("p_name", Parser.MODEL_RE)
-    return with_(
-        {"p": f"SELECT p_partkey, p_type AS label, concat('AB-', 1000 + p_partkey % 5) AS p_name, p_size FROM part", "m": d.pin("p", model=model)},
-        "SELECT label, model, CAST(min(p_size) AS BIGINT) AS low, CAST(max(p_size) AS BIGINT) AS high, count(*) AS n FROM m WHERE model <> '' GROUP BY label, model",
-    )
-
-
 @query
 def x18_x19_labels(d):
     label = "CASE doc_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TYPE_LABELS.items()) + " END"
