@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable
 
 import pandas as pd
@@ -11,8 +12,16 @@ from pyspark.sql import functions as F
 MERGED = "doc_id long, sec_ord long, sec_no string, title string, body string, merged_into long"
 
 
-def _union(first: list[str], second: list[str]) -> list[str]:
-    return list(dict.fromkeys(x for x in [*first, *second] if x))
+def _before(first: OrderedDict, second: OrderedDict) -> OrderedDict:
+    """Lines of `first`, then those of `second` that it lacks. The shorter one moves, so chains of merges stay cheap."""
+    if len(first) >= len(second):
+        for line in second:
+            first.setdefault(line)
+        return first
+    for line in reversed(first):
+        second[line] = None
+        second.move_to_end(line, last=False)
+    return second
 
 
 def merge_sections(sections: DataFrame) -> DataFrame:
@@ -25,28 +34,36 @@ def merge_sections(sections: DataFrame) -> DataFrame:
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         rows = part.sort_values("sec_ord").reset_index(drop=True)
-        alive = list(range(len(rows)))
-        body = [str(b or "").split("\n") if b else [] for b in rows["body"]]
+        n = len(rows)
+        body = [OrderedDict.fromkeys(x for x in str(b or "").split("\n") if x) for b in rows["body"]]
+        before, after = [*range(-1, n - 1)], [*range(1, n), -1]  # neighbours that are still there
         into: dict[int, int] = {}
-        for i in reversed(range(len(rows))):
+        for i in reversed(range(n)):
             way = rows["direction"][i]
-            if not way or len(alive) < 2:
+            if not way or (before[i] < 0 and after[i] < 0):
                 continue
-            at = alive.index(i)
-            if way == "previous" and at == 0:
+            if way == "previous" and before[i] < 0:
                 way = "next"
-            elif way == "next" and at == len(alive) - 1:
+            elif way == "next" and after[i] < 0:
                 way = "previous"
-            target = alive[at - 1] if way == "previous" else alive[at + 1]
-            moved = _union([rows["title"][i]] if rows["keep_title"][i] else [], body[i])
-            body[target] = _union(moved, body[target]) if way == "next" else _union(body[target], moved)
+            target = before[i] if way == "previous" else after[i]
+            moved = body[i]
+            if rows["keep_title"][i] and rows["title"][i]:
+                moved[rows["title"][i]] = None
+                moved.move_to_end(rows["title"][i], last=False)
+            body[target] = _before(moved, body[target]) if way == "next" else _before(body[target], moved)
             into[i] = target
-            del alive[at]
+            if before[i] >= 0:
+                after[before[i]] = after[i]
+            if after[i] >= 0:
+                before[after[i]] = before[i]
         ends = []
-        for i in range(len(rows)):
+        for i in range(n):
             j = i
             while j in into:
                 j = into[j]
+            if j != i:
+                into[i] = j
             ends.append(int(rows["sec_ord"][j]) if j != i else None)
         return pd.DataFrame({"doc_id": rows["doc_id"], "sec_ord": rows["sec_ord"], "sec_no": rows["sec_no"], "title": rows["title"], "body": ["\n".join(b) if i not in into else None for i, b in enumerate(body)], "merged_into": pd.array(ends, "Int64")})
 

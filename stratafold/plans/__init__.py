@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratafold.plans import access, batch, checks, grids, parameters, records, review, structure, summaries, text_layer  # noqa: F401  (they register their queries)
+from stratafold.plans import access, batch, checks, grids, parameters, records, repair, review, structure, summaries, text_layer  # noqa: F401  (they register their queries)
 from stratafold.plans.folded import FOLDED
 from stratafold.plans.registry import duck_sql, spark_queries
 

@@ -180,12 +180,6 @@ def f32_preserved_tokens(d):
     return with_({"l": spec_lines(d), "w": d.rows("l", d.split("line", " "), "word", "n", "doc_id, word")}, f"SELECT doc_id, word, count(*) AS n FROM w WHERE length(word) <= 8 AND {d.full('word', Local.TECH_TOKEN_RE)} GROUP BY doc_id, word")
 
 
-@query
-def s09_ocr_plan(d):
-    """Recognition plan of a document by its pages: reduced resolution from eight pages on, six pages a batch."""
-    return with_({"l": spec_lines(d), "p": "SELECT doc_id, CAST(count(DISTINCT page_index) AS BIGINT) AS pages FROM l WHERE doc_id % 3 = 0 OR page_index < 5 GROUP BY doc_id"}, f"SELECT doc_id, pages, CASE WHEN pages >= 8 THEN 220 ELSE 300 END AS dpi, {d.div('(pages + 5)', '6')} AS batches FROM p")
-
-
 @query
 def refine_line_noise(d):
     return with_({"l": doc_lines(d)}, f"SELECT doc_id, {tally(d.full('line', Refine.PURE_NUMBER_RE))} AS numbers, {tally(d.search('line', Refine.COPYRIGHT_RE))} AS notices, {tally(L.uneven_brackets('line'))} AS brackets FROM l GROUP BY doc_id")

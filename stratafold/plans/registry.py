@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from uuid import uuid4
 from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,20 @@ def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(re.sub(rf"\b((?:FROM|JOIN)\s+)({'|'.join(TABLES)})\b(?!\s*\()", bound, sql))
 
 
+def run_over(spark: SparkSession, name: str, frames: dict[str, DataFrame]) -> DataFrame:
+    """A registered plan over relations of the caller's own (the names and columns of plans.state) in place of the tables.
+    Relations that are left out are empty."""
+    from stratafold.plans.state import COLUMNS, empty
+
+    views = {}
+    for relation, columns in COLUMNS.items():
+        frame = frames[relation].select(*columns.split(", ")) if relation in frames else empty(spark, relation)
+        view = f"stratafold_{relation}_{uuid4().hex}"
+        frame.createOrReplaceTempView(view)
+        views[relation] = f"SELECT * FROM {view}"
+    return spark.sql(BUILDERS[name](SPARK, views))
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: lambda spark, sf_dir, f=f: run_sql(spark, sf_dir, f(SPARK)) for name, f in BUILDERS.items()}
 

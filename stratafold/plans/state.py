@@ -28,6 +28,23 @@ COLUMNS = {
 }
 
 
+#: Columns that are no text.
+KINDS = {
+    "long": "doc_id ord level line_count chars_per_page ocr_done ocr_target confidence_pct n_cols n_rows page_no line_no round_no dpi target recognised passed marginal rejected injected millis".split(),
+    "boolean": "needs_ocr llm_called quarantined ocr_partial use_llm llm_available llm_failed ocr_run ocr_injected".split(),
+}
+
+
+def schema(relation: str) -> str:
+    """Schema of a relation."""
+    kind = {c: k for k, columns in KINDS.items() for c in columns}
+    return ", ".join(f"{c} {kind.get(c, 'string')}" for c in COLUMNS[relation].split(", "))
+
+
+def empty(spark, relation: str):
+    return spark.createDataFrame([], schema(relation))
+
+
 def pick(d: Dialect, key: str, *values: str) -> str:
     """One of the values (SQL expressions) by the remainder of a whole number."""
     n = len(values)
@@ -78,7 +95,7 @@ def state(d: Dialect) -> dict[str, str]:
         "pg": f"SELECT {k} AS doc_id, n AS page_no, {texts(d, f'{k} + n', '表 1 连接尺寸' + chr(10) + '公称压力 PN 16' + chr(10) + '温度', 'www.bzfxw.com 免费下载', 'DIN EN 10025 general' + chr(10) + '1 Scope' + chr(10) + 'Width 20 mm', '', 'Table 2' + chr(10) + 'Operating pressure' + chr(10) + 'Weight')} AS text, ({k} + n) % 3 = 0 AS ocr_run, ({k} + n) % 6 = 0 AS ocr_injected FROM ({per(4)}) p WHERE n <= 1 + {k} % 4",
         "md": f"SELECT {k} AS doc_id, i AS line_no, line FROM ({marked(_MARKDOWN, 'line', 'i')}) m WHERE i < {k} % {len(_MARKDOWN) + 3} AND (i + {k}) % 9 <> 4",
         "tag": f"SELECT {k} AS doc_id, {texts(d, 'i', *(a for a, _ in _TAGS))} AS list, i AS ord, tag FROM ({marked([t for _, t in _TAGS], 'tag', 'i')}) t WHERE ({k} + i * i) % 4 = 1",
-        "blk": f"SELECT {k} AS doc_id, n AS ord, {texts(d, f'{k} + n', '正文', '表格标题', '标准引用')} AS kind, {texts(d, f'{k} + n', '', '表 1 连接尺寸')} AS title, {texts(d, f'{k} + n', '应按要求检验。', '', 'see DIN EN 10025')} AS content, {texts(d, k, '', 'Part 1')} AS part, {texts(d, f'{k} + n', '1 Scope', '2 密封面要求', '', '附录 A')} AS section_ref, ({k} + n) % 5 AS page_no FROM ({per(12)}) b",
+        "blk": f"SELECT {k} AS doc_id, n AS ord, {texts(d, f'{k} + n', '正文', '表格标题', '标准引用', '标题', '表格碎片')} AS kind, {texts(d, f'{k} + n', '', '表 1 连接尺寸', 'DN 50', '', 'and more', 'A-B', '')} AS title, {texts(d, f'{k} + n', '应按要求检验。', '', 'see DIN EN 10025', 'mm', '12 13 14', 'it is used.')} AS content, {texts(d, k, '', 'Part 1')} AS part, {texts(d, f'{k} + n', '1 Scope', '2 密封面要求', '', '附录 A')} AS section_ref, ({k} + n) % 5 AS page_no FROM ({per(12)}) b",
         "rnd": f"SELECT {k} AS doc_id, n AS round_no, ({k} + n) % 3 <> 0 AS ocr_run, {texts(d, k, 'grid', 'matrix')} AS engine, 220 + 80 * ({k} % 2) AS dpi, CAST({k} % 9 AS BIGINT) AS target, CAST({k} % 9 - CASE WHEN {k} % 9 > n AND {k} % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS recognised, CAST(n AS BIGINT) AS passed, CAST(1 AS BIGINT) AS marginal, CAST({k} % 2 AS BIGINT) AS rejected, CAST({k} % 4 AS BIGINT) AS injected, CAST(1500 * n + {k} % 7 AS BIGINT) AS millis, {texts(d, f'{k} + n', '', 'soft timeout', '')} AS failure FROM ({per(3)}) r WHERE n <= 1 + {k} % 3",
         "chap": f"SELECT {k} AS doc_id, n AS ord, {texts(d, f'{k} + n', '章节主题', '范围', 'Page 3', '密封面', '')} AS title, {texts(d, f'{k} + 3 * n', '正文仍然较少。', '当前仅稳定识别到范围。', '本章规定要求。', '')} AS summary FROM ({per(6)}) s WHERE n <= {k} % 7 AND {k} % 4 <> 1",
     }

@@ -161,7 +161,7 @@ def j05_first_section_of_page(d):
     return with_(
         sections(d)
         | {
-            "first": "SELECT doc_id, sec_ord, sec_no, title FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, title ORDER BY sec_ord) AS k FROM heads) h WHERE k = 1 AND sec_ord <= 40",
+            "first": "SELECT doc_id, sec_ord, sec_no, title FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, title ORDER BY sec_ord) AS k FROM heads) h WHERE k = 1",
             "page": f"SELECT doc_id, page_index, {d.join_in_order('line', 'line_no')} AS t FROM spec GROUP BY doc_id, page_index",
             "hit": "SELECT p.doc_id, p.page_index, min(CASE WHEN contains(p.t, f.title) THEN f.sec_ord END) AS sec_ord, min(f.sec_ord) AS fallback FROM page p JOIN first f ON p.doc_id = f.doc_id GROUP BY p.doc_id, p.page_index",
         },

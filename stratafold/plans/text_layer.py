@@ -84,7 +84,7 @@ def profiled(d: Dialect, lines: str, tables: str = "0", pages: str = "1") -> str
 
 @query
 def c01_normalised_lines(d):
-    return f"SELECT doc_id, line_no, CAST(length(line) AS BIGINT) AS n_chars, CAST({d.words('line')} AS BIGINT) AS n_words, left(line, 40) AS head FROM ({doc_lines(d)}) l"
+    return f"SELECT doc_id, line_no, CAST(length(line) AS BIGINT) AS n_chars, CAST({d.words('line')} AS BIGINT) AS n_words, line FROM ({doc_lines(d)}) l"
 
 
 @query
@@ -237,4 +237,4 @@ def x13_rules(d):
 @query
 def x14_inspections(d):
     """Lines with an inspection hint, of documents as given."""
-    return f"SELECT doc_id, line_no, left(line, 60) AS head FROM ({doc_lines(d)}) l WHERE {d.search('line', Parser.INSPECTION_HINT_RE)}"
+    return f"SELECT doc_id, line_no, line FROM ({doc_lines(d)}) l WHERE {d.search('line', Parser.INSPECTION_HINT_RE)}"
