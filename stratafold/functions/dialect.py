@@ -12,6 +12,11 @@ from stratafold.functions.patterns import Rx
 class Dialect:
     name = ""
 
+    #: First columns of a step that several others read. The column is read by none of them; it keeps Spark, which plans a
+    #: step anew for each of its readers, to one plan: a step that draws at random is carried out once, behind an exchange
+    #: that all of its readers share.
+    once = ""
+
     def lit(self, text: str) -> str:
         raise NotImplementedError
 
@@ -57,6 +62,7 @@ class Dialect:
 
 class Spark(Dialect):
     name = "spark"
+    once = "rand(7) AS once, "
 
     def lit(self, text: str) -> str:
         return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\t", "\\t") + "'"
@@ -115,6 +121,14 @@ class Spark(Dialect):
     def size(self, array: str) -> str:
         return f"CAST(size({array}) AS BIGINT)"
 
+    def mapped(self, array: str, x: str, value: str, where: str) -> str:
+        """`value` of every element x of an array; of these the ones that satisfy `where`, a condition on y."""
+        return f"filter(transform({array}, {x} -> {value}), y -> {where})"
+
+    def tally_in(self, array: str, x: str, condition: str) -> str:
+        """Number of elements x of an array that satisfy a condition."""
+        return f"CAST(size(filter({array}, {x} -> {condition})) AS BIGINT)"
+
     def distinct(self, array: str) -> str:
         return f"array_distinct({array})"
 
@@ -204,6 +218,12 @@ class Duck(Dialect):
     def size(self, array: str) -> str:
         return f"CAST(len({array}) AS BIGINT)"
 
+    def mapped(self, array: str, x: str, value: str, where: str) -> str:
+        return f"[y FOR y IN [{value} FOR {x} IN {array}] IF {where}]"
+
+    def tally_in(self, array: str, x: str, condition: str) -> str:
+        return f"CAST(len([{x} FOR {x} IN {array} IF {condition}]) AS BIGINT)"
+
     def distinct(self, array: str) -> str:
         return f"list_distinct({array})"
 

@@ -246,7 +246,7 @@ def reviewed(d: Dialect, given: dict[str, str] | None = None) -> dict[str, str]:
     """Issue facts `iss` and, beside the facts, the number of numeric items of the summary (here: of documents whose
     summary covers chapters)."""
     parts = facts(d, given) | mismatch_parts(d)
-    parts["seen"] = "SELECT *, CASE WHEN n_chap > 0 THEN n_par ELSE 0 END AS n_num FROM facts"
+    parts["seen"] = f"SELECT *, {d.once}CASE WHEN n_chap > 0 THEN n_par ELSE 0 END AS n_num FROM facts"
     rows = [emitted(d, r, "seen", rules) for r, rules in (("markdown", MARKDOWN_RULES), ("summary", SUMMARY_RULES + FACT_RULES + STUB_RULES), ("tags", TAG_RULES), ("source", SOURCE_RULES + SKELETON_RULES + TABLE_RULES), ("ocr", OCR_RULES))]
     rows.append(f"SELECT doc_id, 'source' AS review, {d.lit('文件名与正文不一致')} AS issue, concat(expected, ' / ', conflict) AS reason FROM mism WHERE agrees = 0 AND conflict IS NOT NULL")
     parts["iss"] = " UNION ALL ".join(rows)

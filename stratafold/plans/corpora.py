@@ -12,6 +12,11 @@ def doc_lines(d: Dialect) -> str:
     return f"SELECT doc_id, source, line_no, line FROM (SELECT doc_id, source, line_no, {d.norm('raw')} AS line FROM ({raw}) r) n WHERE line <> ''"
 
 
+def doc_arrays(d: Dialect) -> str:
+    """doc_id, source, lines: the same lines as an array, of documents that have one. Nothing is exploded."""
+    return f"SELECT doc_id, source, lines FROM (SELECT doc_id, source, {d.mapped(d.split('text', chr(10)), 'x', d.norm('x'), 'y <> ' + d.lit(''))} AS lines FROM documents WHERE text IS NOT NULL) a WHERE {d.size('lines')} > 0"
+
+
 #: Line templates of a specification page; k is the part key, and every piece is a whole number or a text column.
 TEMPLATES = (
     "'ACME STANDARD PART FILE'",

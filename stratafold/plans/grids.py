@@ -98,10 +98,11 @@ def d04_largest_tables(d):
 def graded(d: Dialect) -> dict[str, str]:
     """`cv`: cells of tables that have a header, with the tests that the extraction asks for."""
     return titled(d) | {
-        "cv": d.pin("(SELECT c.*, t.title FROM cell c JOIN tbl t ON c.doc_id = t.doc_id AND c.page_index = t.page_index AND c.tab_no = t.tab_no) x", is_value=value_like(d, "cell"), is_unit=d.full("cell", UNIT_TOKEN), model=d.extract("cell", Parser.MODEL_RE)),
+        "cv0": d.pin("(SELECT c.doc_id, c.page_index, c.tab_no, c.row_idx, c.col_idx, c.cell, t.title FROM cell c JOIN tbl t ON c.doc_id = t.doc_id AND c.page_index = t.page_index AND c.tab_no = t.tab_no) x", is_value=value_like(d, "cell"), is_unit=d.full("cell", UNIT_TOKEN), model=d.extract("cell", Parser.MODEL_RE)),
+        "cv": f"SELECT {d.once}doc_id, page_index, tab_no, row_idx, col_idx, cell, title, is_value, is_unit, model FROM cv0",
         "head": "SELECT doc_id, page_index, tab_no, title, col_idx, cell AS header, is_unit FROM cv WHERE row_idx = 0",
         "ctx": f"SELECT doc_id, page_index, tab_no, {d.joined(d.list_in_order('header', 'col_idx'), ' ')} AS headers FROM head GROUP BY doc_id, page_index, tab_no",
-        "body": "SELECT * FROM cv WHERE row_idx > 0",
+        "body": "SELECT doc_id, page_index, tab_no, row_idx, col_idx, cell, title, is_value FROM cv WHERE row_idx > 0",
         # model columns: of the header, else of the first two body rows; a model counts at its first column
         "m0": "SELECT doc_id, page_index, tab_no, row_idx, model, min(col_idx) AS col_idx FROM cv WHERE row_idx <= 2 AND model <> '' GROUP BY doc_id, page_index, tab_no, row_idx, model",
         "m1": "SELECT *, min(row_idx) OVER (PARTITION BY doc_id, page_index, tab_no) AS first_row FROM m0",

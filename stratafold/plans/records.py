@@ -6,12 +6,12 @@ from __future__ import annotations
 from stratafold.functions import lines as L
 from stratafold.functions.dialect import Dialect
 from stratafold.functions.patterns import Local, Markdown, Parser, Refine, Rx
-from stratafold.plans.corpora import doc_lines, spec_lines
+from stratafold.plans.corpora import doc_arrays, doc_lines, spec_lines
 from stratafold.plans.parameters import made, text_candidates, value_like
 from stratafold.plans.registry import query, with_
 from stratafold.plans.review import HEADING_REASONS, SOFT_REASONS, reason_columns
 from stratafold.plans.structure import blocks, sections
-from stratafold.plans.text_layer import profiled, tally
+from stratafold.plans.text_layer import array_metrics, profiled, tally
 
 #: Labels of document types; process words; date shapes of the version date, in order.
 TYPE_LABELS = {"standard": "标准/规范文档", "product_catalog": "产品样本/规格资料", "manual": "技术手册", "report": "报告文档", "unknown": "技术资料"}
@@ -117,7 +117,7 @@ def t05_limits_before_dedupe(d):
 def x18_x19_labels(d):
     label = "CASE doc_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TYPE_LABELS.items()) + " END"
     tag = "CASE doc_type " + " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in TYPE_TAGS.items()) + " END"
-    return with_({"p": profiled(d, f"({doc_lines(d)}) l")}, f"SELECT doc_id, {label} AS label, {tag} AS tag, CASE WHEN needs_ocr THEN '疑似扫描件' ELSE '' END AS scan_tag FROM p")
+    return with_({"p": profiled(d, array_metrics(d, doc_arrays(d), hints=True))}, f"SELECT doc_id, {label} AS label, {tag} AS tag, CASE WHEN needs_ocr THEN '疑似扫描件' ELSE '' END AS scan_tag FROM p")
 
 
 @query

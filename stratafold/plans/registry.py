@@ -25,6 +25,19 @@ def with_(parts: dict[str, str], last: str) -> str:
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in parts.items()) + "\n" + last
 
 
+#: Bytes of a row group, about, and of a table that is not worth dealing out.
+ROW_GROUP, TINY = 128 << 20, 256 << 10
+
+
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """A table of a folder. One that is smaller than a row group for each core may lie in fewer row groups than there are
+    cores, so its rows are dealt out to them first; a larger one is read as it lies."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if TINY < size < cores * ROW_GROUP else df
+
+
 def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Plan SQL over the tables of a folder. They are bound under names of this package, one for each folder, so that no
     view of the user's session is touched."""
@@ -34,7 +47,7 @@ def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
         name = found[2]
         if name not in known:
             known[name] = f"stratafold_{name}_{crc32(sf_dir.encode()):08x}"
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(known[name])
+            table(spark, f"{sf_dir}/{name}.parquet").createOrReplaceTempView(known[name])
         return f"{found[1]}{known[name]}"
 
     return spark.sql(re.sub(rf"\b((?:FROM|JOIN)\s+)({'|'.join(TABLES)})\b(?!\s*\()", bound, sql))

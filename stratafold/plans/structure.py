@@ -76,7 +76,7 @@ def sections(d: Dialect) -> dict[str, str]:
         "s3": f"SELECT *, coalesce(max(CASE WHEN is_ref THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, num_no ORDER BY page_index, line_no {before}), 0) = 1 AND NOT is_num AS in_ref, coalesce(last_value(CASE WHEN is_head AND (is_num OR NOT soft) THEN CASE WHEN is_rev THEN 1 ELSE 0 END END) IGNORE NULLS OVER ({order} {before}), 0) = 1 AS in_rev FROM s2" if d.name == "spark" else f"SELECT *, coalesce(max(CASE WHEN is_ref THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, num_no ORDER BY page_index, line_no {before}), 0) = 1 AND NOT is_num AS in_ref, coalesce(last_value(CASE WHEN is_head AND (is_num OR NOT soft) THEN CASE WHEN is_rev THEN 1 ELSE 0 END END IGNORE NULLS) OVER ({order} {before}), 0) = 1 AS in_rev FROM s2",
         "s4": f"SELECT *, is_head AND (is_num OR NOT (in_ref OR (in_rev AND soft))) AS opens, sum(CASE WHEN is_head THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS heads, block_type IN ('正文', '标准引用', '图示说明', '修订记录') AS content FROM s3",
         "s5": f"SELECT *, content AND heads = 0 AND row_number() OVER (PARTITION BY doc_id, content, heads ORDER BY page_index, line_no) = 1 AS leads FROM s4",
-        "s6": f"SELECT *, CAST(sum(CASE WHEN opens OR leads THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sec_ord, CAST(sum(CASE WHEN (opens AND NOT is_num) OR leads THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS syn_no FROM s5",
+        "s6": f"SELECT *, {d.once}CAST(sum(CASE WHEN opens OR leads THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sec_ord, CAST(sum(CASE WHEN (opens AND NOT is_num) OR leads THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS syn_no FROM s5",
         "heads": "SELECT doc_id, sec_ord, CASE WHEN leads THEN concat('U', syn_no) WHEN is_num THEN number ELSE concat('U', syn_no) END AS sec_no, CASE WHEN leads THEN '概述' ELSE title END AS title, CASE WHEN is_num THEN length(number) - length(replace(number, '.', '')) + 1 ELSE 1 END AS level, page_index FROM s6 WHERE opens OR leads",
     }
 

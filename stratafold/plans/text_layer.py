@@ -5,7 +5,7 @@ from __future__ import annotations
 from stratafold.functions import lines as L
 from stratafold.functions.dialect import Dialect
 from stratafold.functions.patterns import Local, Ocr, Parser, Profile, Rx
-from stratafold.plans.corpora import doc_lines, spec_lines
+from stratafold.plans.corpora import doc_arrays, doc_lines, spec_lines
 from stratafold.plans.registry import query, with_
 
 #: Longest short line of repeated noise, of the layout mode; characters and pages of the OCR gate.
@@ -21,14 +21,36 @@ def repeated_noise(d: Dialect, lines: str, least: str = "2") -> str:
     return f"SELECT source, line, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_pages FROM {lines} GROUP BY source, line HAVING count(DISTINCT doc_id) >= {least} AND (length(line) <= {NOISE_LENGTH} OR {d.search('line', L.LONG_NOISE)})"
 
 
-def metrics(d: Dialect, lines: str, keys: str = "doc_id") -> str:
-    """Text-layer metrics per document. Entities are counted in the joined text, as a match may reach over a line end."""
+#: Counts of lines by what they hold.
+LINE_COUNTS = {"content": ("search", Profile.CONTENT_LINE_RE), "advert": ("search", Profile.ADVERTISEMENT_LINE_RE), "front": ("search", Profile.FRONT_MATTER_LINE_RE), "section": ("search", Profile.SECTION_SIGNAL_LINE_RE)}
+HINTS = {"numbered": ("match", Profile.NUMBERED_HEADING_RE), "parts": ("match", Profile.PART_RE), "product_hints": ("search", Profile.PRODUCT_HINT_RE), "manual_hints": ("search", Profile.MANUAL_HINT_RE), "report_hints": ("search", Profile.REPORT_HINT_RE)}
+
+
+def _signals(d: Dialect) -> str:
+    """Entities are counted in the joined text, as a match may reach over a line end."""
+    return f"SELECT *, section_lines + {d.count('full_text', Profile.STANDARD_ENTITY_RE)} + {d.count('full_text', Profile.NUMERIC_PARAM_RE)} + {d.count('full_text', Profile.TABLE_SIGNAL_RE)} AS signals FROM joined"
+
+
+def metrics(d: Dialect, lines: str, keys: str = "doc_id", hints: bool = False) -> str:
+    """Text-layer metrics per document, or per other keys, from lines in rows: one aggregate, with the hints of the profile
+    if they are wanted."""
+    counts = [f"{tally(getattr(d, how)('line', p))} AS {k}_lines" for k, (how, p) in LINE_COUNTS.items()] + [f"{tally(getattr(d, how)('line', p))} AS {k}" for k, (how, p) in HINTS.items() if hints]
+    return with_(
+        {"joined": f"SELECT {keys}, {d.join_in_order('line', 'line_no')} AS full_text, CAST(sum(length(line)) AS BIGINT) AS char_count, count(*) AS line_count, {', '.join(counts)}, {tally(f'length(line) <= {SHORT_LINE}')} AS short_lines FROM {lines} GROUP BY {keys}"},
+        _signals(d),
+    )
+
+
+def array_metrics(d: Dialect, arrays: str, hints: bool = False) -> str:
+    """The same from one row per document with its lines as an array: no row is exploded, and nothing is shuffled."""
+    one = lambda how, p: d.tally_in("lines", "x", getattr(d, how)("x", p))
+    counts = [f"{one(how, p)} AS {k}_lines" for k, (how, p) in LINE_COUNTS.items()] + [f"{one(how, p)} AS {k}" for k, (how, p) in HINTS.items() if hints]
     return with_(
         {
-            "tagged": f"SELECT *, {d.search('line', Profile.CONTENT_LINE_RE)} AS content, {d.search('line', Profile.ADVERTISEMENT_LINE_RE)} AS advert, {d.search('line', Profile.FRONT_MATTER_LINE_RE)} AS front, {d.search('line', Profile.SECTION_SIGNAL_LINE_RE)} AS section FROM {lines}",
-            "joined": f"SELECT {keys}, {d.join_in_order('line', 'line_no')} AS full_text, CAST(sum(length(line)) AS BIGINT) AS char_count, count(*) AS line_count, {tally('content')} AS content_lines, {tally('advert')} AS advert_lines, {tally('front')} AS front_lines, {tally('section')} AS section_lines, {tally(f'length(line) <= {SHORT_LINE}')} AS short_lines FROM tagged GROUP BY {keys}",
+            "flat": d.pin(f"({arrays}) a", full_text=d.joined("lines", "\n"), line_count=d.size("lines")),
+            "joined": f"SELECT doc_id, source, full_text, CAST(length(full_text) - line_count + 1 AS BIGINT) AS char_count, line_count, {', '.join(counts)}, {d.tally_in('lines', 'x', f'length(x) <= {SHORT_LINE}')} AS short_lines FROM flat",
         },
-        f"SELECT *, section_lines + {d.count('full_text', Profile.STANDARD_ENTITY_RE)} + {d.count('full_text', Profile.NUMERIC_PARAM_RE)} + {d.count('full_text', Profile.TABLE_SIGNAL_RE)} AS signals FROM joined",
+        _signals(d),
     )
 
 
@@ -59,8 +81,8 @@ def language(d: Dialect, text: str) -> str:
     return f"CASE WHEN {zh} >= 30 THEN 'zh' WHEN {de} >= {en} AND {de} >= 3 THEN 'de' WHEN {en} >= 3 THEN 'en' WHEN {d.search(text, Rx('[äöüßÄÖÜ]'))} THEN 'de' ELSE 'unknown' END"
 
 
-def profiled(d: Dialect, lines: str, tables: str = "0", pages: str = "1") -> str:
-    """Document profile: language, OCR gate, layout, document type and confidence. Confidence is in hundredths."""
+def profiled(d: Dialect, measured: str, tables: str = "0", pages: str = "1") -> str:
+    """Document profile from metrics with hints: language, OCR gate, layout, document type and confidence (in hundredths)."""
     reasons = gate()
     n_models = d.size(d.distinct(f"filter({d.extract_all('full_text', Profile.MODEL_RE)}, x -> length(x) >= 4)" if d.name == "spark" else f"[x FOR x IN {d.extract_all('full_text', Profile.MODEL_RE)} IF length(x) >= 4]"))
     kind = """CASE WHEN standards >= 4 OR parts >= 1 OR numbered >= 3 THEN 'standard'
@@ -70,12 +92,10 @@ def profiled(d: Dialect, lines: str, tables: str = "0", pages: str = "1") -> str
       WHEN 'manual' THEN 52 + manual_hints * 4 WHEN 'report' THEN 52 + report_hints * 5 ELSE 28 + standards + product_hints * 2 END"""
     layout = """CASE WHEN needs_ocr THEN 'scan_like' WHEN line_count = 0 THEN 'single_column' WHEN tables >= 4 AND short_lines >= 0.35 * line_count THEN 'dense_table'
       WHEN tables >= 2 THEN 'table_driven' WHEN short_lines >= 0.55 * line_count THEN 'fragmented' ELSE 'single_column' END"""
-    hint = lambda p, how="search": tally(getattr(d, how)("line", p))
     return with_(
         {
-            "metric": f"SELECT *, CAST({pages} AS BIGINT) AS pages, CAST({tables} AS BIGINT) AS tables FROM ({metrics(d, lines)}) m",
-            "hints": f"SELECT doc_id, {hint(Profile.NUMBERED_HEADING_RE, 'match')} AS numbered, {hint(Profile.PART_RE, 'match')} AS parts, {hint(Profile.PRODUCT_HINT_RE)} AS product_hints, {hint(Profile.MANUAL_HINT_RE)} AS manual_hints, {hint(Profile.REPORT_HINT_RE)} AS report_hints FROM {lines} GROUP BY doc_id",
-            "marked": f"SELECT m.*, numbered, parts, product_hints, manual_hints, report_hints, {watermark(d)} AS watermark, {d.count('full_text', Profile.STANDARD_RE)} AS standards, {n_models} AS models, {language(d, 'full_text')} AS language FROM metric m JOIN hints h ON m.doc_id = h.doc_id",
+            "metric": f"SELECT *, CAST({pages} AS BIGINT) AS pages, CAST({tables} AS BIGINT) AS tables FROM ({measured}) m",
+            "marked": d.pin("metric", watermark=watermark(d), standards=d.count("full_text", Profile.STANDARD_RE), models=n_models, language=language(d, "full_text")),
             "gated": f"SELECT *, {' OR '.join(f'({v})' for v in reasons.values())} AS needs_ocr, {kind} AS doc_type FROM marked",
         },
         f"SELECT doc_id, language, doc_type, CAST(floor(least(98, greatest(0, {score})) + 0.5) AS BIGINT) AS confidence_pct, needs_ocr, {layout} AS layout, line_count, char_count, signals, standards, models FROM gated",
@@ -127,35 +147,35 @@ def f01_clean_lines(d):
 @query
 def a01_text_metrics(d):
     quality = f"{d.count('full_text', Rx(Profile.VALID_CHAR_RE.pattern))}"
-    return with_({"l": doc_lines(d), "m": metrics(d, "l")}, f"SELECT doc_id, char_count, line_count, content_lines, advert_lines, front_lines, short_lines, signals, {quality} AS valid_chars, {watermark(d)} AS watermark_reason FROM m")
+    return with_({"m": array_metrics(d, doc_arrays(d))}, f"SELECT doc_id, char_count, line_count, content_lines, advert_lines, front_lines, short_lines, signals, {quality} AS valid_chars, {watermark(d)} AS watermark_reason FROM m")
 
 
 @query
 def a02_quality_ratio(d):
     valid = d.count("full_text", Rx(Profile.VALID_CHAR_RE.pattern))
-    return with_({"l": doc_lines(d), "m": metrics(d, "l")}, f"SELECT doc_id, round(CAST({valid} AS DOUBLE) / greatest(1, char_count), 6) AS quality_ratio FROM m")
+    return with_({"m": array_metrics(d, doc_arrays(d))}, f"SELECT doc_id, round(CAST({valid} AS DOUBLE) / greatest(1, char_count), 6) AS quality_ratio FROM m")
 
 
 @query
 def a03_watermark(d):
-    return with_({"l": doc_lines(d), "m": metrics(d, "l"), "w": f"SELECT doc_id, {watermark(d)} AS reason FROM m"}, "SELECT reason, count(*) AS n_docs FROM w GROUP BY reason")
+    return with_({"m": array_metrics(d, doc_arrays(d)), "w": f"SELECT doc_id, {watermark(d)} AS reason FROM m"}, "SELECT reason, count(*) AS n_docs FROM w GROUP BY reason")
 
 
 @query
 def a04_ocr_gate(d):
     named = ", ".join(f"{v} AS {k}" for k, v in gate().items())
-    return with_({"l": doc_lines(d), "m": metrics(d, "l"), "w": f"SELECT *, 1 AS pages, {watermark(d)} AS watermark FROM m"}, f"SELECT doc_id, {named} FROM w")
+    return with_({"m": array_metrics(d, doc_arrays(d)), "w": f"SELECT *, 1 AS pages, {watermark(d)} AS watermark FROM m"}, f"SELECT doc_id, {named} FROM w")
 
 
 @query
 def a05_profile(d):
-    return profiled(d, f"({doc_lines(d)}) l")
+    return profiled(d, array_metrics(d, doc_arrays(d), hints=True))
 
 
 @query
 def a05_spec_profile(d):
     first = with_({"s": spec_lines(d)}, "SELECT doc_id, page_index * 100 + line_no AS line_no, line FROM s WHERE page_index < 30")
-    return profiled(d, f"({first}) l", tables="4", pages="50")
+    return profiled(d, metrics(d, f"({first}) l", hints=True), tables="4", pages="50")
 
 
 @query
@@ -165,7 +185,7 @@ def a06_language(d):
 
 @query
 def a07_layout(d):
-    return with_({"p": profiled(d, f"({doc_lines(d)}) l")}, "SELECT layout, needs_ocr, count(*) AS n_docs FROM p GROUP BY layout, needs_ocr")
+    return with_({"p": profiled(d, array_metrics(d, doc_arrays(d), hints=True))}, "SELECT layout, needs_ocr, count(*) AS n_docs FROM p GROUP BY layout, needs_ocr")
 
 
 def ocr_evaluated(d: Dialect, lines: str) -> str:
