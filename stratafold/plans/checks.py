@@ -448,3 +448,9 @@ def x21_x22_actions(d):
 @query
 def x23_cleaned_parameter_tags(d, given=None):
     return with_(relations(d, given, "tag"), f"SELECT doc_id, ord, tag FROM tag WHERE list = {d.lit('参数标签')} AND NOT {d.search('tag', Review.SUSPICIOUS_PARAM_TAG_RE)}")
+
+
+@query
+def c12_c13_body_lines(d, given=None):
+    """Body lines of Markdown: neither headings nor table rows, outside the block of file information."""
+    return with_(relations(d, given, "md") | markdown_parts(d), f"SELECT doc_id, line_no, bare FROM mdl WHERE NOT is_info AND NOT is_head AND bare <> '' AND left(ltrim(line), 1) <> {d.lit('|')}")

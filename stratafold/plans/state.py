@@ -23,6 +23,7 @@ COLUMNS = {
     "md": "doc_id, line_no, line",
     "tag": "doc_id, list, ord, tag",
     "chap": "doc_id, ord, title, summary",
+    "cel": "doc_id, ord, row_idx, col_idx, cell",
     "blk": "doc_id, ord, kind, title, content, part, section_ref, page_no",
     "rnd": "doc_id, round_no, ocr_run, engine, dpi, target, recognised, passed, marginal, rejected, injected, millis, failure",
 }
@@ -30,7 +31,7 @@ COLUMNS = {
 
 #: Columns that are no text.
 KINDS = {
-    "long": "doc_id ord level line_count chars_per_page ocr_done ocr_target confidence_pct n_cols n_rows page_no line_no round_no dpi target recognised passed marginal rejected injected millis".split(),
+    "long": "doc_id ord row_idx col_idx level line_count chars_per_page ocr_done ocr_target confidence_pct n_cols n_rows page_no line_no round_no dpi target recognised passed marginal rejected injected millis".split(),
     "boolean": "needs_ocr llm_called quarantined ocr_partial use_llm llm_available llm_failed ocr_run ocr_injected".split(),
 }
 
@@ -92,6 +93,7 @@ def state(d: Dialect) -> dict[str, str]:
         "ins": of_order(f"{texts(d, o, '表面', 'weld')} AS object, {texts(d, o, '外观检查', 'visual inspection', 'measured with a gauge', 'Ω⋅Ω', '')} AS method, {texts(d, o, '应无裂纹。', '')} AS requirement, {texts(d, o, '', '3.1')} AS certificate, '1 Scope' AS section_ref", f"{o} % 6 = 3"),
         "prd": of_order(f"concat('product-', {o}) AS product_id, {texts(d, o, 'Seal ring', '', '垫片')} AS name, {texts(d, o, 'AB-100', ' CD-200 ', '')} AS model, {texts(d, o, 'AB series catalog', '产品样本 CD', '', 'Brochure - EF/')} AS series, {texts(d, o, '', 'AB-100 Seal ring', '')} AS anchor", f"{o} % 6 = 4"),
         "tab": of_order(f"concat('第', {o} % 9 + 1, '页_表1') AS table_no, {texts(d, o, 'Dimensions', '第3页表1', '表 1 连接尺寸', 'Table 2: Weight,', 'References', 'scope')} AS title, {texts(d, o, '1 Scope', '2 密封面要求', '')} AS section_ref, CAST(2 + {o} % 3 AS BIGINT) AS n_cols, CAST({o} % 4 AS BIGINT) AS n_rows", f"{o} % 7 = 5"),
+        "cel": f"SELECT doc_id, ord, {d.div('(n - 1)', '3')} AS row_idx, (n - 1) % 3 AS col_idx, {texts(d, 'ord + n', 'Width', '20', '', '≤ 5', 'mm', '公称压力')} AS cell FROM ({d.rows('(SELECT o_custkey AS doc_id, o_orderkey AS ord FROM orders WHERE o_orderkey % 7 = 5) t', d.series(12), 'n', '', 'doc_id, ord, n')}) c WHERE n <= 4 + ord % 9",
         "pg": f"SELECT {k} AS doc_id, n AS page_no, {texts(d, f'{k} + n', '表 1 连接尺寸' + chr(10) + '公称压力 PN 16' + chr(10) + '温度', 'www.bzfxw.com 免费下载', 'DIN EN 10025 general' + chr(10) + '1 Scope' + chr(10) + 'Width 20 mm', '', 'Table 2' + chr(10) + 'Operating pressure' + chr(10) + 'Weight')} AS text, ({k} + n) % 3 = 0 AS ocr_run, ({k} + n) % 6 = 0 AS ocr_injected FROM ({per(4)}) p WHERE n <= 1 + {k} % 4",
         "md": f"SELECT {k} AS doc_id, i AS line_no, line FROM ({marked(_MARKDOWN, 'line', 'i')}) m WHERE i < {k} % {len(_MARKDOWN) + 3} AND (i + {k}) % 9 <> 4",
         "tag": f"SELECT {k} AS doc_id, {texts(d, 'i', *(a for a, _ in _TAGS))} AS list, i AS ord, tag FROM ({marked([t for _, t in _TAGS], 'tag', 'i')}) t WHERE ({k} + i * i) % 4 = 1",

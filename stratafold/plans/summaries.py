@@ -7,7 +7,7 @@ records join them. Lists keep their first occurrence; their limits are those of
 from __future__ import annotations
 
 from stratafold.functions.dialect import Dialect
-from stratafold.functions.patterns import Local, Rx, Tags
+from stratafold.functions.patterns import Local, Markdown, Rx, Tags
 from stratafold.plans.checks import joined_by_connector
 from stratafold.plans.records import TYPE_LABELS, TYPE_TAGS
 from stratafold.plans.registry import query, with_
@@ -357,3 +357,59 @@ def _list_query(name: str, i: int) -> None:
 
 for _i, _name in enumerate(("m14_type_tags", "m15_topic_tags", "m16_process_tags", "m17_parameter_tag_list", "m18_inspection_tags", "m19_standard_tag_list", "m20_series_tags", "m21_model_tags", "m22_application_tags", "m23_certification_tags")):
     _list_query(_name, _i)
+
+
+def rendered(d: Dialect, given: dict[str, str] | None) -> dict[str, str]:
+    """`out`: the parts of a document's Markdown in order: title and file information, parts when they change, headings two
+    levels below their own, bodies, tables under their sections, standards. A part that ends in a line break is followed by
+    a blank line."""
+    n = d.norm
+    lines = d.rows("sec", d.split("body", "\n"), "raw", "i", "doc_id, ord, i, raw")
+    dull = " OR ".join(d.full("title", p) for p in (Markdown.SYNTHETIC_TABLE_TITLE_RE, Markdown.LOW_SIGNAL_TABLE_TITLE_RE, Markdown.COMMA_FRAGMENT_TABLE_TITLE_RE))
+    label = "CASE doc_type " + " ".join(f"WHEN {d.lit(k)} THEN {d.lit(v)}" for k, v in TYPE_LABELS.items()) + " ELSE '技术资料' END"
+    brk = d.lit("\n")
+    part_before = "last_value(CASE WHEN part <> '' THEN part END) IGNORE NULLS OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" if d.name == "spark" else "last_value(CASE WHEN part <> '' THEN part END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    info = " , ".join(f"{d.lit('- ' + k + '：')}, {v}, {brk}" for k, v in {"文件名称": "file_name", "文档类型": label, "标准编号": "std_code", "版本日期": "version", "适用范围": "scope"}.items())
+    return entries(d, given, "doc", "sec", "tab", "std") | relations(d, given, "cel") | {
+        "mb0": f"SELECT doc_id, ord, i, {n('raw')} AS line FROM ({lines}) l",
+        "mb": f"SELECT doc_id, ord, {d.join_in_order('line', 'i')} AS clean FROM mb0 WHERE line <> '' GROUP BY doc_id, ord",
+        "mt0": "SELECT t.doc_id, s.ord AS sec_ord, t.ord, t.title FROM e_tab t JOIN e_sec s ON t.doc_id = s.doc_id AND t.section_ref = s.ref AND t.section_ref <> ''",
+        "mt": f"SELECT *, title <> '' AND NOT ({dull}) AND row_number() OVER (PARTITION BY doc_id, sec_ord, lower(title) ORDER BY ord) = 1 AS named FROM mt0",
+        "ms0": f"SELECT s.doc_id, s.ord, s.no, s.title, s.heading, s.part, coalesce({part_before}, '') AS part_before, least(greatest(level, 1) + 2, 6) AS depth FROM e_sec s",
+        "ms1": "SELECT m.*, coalesce(clean, '') AS clean, t.sec_ord IS NOT NULL AS same_table FROM ms0 m LEFT JOIN mb ON m.doc_id = mb.doc_id AND m.ord = mb.ord LEFT JOIN (SELECT DISTINCT doc_id AS tab_doc, sec_ord, lower(title) AS low FROM mt WHERE title <> '') t ON m.doc_id = t.tab_doc AND m.ord = t.sec_ord AND lower(m.title) = t.low",
+        "ms": "SELECT *, left(no, 1) = 'U' AND clean = '' AND same_table AS hidden FROM ms1",
+        "mc0": f"SELECT doc_id, ord, row_idx, {d.list_in_order('cell', 'col_idx')} AS row_cells FROM cel GROUP BY doc_id, ord, row_idx",
+        "mc1": f"SELECT *, max(CASE WHEN row_idx = 0 THEN {d.size('row_cells')} END) OVER (PARTITION BY doc_id, ord) AS width FROM mc0",
+        "mc2": f"SELECT doc_id, ord, row_idx, width, concat('| ', {d.joined('slice(row_cells, 1, CAST(width AS INT))' if d.name == 'spark' else 'row_cells[1:width]', ' | ')}, repeat(' | ', CAST(greatest(0, width - {d.size('row_cells')}) AS INT)), ' |') AS txt FROM mc1 WHERE width > 0",
+        "mc": f"SELECT doc_id, ord, {d.join_in_order('txt', 'row_idx')} AS grid FROM (SELECT doc_id, ord, row_idx * 2 AS row_idx, txt FROM mc2 UNION ALL SELECT doc_id, ord, 1, concat('| ', repeat('--- | ', CAST(width - 1 AS INT)), '--- |') FROM mc2 WHERE row_idx = 0) g GROUP BY doc_id, ord",
+        "out": f"""SELECT doc_id, 0 AS k1, 0 AS k2, concat('# ', CASE WHEN title <> '' THEN title ELSE file_name END, {brk}, {brk}, '## 文件基础信息', {brk}, {info}) AS txt FROM doc
+          UNION ALL SELECT doc_id, ord, 1, concat('## ', part, {brk}) FROM ms WHERE part <> '' AND part <> part_before
+          UNION ALL SELECT doc_id, ord, 2, concat(repeat('#', CAST(depth AS INT)), ' ', heading, {brk}) FROM ms WHERE NOT hidden
+          UNION ALL SELECT doc_id, ord, 3, concat(clean, {brk}) FROM ms WHERE clean <> ''
+          UNION ALL SELECT t.doc_id, t.sec_ord, 10 + 2 * t.ord, concat(repeat('#', CAST(least(m.depth + 1, 6) AS INT)), ' ', t.title, {brk}) FROM mt t JOIN ms m ON t.doc_id = m.doc_id AND t.sec_ord = m.ord WHERE t.named AND (m.hidden OR lower(t.title) <> lower(m.title))
+          UNION ALL SELECT t.doc_id, t.sec_ord, 11 + 2 * t.ord, concat(grid, {brk}) FROM mt t JOIN mc ON t.doc_id = mc.doc_id AND t.ord = mc.ord
+          UNION ALL SELECT DISTINCT doc_id, 1000000000, 0, concat('## 引用标准', {brk}) FROM e_std WHERE code <> ''
+          UNION ALL SELECT doc_id, 1000000000, place, CASE WHEN title = '' OR title = code THEN concat('- ', code) ELSE concat('- ', code, '：', title) END FROM ({first_wins('(SELECT * FROM e_std WHERE code <> {0}) z'.format(d.lit('')), 'code')}) c""",
+    }
+
+
+@query
+def m01_document_markdown(d, given=None):
+    """The Markdown of a document."""
+    text = d.join_in_order("txt", "nth")
+    return with_(rendered(d, given) | {"seq": "SELECT doc_id, txt, row_number() OVER (PARTITION BY doc_id ORDER BY k1, k2) AS nth FROM out"}, f"SELECT doc_id, concat({d.replace_all(text, Rx('^[' + chr(92) + 's]+|[' + chr(92) + 's]+$'))}, {d.lit(chr(10))}) AS markdown FROM seq GROUP BY doc_id")
+
+
+@query
+def c04_clean_bodies(d, given=None):
+    return with_(rendered(d, given), "SELECT doc_id, ord, clean FROM mb")
+
+
+@query
+def f24_table_headings(d, given=None):
+    return with_(rendered(d, given), "SELECT doc_id, sec_ord, ord, title, named FROM mt")
+
+
+@query
+def f25_hidden_section_headings(d, given=None):
+    return with_(rendered(d, given), "SELECT doc_id, ord, no, title, hidden FROM ms")

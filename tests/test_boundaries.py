@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratafold import job
 from stratafold.operators.folds import page_pointer, row_clusters
 from stratafold.operators.merge import merge_sections
+from stratafold.operators.refine import local_cleanup, refine, renamed_references
 from stratafold.sources import language, locks, recognition
 from stratafold.sources.export import write_documents
 from stratafold.sources.providers import Settings, open_both, page_texts
@@ -307,3 +308,24 @@ def test_merges_in_plain_loops(spark):
                 want[doc, m] = (None, o[1]) if m != o[1] else ("\n".join(body), None)
     got = merge_sections(spark.createDataFrame(rows, "doc_id long, sec_ord long, sec_no string, title string, body string, direction string, keep_title boolean"))
     assert {(r.doc_id, r.sec_ord): (r.body, r.merged_into) for r in got.collect()} == want
+
+
+def test_refinement(spark):
+    sections = spark.createDataFrame([(1, 1, "1", "DN", "a", True, False), (1, 2, "2", "Scope", "b", False, True), (1, 3, "3", "mm", "c\nd\ne\nf\ng", True, False), (1, 4, "4", "End", "h", False, True)], "doc_id long, sec_ord long, sec_no string, title string, body string, hard boolean, keep_title boolean")
+    blocks = spark.createDataFrame([(1, 1, "表格碎片", "", "mm", True, False), (1, 2, "标题", "it is.", "x", False, True), (1, 3, "正文", "", "y", True, True)], "doc_id long, ord long, kind string, title string, content string, hard boolean, soft boolean")
+    kept, cleaned, moved = local_cleanup(sections, blocks)
+    assert {r.sec_ord: r.body for r in kept.collect()} == {2: "a\nb", 4: "c\nd\ne\nf\ng\nh"}
+    assert {r.ord: (r.kind, r.title, r.content, r.changed) for r in cleaned.collect()} == {2: ("正文", "", "it is.\nx", True), 3: ("正文", "", "y", False)}
+    assert {r.sec_ord: r.merged_into for r in moved.collect()} == {1: 2, 3: 4}
+    records = spark.createDataFrame([(1, "1 DN"), (2, "1 DN")], "doc_id long, section_ref string")
+    names = spark.createDataFrame([(1, "1 DN", "2 Scope")], "doc_id long, old_ref string, new_ref string")
+    assert {r.doc_id: r.section_ref for r in renamed_references(records, names).collect()} == {1: "2 Scope", 2: "1 DN"}
+    one = lambda df: df
+    state, log = refine(kept, one, lambda s: s.where("sec_ord = 4"), lambda c: c, lambda s, d: s.where("sec_ord <> 4"), one, lambda df: df.cache())
+    assert [x["stage"] for x in log] == ["local", "model"] and state.count() == 1
+
+    def broken(shown):
+        raise ValueError("no answer")
+
+    assert refine(kept, one, one, broken, one, one, one)[1][-1] == {"round": 1, "stage": "model", "candidates": 2, "success": False, "error": "no answer"}
+    assert len(refine(kept, one, one, None, one, one, one)[1]) == 1

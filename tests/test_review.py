@@ -213,3 +213,15 @@ def test_every_problem_has_its_points():
     for _, _, dim, points, *_ in checks.PROBLEMS:
         by_dim[dim] = by_dim.get(dim, 0) + points
     assert by_dim == {"base": 27, "factual": 80, "consistency": 50, "": 0}
+
+
+def test_markdown():
+    frames = {
+        "doc": rows("doc", {"title": "T", "file_name": "f.pdf", "doc_type": "manual", "std_code": "GB 1"}),
+        "sec": rows("sec", {"no": "1", "title": "范围", "level": 1, "body": " a \n\nb", "part": "Part 1"}, {"no": "U2", "title": "尺寸", "level": 9, "part": "Part 1"}, {"no": "3", "title": "X", "level": 2, "part": ""}, {"no": "4", "title": "Y", "level": 1, "part": "Part 2"}),
+        "tab": rows("tab", {"ord": 1, "title": "尺寸", "section_ref": "U2 尺寸"}, {"ord": 2, "title": "第3页表1", "section_ref": "1 范围"}, {"ord": 3, "title": "Weights", "section_ref": "1 范围"}, {"ord": 4, "title": "weights", "section_ref": "1 范围"}),
+        "cel": rows("cel", *({"ord": o, "row_idx": r, "col_idx": c, "cell": f"{o}{r}{c}"} for o, shape in ((1, (2, 1, 3)), (3, (1,))) for r, n in enumerate(shape) for c in range(n))),
+        "std": rows("std", {"code": "ISO 1", "title": "One"}, {"code": "ISO 1", "title": "Two"}, {"code": "ISO 2", "title": "ISO 2"}),
+    }
+    want = "# T\n\n## 文件基础信息\n- 文件名称：f.pdf\n- 文档类型：技术手册\n- 标准编号：GB 1\n- 版本日期：\n- 适用范围：\n\n## Part 1\n\n### 1 范围\n\na\nb\n\n#### Weights\n\n| 300 |\n| --- |\n\n###### 尺寸\n\n| 100 | 101 |\n| --- | --- |\n| 110 |  |\n| 120 | 121 |\n\n#### 3 X\n\n## Part 2\n\n### 4 Y\n\n## 引用标准\n\n- ISO 1：One\n- ISO 2\n"
+    assert run("m01_document_markdown", frames)[0].markdown == want
