@@ -60,9 +60,10 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _covered(windows: Column) -> Column:
-    """Words in three-word windows that occur more than once: windows are sorted with their place, those equal to a
-    neighbour are kept, and the places they cover are counted once."""
+def _covered(words: Column, hashes: Column) -> Column:
+    """Words in three-word windows that occur more than once. Windows whose hashes all differ hold no repeat; where some
+    agree, the windows themselves are sorted with their place, those equal to a neighbour are kept, and the places they
+    cover are counted once."""
 
     def body(s: Column) -> Column:
         last = F.size(s) - 1
@@ -70,8 +71,8 @@ def _covered(windows: Column) -> Column:
         places = F.transform(F.filter(s, twin), lambda e: F.array(e["i"], e["i"] + 1, e["i"] + 2))
         return F.size(F.array_distinct(F.flatten(places)))
 
-    numbered = F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
-    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), _let(F.sort_array(numbered), body)).otherwise(0)
+    numbered = F.transform(hashes, lambda _, i: F.struct(F.concat_ws(" ", words[i], words[i + 1], words[i + 2]).alias("x"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), _let(F.sort_array(numbered), body)).otherwise(0)
 
 
 def _kept(rules: tuple[Rule, ...]) -> dict[str, Column]:
@@ -95,10 +96,10 @@ def quality_rules(docs: DataFrame, text: str = "text", id_col: str = "doc_id", r
     t = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.col(id_col).alias("_id"), t.alias("t"), words_col(t).alias("w"), F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     n = F.size("w")
-    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.concat_ws(" ", F.col("w")[i], F.col("w")[i + 1], F.col("w")[i + 2]))).otherwise(F.array().cast("array<string>"))
+    hashes = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.col("w")[i], F.col("w")[i + 1], F.col("w")[i + 2]))).otherwise(F.array().cast("array<long>"))
     drop = lambda chars: F.length("t") - F.length(F.translate("t", chars, ""))
     some = lambda col, test: F.size(F.filter(col, test))
-    bare = lambda w: F.lower(F.regexp_replace(w, r"[.,;:!?]+$", ""))
+    bare = lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?")))
     counted = base.select(
         "_id",
         n.cast("long").alias("n_words"),
@@ -111,9 +112,10 @@ def quality_rules(docs: DataFrame, text: str = "text", id_col: str = "doc_id", r
         some("lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-*•]")).cast("long").alias("n_bullet_lines"),
         some("lines", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$")).cast("long").alias("n_ellipsis_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        windows.alias("windows"),
+        "w",
+        hashes.alias("hashes"),
     )
-    repeated = counted.withColumn("n_repeat_words", _covered(F.col("windows")).cast("long"))
+    repeated = counted.withColumn("n_repeat_words", _covered(F.col("w"), F.col("hashes")).cast("long"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     passed = _kept(rules)
     kept = reduce(lambda a, b: a & b, passed.values(), ~failed)
