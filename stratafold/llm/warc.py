@@ -201,7 +201,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: Index rows of a range, about; a row takes some 300 bytes of the task that merges it.
-RANGE_ROWS = 200_000
+RANGE_ROWS = 50_000
 
 
 def merge_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
