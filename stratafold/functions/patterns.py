@@ -77,7 +77,6 @@ class Parser:
     PURE_NUMERIC_VALUE_RE = Rx('^(?:[+\\-]|≤|≥|<|>|=|±)?\\s*\\d+(?:[.,]\\d+)?(?:\\s*(?:MPa|kPa|Pa|mm|cm|m|μm|µm|um|bar|psi|°C|℃|K|%|A/m|N/mm2|N/mm²|kN/m2|kg|g|°))?$', True)
     DIMENSION_VALUE_RE = Rx('^\\d+(?:[.,]\\d+)?(?:\\s*[x×]\\s*\\d+(?:[.,]\\d+)?){1,3}(?:\\s*(?:MPa|kPa|Pa|mm|cm|m|μm|µm|um|bar|psi|°C|℃|K|%|A/m|N/mm2|N/mm²|kN/m2|kg|g|°))?$', True)
     CODE_LIKE_VALUE_RE = Rx('^[A-Za-z]{1,8}\\d+(?:[-—–/][A-Za-z0-9.]+)+$', True)
-    COMMON_SHORT_CJK_HEADING_RE = Rx('^(?:范围|前言|术语|定义|要求|代号|分类|标记|包装|运输|贮存|材料|尺寸|结构|检验|试验|说明|附录|引用文件|规范性引用文件)$')
     UNIT_ONLY_FRAGMENT_RE = Rx('^[()（）\\[\\]]*(?:mm|cm|m|kg|g|℃|°C|bar|MPa|kPa|Pa|DN|PN|个)[()（）\\[\\]]*[；;。.]?$', True)
     LETTER_MARKER_RE = Rx('^[A-Za-z][.)]?$')
 
@@ -129,9 +128,7 @@ class Review:
     COUNT_ONLY_SUMMARY_SIGNAL_RE = Rx('(?:当前识别为|已建立\\s*\\d+|已抽取\\s*\\d+|已识别\\s*\\d+)')
     GENERIC_CHAPTER_TITLE_RE = Rx('^(?:章节主题(?:（原文：.+）)?|Seite\\s*\\d+|Page\\s*\\d+)$', True)
     LOW_SIGNAL_CHAPTER_SUMMARY_RE = Rx('(?:^当前仅稳定识别到|正文仍然较少|当前细节仍以原文为准|已识别到原文正文，当前细节仍以原文为准)')
-    FOREIGN_CONNECTOR_RE = Rx('\\b(?:for|and|und|mit|als|f[uü]r|verwendet|geeignet|nach|ohne)\\b', True)
     LLM_STUB_RE = Rx('^(?:文档可提取内容极少|当前仅识别到|由于原始文本层缺失|未获得实质性|无法从现有原料|当前识别为|已建立\\d+个|已抽取\\d+条)')
-    STANDARD_CODE_IN_NAME_RE = Rx('(CB|GB|ISO|CH|IEC|JIS)(?:[/_][TZ])?[\\s_]*(\\d+)[-—.](\\d+)', True)
 
 
 class Tags:
@@ -141,7 +138,6 @@ class Tags:
     APPLICATION_HINT_RE = Rx('(?:适用范围|应用范围|应用场景|用途|application|scope|anwendungsbereich)\\s*[:：]?\\s*(.+)', True)
     CERTIFICATION_RE = Rx('\\b(?:CE|UL|CSA|ATEX|IECEx|RoHS|REACH|CCC|TUV|TÜV|FDA|EHEDG|3-A)\\b', True)
     LOW_SIGNAL_PARAMETER_RE = Rx('^(?:-|\\(?[A-Z]\\)?|DN|d\\s*\\d+\\)?|l\\s*\\d+|s\\d*|b|h|w)$', True)
-    DIMENSION_TOKEN_RE = Rx('^(?:DN|d\\d+\\)?|l\\d+|s\\d*|b|h|w)$', True)
     NUMBER_HEAVY_RE = Rx('(?:\\d+[.)/]?\\s*){2,}')
     ABBREV_HEAVY_RE = Rx('(?:\\b[a-z]{1,3}\\b\\s*){2,}', True)
     PARAMETER_TAG_PATTERNS = [
@@ -189,8 +185,6 @@ class Ocr:
     STANDARD_SIGNAL_RE = Rx('\\b(?:DIN|EN|ISO|SN|SEW|DVS|AD|TRbF|GB|CB)\\s*[0-9][0-9A-Za-z./\\-—–]*\\b')
     TABLE_SIGNAL_RE = Rx('(?:表|图|Table|Figure|Fig\\.?|Tabelle)\\s*\\d+', True)
     CONTENT_CHAR_RE = Rx('[A-Za-z0-9一-鿿]')
-    PUNCT_CHAR_RE = Rx('[^\\w\\s一-鿿]')
-    CJK_OR_ASCII_RE = Rx('[一-鿿A-Za-z0-9]')
 
 
 class Local:

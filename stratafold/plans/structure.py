@@ -94,7 +94,7 @@ def f03_class_counts(d):
 @query
 def f04_f13_line_flags(d):
     parts = {"part": L.part_heading, "toc": L.toc_line, "metadata": L.metadata_line, "dense": L.spec_dense, "ocr_fragment": L.ocr_fragment_heading, "standard": L.standard_line, "caption": L.caption, "table_fragment": L.table_fragment, "skipped": L.skipped}
-    return f"SELECT doc_id, page_index, line_no, {', '.join(f'{f(d, chr(108) + chr(105) + chr(110) + chr(101))} AS is_{k}' for k, f in parts.items())} FROM ({spec_lines(d)}) l"
+    return f"SELECT doc_id, page_index, line_no, {', '.join(f'{f(d, "line")} AS is_{k}' for k, f in parts.items())} FROM ({spec_lines(d)}) l"
 
 
 @query

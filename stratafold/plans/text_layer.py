@@ -214,7 +214,7 @@ def a08f_ocr_batch(d):
     accepted = tally("grade <> '拒绝'")
     return with_(
         {"l": doc_lines(d), "o": ocr_evaluated(d, "l")},
-        f"SELECT source, count(*) AS target_pages, {tally(chr(103) + 'rade = ' + chr(39) + '通过' + chr(39))} AS passed, {tally('grade = ' + chr(39) + '边缘' + chr(39))} AS marginal, {tally('grade = ' + chr(39) + '拒绝' + chr(39))} AS rejected, CASE WHEN {accepted} = 0 THEN '失败' WHEN {accepted} = count(*) THEN '成功' ELSE '部分成功' END AS conclusion FROM o JOIN documents x ON o.doc_id = x.doc_id GROUP BY source",
+        f"SELECT source, count(*) AS target_pages, {tally("grade = '通过'")} AS passed, {tally("grade = '边缘'")} AS marginal, {tally("grade = '拒绝'")} AS rejected, CASE WHEN {accepted} = 0 THEN '失败' WHEN {accepted} = count(*) THEN '成功' ELSE '部分成功' END AS conclusion FROM o JOIN documents x ON o.doc_id = x.doc_id GROUP BY source",
     )
 
 
