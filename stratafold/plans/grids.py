@@ -117,7 +117,7 @@ JOIN = "{0}.doc_id = {1}.doc_id AND {0}.page_index = {1}.page_index AND {0}.tab_
 def candidates(d: Dialect) -> dict[str, str]:
     """`gc`: parameter candidates of all tables, in order."""
     same = lambda a, b, row=False: JOIN.format(a, b) + (f" AND {a}.row_idx = {b}.row_idx" if row else "")
-    canon = lambda x, context: f"CASE WHEN {name_of(d, x, context)} <> '' THEN {name_of(d, x, context)} ELSE {x} END"
+    canon = lambda x, context: name_of(d, x, context, always=True)
     free = "SELECT b.*, row_number() OVER (PARTITION BY b.doc_id, b.page_index, b.tab_no, b.row_idx ORDER BY b.col_idx) AS k FROM body b LEFT JOIN mc ON {0} AND b.col_idx = mc.col_idx LEFT JOIN uc ON {1} AND b.col_idx = uc.unit_col WHERE mc.model IS NULL AND uc.unit_col IS NULL AND b.cell <> '' AND NOT b.is_value".format(same("b", "mc"), same("b", "uc"))
     columns = "doc_id, page_index, tab_no, seq, name, value, cond, title AS section_ref, title AS table_title, source_item, unit_hint"
     return graded(d) | {

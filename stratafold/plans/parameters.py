@@ -33,10 +33,12 @@ BLACKLIST = (
 GLUED = Rx(Parser.LEADING_NUMERIC_CJK_GLUE_RE.pattern.replace("(?=[一-鿿])", "[一-鿿]"))
 
 
-def name_of(d: Dialect, x: str, context: str) -> str:
+def name_of(d: Dialect, x: str, context: str, always: bool = False) -> str:
+    """The canonical name of a label in its context: the label itself where none is known, '' where that is too long to be a
+    name, unless it is to be taken always."""
     source = f"lower(concat({x}, ' ', {context}))"
     cases = " ".join(f"WHEN {d.search(source, rx)} THEN {d.lit(v) if v else x}" for rx, v in NAMES)
-    return f"CASE {cases} WHEN length({x}) <= 40 THEN {x} ELSE '' END"
+    return f"CASE {cases} ELSE {x} END" if always else f"CASE {cases} WHEN length({x}) <= 40 THEN {x} ELSE '' END"
 
 
 def unit_of(d: Dialect, x: str) -> str:
