@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratafold.llm import embeddings, langid, quality, secrets, toxicity, warc
+from stratafold.llm import embeddings, langid, quality, secrets, toxicity, tries, warc
 from stratafold.llm.common import table
 from stratafold.llm.embeddings import near_vectors
 from stratafold.llm.mixing import mix, mix_summary
@@ -57,9 +57,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, sizes = tries.ordered_turns(table(spark, sf_dir, "conversations"))
+    return tries.trie(*tries.shared_prefixes(turns, sizes))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.oracle(), "op3_embedding_near_dedup": embeddings.oracle(), "op5_warc": warc.oracle(), "op8_secret_scan": secrets.oracle()}
+    return {"op1_quality_rules": quality.oracle(), "op3_embedding_near_dedup": embeddings.oracle(), "op5_warc": warc.oracle(), "op8_secret_scan": secrets.oracle(), "op11_prefix_trie": tries.oracle()}
