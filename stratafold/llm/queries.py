@@ -11,7 +11,7 @@ from stratafold.llm.common import table
 from stratafold.llm.embeddings import near_vectors
 from stratafold.llm.mixing import mix, mix_summary
 from stratafold.llm.simhash import near_duplicates
-from stratafold.llm.tokens import packed_documents, token_counts
+from stratafold.llm.tokens import best_fit_documents, packed_documents, token_counts
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.trie(*tries.shared_prefixes(turns, sizes))
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed, _ = best_fit_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

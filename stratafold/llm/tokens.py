@@ -1,4 +1,4 @@
-"""Token counts (op 9) and packing into fixed-length sequences (op 10).
+"""Token counts (op 9) and packing into fixed-length sequences (op 10: shortest pack first, op 12: best fit).
 
 Token counts use one observation about the byte-level pre-tokeniser: a space that a non-blank character follows always starts
 a new pre-token, whatever stands before it. So a text falls apart at its spaces into chunks whose pieces never depend on the
@@ -13,12 +13,14 @@ import re
 import sys
 import zlib
 from array import array
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
@@ -148,9 +150,10 @@ def token_counts(docs: DataFrame, text: str = "text", id_col: str = "doc_id", pa
     return slim.mapInArrow(tidy(run), f"_id {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("_id", id_col)
 
 
-def token_pieces(docs: DataFrame, max_len: int = 2048, text: str = "text", id_col: str = "doc_id", path: str | None = None, end_id: int = 1, with_ids: bool = True) -> DataFrame:
-    """Documents as token pieces of at most max_len ids: all pieces but the last are full. A document's ids are those of
-    its text (null: empty) and end_id. Columns: id, start, length, ids_crc32, doc_tokens, and ids when with_ids.
+def token_pieces(docs: DataFrame, max_len: int = 2048, text: str = "text", id_col: str = "doc_id", path: str | None = None, end_id: int = 1, with_ids: bool = True, short_first: bool = False) -> DataFrame:
+    """Documents as token pieces of at most max_len ids: all pieces but the last (the first, when short_first) are full. A
+    document's ids are those of its text (null: empty) and end_id. Columns: id, start, length, ids_crc32, doc_tokens, and ids
+    when with_ids; when short_first also piece (from 0) and row, a number of the document that no other row has.
 
     Every row is a document: repeated rows and null ids give pieces of their own. Long texts are cut into as many pieces as
     they need. Other columns are not read, whatever their names; an empty table gives an empty table."""
@@ -159,7 +162,9 @@ def token_pieces(docs: DataFrame, max_len: int = 2048, text: str = "text", id_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(path)
-        names = ["_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
+        names = ["_id", "start", "length", "ids_crc32", "doc_tokens"] + ["piece", "row"] * short_first + ["ids"] * with_ids
+        context = TaskContext.get()
+        seen = (context.partitionId() if context else 0) << 33
         for batch in batches:
             col = batch.column("_text")
             rows: list[tuple] = []
@@ -168,6 +173,8 @@ def token_pieces(docs: DataFrame, max_len: int = 2048, text: str = "text", id_co
 
             def flush() -> pa.RecordBatch:
                 out = [batch.column("_id").take(pa.array([r[0] for r in rows], pa.int64())), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(1, 5))]
+                if short_first:
+                    out += [pa.array([r[5] for r in rows], pa.int32()), pa.array([seen + r[0] for r in rows], pa.int64())]
                 if with_ids:
                     offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
                     out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), "<i4"))))
@@ -178,9 +185,11 @@ def token_pieces(docs: DataFrame, max_len: int = 2048, text: str = "text", id_co
                 ids = tokens.ids(t) if t else []
                 ids.append(end_id)
                 total = len(ids)
-                for start in range(0, total, max_len):
-                    part = _as_bytes(ids[start : start + max_len] if total > max_len else ids)
-                    rows.append((i, start, len(part) // 4, zlib.crc32(part), total))
+                lead = total % max_len if short_first else 0
+                starts = [*([0] if lead else []), *range(lead, total, max_len)]
+                for piece, (start, end) in enumerate(zip(starts, [*starts[1:], total])):
+                    part = _as_bytes(ids[start:end] if total > max_len else ids)
+                    rows.append((i, start, len(part) // 4, zlib.crc32(part), total, piece))
                     if with_ids:
                         parts.append(part)
                     held += len(part)
@@ -189,9 +198,10 @@ def token_pieces(docs: DataFrame, max_len: int = 2048, text: str = "text", id_co
                     rows, parts, held = [], [], 0
             if rows:
                 yield flush()
+            seen += len(col)
 
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    made = slim.mapInArrow(tidy(run), f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
+    made = slim.mapInArrow(tidy(run), f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", piece int, row long" * short_first + ", ids array<int>" * with_ids)
     return made.withColumnRenamed("_id", id_col)
 
 
@@ -224,9 +234,53 @@ def shortest_pack_first(counts: dict[int, int], max_len: int) -> list[tuple[list
     return [(list(p), n) for at in room for p, n in at.items()]
 
 
-def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id") -> DataFrame:
+def best_fit(counts: dict[int, int], max_len: int) -> list[tuple[list[int], int]]:
+    """Packing patterns over a histogram of lengths, longest lengths first; each length goes to the open packs with the least
+    room that still holds it, as if its pieces came one by one: a pack is filled with as many of them as it takes before the
+    next. Returns (lengths, packs) pairs, packs > 0.
+
+    Packs with one room and one content are counted, not listed. A length splits one pattern at most into full, part-filled
+    and untouched packs and opens two kinds of new ones, so there are at most four patterns for each distinct length, and the
+    work does not depend on the number of pieces."""
+    room: list[dict[tuple[int, ...], int]] = [{} for _ in range(max_len + 1)]  # by space left: pattern -> packs
+    rooms: list[int] = []  # those spaces of which packs are open, ascending
+
+    def add(space: int, pattern: tuple[int, ...], packs: int) -> None:
+        if not room[space]:
+            insort(rooms, space)
+        room[space][pattern] = room[space].get(pattern, 0) + packs
+
+    for length in sorted(counts, reverse=True):
+        left = counts[length]
+        after: list[tuple[int, tuple[int, ...], int]] = []  # packs that hold this length and have no room for another
+        while left:
+            k = bisect_left(rooms, length)
+            if k < len(rooms):
+                space = rooms[k]
+                pattern, have = room[space].popitem()
+                if not room[space]:
+                    del rooms[k]
+            else:
+                space, pattern, have = max_len, (), left
+            each = space // length
+            full = min(have, left // each)
+            rest = min(left - full * each, each) if full < have else 0
+            if full:
+                after.append((space - each * length, (*pattern, *[length] * each), full))
+            if rest:
+                after.append((space - rest * length, (*pattern, *[length] * rest), 1))
+            left -= full * each + rest
+            if pattern and have > full + bool(rest):
+                add(space, pattern, have - full - bool(rest))
+        for space, pattern, packs in after:
+            add(space, pattern, packs)
+    return [(list(p), n) for at in room for p, n in at.items()]
+
+
+def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id", plan: Callable[[dict[int, int], int], list[tuple[list[int], int]]] = shortest_pack_first, row_col: str | None = None) -> DataFrame:
     """Add sequence_id and offset to pieces with a length of 1 to max_len: every piece lies in one sequence, sequences hold
-    at most max_len ids, and the pieces of a sequence follow each other without a gap.
+    at most max_len ids, and the pieces of a sequence follow each other without a gap. `plan` makes the patterns from the
+    histogram; pieces of one length are ranked by row_col (the document's id, if not given) and start.
 
     Only the histogram (at most max_len rows) and the sizes of the ranking groups reach the driver. Pieces find their place
     by the rank within their length; a length with many pieces is ranked in several groups, so that a common length has no
@@ -238,7 +292,7 @@ def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id") -> Data
     counts = {r["length"]: r["count"] for r in slim.groupBy("length").count().collect()}
     group = group_rows(sum(counts.values()))
     groups = spark.createDataFrame([(k, -(-n // group)) for k, n in counts.items()] or [(0, 1)], "length long, _groups long")
-    salted = slim.join(F.broadcast(groups), "length").withColumn("_salt", F.pmod(F.xxhash64(id_col, "start"), F.col("_groups"))).drop("_groups")
+    salted = slim.join(F.broadcast(groups), "length").withColumn("_salt", F.pmod(F.xxhash64(row_col or id_col, "start"), F.col("_groups"))).drop("_groups")
     salted = salted.select(*slim.columns, "_salt")
     base: dict[tuple[int, int], int] = {}
     seen = dict.fromkeys(counts, 0)
@@ -248,7 +302,7 @@ def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id") -> Data
     slots: dict[int, list[tuple[int, int, int]]] = {}  # by length: ranks taken before, first sequence, offset
     used = dict.fromkeys(counts, 0)
     seq = 0
-    for lengths, packs in shortest_pack_first(counts, max_len):
+    for lengths, packs in plan(counts, max_len):
         offset = 0
         for length in lengths:
             slots.setdefault(length, []).append((used[length], seq, offset))
@@ -276,7 +330,7 @@ def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id") -> Data
             keep = [i for i, c in enumerate(batch.schema.names) if c not in ("_salt", "_rank")]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(sequence), pa.array(offset)], [*(batch.schema.names[i] for i in keep), "sequence_id", "offset"])
 
-    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(id_col, "start")))
+    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(row_col or id_col, "start")))
     schema = StructType([*slim.schema.fields]).add("sequence_id", LongType()).add("offset", LongType())
     return ranked.mapInArrow(place, schema)
 
@@ -288,6 +342,15 @@ def packed_documents(docs: DataFrame, max_len: int = 2048, **how) -> tuple[DataF
     return pack(pieces, max_len, how.get("id_col", "doc_id")), pieces
 
 
+def best_fit_documents(docs: DataFrame, max_len: int = 2048, end_id: int = 0, **how) -> tuple[DataFrame, DataFrame]:
+    """(packed, pieces) with only documents of more than max_len ids cut, from their end into full pieces, so that the first
+    may be shorter, and best-fit patterns. Pieces of one length take the planned slots by their rank. Every row is a document,
+    also repeated ones and those without an id: they are told apart by `row`. Null and empty texts are the id end_id alone.
+    Other columns are not read; an empty table gives empty tables."""
+    pieces = materialise(token_pieces(docs, max_len, end_id=end_id, short_first=True, **how), "pieces")
+    return pack(pieces, max_len, how.get("id_col", "doc_id"), best_fit, "row"), pieces
+
+
 def sequences(packed: DataFrame, pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id", pad_id: int = 50256) -> DataFrame:
     """The packed sequences: sequence_id, used (ids before padding) and ids, padded to max_len, except where `used` is a
     power of two. Documents' ids must be distinct."""
