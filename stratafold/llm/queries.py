@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratafold.llm import embeddings, langid, quality, secrets, toxicity, tries, warc
+from stratafold.llm import embeddings, langid, negatives, quality, secrets, toxicity, tries, warc
 from stratafold.llm.common import table
 from stratafold.llm.embeddings import near_vectors
 from stratafold.llm.mixing import mix, mix_summary
@@ -67,9 +68,14 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.oracle(), "op3_embedding_near_dedup": embeddings.oracle(), "op5_warc": warc.oracle(), "op8_secret_scan": secrets.oracle(), "op11_prefix_trie": tries.oracle()}
+    return {"op1_quality_rules": quality.oracle(), "op3_embedding_near_dedup": embeddings.oracle(), "op5_warc": warc.oracle(), "op8_secret_scan": secrets.oracle(), "op11_prefix_trie": tries.oracle(), "op13_hard_negatives": negatives.oracle()}
