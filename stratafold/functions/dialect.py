@@ -6,6 +6,8 @@ line breaks, where a pattern is anchored at the end.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from stratafold.functions.patterns import Rx
 
 
@@ -55,6 +57,20 @@ class Dialect:
         """Place of the first colon, half or full width; 0 if there is none."""
         return f"position(':' IN replace({x}, '：', ':'))"
 
+    def each(self, array: str, value: Callable[[str, str], str], x: str = "x", i: str = "i") -> str:
+        """`value` of every element of an array; value gets the names of the element and of its index from 0."""
+        raise NotImplementedError
+
+    def kept(self, array: str, test: Callable[[str, str], str], x: str = "x", i: str = "i") -> str:
+        """The elements of an array that pass a test of the element and its index from 0."""
+        raise NotImplementedError
+
+    def first_kept(self, array: str, test: Callable[[str, str], str], x: str = "x", i: str = "i") -> str:
+        return self.get(self.kept(array, test, x, i), "0")
+
+    def any_kept(self, array: str, test: Callable[[str, str], str], x: str = "x", i: str = "i") -> str:
+        return f"{self.size(self.kept(array, test, x, i))} > 0"
+
     def first_of(self, x: str, table, default: str = "''", how: str = "search") -> str:
         """The value of the first row (pattern, value) of a table whose pattern is found in x."""
         return "CASE " + " ".join(f"WHEN {getattr(self, how)(x, rx)} THEN {self.lit(v)}" for rx, v in table) + f" ELSE {default} END"
@@ -157,6 +173,53 @@ class Spark(Dialect):
         """The values of a group as an array, by order."""
         return f"transform(array_sort(collect_list(CASE WHEN {where} THEN named_struct('o', {order}, 'x', {x}) END)), s -> s.x)"
 
+    def each(self, array, value, x="x", i="i"):
+        return f"transform({array}, ({x}, {i}) -> {value(x, i)})"
+
+    def kept(self, array, test, x="x", i="i"):
+        return f"filter({array}, ({x}, {i}) -> {test(x, i)})"
+
+    def get(self, array: str, index: str) -> str:
+        """Element of an array, counted from 0; null beyond its ends."""
+        return f"get({array}, CAST({index} AS INT))"
+
+    def struct(self, **fields: str) -> str:
+        return f"named_struct({', '.join(f'{self.lit(k)}, {v}' for k, v in fields.items())})"
+
+    def split_cells(self, x: str) -> str:
+        """Cells of a row that is written with bars."""
+        return f"split({x}, '[|]')"
+
+    def none_of(self, array: str) -> str:
+        """An empty array of the same kind."""
+        return f"slice({array}, 1, 0)"
+
+    def chained(self, *arrays: str) -> str:
+        """Arrays end to end."""
+        return f"concat({', '.join(arrays)})"
+
+    def upto(self, n: str) -> str:
+        """The numbers from 0 to n - 1, for n of 1 or more."""
+        return f"sequence(0, CAST({n} AS INT) - 1)"
+
+    def most(self, array: str) -> str:
+        return f"array_max({array})"
+
+    def rest(self, array: str) -> str:
+        """An array without its first element."""
+        return f"slice({array}, 2, greatest(size({array}) - 1, 0))"
+
+    def holds(self, array: str, x: str) -> str:
+        return f"array_contains({array}, {x})"
+
+    def first_by(self, x: str, order: str, where: str = "true") -> str:
+        """The value of a group's first row by order, of those that satisfy `where`; null if none does."""
+        return f"min_by({x}, {order}) FILTER (WHERE {where})"
+
+    def last_seen(self, x: str, over: str) -> str:
+        """The last value that is not null, over a window."""
+        return f"last_value({x}) IGNORE NULLS OVER ({over})"
+
     def joined(self, array: str, by: str) -> str:
         return f"array_join({array}, {self.lit(by)})"
 
@@ -248,6 +311,48 @@ class Duck(Dialect):
     def list_in_order(self, x: str, order: str, where: str = "true") -> str:
         return f"coalesce(list({x} ORDER BY {order}) FILTER ({where}), [])"
 
+    def each(self, array, value, x="x", i="i"):
+        return f"list_transform({array}, lambda {x}, {i}: {value(x, f'({i} - 1)')})"
+
+    def kept(self, array, test, x="x", i="i"):
+        return f"list_filter({array}, lambda {x}, {i}: {test(x, f'({i} - 1)')})"
+
+    def get(self, array: str, index: str) -> str:
+        return f"({array})[{index} + 1]"
+
+    def struct(self, **fields: str) -> str:
+        return "{" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "}"
+
+    def split_cells(self, x: str) -> str:
+        return f"string_split({x}, '|')"
+
+    def none_of(self, array: str) -> str:
+        return f"({array})[1:0]"
+
+    def chained(self, *arrays: str) -> str:
+        out = arrays[0]
+        for a in arrays[1:]:
+            out = f"list_concat({out}, {a})"
+        return out
+
+    def upto(self, n: str) -> str:
+        return f"range(0, {n})"
+
+    def most(self, array: str) -> str:
+        return f"list_max({array})"
+
+    def rest(self, array: str) -> str:
+        return f"({array})[2:]"
+
+    def holds(self, array: str, x: str) -> str:
+        return f"list_contains({array}, {x})"
+
+    def first_by(self, x: str, order: str, where: str = "true") -> str:
+        return f"arg_min({x}, {order}) FILTER ({where})"
+
+    def last_seen(self, x: str, over: str) -> str:
+        return f"last_value({x} IGNORE NULLS) OVER ({over})"
+
     def joined(self, array: str, by: str) -> str:
         return f"array_to_string({array}, {self.lit(by)})"
 

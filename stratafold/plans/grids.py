@@ -1,15 +1,18 @@
 """Page tables and their numeric parameters, and recognised boxes with their cells.
 
-Grids are cells in rows (doc_id, page_index, tab_no, row_idx, col_idx, cell); a table is never laid out as a matrix. The
-parameters of a table come from its model columns, its matrix and its key-value rows, in that order; of equal ones the last
-wins in the place of the first, and over all tables and lines the first wins.
+A page is a row with its lines and its tables as nested arrays, as decoders give them; a table stays one row until its
+parameters are laid out. They come from its model columns, its matrix and its key-value rows, in that order; of equal ones
+the last wins in the place of the first, and over all tables and lines the first wins.
 """
 
 from __future__ import annotations
 
+import re
+
 from stratafold.functions import lines as L
 from stratafold.functions.dialect import Dialect
 from stratafold.functions.patterns import Parser, Rx
+from stratafold.plans.corpora import TEMPLATES as LINES
 from stratafold.plans.corpora import doc_lines, spec_lines
 from stratafold.plans.parameters import made, name_of, text_candidates, value_like
 from stratafold.plans.registry import query, with_
@@ -32,112 +35,149 @@ TEMPLATES = (
 RECOGNISED = ("'A|B| |'", "'Width|12'", "concat('Length|', p_size, ' mm||')", "' | '")
 
 
-def cells(d: Dialect) -> dict[str, str]:
-    """`cell`: the cells of all page tables, normalised; rows without content go, recognised grids are made regular and
-    stand after native ones."""
-    kinds = " UNION ALL ".join(
-        f"SELECT doc_id, page_index, {origin} AS origin, i, raw FROM ({d.rows(f'(SELECT {d.div("p_partkey", "50")} AS doc_id, p_partkey % 50 AS page_index, p_size, p_brand FROM part WHERE p_partkey % {m} = {r}) p', d.array(rows), 'raw', 'i', 'doc_id, page_index, i, raw')}) x"
-        for origin, m, r, rows in [*((0, 4, r, t) for r, t in enumerate(TEMPLATES)), (1, 5, 2, RECOGNISED)]
-    )
-    split = d.rows("g0", d.pattern_split("raw", "|"), "said", "col_idx", "doc_id, page_index, origin, i, col_idx, said")
-    width = "SELECT doc_id, page_index, max(CASE WHEN said <> '' THEN col_idx ELSE 0 END) AS last_col, max(i) AS last_row FROM g1 WHERE origin = 1 GROUP BY doc_id, page_index"
-    every = "sequence(0, last_col)" if d.name == "spark" else "range(0, last_col + 1)"
-    return {
-        "g0": kinds,
-        "g1": split,
-        "gw": width,
-        "gr": "SELECT DISTINCT g.doc_id, g.page_index, g.i, last_col FROM g1 g JOIN gw w ON g.doc_id = w.doc_id AND g.page_index = w.page_index WHERE origin = 1 AND last_row >= 1",
-        "gp": d.rows("gr", every, "c", "", "doc_id, page_index, i, c"),
-        "g2": f"SELECT doc_id, page_index, origin, i, col_idx, {d.norm('said')} AS cell FROM g1 WHERE origin = 0 UNION ALL SELECT p.doc_id, p.page_index, 1 AS origin, p.i, CAST(p.c AS INT) AS col_idx, coalesce({d.norm('said')}, '') AS cell FROM gp p LEFT JOIN g1 g ON g.origin = 1 AND p.doc_id = g.doc_id AND p.page_index = g.page_index AND p.i = g.i AND p.c = g.col_idx",
-        "g3": "SELECT *, max(CASE WHEN cell <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page_index, origin, i) AS filled FROM g2",
-        "cell": "SELECT doc_id, page_index, CAST(dense_rank() OVER (PARTITION BY doc_id, page_index ORDER BY origin) AS BIGINT) AS tab_no, CAST(dense_rank() OVER (PARTITION BY doc_id, page_index, origin ORDER BY i) - 1 AS BIGINT) AS row_idx, col_idx, cell FROM g3 WHERE filled = 1",
-    }
+def regular(d: Dialect, grid: str) -> str:
+    """A recognised grid as a regular one: nothing below two rows; short rows padded, columns that are empty in all rows cut
+    from the end."""
+    filled = d.most(f"flatten({d.each(grid, lambda r, _: d.each(r, lambda c, i: f"CASE WHEN {c} <> '' THEN {i} + 1 ELSE 0 END", 'c', 'i'), 'r', 'k')})")
+    padded = d.each("g.grid", lambda r, _: d.each(d.upto("g.width"), lambda n, _: f"coalesce({d.get(r, n)}, '')", "n", "j"), "r", "k")
+    one = d.array([d.struct(grid=grid, width=f"greatest(1, {filled})")])
+    return f"CASE WHEN {d.size(grid)} >= 2 THEN {d.get(d.each(one, lambda g, _: padded, 'g', 'h'), '0')} END"
+
+
+def clean(d: Dialect, grid: str) -> str:
+    """A grid with normalised cells, without rows that hold nothing."""
+    cells = d.each(grid, lambda r, _: d.each(r, lambda c, _: d.norm(f"coalesce({c}, '')"), "c", "j"), "r", "k")
+    return d.kept(cells, lambda r, _: d.any_kept(r, lambda c, _: f"{c} <> ''", "c", "j"), "r", "k")
+
 
+def spec_pages(d: Dialect) -> str:
+    """doc_id, page_index, lines, tables: a page for each part, with its lines and its tables as nested arrays; rows without
+    content go, recognised grids are made regular and stand after native ones."""
+    rows = lambda r: d.array([d.split_cells(x) for x in r])
+    raw = f"SELECT {d.div('p_partkey', '50')} AS doc_id, p_partkey % 50 AS page_index, {d.array(LINES)} AS lines, CASE p_partkey % 4 {' '.join(f'WHEN {i} THEN {rows(t)}' for i, t in enumerate(TEMPLATES))} END AS native, CASE WHEN p_partkey % 5 = 2 THEN {rows(RECOGNISED)} END AS said FROM (SELECT *, p_partkey AS k FROM part) p"
+    return f"SELECT doc_id, page_index, lines, {page_tables(d, 'native', 'said')} AS tables FROM ({raw}) r"
 
-def titled(d: Dialect) -> dict[str, str]:
-    """`tbl`: tables with number and title. A title is the page's caption of the table's rank, if it says something, else
-    the first that does, else the place."""
-    caption = f"({d.match('line', Parser.TABLE_CAPTION_RE)} OR {d.search('line', Parser.GENERIC_SHORT_HEADING_RE)} OR {d.full('line', Rx(r'(?:Form|Shape)\s+[A-Z0-9]+', True))})"
-    return cells(d) | {
-        "capt": f"SELECT doc_id, page_index, line, {d.full('line', Parser.LOW_SIGNAL_TABLE_TITLE_RE)} AS dull, line_no, CAST(row_number() OVER (PARTITION BY doc_id, page_index ORDER BY line_no) AS BIGINT) AS nth FROM ({spec_lines(d)}) l WHERE {caption}",
-        "capf": "SELECT * FROM (SELECT doc_id, page_index, line AS first_line, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY nth) AS k FROM capt WHERE NOT dull) f WHERE k = 1",
-        "tabs": "SELECT doc_id, page_index, tab_no, max(row_idx) + 1 AS n_rows, count(*) AS n_cells, sum(CASE WHEN cell <> '' THEN 1 ELSE 0 END) AS n_filled FROM cell GROUP BY doc_id, page_index, tab_no",
-        "tbl": "SELECT t.doc_id, t.page_index, t.tab_no, concat('第', t.page_index + 1, '页_表', t.tab_no) AS table_no, coalesce(CASE WHEN NOT c.dull THEN c.line END, f.first_line, concat('第', t.page_index + 1, '页表', t.tab_no)) AS title, n_rows, n_cells, CAST(n_filled AS BIGINT) AS n_filled FROM tabs t LEFT JOIN capt c ON t.doc_id = c.doc_id AND t.page_index = c.page_index AND t.tab_no = c.nth LEFT JOIN capf f ON t.doc_id = f.doc_id AND t.page_index = f.page_index",
+
+def page_tables(d: Dialect, native: str, recognised: str) -> str:
+    """The tables of a page: a native grid and a recognised one, either of which may be null."""
+    both = d.array([clean(d, native), clean(d, regular(d, recognised))])
+    return d.kept(both, lambda t, _: f"{t} IS NOT NULL AND {d.size(t)} > 0", "t", "n")
+
+
+def page_titles(d: Dialect) -> str:
+    """Captions of a page's lines, in order, and the first that says something."""
+    return d.kept("lines", lambda x, _: f"({d.match(x, Parser.TABLE_CAPTION_RE)} OR {d.search(x, Parser.GENERIC_SHORT_HEADING_RE)} OR {d.full(x, Rx(r'(?:Form|Shape)\s+[A-Z0-9]+', True))})", "x", "n")
+
+
+def titled(d: Dialect, pages: str | None = None, ref: str = "''") -> dict[str, str]:
+    """`tbl`: the tables of pages(doc_id, page_index, lines, tables) with number and title. A title is the page's caption of
+    the table's rank, if it says something, else the first that does, else the place. `ref` is the section of a page."""
+    dull = lambda x: d.full(x, Parser.LOW_SIGNAL_TABLE_TITLE_RE)
+    return {
+        "pgs": pages or spec_pages(d),
+        "pc": f"SELECT doc_id, page_index, tables, {ref} AS page_ref, {page_titles(d)} AS captions FROM pgs WHERE {d.size('tables')} > 0",
+        "pf": f"SELECT doc_id, page_index, tables, page_ref, {d.each('captions', lambda x, _: f"CASE WHEN {dull(x)} THEN '' ELSE {x} END", 'x', 'n')} AS captions FROM pc",
+        "pt": d.rows("pf", "tables", "grid", "tab_at", "doc_id, page_index, page_ref, captions, tab_at, grid"),
+        "tbl": f"""SELECT doc_id, page_index, CAST(tab_at + 1 AS BIGINT) AS tab_no, page_ref AS ref, concat('第', page_index + 1, '页_表', tab_at + 1) AS table_no, grid,
+          coalesce(nullif({d.get('captions', 'tab_at')}, ''), {d.first_kept('captions', lambda x, _: f"{x} <> ''", 'x', 'n')}, concat('第', page_index + 1, '页表', tab_at + 1)) AS title FROM pt""",
     }
 
 
 @query
 def s03_s04_page_tables(d):
-    return with_(cells(d), "SELECT doc_id, page_index, tab_no, row_idx, col_idx, cell FROM cell")
+    return with_(
+        titled(d) | {"r": d.rows("tbl", "grid", "cells", "row_at", "doc_id, page_index, tab_no, row_at, cells"), "c": d.rows("r", "cells", "cell", "col_idx", "doc_id, page_index, tab_no, row_at, col_idx, cell")},
+        "SELECT doc_id, page_index, tab_no, CAST(row_at AS BIGINT) AS row_idx, col_idx, cell FROM c",
+    )
+
+
+def _size(d: Dialect) -> str:
+    return d.size("flatten(grid)")
 
 
 @query
 def f22_x01_t08_tables(d):
-    return with_(titled(d), "SELECT doc_id, page_index, tab_no, table_no, title, n_rows, n_cells, n_filled >= 1 AS valid FROM tbl")
+    return with_(titled(d), f"SELECT doc_id, page_index, tab_no, table_no, title, {d.size('grid')} AS n_rows, {_size(d)} AS n_cells, {d.any_kept('flatten(grid)', lambda c, _: f"{c} <> ''", 'c', 'n')} AS valid FROM tbl")
 
 
 @query
 def x02_headers_and_bodies(d):
-    row = d.joined(d.list_in_order("cell", "col_idx"), " | ")
-    return with_(titled(d), f"SELECT doc_id, page_index, tab_no, row_idx, CASE WHEN row_idx = 0 THEN 'header' ELSE 'body' END AS part, {row} AS cells FROM cell GROUP BY doc_id, page_index, tab_no, row_idx")
+    rows = d.rows("tbl", "grid", "cells", "row_at", "doc_id, page_index, tab_no, row_at, cells")
+    return with_(titled(d) | {"r": rows}, f"SELECT doc_id, page_index, tab_no, CAST(row_at AS BIGINT) AS row_idx, CASE WHEN row_at = 0 THEN 'header' ELSE 'body' END AS part, {d.joined('cells', ' | ')} AS cells FROM r")
 
 
-@query
-def d04_largest_tables(d):
-    """Tables of one title and header: the largest, in the place of the first."""
-    head = d.joined(d.head(d.list_in_order("cell", "col_idx", "row_idx = 0"), 6), "|")
-    return with_(
-        titled(d) | {
-            "hd": f"SELECT doc_id, page_index, tab_no, {head} AS header FROM cell GROUP BY doc_id, page_index, tab_no",
-            "k": "SELECT t.doc_id, t.page_index, t.tab_no, t.title, header, n_cells, row_number() OVER (PARTITION BY t.doc_id, title, header ORDER BY n_cells DESC, t.page_index, t.tab_no) AS nth, min(t.page_index * 100 + t.tab_no) OVER (PARTITION BY t.doc_id, title, header) AS place FROM tbl t JOIN hd h ON t.doc_id = h.doc_id AND t.page_index = h.page_index AND t.tab_no = h.tab_no",
-        },
-        "SELECT doc_id, place, page_index, tab_no, title, header, n_cells FROM k WHERE nth = 1",
-    )
+def largest(d: Dialect, rows: str = "tbl") -> dict[str, str]:
+    """`big`: of the tables of one section, title and header (its first six cells) the largest, the first one of equals;
+    `place` numbers them by the place of the first."""
+    key = "PARTITION BY doc_id, ref, title, header"
+    return {
+        "th": f"SELECT *, {d.joined(d.head(d.get('grid', '0'), 6), '|')} AS header, {_size(d)} AS n_cells FROM {rows}",
+        "tk": f"SELECT *, row_number() OVER ({key} ORDER BY n_cells DESC, page_index, tab_no) AS nth, first_value(page_index) OVER ({key} ORDER BY page_index, tab_no) AS first_page, first_value(tab_no) OVER ({key} ORDER BY page_index, tab_no) AS first_tab FROM th",
+        "big": "SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first_page, first_tab) AS BIGINT) AS place FROM tk WHERE nth = 1",
+    }
 
 
-def graded(d: Dialect) -> dict[str, str]:
-    """`cv`: cells of tables that have a header, with the tests that the extraction asks for."""
-    return titled(d) | {
-        "cv0": d.pin("(SELECT c.doc_id, c.page_index, c.tab_no, c.row_idx, c.col_idx, c.cell, t.title FROM cell c JOIN tbl t ON c.doc_id = t.doc_id AND c.page_index = t.page_index AND c.tab_no = t.tab_no) x", is_value=value_like(d, "cell"), is_unit=d.full("cell", UNIT_TOKEN), model=d.extract("cell", Parser.MODEL_RE)),
-        "cv": f"SELECT {d.once}doc_id, page_index, tab_no, row_idx, col_idx, cell, title, is_value, is_unit, model FROM cv0",
-        "head": "SELECT doc_id, page_index, tab_no, title, col_idx, cell AS header, is_unit FROM cv WHERE row_idx = 0",
-        "ctx": f"SELECT doc_id, page_index, tab_no, {d.joined(d.list_in_order('header', 'col_idx'), ' ')} AS headers FROM head GROUP BY doc_id, page_index, tab_no",
-        "body": "SELECT doc_id, page_index, tab_no, row_idx, col_idx, cell, title, is_value FROM cv WHERE row_idx > 0",
-        # model columns: of the header, else of the first two body rows; a model counts at its first column
-        "m0": "SELECT doc_id, page_index, tab_no, row_idx, model, min(col_idx) AS col_idx FROM cv WHERE row_idx <= 2 AND model <> '' GROUP BY doc_id, page_index, tab_no, row_idx, model",
-        "m1": "SELECT *, min(row_idx) OVER (PARTITION BY doc_id, page_index, tab_no) AS first_row FROM m0",
-        "mc": "SELECT doc_id, page_index, tab_no, model, col_idx FROM m1 WHERE row_idx = first_row",
-        "uc": "SELECT doc_id, page_index, tab_no, min(col_idx) AS unit_col FROM head WHERE is_unit GROUP BY doc_id, page_index, tab_no",
+@query
+def d04_largest_tables(d):
+    return with_(titled(d) | largest(d), "SELECT doc_id, place, page_index, tab_no, title, header, n_cells FROM big")
+
+
+def _models(d: Dialect, cells: str, x: str) -> str:
+    """Model columns of a row of cells(i, c): index and label, each label at its first place."""
+    found = d.kept(d.each(cells, lambda c, _: d.struct(i=f"{c}.i", label=d.extract(f"{c}.c", Parser.MODEL_RE)), f"{x}a", f"{x}b"), lambda m, _: f"{m}.label <> ''", f"{x}c", f"{x}d")
+    one = d.array([d.struct(m=found)])
+    first = lambda g, _: d.kept(f"{g}.m", lambda a, _: d.size(d.kept(f"{g}.m", lambda b, _: f"{b}.label = {a}.label AND {b}.i < {a}.i", f"{x}h", f"{x}j")) + " = 0", f"{x}f", f"{x}g")
+    return d.get(d.each(one, first, f"{x}e", f"{x}k"), "0")
+
+
+def graded(d: Dialect, tables: dict[str, str]) -> dict[str, str]:
+    """`gt`: tables with their marked cells: headers(i, c, unit), rows(i, cells(i, c, v)), model columns and unit column.
+    Nothing is exploded: a table stays one row."""
+    cell = lambda c, i: d.struct(i=i, c=c)
+    marked = lambda c, i: d.struct(i=i, c=c, v=value_like(d, c))
+    return tables | {
+        "g1": f"SELECT *, {d.each(d.get('grid', '0'), lambda c, i: d.struct(i=i, c=c, unit=d.full(c, UNIT_TOKEN)), 'c', 'i')} AS headers, {d.each(d.rest('grid'), lambda r, k: d.struct(i=f'{k} + 1', cells=d.each(r, marked, 'c', 'i')), 'r', 'k')} AS body FROM tbl",
+        "g2": d.pin("g1", m0=_models(d, "headers", "p"), m1=f"coalesce({_models(d, d.get('body', '0') + '.cells', 'q')}, {d.none_of(_models(d, 'headers', 'u'))})", m2=f"coalesce({_models(d, d.get('body', '1') + '.cells', 's')}, {d.none_of(_models(d, 'headers', 't'))})"),
+        "g3": f"SELECT *, CASE WHEN {d.size('m0')} > 0 THEN m0 WHEN {d.size('m1')} > 0 THEN m1 ELSE m2 END AS models, coalesce({d.first_kept('headers', lambda h, _: f'{h}.unit', 'h', 'n')}.i, -1) AS unit_col FROM g2",
+        "gt": f"SELECT *, {d.each('body', lambda r, _: d.struct(i=f'{r}.i', cells=f'{r}.cells', label=_label(d, r)), 'r', 'n')} AS rows FROM g3",
     }
 
 
-JOIN = "{0}.doc_id = {1}.doc_id AND {0}.page_index = {1}.page_index AND {0}.tab_no = {1}.tab_no"
-
-
-def candidates(d: Dialect) -> dict[str, str]:
-    """`gc`: parameter candidates of all tables, in order."""
-    same = lambda a, b, row=False: JOIN.format(a, b) + (f" AND {a}.row_idx = {b}.row_idx" if row else "")
-    canon = lambda x, context: name_of(d, x, context, always=True)
-    free = "SELECT b.*, row_number() OVER (PARTITION BY b.doc_id, b.page_index, b.tab_no, b.row_idx ORDER BY b.col_idx) AS k FROM body b LEFT JOIN mc ON {0} AND b.col_idx = mc.col_idx LEFT JOIN uc ON {1} AND b.col_idx = uc.unit_col WHERE mc.model IS NULL AND uc.unit_col IS NULL AND b.cell <> '' AND NOT b.is_value".format(same("b", "mc"), same("b", "uc"))
-    columns = "doc_id, page_index, tab_no, seq, name, value, cond, title AS section_ref, title AS table_title, source_item, unit_hint"
-    return graded(d) | {
-        "lab": f"SELECT doc_id, page_index, tab_no, row_idx, cell AS label FROM ({free}) f WHERE k = 1",
-        "c1": f"SELECT b.doc_id, b.page_index, b.tab_no, b.title, b.row_idx * 1000 + b.col_idx AS seq, {canon('l.label', 'b.title')} AS name, b.cell AS value, mc.model AS cond, l.label AS source_item, coalesce(u.cell, '') AS unit_hint FROM body b JOIN mc ON {same('b', 'mc')} AND b.col_idx = mc.col_idx JOIN lab l ON {same('b', 'l', True)} LEFT JOIN uc ON {same('b', 'uc')} LEFT JOIN body u ON {same('b', 'u', True)} AND u.col_idx = uc.unit_col WHERE b.is_value",
-        "c2": f"SELECT b.doc_id, b.page_index, b.tab_no, b.title, 1000000 + b.row_idx * 1000 + b.col_idx AS seq, {canon('h.header', 'b.title')} AS name, b.cell AS value, CASE WHEN z.header <> '' THEN concat(z.header, '=', r.cell) ELSE r.cell END AS said_cond, h.header AS source_item, '' AS unit_hint FROM body b JOIN head h ON {same('b', 'h')} AND b.col_idx = h.col_idx JOIN head z ON {same('b', 'z')} AND z.col_idx = 0 JOIN body r ON {same('b', 'r', True)} AND r.col_idx = 0 WHERE b.col_idx > 0 AND b.is_value AND h.header <> '' AND NOT h.is_unit AND r.cell <> ''",
-        "k0": f"SELECT b.*, min(CASE WHEN b.col_idx > 0 AND b.is_value THEN b.col_idx END) OVER (PARTITION BY b.doc_id, b.page_index, b.tab_no, b.row_idx) AS value_col FROM body b",
-        "k1": "SELECT k.*, max(CASE WHEN col_idx = value_col THEN cell END) OVER (PARTITION BY doc_id, page_index, tab_no, row_idx) AS value FROM k0 k WHERE value_col IS NOT NULL",
-        "k2": f"SELECT doc_id, page_index, tab_no, title, row_idx, value, max(CASE WHEN col_idx = 0 AND NOT is_value THEN cell ELSE '' END) AS label, {d.joined(d.head(d.list_in_order('cell', 'col_idx', 'col_idx > 0 AND cell <> {0} AND col_idx <> value_col AND cell <> value AND length(cell) <= 40'.format(d.lit(''))), 2), ' / ')} AS cond FROM k1 GROUP BY doc_id, page_index, tab_no, title, row_idx, value",
-        "k3": f"SELECT k.*, concat(k.title, ' ', headers) AS around FROM k2 k JOIN ctx c ON {same('k', 'c')} WHERE label <> ''",
-        "c3": f"SELECT doc_id, page_index, tab_no, title, 2000000 + row_idx * 1000 AS seq, {canon('label', 'around')} AS name, value, cond, label AS source_item, {d.extract('around', Parser.UNIT_TOKEN_RE)} AS unit_hint FROM k3",
-        "gc0": f"SELECT {columns} FROM c1 UNION ALL SELECT {columns.replace('cond,', 'CASE WHEN said_cond <> name THEN said_cond ELSE {0} END AS cond,'.format(d.lit('')))} FROM c2 UNION ALL SELECT {columns} FROM c3",
-        "gc": "SELECT *, concat(cond, ' ', source_item, ' ', section_ref) AS context FROM gc0",
+def _label(d: Dialect, row: str) -> str:
+    """The first cell of a row that is no value and lies in no model or unit column; null if there is none."""
+    free = lambda c, _: f"{c}.c <> '' AND NOT {c}.v AND {c}.i <> unit_col AND NOT {d.any_kept('models', lambda m, _: f'{m}.i = {c}.i', 'm', 'l')}"
+    return d.first_kept(f"{row}.cells", free, "c", "k") + ".c"
+
+
+def candidates(d: Dialect, tables: dict[str, str] | None = None) -> dict[str, str]:
+    """`gc`: parameter candidates of all tables: of model columns (kind 1), of the matrix (2), of key and value (3). They are
+    gathered within the table's row and laid out once, seq being their place."""
+    at = lambda r, i: d.get(f"{r}.cells", i)
+    cell = lambda kind, r, col, label, value, v, cond, hint: d.struct(kind=kind, row_at=f"{r}.i", col_at=col, label=label, value=value, v=v, cond=cond, hint=hint)
+    ok = lambda z, _: f"coalesce({z}.v, false) AND coalesce({z}.label, '') <> ''"
+    of_models = d.each("rows", lambda r, _: d.kept(d.each("models", lambda m, _: cell("1", r, f"{m}.i", f"{r}.label", f"{at(r, f'{m}.i')}.c", f"{at(r, f'{m}.i')}.v", f"{m}.label", f"coalesce({at(r, 'unit_col')}.c, '')"), "m", "l"), ok, "z", "y"), "r", "n")
+    head0 = d.get("headers", "0") + ".c"
+    said = lambda r: f"CASE WHEN {head0} <> '' THEN concat({head0}, '=', {at(r, '0')}.c) ELSE {at(r, '0')}.c END"
+    of_matrix = d.each("rows", lambda r, _: d.kept(d.each("headers", lambda h, _: cell("2", r, f"{h}.i", f"{h}.c", f"{at(r, f'{h}.i')}.c", f"({at(r, f'{h}.i')}.v AND {h}.i > 0 AND NOT {h}.unit AND {at(r, '0')}.c <> '')", said(r), "''"), "h", "l"), ok, "z", "y"), "r", "n")
+    taken = lambda r: d.struct(r=r, v=d.first_kept(f"{r}.cells", lambda c, _: f"{c}.i > 0 AND {c}.v", "c", "k"))
+    others = lambda g: d.joined(d.head(d.each(d.kept(f"{g}.r.cells", lambda c, _: f"{c}.i > 0 AND {c}.c <> '' AND {c}.i <> {g}.v.i AND {c}.c <> {g}.v.c AND length({c}.c) <= 40", "c", "k"), lambda c, _: f"{c}.c", "c", "k"), 2), " / ")
+    first = lambda g: d.get(f"{g}.r.cells", "0")
+    of_pairs = d.kept(d.each(d.each("rows", lambda r, _: taken(r), "r", "n"), lambda g, _: cell("3", f"{g}.r", "0", f"{first(g)}.c", f"{g}.v.c", f"({g}.v.v AND NOT {first(g)}.v)", others(g), "''"), "g", "n"), ok, "z", "y")
+    laid = d.rows("gl", "found", "f", "seq", "doc_id, page_index, tab_no, title, ref, around, seq, f")
+    canon = name_of(d, "label", "CASE WHEN kind = 3 THEN around ELSE title END", always=True)
+    return graded(d, tables or titled(d)) | {
+        "gl": f"SELECT doc_id, page_index, tab_no, title, ref, concat(title, ' ', {d.joined(d.each('headers', lambda h, _: f'{h}.c', 'h', 'n'), ' ')}) AS around, {d.chained(f'flatten({of_models})', f'flatten({of_matrix})', of_pairs)} AS found FROM gt",
+        "g5": laid,
+        "g6": "SELECT doc_id, page_index, tab_no, title, ref, around, CAST(seq AS BIGINT) AS seq, f.kind AS kind, CAST(f.row_at AS BIGINT) AS row_idx, f.col_at AS col_idx, f.label AS label, f.value AS value, f.cond AS said_cond, f.hint AS said_hint FROM g5",
+        "g7": d.pin("g6", name=canon),
+        "gc": f"SELECT doc_id, page_index, tab_no, kind, row_idx, col_idx, seq, name, value, said_cond, CASE WHEN kind = 2 AND said_cond = name THEN '' ELSE said_cond END AS cond, CASE WHEN ref <> '' THEN ref ELSE title END AS section_ref, title AS table_title, label AS source_item, CASE WHEN kind = 3 THEN {d.extract('around', Parser.UNIT_TOKEN_RE)} ELSE said_hint END AS unit_hint FROM g7",
     }
 
 
-def table_parameters(d: Dialect) -> dict[str, str]:
+def table_parameters(d: Dialect, tables: dict[str, str] | None = None) -> dict[str, str]:
     """`gpar`: parameters of the tables; of equal ones of a table the last, in the place of the first."""
     key = "doc_id, page_index, tab_no, name, clean_value, cond, section_ref, table_title"
-    return candidates(d) | made(d, "gc", "doc_id, page_index, tab_no, seq, cond, section_ref, table_title, source_item", "unit_hint") | {
+    return candidates(d, tables) | {"gx": "SELECT *, concat(cond, ' ', source_item, ' ', section_ref) AS context FROM gc"} | made(d, "gx", "doc_id, page_index, tab_no, seq, cond, section_ref, table_title, source_item", "unit_hint") | {
         "g9": f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY seq DESC) AS from_last, min(seq) OVER (PARTITION BY {key}) AS place FROM params",
         "gpar": "SELECT * FROM g9 WHERE from_last = 1",
     }
@@ -145,37 +185,39 @@ def table_parameters(d: Dialect) -> dict[str, str]:
 
 @query
 def x05_model_columns(d):
-    return with_(graded(d), "SELECT doc_id, page_index, tab_no, model, col_idx FROM mc")
+    return with_(graded(d, titled(d)) | {"m": d.rows("gt", "models", "m", "", "doc_id, page_index, tab_no, m")}, "SELECT doc_id, page_index, tab_no, m.label AS model, CAST(m.i AS INT) AS col_idx FROM m")
 
 
 @query
 def x05b_models_of_rows(d):
-    return with_(graded(d), "SELECT doc_id, page_index, tab_no, row_idx, model, col_idx FROM m0")
+    """Model columns of the header and of the first two rows of the body."""
+    rows = d.rows("g2", d.array(["m0", "m1", "m2"]), "ms", "row_at", "doc_id, page_index, tab_no, row_at, ms")
+    return with_(graded(d, titled(d)) | {"r": rows, "m": d.rows("r", "ms", "m", "", "doc_id, page_index, tab_no, row_at, m")}, "SELECT doc_id, page_index, tab_no, CAST(row_at AS BIGINT) AS row_idx, m.label AS model, CAST(m.i AS INT) AS col_idx FROM m")
 
 
 @query
 def x09_f19_unit_columns(d):
-    return with_(graded(d), "SELECT doc_id, page_index, tab_no, unit_col FROM uc")
+    return with_(graded(d, titled(d)), "SELECT doc_id, page_index, tab_no, CAST(unit_col AS INT) AS unit_col FROM gt WHERE unit_col >= 0")
 
 
 @query
 def x10_row_labels(d):
-    return with_(candidates(d), "SELECT doc_id, page_index, tab_no, row_idx, label FROM lab")
+    return with_(graded(d, titled(d)) | {"r": d.rows("gt", "rows", "r", "", "doc_id, page_index, tab_no, r")}, "SELECT doc_id, page_index, tab_no, CAST(r.i AS BIGINT) AS row_idx, r.label AS label FROM r WHERE r.label IS NOT NULL")
 
 
 @query
 def x06_model_table_candidates(d):
-    return with_(candidates(d), "SELECT doc_id, page_index, tab_no, seq, name, value, cond, source_item, unit_hint FROM c1")
+    return with_(candidates(d), "SELECT doc_id, page_index, tab_no, row_idx, CAST(col_idx AS INT) AS col_idx, seq, name, value, cond, source_item, unit_hint FROM gc WHERE kind = 1")
 
 
 @query
 def x07_matrix_candidates(d):
-    return with_(candidates(d), "SELECT doc_id, page_index, tab_no, seq, name, value, said_cond, source_item FROM c2")
+    return with_(candidates(d), "SELECT doc_id, page_index, tab_no, row_idx, CAST(col_idx AS INT) AS col_idx, seq, name, value, said_cond, source_item FROM gc WHERE kind = 2")
 
 
 @query
 def x08_key_value_candidates(d):
-    return with_(candidates(d), "SELECT doc_id, page_index, tab_no, seq, name, value, cond, source_item, unit_hint FROM c3")
+    return with_(candidates(d), "SELECT doc_id, page_index, tab_no, row_idx, seq, name, value, cond, source_item, unit_hint FROM gc WHERE kind = 3")
 
 
 @query
@@ -183,28 +225,32 @@ def x04_d05_table_parameters(d):
     return with_(table_parameters(d), "SELECT doc_id, page_index, tab_no, place, name, clean_value, lower_bound, upper_bound, comparator, unit, cond, section_ref, table_title, source_item FROM gpar")
 
 
+def renamed(parts: dict[str, str], to: str) -> dict[str, str]:
+    """Steps under new names, so that two chains with the same names fit into one plan."""
+    swap = re.compile(r"\b(FROM|JOIN) (" + "|".join(parts) + r")\b")
+    return {f"{to}{k}": swap.sub(lambda m: f"{m[1]} {to}{m[2]}", v) for k, v in parts.items()}
+
+
 @query
 def d06_w09_all_parameters(d):
     """Parameters of tables, then of lines: the first of each (name, value, condition, section, table), numbered through."""
-    lines = made(d, "cand", "doc_id, page_index, line_no")
-    tables = table_parameters(d)
-    renamed = {k: v for k, v in text_candidates(d).items()} | {f"t{k}" if k in ("p0", "p1", "p2", "p3", "p4", "params") else k: v for k, v in lines.items()}
-    for k in ("params", "p4", "p3", "p2", "p1", "p0"):
-        renamed[f"t{k}"] = renamed[f"t{k}"].replace("FROM p0", "FROM tp0").replace("FROM p1", "FROM tp1").replace("FROM p2", "FROM tp2").replace("FROM p3", "FROM tp3").replace("FROM p4", "FROM tp4")
+    lines = renamed(text_candidates(d) | made(d, "cand", "doc_id, page_index, line_no"), "t_")
+    order = "origin, page_index, tab_no, place"
     return with_(
-        tables | renamed | {
-            "merged_all": "SELECT doc_id, 0 AS origin, page_index * 100000000 + tab_no * 10000000 + place AS spot, name, clean_value, unit, comparator, cond, section_ref, table_title FROM gpar UNION ALL SELECT doc_id, 1, page_index * 100000000 + line_no, name, clean_value, unit, comparator, '', '', '' FROM tparams",
-            "k": "SELECT *, row_number() OVER (PARTITION BY doc_id, name, clean_value, cond, section_ref, table_title ORDER BY origin, spot) AS nth FROM merged_all",
+        table_parameters(d) | lines | {
+            "merged_all": "SELECT doc_id, 0 AS origin, page_index, tab_no, place, name, clean_value, unit, comparator, cond, section_ref, table_title FROM gpar UNION ALL SELECT doc_id, 1, page_index, 0, line_no, name, clean_value, unit, comparator, '', '', '' FROM t_params",
+            "k": f"SELECT *, row_number() OVER (PARTITION BY doc_id, name, clean_value, cond, section_ref, table_title ORDER BY {order}) AS nth FROM merged_all",
         },
-        "SELECT doc_id, name, clean_value, unit, comparator, cond, section_ref, table_title, concat('param-', row_number() OVER (PARTITION BY doc_id ORDER BY origin, spot)) AS param_id FROM k WHERE nth = 1",
+        f"SELECT doc_id, name, clean_value, unit, comparator, cond, section_ref, table_title, concat('param-', row_number() OVER (PARTITION BY doc_id ORDER BY {order})) AS param_id FROM k WHERE nth = 1",
     )
 
 
 @query
 def x03_table_standards(d):
-    """Standard codes in titles and cells of tables."""
-    said = "SELECT doc_id, page_index, tab_no, title AS txt FROM tbl UNION ALL SELECT doc_id, page_index, tab_no, cell FROM cell"
-    return with_(titled(d) | {"said": said}, f"SELECT doc_id, {d.extract('txt', Parser.STANDARD_RE, 1)} AS code, min(page_index) AS page_index, count(*) AS n FROM said WHERE {d.search('txt', Parser.STANDARD_RE)} GROUP BY 1, 2")
+    """All standard codes in titles and rows of tables."""
+    said = d.rows("tbl", d.chained(d.array(["title"]), d.each("grid", lambda r, _: d.joined(r, " "), "r", "n")), "txt", "row_at", "doc_id, page_index, tab_no, row_at, txt")
+    codes = d.rows("said", d.extract_all("txt", Parser.STANDARD_RE, 1), "code", "n", "doc_id, page_index, code")
+    return with_(titled(d) | {"said": said, "codes": codes}, "SELECT doc_id, code, min(page_index) AS page_index, count(*) AS n FROM codes GROUP BY doc_id, code")
 
 
 @query
