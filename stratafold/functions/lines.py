@@ -187,5 +187,22 @@ def ocr_fragment_heading(d: Dialect, x: str) -> str:
     )
 
 
+def in_pieces_heading(d: Dialect, x: str) -> str:
+    """Headings that a recognised page in pieces does not have: very short ones that no standard section is called."""
+    compact = f"replace({x}, ' ', '')"
+    return f"(length({compact}) <= 6 AND NOT {d.full(compact, Parser.COMMON_SHORT_CJK_HEADING_RE)} AND NOT {d.search(x, Parser.GENERIC_SHORT_HEADING_RE)})"
+
+
+def without_prefix(d: Dialect, x: str) -> str:
+    """A heading without the date or number that recognition puts before some of them."""
+    one, two = (d.extract(x, p, 1) for p in (Parser.DATE_PREFIX_HEADING_RE, Parser.NUMERIC_PREFIX_HEADING_RE))
+    return f"CASE WHEN {one} <> '' THEN {one} WHEN {two} <> '' THEN {two} ELSE {x} END"
+
+
+def inspection_method(d: Dialect, x: str) -> str:
+    """The method of an inspection by the first word of the table that it holds."""
+    return "CASE " + " ".join(f"WHEN contains(lower({x}), {d.lit(word)}) THEN {d.lit(method)}" for word, method in Parser.INSPECTION_METHODS) + " ELSE '检验' END"
+
+
 def ocr_line_signal(d: Dialect, x: str) -> str:
     return d.search(x, Ocr.SECTION_SIGNAL_RE)

@@ -79,6 +79,8 @@ class Parser:
     CODE_LIKE_VALUE_RE = Rx('^[A-Za-z]{1,8}\\d+(?:[-—–/][A-Za-z0-9.]+)+$', True)
     UNIT_ONLY_FRAGMENT_RE = Rx('^[()（）\\[\\]]*(?:mm|cm|m|kg|g|℃|°C|bar|MPa|kPa|Pa|DN|PN|个)[()（）\\[\\]]*[；;。.]?$', True)
     LETTER_MARKER_RE = Rx('^[A-Za-z][.)]?$')
+    COMMON_SHORT_CJK_HEADING_RE = Rx('^(?:范围|前言|术语|定义|要求|代号|分类|标记|包装|运输|贮存|材料|尺寸|结构|检验|试验|说明|附录|引用文件|规范性引用文件)$')
+    INSPECTION_METHODS = [('超声', '超声波检测'), ('磁粉', '磁粉检测'), ('渗透', '渗透检测'), ('硬度', '硬度检验'), ('pressure test', '压力检验'), ('prüfung', '检验'), ('inspection', '检验'), ('test', '试验')]
 
 
 class Profile:

@@ -82,14 +82,14 @@ def t01_top_suspicious(d):
 @query
 def m01_markdown(d):
     """Markdown of sections: a heading two levels below its own, at most six, then its body lines in order."""
-    body = "SELECT doc_id, sec_ord, line, min(page_index * 1000 + line_no) AS place FROM s6 WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
+    body = f"SELECT doc_id, sec_ord, line, min({d.struct(p='page_index', l='line_no')}) AS place FROM s6 WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
     return with_(
         sections(d)
         | {
-            "lines": "SELECT doc_id, sec_ord, -1 AS place, concat(repeat('#', CAST(least(greatest(level, 1) + 2, 6) AS INT)), ' ', CASE WHEN sec_no LIKE 'U%' THEN title ELSE concat(sec_no, ' ', title) END) AS text FROM heads"
-            + f" UNION ALL SELECT doc_id, sec_ord, place, line FROM ({body}) b"
+            "lines": f"SELECT doc_id, {d.struct(s='sec_ord', b='0', p=d.struct(p='page_index', l='0'))} AS place, concat(repeat('#', CAST(least(greatest(level, 1) + 2, 6) AS INT)), ' ', CASE WHEN sec_no LIKE 'U%' THEN title ELSE concat(sec_no, ' ', title) END) AS text FROM heads"
+            + f" UNION ALL SELECT doc_id, {d.struct(s='sec_ord', b='1', p='place')}, line FROM ({body}) b"
         },
-        f"SELECT doc_id, count(*) AS n_lines, {d.sha256(d.join_in_order('text', 'sec_ord * 10000000 + place'))} AS md_sha FROM lines GROUP BY doc_id",
+        f"SELECT doc_id, count(*) AS n_lines, {d.sha256(d.join_in_order('text', 'place'))} AS md_sha FROM lines GROUP BY doc_id",
     )
 
 

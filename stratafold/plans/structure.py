@@ -13,22 +13,34 @@ FAMILIES = ("DIN EN ISO", "DIN ISO", "DIN EN", "DIN", "EN", "ISO", "SN", "SEW",
 TITLE = "trim(regexp_replace({x}, '[:：]+$', ''))"
 
 
-def tagged(d: Dialect, x: str, to: str, rows: str) -> str:
+#: What the line rules ask of a page and a document, and what it is where only lines are given. in_*: the line, its heading
+#: text and its title equal a cell of the page's tables, as they stand (a) or merged with the line below (b).
+CONTEXT = {"language": "'en'", "ocr_used": "false", "in_pieces": "false", "in_next": "false", **{f"in_{k}_{v}": "false" for k in ("line", "cand", "title") for v in "ab"}}
+
+
+def given(lines: str | None) -> dict[str, str]:
+    """The context by column name, or as constants."""
+    return CONTEXT if lines is None else {k: k for k in CONTEXT}
+
+
+def tagged(d: Dialect, x: str, to: str, rows: str, in_cell: str = "false") -> str:
     """Add the shared tests of column x under the prefix `to`, in two tiers."""
     one = d.pin(rows, **{f"{to}_meta": L.metadata_line(d, x), f"{to}_dense": L.spec_dense(d, x)})
     two = d.pin(f"({one}) o", **{f"{to}_fragment": L.heading_fragment(d, x, f"{to}_meta", f"{to}_dense")})
-    return d.pin(f"({two}) o", **{f"{to}_table": L.table_fragment(d, x)})
+    return d.pin(f"({two}) o", **{f"{to}_table": L.table_fragment(d, x, in_cell)})
 
 
-def merged_lines(d: Dialect) -> str:
+def merged_lines(d: Dialect, lines: str | None = None) -> str:
     """Lines after a number that stands alone took the title below it. In a run of numbers that could all merge, every
     second one does, as a line that was taken cannot take the next."""
     order = "PARTITION BY doc_id, page_index ORDER BY line_no"
+    c = given(lines)
+    kept = "" if lines is None else ", language, ocr_used, in_pieces" + "".join(f", CASE WHEN merges THEN in_{k}_b ELSE in_{k}_a END AS in_{k}" for k in ("line", "cand", "title"))
     return with_(
         {
             "ctx": f"SELECT *, lag(line) OVER ({order}) AS prev, lead(line) OVER ({order}) AS next1, lead(line, 2) OVER ({order}) AS next2 FROM spec",
             "nxt": d.pin("ctx", title=f"coalesce({TITLE.format(x='next1')}, '')"),
-            "tag": tagged(d, "title", "t", "nxt"),
+            "tag": tagged(d, "title", "t", "nxt", c["in_next"]),
             "can": f"""SELECT *, {d.full('line', Parser.SPLIT_HEADING_NUMBER_RE)} AND title <> '' AND length(title) <= 100 AND NOT t_fragment AND NOT t_table AND NOT {L.standard_line(d, 'title')}
               AND NOT {d.full('title', Parser.PAGE_HEADER_NOISE_RE)} AND NOT {d.full('title', Parser.DOC_VERSION_RE)} AND NOT {d.full('title', Parser.FOOTNOTE_CONTINUE_RE)}
               AND {d.words('title')} <= {L.MAX_HEADING_WORDS + 2} AS m FROM tag""",
@@ -36,48 +48,51 @@ def merged_lines(d: Dialect) -> str:
             "place": "SELECT *, CASE WHEN m THEN row_number() OVER (PARTITION BY doc_id, page_index, run, m ORDER BY line_no) ELSE 0 END AS k FROM runs",
             "take": f"SELECT *, m AND k % 2 = 1 AS merges, coalesce(lag(CASE WHEN m AND k % 2 = 1 THEN 1 ELSE 0 END) OVER ({order}), 0) = 1 AS taken FROM place",
         },
-        "SELECT doc_id, page_index, line_no, CASE WHEN merges THEN concat(line, ' ', title) ELSE line END AS line, coalesce(prev, '') AS prev, coalesce(CASE WHEN merges THEN next2 ELSE next1 END, '') AS next_line, merges FROM take WHERE NOT taken",
+        f"SELECT doc_id, page_index, line_no, {L.without_prefix(d, "CASE WHEN merges THEN concat(line, ' ', title) ELSE line END")} AS line, coalesce(prev, '') AS prev, coalesce(CASE WHEN merges THEN next2 ELSE next1 END, '') AS next_line, merges{kept} FROM take WHERE NOT taken",
     )
 
 
-def blocks(d: Dialect, language: str = "en") -> dict[str, str]:
-    """Classified lines, as named steps: skip rules, part heading, heading, standard, revision, caption, fragment, body."""
-    upper = f"candidate = upper(candidate) AND candidate <> lower(candidate) AND {d.words('candidate')} <= 8" if language in ("en", "de") else "false"
+def blocks(d: Dialect, lines: str | None = None) -> dict[str, str]:
+    """Classified lines, as named steps: skip rules, part heading, heading, standard, revision, caption, fragment, body.
+    `lines` has doc_id, page_index, line_no, line and the columns of CONTEXT."""
+    c = {k: v for k, v in CONTEXT.items()} | {f"in_{k}": "false" for k in ("line", "cand", "title")} if lines is None else {k: k for k in ("language", "ocr_used", "in_pieces", "in_line", "in_cand", "in_title")}
+    pieces = f"(({c['ocr_used']} AND {L.ocr_fragment_heading(d, 'candidate')}) OR ({c['in_pieces']} AND {L.in_pieces_heading(d, 'candidate')}))" if lines else "false"
+    bad_piece = f" OR ({c['in_pieces']} AND {d.full('number', Rx('[0-9]+'))} AND length(number) >= 2 AND left(number, 1) <> '0' AND length(replace(num_title, ' ', '')) <= 4) OR ({c['ocr_used']} AND {L.ocr_fragment_heading(d, 'num_title')})" if lines else ""
     return {
-        "spec": spec_lines(d),
-        "merged": merged_lines(d),
+        "spec": lines or spec_lines(d),
+        "merged": merged_lines(d, lines),
         "cand": d.pin("merged", candidate=TITLE.format(x="line"), number=d.extract("line", Parser.NUMBERED_HEADING_RE, 1), num_title=TITLE.format(x=d.extract("line", Parser.NUMBERED_HEADING_RE, 2))),
-        "c1": tagged(d, "candidate", "c", "cand"),
-        "c2": tagged(d, "num_title", "n", "c1"),
-        "c3": d.pin("c2", skip=L.skipped(d, "line"), barred=f"({L.heading_barred(d, 'candidate')} OR c_table OR c_fragment OR c_meta OR c_dense)"),
-        "c4": d.pin("c3", bad_number=f"({L.number_noise(d, 'number', 'num_title')} OR {d.words('num_title')} > {L.MAX_HEADING_WORDS} OR n_table OR n_fragment OR n_meta OR n_dense)"),
-        "c5": f"""SELECT *, CASE WHEN barred THEN false WHEN number <> '' THEN num_title <> '' AND NOT bad_number
-            WHEN {d.full('candidate', Rx('(?:Form|Shape)' + chr(92) + 's+[A-Z0-9]+', True))} THEN true
+        "c1": tagged(d, "candidate", "c", "cand", c["in_cand"]),
+        "c2": tagged(d, "num_title", "n", "c1", c["in_title"]),
+        "c3": d.pin("c2", skip=L.skipped(d, "line"), barred=f"({L.heading_barred(d, 'candidate')} OR c_table OR c_fragment OR c_meta OR c_dense)", pieces=pieces),
+        "c4": d.pin("c3", bad_number=f"({L.number_noise(d, 'number', 'num_title')} OR {d.words('num_title')} > {L.MAX_HEADING_WORDS} OR n_table OR n_fragment OR n_meta OR n_dense{bad_piece})"),
+        "c5": f"""SELECT *, CASE WHEN barred OR pieces THEN false WHEN number <> '' THEN num_title <> '' AND NOT bad_number
+            WHEN {d.full('candidate', Rx(r'(?:Form|Shape)\s+[A-Z0-9]+', True))} THEN true
             WHEN {d.match('candidate', Parser.TABLE_CAPTION_RE)} OR {d.match('candidate', Parser.FIGURE_CAPTION_RE)} THEN false
             WHEN {d.search('candidate', Parser.GENERIC_SHORT_HEADING_RE)} THEN true
             WHEN {d.ends('line', ':', '：')} AND {d.words('candidate')} <= {L.MAX_HEADING_WORDS} THEN true
             WHEN {d.words('candidate')} BETWEEN 1 AND 6 AND length(next_line) > length(candidate) + 12 AND NOT {d.ends('prev', '.', ';', ':', '：')} THEN true
-            ELSE {upper} END AS heading FROM c4""",
+            ELSE {c['language']} IN ('en', 'de') AND candidate = upper(candidate) AND candidate <> lower(candidate) AND {d.words('candidate')} <= 8 END AS heading FROM c4""",
         "blocks": f"""SELECT doc_id, page_index, line_no, line, number, num_title, CASE WHEN {L.part_heading(d, 'line')} THEN '部分标题' WHEN heading THEN '标题'
             WHEN {L.standard_line(d, 'line')} THEN '标准引用' WHEN {d.search('line', Parser.REVISION_RE)} THEN '修订记录' WHEN {L.caption(d, 'line')} THEN '图示说明'
-            WHEN {L.table_fragment(d, 'line')} THEN '表格碎片' ELSE '正文' END AS block_type FROM c5 WHERE NOT skip""",
+            WHEN {L.table_fragment(d, 'line', c['in_line'])} THEN '表格碎片' ELSE '正文' END AS block_type FROM c5 WHERE NOT skip""",
     }
 
 
-def sections(d: Dialect) -> dict[str, str]:
+def sections(d: Dialect, lines: str | None = None) -> dict[str, str]:
     """Blocks with their section. A heading opens a section unless the open one takes it in: a reference section takes in
     all unnumbered headings until the next numbered one, a revision section those that read like sentences."""
     order = "PARTITION BY doc_id ORDER BY page_index, line_no"
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     soft = f"({d.ends('title', ',')} OR {d.search('title', Parser.SENTENCE_VERB_RE)} OR {d.words('title')} >= 3)"
-    return blocks(d) | {
+    return blocks(d, lines) | {
         "s1": f"SELECT *, block_type = '标题' AS is_head, number <> '' AND block_type = '标题' AS is_num, CASE WHEN number <> '' THEN num_title ELSE {TITLE.format(x='line')} END AS title FROM blocks",
         "s2": f"SELECT *, is_head AND {d.full('title', Parser.REFERENCE_SECTION_TITLE_RE)} AS is_ref, is_head AND {d.full('title', Parser.REVISION_SECTION_TITLE_RE)} AS is_rev, {soft} AS soft, sum(CASE WHEN is_num THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS num_no FROM s1",
-        "s3": f"SELECT *, coalesce(max(CASE WHEN is_ref THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, num_no ORDER BY page_index, line_no {before}), 0) = 1 AND NOT is_num AS in_ref, coalesce(last_value(CASE WHEN is_head AND (is_num OR NOT soft) THEN CASE WHEN is_rev THEN 1 ELSE 0 END END) IGNORE NULLS OVER ({order} {before}), 0) = 1 AS in_rev FROM s2" if d.name == "spark" else f"SELECT *, coalesce(max(CASE WHEN is_ref THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, num_no ORDER BY page_index, line_no {before}), 0) = 1 AND NOT is_num AS in_ref, coalesce(last_value(CASE WHEN is_head AND (is_num OR NOT soft) THEN CASE WHEN is_rev THEN 1 ELSE 0 END END IGNORE NULLS) OVER ({order} {before}), 0) = 1 AS in_rev FROM s2",
-        "s4": f"SELECT *, is_head AND (is_num OR NOT (in_ref OR (in_rev AND soft))) AS opens, sum(CASE WHEN is_head THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS heads, block_type IN ('正文', '标准引用', '图示说明', '修订记录') AS content FROM s3",
+        "s3": f"SELECT *, coalesce(max(CASE WHEN is_ref THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, num_no ORDER BY page_index, line_no {before}), 0) = 1 AND NOT is_num AS in_ref, coalesce({d.last_seen('CASE WHEN is_head AND (is_num OR NOT soft) THEN CASE WHEN is_rev THEN 1 ELSE 0 END END', f'{order} {before}')}, 0) = 1 AS in_rev FROM s2",
+        "s4": f"SELECT *, is_head AND (is_num OR NOT (in_ref OR (in_rev AND soft))) AS opens, sum(CASE WHEN is_head THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS heads, block_type IN ('正文', '标准引用', '图示说明', '修订记录') AS content, coalesce({d.last_seen("CASE WHEN block_type = '部分标题' THEN line END", order + ' ROWS UNBOUNDED PRECEDING')}, '') AS part FROM s3",
         "s5": f"SELECT *, content AND heads = 0 AND row_number() OVER (PARTITION BY doc_id, content, heads ORDER BY page_index, line_no) = 1 AS leads FROM s4",
         "s6": f"SELECT *, {d.once}CAST(sum(CASE WHEN opens OR leads THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sec_ord, CAST(sum(CASE WHEN (opens AND NOT is_num) OR leads THEN 1 ELSE 0 END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS syn_no FROM s5",
-        "heads": "SELECT doc_id, sec_ord, CASE WHEN leads THEN concat('U', syn_no) WHEN is_num THEN number ELSE concat('U', syn_no) END AS sec_no, CASE WHEN leads THEN '概述' ELSE title END AS title, CASE WHEN is_num THEN length(number) - length(replace(number, '.', '')) + 1 ELSE 1 END AS level, page_index FROM s6 WHERE opens OR leads",
+        "heads": "SELECT doc_id, sec_ord, CASE WHEN leads THEN concat('U', syn_no) WHEN is_num THEN number ELSE concat('U', syn_no) END AS sec_no, CASE WHEN leads THEN '概述' ELSE title END AS title, CASE WHEN is_num THEN length(number) - length(replace(number, '.', '')) + 1 ELSE 1 END AS level, part, page_index FROM s6 WHERE opens OR leads",
     }
 
 
@@ -120,7 +135,7 @@ def w01_w02_split_headings(d):
 def w03_sections(d):
     return with_(
         sections(d),
-        "SELECT doc_id, sec_ord, sec_no, title, CAST(level AS BIGINT) AS level, CASE WHEN level > 1 THEN regexp_replace(sec_no, '[.][0-9]+$', '') ELSE '' END AS parent_no, page_index FROM heads",
+        "SELECT doc_id, sec_ord, sec_no, title, CAST(level AS BIGINT) AS level, CASE WHEN level > 1 THEN regexp_replace(sec_no, '[.][0-9]+$', '') ELSE '' END AS parent_no, part, page_index FROM heads",
     )
 
 
@@ -130,7 +145,7 @@ def w03_section_bodies(d):
     return with_(
         sections(d)
         | {
-            "body": "SELECT doc_id, sec_ord, line, min(page_index * 1000 + line_no) AS place FROM s6 WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
+            "body": f"SELECT doc_id, sec_ord, line, min({d.struct(p='page_index', l='line_no')}) AS place FROM s6 WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
         },
         f"SELECT doc_id, sec_ord, count(*) AS n_lines, {d.sha256(d.join_in_order('line', 'place'))} AS body_sha FROM body GROUP BY doc_id, sec_ord",
     )
@@ -204,7 +219,7 @@ def x15_products(d):
 
 @query
 def x14b_inspection_methods(d):
-    return f"SELECT doc_id, page_index, line_no, CASE WHEN contains(lower(line), 'pressure test') THEN '压力检验' WHEN contains(lower(line), 'prüfung') THEN '检验' ELSE '检验' END AS method FROM ({spec_lines(d)}) l WHERE {d.search('line', Parser.INSPECTION_HINT_RE)}"
+    return f"SELECT doc_id, page_index, line_no, {L.inspection_method(d, 'line')} AS method FROM ({spec_lines(d)}) l WHERE {d.search('line', Parser.INSPECTION_HINT_RE)}"
 
 
 @query

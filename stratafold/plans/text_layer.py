@@ -174,7 +174,7 @@ def a05_profile(d):
 
 @query
 def a05_spec_profile(d):
-    first = with_({"s": spec_lines(d)}, "SELECT doc_id, page_index * 100 + line_no AS line_no, line FROM s WHERE page_index < 30")
+    first = with_({"s": spec_lines(d)}, f"SELECT doc_id, {d.struct(p='page_index', l='line_no')} AS line_no, line FROM s WHERE page_index < 30")
     return profiled(d, metrics(d, f"({first}) l", hints=True), tables="4", pages="50")
 
 
