@@ -205,6 +205,12 @@ class Spark(Dialect):
     def most(self, array: str) -> str:
         return f"array_max({array})"
 
+    no_tables = "CAST(array() AS ARRAY<ARRAY<ARRAY<STRING>>>)"
+
+    def part_of(self, array: str, start: str, n: str) -> str:
+        """At most n elements of an array from an index that counts from 0."""
+        return f"slice({array}, {start} + 1, {n})"
+
     def rest(self, array: str) -> str:
         """An array without its first element."""
         return f"slice({array}, 2, greatest(size({array}) - 1, 0))"
@@ -341,6 +347,11 @@ class Duck(Dialect):
     def most(self, array: str) -> str:
         return f"list_max({array})"
 
+    no_tables = "CAST([] AS VARCHAR[][][])"
+
+    def part_of(self, array: str, start: str, n: str) -> str:
+        return f"({array})[{start} + 1:{start} + {n}]"
+
     def rest(self, array: str) -> str:
         return f"({array})[2:]"
 

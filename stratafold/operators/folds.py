@@ -1,38 +1,11 @@
-"""Order-dependent operators as higher-order folds: page pointer, running-mean row clusters, cell text merging."""
+"""Order-dependent operators as higher-order folds: running-mean row clusters, cell text merging."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def page_pointer(pages: DataFrame, sections: DataFrame) -> DataFrame:
-    """(doc_id, page_index, sec_ord): pages in order advance to the next section for as long as its title is a line of the
-    page. pages(doc_id, page_index, lines array), sections(doc_id, sec_ord, title). A skipped title stops the pointer.
-
-    The fold runs over one document's pages and titles, all of them."""
-    titles = sections.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sec_ord", "title"))).alias("s"))
-    ordered = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_index", "lines"))).alias("p"))
-    met = ordered.join(titles, "doc_id")
-    s = F.col("s")
-
-    def advance(at: Column, lines: Column) -> Column:
-        """Index after all the following titles that stand on the page without a gap."""
-        rest = F.slice(s, at + 2, F.greatest(F.lit(0), F.size(s) - at - 1))
-        hits = F.transform(rest, lambda t: (t["title"] != "") & F.array_contains(lines, t["title"]))
-        miss = F.array_position(hits, False)
-        return (at + F.when(miss > 0, miss - 1).otherwise(F.size(hits))).cast("int")
-
-    empty = F.array().cast("array<struct<page_index:bigint,sec_ord:bigint>>")
-
-    def step(acc: Column, page: Column) -> Column:
-        at = advance(acc["at"], page["lines"])
-        return F.struct(at.alias("at"), F.concat(acc["out"], F.array(F.struct(page["page_index"].cast("bigint").alias("page_index"), F.element_at(s, at + 1)["sec_ord"].cast("bigint").alias("sec_ord")))).alias("out"))
-
-    folded = F.aggregate("p", F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
-    return met.select("doc_id", F.inline(folded))
-
-
 def row_clusters(boxes: Column) -> Column:
     """Row number (from 0) of each box in an array of structs with cy, cx and height: sorted by cy and cx, a box opens a new
     row when it lies further from the running mean of the row than max(12, 0.6 of the median height)."""

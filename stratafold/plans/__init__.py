@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from stratafold.plans import access, batch, checks, grids, parameters, records, repair, review, structure, summaries, text_layer  # noqa: F401  (they register their queries)
-from stratafold.plans.folded import FOLDED
+from stratafold.plans.document import PARSED, parsed_sql
+from stratafold.plans.folded import FOLDED, folded_sql
 from stratafold.plans.registry import duck_sql, spark_queries
 
 
 def all_queries() -> dict:
-    return spark_queries() | FOLDED
+    return spark_queries() | FOLDED | PARSED
 
 
 def all_sql() -> dict[str, str]:
-    return duck_sql()
+    return duck_sql() | folded_sql() | parsed_sql()

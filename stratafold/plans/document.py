@@ -1,6 +1,6 @@
-"""From lines of pages to reviewed documents: the order in which the plans follow each other.
+"""From pages to reviewed documents: the order in which the plans follow each other.
 
-`parse` turns lines into the document model of `state`; `outputs` adds Markdown, tags and chapter summaries; `review` scores
+`parse` turns pages into the document model of `state`; `outputs` adds Markdown, tags and chapter summaries; `review` scores
 what is there. Each step is a DataFrame over all documents; its rows are written to the shared folder, so that a step is
 carried out once, plans stay short and a lost executor costs tasks only.
 """
@@ -12,84 +12,148 @@ import tempfile
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratafold.functions.dialect import SPARK as d
-from stratafold.functions.patterns import Parser
-from stratafold.plans.parameters import made, text_candidates
-from stratafold.plans.registry import run_over, with_
+from stratafold.operators.pointers import page_sections
+from stratafold.plans.grids import FRAGMENTED, clean
+from stratafold.plans.pages import back, digest, front, oracle, pointer_lines, sample, text_pages
+from stratafold.plans.registry import run_over, run_sql
 from stratafold.plans.state import COLUMNS, KINDS
-from stratafold.plans.structure import FAMILIES, sections
-from stratafold.plans.text_layer import metrics, profiled
+from stratafold.plans.steps import Steps, view
 
 Keep = Callable[[DataFrame], DataFrame]
 
 
-def to_shared(df: DataFrame) -> DataFrame:
-    """The rows of a step, written to the folder in spark.checkpoint.dir and read again. Where that is unset, as in tests on
-    one machine, a temporary folder is used; elsewhere that is an error."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir). Where it is unset, as in tests on one machine, a
+    temporary folder becomes the session's checkpoint folder; elsewhere that is an error."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        known = sc._jsc.sc().getCheckpointDir()
+        folder = known.get() if known.isDefined() else None
     if not folder:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="stratafold-")
-    path = f"{folder.rstrip('/')}/step-{uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
-def _view(df: DataFrame) -> str:
-    name = f"stratafold_step_{uuid4().hex}"
-    df.createOrReplaceTempView(name)
-    return name
+def to_shared(df: DataFrame) -> DataFrame:
+    """The rows of a step, written to the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/step-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _whole(df: DataFrame, relation: str) -> DataFrame:
-    """A relation with all its columns: absent ones are empty, zero or false."""
-    kind = {c: k for k, columns in KINDS.items() for c in columns}
+    """A relation with all its columns: absent ones are empty, zero or false. doc_id keeps its type."""
+    kind = {c: k for k, columns in KINDS.items() for c in columns if c != "doc_id"}
     blank = {"long": F.lit(0).cast("long"), "boolean": F.lit(False)}
     return df.select(*(F.col(c).cast(kind[c]).alias(c) if c in df.columns and c in kind else F.col(c) if c in df.columns else blank.get(kind.get(c), F.lit("")).alias(c) for c in COLUMNS[relation].split(", ")))
 
 
-def parse(spark: SparkSession, lines: DataFrame, files: DataFrame | None = None, keep: Keep = to_shared) -> dict[str, DataFrame]:
-    """The document model of lines(doc_id, page_index, line_no, line), which are normalised and not empty. files(doc_id,
-    file_name, ocr_pages array of page indexes) is optional. A document without a line has no row."""
-    own = lines.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("page_index").cast("long").alias("page_index"), F.col("line_no").cast("int").alias("line_no"), "line")
-    src = _view(own)
-    parts = sections(d) | {"spec": f"SELECT doc_id, page_index, line_no, line FROM {src}"}
-    s6 = _view(keep(spark.sql(with_({k: v for k, v in parts.items() if k != "heads"}, "SELECT doc_id, page_index, line_no, line, block_type, is_head, opens, leads, is_num, number, title, sec_ord, syn_no FROM s6"))))
-    heads = _view(keep(spark.sql(parts["heads"].replace("FROM s6", f"FROM {s6}"))))
-    ref = "CASE WHEN h.sec_no IS NULL THEN '' ELSE concat(h.sec_no, ' ', h.title) END AS section_ref"
-    of_section = f"LEFT JOIN {heads} h ON x.doc_id = h.doc_id AND x.sec_ord = h.sec_ord"
-    spot = "x.page_index * 100000 + x.line_no"
-    body = f"SELECT doc_id, sec_ord, line, min(page_index * 100000 + line_no) AS place FROM {s6} WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
-    sec = spark.sql(f"SELECT h.doc_id, h.sec_ord AS ord, sec_no AS no, title, CAST(level AS BIGINT) AS level, CASE WHEN level > 1 THEN regexp_replace(sec_no, '[.][0-9]+$', '') ELSE '' END AS parent_no, coalesce(body, '') AS body FROM {heads} h LEFT JOIN (SELECT doc_id, sec_ord, {d.join_in_order('line', 'place')} AS body FROM ({body}) b GROUP BY doc_id, sec_ord) b ON h.doc_id = b.doc_id AND h.sec_ord = b.sec_ord")
-    blk = spark.sql(f"SELECT x.doc_id, {spot} AS ord, block_type AS kind, CASE WHEN is_head THEN line ELSE '' END AS title, line AS content, {ref}, x.page_index + 1 AS page_no FROM {s6} x {of_section}")
-    own_parts = text_candidates(d) | {"spec": f"SELECT doc_id, page_index, line_no, line FROM {src}"} | made(d, "cand", "doc_id, page_index, line_no")
-    par = spark.sql(with_(own_parts | {"x": f"SELECT p.*, s.sec_ord FROM params p LEFT JOIN {s6} s ON p.doc_id = s.doc_id AND p.page_index = s.page_index AND p.line_no = s.line_no"}, f"SELECT x.doc_id, {spot} AS ord, name, clean_value AS value, unit, lower_bound AS lower, upper_bound AS upper, comparator, name AS source_item, {ref} FROM x {of_section}"))
-    family = "CASE " + " ".join(f"WHEN code LIKE '{p}%' THEN '{p}'" for p in FAMILIES) + " ELSE '其他' END"
-    codes = d.rows(s6, d.extract_all("line", Parser.STANDARD_RE, 1), "code", "i", "doc_id, page_index, line_no, sec_ord, i, code")
-    std = spark.sql(f"SELECT x.doc_id, {spot} * 100 + i AS ord, code, {family} AS kind, {family} AS family, {ref} FROM ({codes}) x {of_section}")
-    rule = d.first_of("line", Parser.RULE_PATTERNS)
-    rul = spark.sql(f"SELECT x.doc_id, {spot} AS ord, {rule} AS rule_type, line AS content, {ref} FROM {s6} x {of_section} WHERE x.sec_ord > 0").where("rule_type <> ''")
-    ins = spark.sql(f"SELECT x.doc_id, {spot} AS ord, line AS requirement, {d.extract('line', Parser.INSPECTION_HINT_RE)} AS method, {ref} FROM {s6} x {of_section} WHERE {d.search('line', Parser.INSPECTION_HINT_RE)}")
-    pages = spark.sql(f"SELECT doc_id, page_index AS page_no, {d.join_in_order('line', 'line_no')} AS text FROM {src} GROUP BY doc_id, page_index")
-    flat = f"(SELECT doc_id, page_index * 100000 + line_no AS line_no, line FROM {src}) f"
-    measured = f"SELECT m.*, n_pages FROM ({metrics(d, flat, hints=True)}) m JOIN (SELECT doc_id, count(DISTINCT page_index) AS n_pages FROM {src} GROUP BY doc_id) n ON m.doc_id = n.doc_id"
-    profile = spark.sql(profiled(d, measured, pages="n_pages"))
-    first = spark.sql(f"SELECT doc_id, min_by(line, page_index * 100000 + line_no) AS title FROM {src} WHERE length(line) >= 3 AND NOT {d.full('line', Parser.STANDARD_RE)} GROUP BY doc_id")
-    doc = profile.join(first, "doc_id", "left").withColumn("title", F.coalesce("title", F.lit(""))).withColumn("chars_per_page", F.col("char_count"))
+def steps_of(spark: SparkSession, pages: DataFrame, keep: Keep = to_shared) -> Steps:
+    """The parse of pages, carried out up to the page pointer: the steps of plans.pages, of which those with several readers
+    are kept."""
+    s = Steps(spark, {}, keep)
+    s.steps = front(d, f"SELECT * FROM {view(pages)}")
+    for name in ("cpg", "prof", "s6", "sct", "blk"):
+        s.keep(name)
+    s.steps["plp"] = pointer_lines(d)
+    s.add("ptr", page_sections(s.frame("plp"), s.frame("sct").select("doc_id", "sec_ord", "title"), keep))
+    s.steps |= back(d)
+    for name in ("tb", "sec", "prd", "par", "std"):
+        s.keep(name)
+    return s
+
+
+def whole_pages(pages: DataFrame, evaluations: DataFrame | None = None) -> DataFrame:
+    """pages(doc_id, page_index, lines array) as the parse takes them; tables (nested arrays) and ocr_used may be missing.
+    Lines and cells are normalised, empty lines and rows without content left out. evaluations(doc_id, page_index, grade,
+    inject, single_m, dup_m, punct_m, fragmented) of recognised pages tell which are in pieces. doc_id keeps its type."""
+    tables = F.col("tables") if "tables" in pages.columns else F.expr(d.no_tables)
+    used = F.coalesce(F.col("ocr_used"), F.lit(False)) if "ocr_used" in pages.columns else F.lit(False)
+    rows = pages.select("doc_id", F.col("page_index").cast("long").alias("page_index"), F.coalesce("lines", F.array().cast("array<string>")).alias("lines"), F.coalesce(tables, F.expr(d.no_tables)).alias("tables"), used.alias("ocr_used"))
+    rows = rows.where("doc_id is not null and page_index is not null").withColumn("lines", F.expr(d.kept(d.each("lines", lambda x, _: d.norm(f"coalesce({x}, '')"), "x", "n"), lambda x, _: f"{x} <> ''", "x", "n")))
+    rows = rows.withColumn("tables", F.expr(d.kept(d.each("tables", lambda t, _: clean(d, t), "t", "m"), lambda t, _: f"size({t}) > 0", "t", "m")))
+    if evaluations is None:
+        return rows.withColumn("in_pieces", F.lit(False))
+    bad = F.expr(f"inject AND ({' OR '.join(f'{k} >= {v}' for k, v in FRAGMENTED.items())} OR grade = '边缘' OR fragmented)")
+    seen = evaluations.select("doc_id", F.col("page_index").cast("long").alias("page_index"), bad.alias("in_pieces"))
+    return rows.join(seen, ["doc_id", "page_index"], "left").withColumn("in_pieces", F.coalesce("in_pieces", F.lit(False)))
+
+
+def parse(spark: SparkSession, pages: DataFrame, files: DataFrame | None = None, evaluations: DataFrame | None = None, keep: Keep = to_shared) -> dict[str, DataFrame]:
+    """The document model of pages(doc_id, page_index, lines array, tables nested arrays, ocr_used): a row per page, as the
+    decoders give them. files(doc_id, file_name) and evaluations of recognised pages (see `whole_pages`) are optional.
+
+    Lines that stand on every second page go, as do headers and footers. Documents are profiled, their lines become blocks and
+    sections by rules that know the document's language, whether a page was recognised or lies in pieces, and its cells;
+    tables find their section by the page pointer; parameters, standards, rules, inspections, products (of catalogues) and
+    metadata follow. A document whose pages are all empty keeps its row in `doc`; a document without a page has none."""
+    s = steps_of(spark, whole_pages(pages, evaluations), keep)
+    meta, tb, blk = s.frame("meta"), s.frame("tb"), s.frame("blk")
+    place = lambda *order: F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)).cast("long")
+    anchor = F.when(F.col("section_ref") != "", F.col("section_ref")).otherwise("文档")
+    doc = meta.withColumn("chars_per_page", F.round(F.col("char_count") / F.greatest(F.lit(1), F.col("n_pages"))))
     if files is not None:
-        doc = doc.join(files, "doc_id", "left").withColumn("file_name", F.coalesce("file_name", F.lit("")))
-        if "ocr_pages" in files.columns:
-            tried = files.select("doc_id", F.explode("ocr_pages").alias("page_no")).withColumn("ocr_run", F.lit(True)).withColumn("ocr_injected", F.lit(True))
-            pages = pages.join(tried, ["doc_id", "page_no"], "left").fillna(False, ["ocr_run", "ocr_injected"])
-    made_frames = {"doc": doc, "sec": sec, "blk": blk, "par": par, "std": std, "rul": rul, "ins": ins, "pg": pages}
+        doc = doc.join(files.select("doc_id", "file_name"), "doc_id", "left").withColumn("file_name", F.coalesce("file_name", F.lit("")))
+        stem = F.regexp_replace(F.regexp_replace("file_name", "^.*/", ""), "[.][^.]*$", "")
+        doc = doc.withColumn("title", F.when(F.col("title") == "", stem).otherwise(F.col("title")))
+    rows = tb.select("doc_id", "place", F.posexplode("grid").alias("row_idx", "cells"))
+    seen = pages.select("doc_id", F.col("page_index").cast("long").alias("page_no"), (F.col("ocr_used") if "ocr_used" in pages.columns else F.lit(False)).alias("ocr_run"))
+    if evaluations is not None:
+        seen = seen.drop("ocr_run").join(evaluations.select("doc_id", F.col("page_index").cast("long").alias("page_no"), F.lit(True).alias("ocr_run"), F.col("inject").alias("ocr_injected")), ["doc_id", "page_no"], "left")
+    else:
+        seen = seen.withColumn("ocr_injected", F.col("ocr_run"))
+    pg = s.frame("cpg").select("doc_id", F.col("page_index").alias("page_no"), F.array_join("lines", "\n").alias("text")).join(seen, ["doc_id", "page_no"], "left").fillna(False, ["ocr_run", "ocr_injected"])
+    made_frames = {
+        "doc": doc,
+        "sec": s.frame("sec").withColumnRenamed("sec_ord", "ord"),
+        "blk": blk.select("doc_id", place("page_index", "line_no").alias("ord"), F.col("block_type").alias("kind"), F.when(F.col("is_head"), F.col("line")).otherwise("").alias("title"), F.col("line").alias("content"), "part", F.col("ref").alias("section_ref"), (F.col("page_index") + 1).alias("page_no")),
+        "par": s.frame("par").withColumn("param_id", F.concat(F.lit("param-"), "ord")).withColumnRenamed("table_title", "table_no"),
+        "std": s.frame("std").withColumn("kind", F.col("family")).withColumn("anchor", anchor),
+        "rul": s.frame("rul").withColumn("rule_id", F.concat(F.lit("rule-"), "ord")).withColumn("anchor", anchor),
+        "ins": s.frame("ins"),
+        "prd": s.frame("prd").select("doc_id", "ord", F.concat(F.lit("product-"), "ord").alias("product_id"), "name", "model", F.col("display").alias("anchor")),
+        "tab": tb.select("doc_id", F.col("place").alias("ord"), "table_no", "title", F.col("ref").alias("section_ref"), F.size(F.get("grid", F.lit(0))).alias("n_cols"), (F.size("grid") - 1).alias("n_rows")),
+        "cel": rows.select("doc_id", F.col("place").alias("ord"), F.col("row_idx").cast("long").alias("row_idx"), F.posexplode("cells").alias("col_idx", "cell")),
+        "pg": pg,
+    }
     return {k: keep(_whole(v, k)) for k, v in made_frames.items()}
 
 
+def digests(spark: SparkSession, pages: DataFrame, keep: Keep = to_shared) -> DataFrame:
+    """One row per document with its metadata and, of every relation, the number of rows and a digest of them in order."""
+    s = steps_of(spark, pages, keep)
+    for name in ("rul", "ins", "meta"):
+        s.keep(name)
+    parts, last = digest(d)
+    s.steps |= parts | {"dg": last}
+    return s.frame("dg")
+
+
+def s14_parsed_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole parse of the derived catalogue: pages with lines and tables, some of them recognised."""
+    return digests(spark, run_sql(spark, sf_dir, sample(d)))
+
+
+def s14_parsed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole parse of the given documents, cut in pages of forty lines."""
+    return digests(spark, run_sql(spark, sf_dir, text_pages(d)))
+
+
+PARSED = {f.__name__: f for f in (s14_parsed_catalogue, s14_parsed_texts)}
+
+
+def parsed_sql() -> dict[str, str]:
+    return {"s14_parsed_catalogue": oracle(sample), "s14_parsed_texts": oracle(text_pages)}
+
+
 def outputs(spark: SparkSession, frames: dict[str, DataFrame], keep: Keep = to_shared) -> dict[str, DataFrame]:
     """The model with what is written about a document: its Markdown by lines (md), tags (tag), chapter summaries (chap) and
     the sentence that sums it up (in doc)."""

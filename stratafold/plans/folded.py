@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratafold.functions.dialect import SPARK
-from stratafold.operators.folds import page_pointer, row_clusters
+from stratafold.functions.dialect import DUCK, SPARK, Dialect
+from stratafold.operators.folds import row_clusters
 from stratafold.operators.merge import merge_sections
-from stratafold.plans.corpora import spec_lines
+from stratafold.operators.pointers import page_sections
+from stratafold.plans.document import to_shared
+from stratafold.plans.pages import pointer, pointer_lines
 from stratafold.plans.registry import run_sql, with_
 from stratafold.plans.structure import sections
 
 
+def _catalogue_pages(d: Dialect) -> dict[str, str]:
+    return sections(d) | {"cpg": f"SELECT doc_id, page_index, {d.list_in_order('line', 'line_no')} AS lines FROM spec GROUP BY doc_id, page_index", "plp": pointer_lines(d)}
+
+
 def j04_page_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Section of every page of the catalogue by the greedy pointer over section titles."""
-    pages = run_sql(spark, sf_dir, spec_lines(SPARK)).groupBy("doc_id", "page_index").agg(F.collect_list("line").alias("lines"))
-    heads = run_sql(spark, sf_dir, with_(sections(SPARK), "SELECT doc_id, sec_ord, title FROM heads"))
-    return page_pointer(pages, heads)
+    """Section of every page of the catalogue by the greedy pointer over section titles, followed by doubling."""
+    steps = _catalogue_pages(SPARK)
+    heads = run_sql(spark, sf_dir, with_(steps, "SELECT doc_id, sec_ord, title FROM heads"))
+    return page_sections(run_sql(spark, sf_dir, with_(steps, "SELECT * FROM plp")), heads, to_shared)
 
 
 def w08_row_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,3 +48,10 @@ def w06_section_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FOLDED = {f.__name__: f for f in (j04_page_pointer, w08_row_clusters, w06_section_merges)}
+
+
+def folded_sql() -> dict[str, str]:
+    """Oracles of those that DuckDB can follow step by step."""
+    steps = _catalogue_pages(DUCK)
+    walk = with_(steps | pointer(DUCK, sct="heads"), "SELECT doc_id, page_index, sec_ord FROM ptr").replace("WITH", "WITH RECURSIVE", 1)
+    return {"j04_page_pointer": walk}

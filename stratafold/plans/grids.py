@@ -74,8 +74,8 @@ def titled(d: Dialect, pages: str | None = None, ref: str = "''") -> dict[str, s
     the table's rank, if it says something, else the first that does, else the place. `ref` is the section of a page."""
     dull = lambda x: d.full(x, Parser.LOW_SIGNAL_TABLE_TITLE_RE)
     return {
-        "pgs": pages or spec_pages(d),
-        "pc": f"SELECT doc_id, page_index, tables, {ref} AS page_ref, {page_titles(d)} AS captions FROM pgs WHERE {d.size('tables')} > 0",
+        "tpg": pages or spec_pages(d),
+        "pc": f"SELECT doc_id, page_index, tables, {ref} AS page_ref, {page_titles(d)} AS captions FROM tpg WHERE {d.size('tables')} > 0",
         "pf": f"SELECT doc_id, page_index, tables, page_ref, {d.each('captions', lambda x, _: f"CASE WHEN {dull(x)} THEN '' ELSE {x} END", 'x', 'n')} AS captions FROM pc",
         "pt": d.rows("pf", "tables", "grid", "tab_at", "doc_id, page_index, page_ref, captions, tab_at, grid"),
         "tbl": f"""SELECT doc_id, page_index, CAST(tab_at + 1 AS BIGINT) AS tab_no, page_ref AS ref, concat('第', page_index + 1, '页_表', tab_at + 1) AS table_no, grid,

@@ -95,21 +95,23 @@ def made(d: Dialect, rows: str, keys: str, hint: str = "''") -> dict[str, str]:
     }
 
 
-def text_candidates(d: Dialect) -> dict[str, str]:
+def text_candidates(d: Dialect, lines: str | None = None, keys: str = "doc_id, page_index", at: str = "line_no", around: str = "''", ref: str = "''") -> dict[str, str]:
     """(name, value) from lines: `label: value` first, else a range, else a comparison under a canonical name or the line
-    before it."""
-    order = "PARTITION BY doc_id, page_index ORDER BY line_no"
+    before it. `lines` are in order of `at` within `keys`; around is the title and ref the reference of their section."""
+    order = f"PARTITION BY {keys} ORDER BY {at}"
     right = d.norm("substr(line, cut + 1)")
+    more = "" if lines is None else f", {ref} AS ref"
+    twice = d.norm(f"concat(line, ' ', line, ' ', {around})")
     return {
-        "spec": spec_lines(d),
+        "spec": lines or spec_lines(d),
         # no value is without a digit, so the costly tests are left to lines that have one
-        "l0": d.pin("spec", cut=d.colon("line"), digit=d.search("line", Rx(r"\d"))),
+        "l0": d.pin("spec", cut=d.colon("line"), digit=d.search("line", Rx(r"\d")), merged=twice),
         "l1": d.pin("l0", line_value=f"(digit AND {value_like(d, 'line')})", ranged=f"CASE WHEN digit THEN {d.extract('line', Parser.RANGE_RE)} ELSE '' END", compared=f"CASE WHEN digit THEN {d.extract('line', Parser.COMPARE_RE)} ELSE '' END"),
-        "l2": d.pin("l1", label=f"CASE WHEN digit AND cut > 0 THEN {d.norm('left(line, greatest(cut - 1, 0))')} ELSE '' END", tail=f"CASE WHEN digit AND cut > 0 THEN {right} ELSE '' END", canon=f"CASE WHEN ranged <> '' OR compared <> '' THEN {name_of(d, 'line', d.lit(''))} ELSE '' END"),
-        "l3": d.pin("l2", labelled=f"(digit AND {value_like(d, 'tail')})", refused=f"CASE WHEN digit THEN length(line) > 160 OR {d.search('line', Parser.STANDARD_RE)} OR {rejected(d, 'line', 'line', 'line', 'line_value')} ELSE true END"),
+        "l2": d.pin("l1", label=f"CASE WHEN digit AND cut > 0 THEN {d.norm('left(line, greatest(cut - 1, 0))')} ELSE '' END", tail=f"CASE WHEN digit AND cut > 0 THEN {right} ELSE '' END", canon=f"CASE WHEN ranged <> '' OR compared <> '' THEN {name_of(d, 'line', around)} ELSE '' END"),
+        "l3": d.pin("l2", labelled=f"(digit AND {value_like(d, 'tail')})", refused=f"CASE WHEN digit THEN length(line) > 160 OR {d.search('line', Parser.STANDARD_RE)} OR {rejected(d, 'line', 'line', 'merged', 'line_value')} ELSE true END"),
         "l4": f"SELECT *, coalesce(lag(line) OVER ({order}), '') AS prev, coalesce(lag(line_value) OVER ({order}), false) AS prev_value FROM l3",
-        "l5": "SELECT doc_id, page_index, line_no, CASE WHEN labelled THEN label WHEN canon <> '' THEN canon WHEN prev <> '' AND length(prev) <= 40 AND NOT prev_value THEN prev ELSE '' END AS name, CASE WHEN labelled THEN tail WHEN ranged <> '' THEN ranged ELSE compared END AS value FROM l4 WHERE NOT refused AND (labelled OR ranged <> '' OR compared <> '')",
-        "cand": "SELECT *, name AS context FROM l5",
+        "l5": f"SELECT {keys}, {at}{more}, CASE WHEN labelled THEN label WHEN canon <> '' THEN canon WHEN prev <> '' AND length(prev) <= 40 AND NOT prev_value THEN prev ELSE '' END AS name, CASE WHEN labelled THEN tail WHEN ranged <> '' THEN ranged ELSE compared END AS value FROM l4 WHERE NOT refused AND (labelled OR ranged <> '' OR compared <> '')",
+        "cand": f"SELECT *, concat(name, ' ', {'ref' if lines is not None else d.lit('')}) AS context FROM l5",
     }
 
 

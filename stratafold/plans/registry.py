@@ -59,8 +59,9 @@ def run_over(spark: SparkSession, name: str, frames: dict[str, DataFrame]) -> Da
     from stratafold.plans.state import COLUMNS, empty
 
     views = {}
+    doc_id = next((f.schema["doc_id"].dataType.simpleString() for f in frames.values()), "long")
     for relation, columns in COLUMNS.items():
-        frame = frames[relation].select(*columns.split(", ")) if relation in frames else empty(spark, relation)
+        frame = frames[relation].select(*columns.split(", ")) if relation in frames else empty(spark, relation, doc_id)
         view = f"stratafold_{relation}_{uuid4().hex}"
         frame.createOrReplaceTempView(view)
         views[relation] = f"SELECT * FROM {view}"

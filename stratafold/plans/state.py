@@ -36,14 +36,14 @@ KINDS = {
 }
 
 
-def schema(relation: str) -> str:
-    """Schema of a relation."""
-    kind = {c: k for k, columns in KINDS.items() for c in columns}
+def schema(relation: str, doc_id: str = "long") -> str:
+    """Schema of a relation; doc_id may be of another type."""
+    kind = {c: k for k, columns in KINDS.items() for c in columns} | {"doc_id": doc_id}
     return ", ".join(f"{c} {kind.get(c, 'string')}" for c in COLUMNS[relation].split(", "))
 
 
-def empty(spark, relation: str):
-    return spark.createDataFrame([], schema(relation))
+def empty(spark, relation: str, doc_id: str = "long"):
+    return spark.createDataFrame([], schema(relation, doc_id))
 
 
 def pick(d: Dialect, key: str, *values: str) -> str:

@@ -57,15 +57,16 @@ def blocks(d: Dialect, lines: str | None = None) -> dict[str, str]:
     `lines` has doc_id, page_index, line_no, line and the columns of CONTEXT."""
     c = {k: v for k, v in CONTEXT.items()} | {f"in_{k}": "false" for k in ("line", "cand", "title")} if lines is None else {k: k for k in ("language", "ocr_used", "in_pieces", "in_line", "in_cand", "in_title")}
     pieces = f"(({c['ocr_used']} AND {L.ocr_fragment_heading(d, 'candidate')}) OR ({c['in_pieces']} AND {L.in_pieces_heading(d, 'candidate')}))" if lines else "false"
-    bad_piece = f" OR ({c['in_pieces']} AND {d.full('number', Rx('[0-9]+'))} AND length(number) >= 2 AND left(number, 1) <> '0' AND length(replace(num_title, ' ', '')) <= 4) OR ({c['ocr_used']} AND {L.ocr_fragment_heading(d, 'num_title')})" if lines else ""
+    bad_piece = f"(({c['in_pieces']} AND {d.full('number', Rx('[0-9]+'))} AND length(number) >= 2 AND left(number, 1) <> '0' AND length(replace(num_title, ' ', '')) <= 4) OR ({c['ocr_used']} AND {L.ocr_fragment_heading(d, 'num_title')}))" if lines else "false"
     return {
         "spec": lines or spec_lines(d),
         "merged": merged_lines(d, lines),
         "cand": d.pin("merged", candidate=TITLE.format(x="line"), number=d.extract("line", Parser.NUMBERED_HEADING_RE, 1), num_title=TITLE.format(x=d.extract("line", Parser.NUMBERED_HEADING_RE, 2))),
         "c1": tagged(d, "candidate", "c", "cand", c["in_cand"]),
         "c2": tagged(d, "num_title", "n", "c1", c["in_title"]),
-        "c3": d.pin("c2", skip=L.skipped(d, "line"), barred=f"({L.heading_barred(d, 'candidate')} OR c_table OR c_fragment OR c_meta OR c_dense)", pieces=pieces),
-        "c4": d.pin("c3", bad_number=f"({L.number_noise(d, 'number', 'num_title')} OR {d.words('num_title')} > {L.MAX_HEADING_WORDS} OR n_table OR n_fragment OR n_meta OR n_dense{bad_piece})"),
+        "c3": d.pin("c2", skip=L.skipped(d, "line"), barred=f"({L.heading_barred(d, 'candidate')} OR c_table OR c_fragment OR c_meta OR c_dense)"),
+        "c3p": d.pin("c3", pieces=pieces, bad_piece=bad_piece) if lines else "SELECT *, false AS pieces, false AS bad_piece FROM c3",
+        "c4": d.pin("c3p", bad_number=f"({L.number_noise(d, 'number', 'num_title')} OR {d.words('num_title')} > {L.MAX_HEADING_WORDS} OR n_table OR n_fragment OR n_meta OR n_dense OR bad_piece)"),
         "c5": f"""SELECT *, CASE WHEN barred OR pieces THEN false WHEN number <> '' THEN num_title <> '' AND NOT bad_number
             WHEN {d.full('candidate', Rx(r'(?:Form|Shape)\s+[A-Z0-9]+', True))} THEN true
             WHEN {d.match('candidate', Parser.TABLE_CAPTION_RE)} OR {d.match('candidate', Parser.FIGURE_CAPTION_RE)} THEN false

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratafold import job
-from stratafold.operators.folds import page_pointer, row_clusters
+from stratafold.operators.folds import row_clusters
+from stratafold.operators.pointers import page_sections
+from stratafold.plans.document import to_shared
 from stratafold.operators.merge import merge_sections
 from stratafold.operators.refine import local_cleanup, refine, renamed_references
 from stratafold.sources import language, locks, recognition
@@ -263,7 +265,7 @@ def test_page_pointer_in_plain_loops(spark):
             while at + 1 < len(heads) and heads[at + 1] in lines:
                 at += 1
             want[doc, page] = at + 1
-    got = page_pointer(spark.createDataFrame(pages, "doc_id long, page_index long, lines array<string>"), spark.createDataFrame(titles, "doc_id long, sec_ord long, title string"))
+    got = page_sections(spark.createDataFrame(pages, "doc_id long, page_index long, lines array<string>"), spark.createDataFrame(titles, "doc_id long, sec_ord long, title string"), to_shared)
     assert {(r.doc_id, r.page_index): r.sec_ord for r in got.collect()} == want
 
 

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratafold.functions.dialect import SPARK
-from stratafold.operators.folds import merge_cell_texts, page_pointer, row_clusters
+from stratafold.operators.folds import merge_cell_texts, row_clusters
 from stratafold.operators.merge import merge_sections, review_loop
+from stratafold.operators.pointers import page_sections
+from stratafold.plans.document import to_shared
 from stratafold.plans.folded import FOLDED
 from stratafold.plans.registry import run_sql, with_
 from stratafold.plans.structure import sections
@@ -19,7 +21,7 @@ from stratafold.streaming.progress import EVENT_SCHEMA, event_counts, keep_histo
 def test_page_pointer_stops_at_a_skipped_title(spark):
     pages = spark.createDataFrame([(1, 0, ["A", "x"]), (1, 1, ["B", "C"]), (1, 2, ["y"]), (1, 3, ["E"])], "doc_id long, page_index long, lines array<string>")
     sections = spark.createDataFrame([(1, 1, "A"), (1, 2, "B"), (1, 3, "C"), (1, 4, "D"), (1, 5, "E")], "doc_id long, sec_ord long, title string")
-    got = {r.page_index: r.sec_ord for r in page_pointer(pages, sections).collect()}
+    got = {r.page_index: r.sec_ord for r in page_sections(pages, sections, to_shared).collect()}
     assert got == {0: 1, 1: 3, 2: 3, 3: 3}
 
 
@@ -33,7 +35,7 @@ def test_documents_of_more_than_500_sections_stay_whole(spark, tmp_path):
     assert sorted(r.sec_ord for r in got) == list(range(1, n + 1))
     seen = []
     with pytest.MonkeyPatch.context() as m:
-        m.setattr("stratafold.plans.folded.page_pointer", lambda pages, titles: seen.append(titles) or titles)
+        m.setattr("stratafold.plans.folded.page_sections", lambda pages, titles, keep: seen.append(titles) or titles)
         FOLDED["j04_page_pointer"](spark, str(tmp_path))
     assert sorted(r.sec_ord for r in seen[0].collect()) == list(range(1, n + 1))
 
