@@ -115,9 +115,9 @@ def scan_versions(versions: DataFrame, ledger: str, rules: tuple[SecretRule, ...
     else:
         todo = blobs.withColumn("todo", all_keys)
     todo = materialise(todo.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "blob", "todo"), "todo")
-    # rows may share id and text: one of them is kept before the join, by the join's own keys
-    single = hashed.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "blob", "text").dropDuplicates(["id", "blob"])
-    unseen = single.join(todo, ["id", "blob"])
+    # texts that wait for nothing stay where they are; of rows that share id and text one is kept, by the join's own keys
+    named = hashed.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "blob", "text")
+    unseen = named.join(todo.select("id", "blob"), ["id", "blob"], "left_semi").dropDuplicates(["id", "blob"]).join(todo, ["id", "blob"])
     found = materialise(find_spans(unseen.select("blob", "text", "todo"), rules), "findings")
     none = F.array().cast(_FOUND)
     new = todo.join(found, "blob", "left").select("blob", F.col("todo").alias("scanned"), F.coalesce("spans", none).alias("spans"))
