@@ -111,17 +111,18 @@ def split_hot(df: DataFrame, keys: list[str], node: str, cap: int) -> DataFrame:
     return met.withColumn("unit_i", F.least("_c", "_j")).withColumn("unit_j", F.greatest("_c", "_j")).withColumnRenamed("_c", "chunk").drop("_m", "_n", "_j")
 
 
-def by_units(df: DataFrame, keys: list[str], work: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, rows: int = 131072) -> DataFrame:
+def by_units(df: DataFrame, keys: list[str], work: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, rows: int = 131072, size: int = 128 << 20) -> DataFrame:
     """Run `work` over whole groups of `keys`, many small groups at a time. Each call gets a table sorted by the keys; a
-    group is never cut, and not much more than `rows` rows are held at once."""
+    group is never cut, and not much more than `rows` rows or `size` bytes are held at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        n = 0
+        n = held_bytes = 0
         for batch in batches:
             held.append(batch)
             n += batch.num_rows
-            if n < rows:
+            held_bytes += batch.nbytes
+            if n < rows and held_bytes < size:
                 continue
             whole = pa.Table.from_batches(held)
             last = [whole.column(k)[n - 1].as_py() for k in keys]
@@ -133,6 +134,7 @@ def by_units(df: DataFrame, keys: list[str], work: Callable[[pa.Table], Iterator
                 yield from work(whole.slice(0, cut))
                 rest = whole.slice(cut)
                 held, n = rest.combine_chunks().to_batches(), rest.num_rows
+                held_bytes = rest.nbytes
         if n:
             yield from work(pa.Table.from_batches(held))
 

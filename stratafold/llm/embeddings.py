@@ -157,24 +157,26 @@ def near_vectors(vectors: DataFrame, vec_col: str = "embedding", id_col: str = "
     on different tasks. A pair that meets in several tables counts where it meets first, so tasks return link counts and a
     spanning forest, never the pairs. No bucket is capped. Null, zero and non-finite vectors, and vectors with a null
     component or a null id, link with nothing and are their own component; vectors of different lengths never link.
-    Repeated rows count as vectors of their own with the same id. Other columns are not read, whatever their names; an empty
+    Repeated rows count as vectors of their own with the same id, and so do different vectors with one id. Other columns are not read, whatever their names; an empty
     table gives an empty table."""
     v = F.col("vec")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     sound = F.coalesce(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("vec", F.when(sound, v))
-    folded = materialise(rows.where("vec is not null").groupBy("vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
+    folded = rows.where("vec is not null").groupBy("vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    folded = materialise(folded.withColumn("no", F.monotonically_increasing_id()), "vectors")  # an id may have several vectors
     kind = "id long, copies long, vec binary, home binary, probes binary, keys array<long>"
-    hashed = materialise(folded.select("id", "copies", "vec").mapInArrow(tidy(_hashed), kind), "hashed")
+    hashed = materialise(folded.select(F.col("no").alias("id"), "copies", "vec").mapInArrow(tidy(_hashed), kind), "hashed")
     met = hashed.select("id", F.posexplode("keys").alias("no", "key")).select("id", "key", (F.col("no") >= TABLES).cast("int").alias("role"))
     met = split_hot(met, ["key"], "id", cap).join(hashed.drop("keys"), "id")
     found = by_units(met.select("key", "unit_i", "unit_j", "id", "copies", "chunk", "role", "vec", "home", "probes"), ["key", "unit_i", "unit_j"], _verify(least), "a long, b long, links long", 32768)
     found = materialise(found, "verified")
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select("a", "b"), "vectors-components")
-    classes = folded.join(links, folded["id"] == links["a"], "left").join(roots, folded["id"] == roots["node"], "left")
-    classes = classes.select("vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    classes = folded.join(links, folded["no"] == links["a"], "left").join(roots, folded["no"] == roots["node"], "left")
+    classes = materialise(classes.select("vec", "id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "no").alias("root")), "rooted")
+    classes = classes.join(classes.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("vec", "n_links", "component_id")
     out = rows.join(materialise(classes, "classes"), "vec", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))).withColumnRenamed("id", id_col)
 

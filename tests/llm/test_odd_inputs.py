@@ -31,11 +31,6 @@ def with_clashes(df):
     return df.select("*", *(F.lit("clash").alias(c) for c in CLASHING if c not in df.columns))
 
 
-def by_text(run):
-    """Operators on documents as functions of (docs, labels)."""
-    return run
-
-
 OPERATORS = {
     "quality": lambda d, _: quality.quality_rules(d),
     "language": lambda d, _: langid.predict_language(d, langid.fit(d)),
@@ -78,6 +73,8 @@ def test_vectors(spark):
     want = [("1", "2", "1", "True")] * 2 + [("2", "2", "1", "False"), *((str(i), "0", str(i), "True") for i in range(3, 8)), ("None", "0", "None", "True")]
     assert rows_of(near_vectors(vectors)) == sorted(want) == rows_of(near_vectors(with_clashes(vectors)))
     assert near_vectors(vectors.limit(0)).count() == 0
+    two = spark.createDataFrame([(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.01, 1.0, 0.0])], "vec_id long, embedding array<float>")
+    assert rows_of(near_vectors(two)) == [("1", "1", "1", "True")] * 2 + [("2", "1", "1", "False"), ("3", "1", "1", "False")]  # one id with two vectors
 
 
 def test_pages(spark):
