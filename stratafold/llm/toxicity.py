@@ -334,7 +334,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     chosen = materialise(pick(1, max_toxic).unionByName(pick(0, max_clean)), "labelled")
     known = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("text")).join(F.broadcast(chosen.withColumnRenamed(id_col, "_id")), "_id").select("text", "label")
     signed = known.mapInArrow(tidy(_signed), "text string, label int, s0 long, s1 long, s2 long")
-    sample = materialise(signed.dropDuplicates(["s0", "label"]).dropDuplicates(["s1", "label"]).dropDuplicates(["s2", "label"]), "sample")
+    for sign in ("s0", "s1", "s2"):  # of near copies the one with the least hash stays, whatever the partitioning
+        first = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "s0", "s1", "s2")).alias("first")
+        signed = signed.groupBy(F.col(sign).alias("sign"), "label").agg(first).select("first.text", "label", "first.s0", "first.s1", "first.s2")
+    sample = materialise(signed, "sample")
     words = dict.fromkeys(INSULTS, 2.0)
     begins: dict[str, float] = {}
     for turn in range(ROUNDS):
@@ -364,7 +367,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
             x = [g.features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label").cast(pa.int64())], ["x", "y"])
 
-    rows = sample.mapInArrow(tidy(run), "x array<double>, y long").collect()
+    rows = sorted(sample.mapInArrow(tidy(run), "x array<double>, y long").collect())
     x = np.array([r["x"] for r in rows], float).reshape(-1, len(PATTERNS) + 1)
     grammar.weights = _fit(x, np.array([r["y"] for r in rows], float))
     return grammar
