@@ -135,8 +135,10 @@ def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str
     facts = F.broadcast(facts) if len(order) <= FEW_SOURCES else facts
     numbered = base.join(facts, base["source"].eqNullSafe(facts["source"])).select("id", "size", "h", "source_no", "source_size", "target", F.pmod(F.hash("h", F.lit(seed)), F.col("groups")).alias("g"))
     inside = Window.partitionBy("source_no", "g").orderBy("h", "id", "row_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = numbered.withColumn("row_id", F.monotonically_increasing_id())
-    members = materialise(numbered.withColumn("before", F.sum("size").over(inside) - F.col("size")), "members")
+    numbered = materialise(numbered.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
+    # rows without a word, of which very many may be alike, need no place
+    worded = numbered.where("size > 0").withColumn("before", F.sum("size").over(inside) - F.col("size"))
+    members = materialise(worded.unionByName(numbered.where("size = 0").withColumn("before", F.lit(0).cast("long"))), "members")
     starts = members.groupBy("source_no", "g").agg(F.sum("size").alias("n")).withColumn("base", F.sum("n").over(Window.partitionBy("source_no").orderBy("g")) - F.col("n")).drop("n")
     placed = members.where("size > 0").join(starts, ["source_no", "g"]).withColumn("start", F.col("base") + F.col("before"))
     placed = placed.select("row_id", "source_no", "start", "size", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))).alias("block"))
