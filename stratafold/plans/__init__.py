@@ -6,11 +6,12 @@ from stratafold.plans import access, batch, checks, grids, parameters, records,
 from stratafold.plans.document import PARSED, parsed_sql
 from stratafold.plans.folded import FOLDED, folded_sql
 from stratafold.plans.registry import duck_sql, spark_queries
+from stratafold.plans.streamed import STREAMED, streamed_sql
 
 
 def all_queries() -> dict:
-    return spark_queries() | FOLDED | PARSED
+    return spark_queries() | FOLDED | PARSED | STREAMED
 
 
 def all_sql() -> dict[str, str]:
-    return duck_sql() | folded_sql() | parsed_sql()
+    return duck_sql() | folded_sql() | parsed_sql() | streamed_sql()
