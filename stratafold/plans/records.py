@@ -11,7 +11,7 @@ from stratafold.plans.parameters import made, text_candidates, value_like
 from stratafold.plans.registry import query, with_
 from stratafold.plans.review import HEADING_REASONS, SOFT_REASONS, reason_columns
 from stratafold.plans.structure import blocks, sections
-from stratafold.plans.text_layer import array_metrics, profiled, tally
+from stratafold.plans.text_layer import array_metrics, ocr_evaluated, profiled, tally
 
 #: Labels of document types; process words; date shapes of the version date, in order.
 TYPE_LABELS = {"standard": "标准/规范文档", "product_catalog": "产品样本/规格资料", "manual": "技术手册", "report": "报告文档", "unknown": "技术资料"}
@@ -82,7 +82,12 @@ def j09_renamed_sections(d):
 
 @query
 def j11_page_records(d):
-    return with_({"l": spec_lines(d), "p": "SELECT doc_id, page_index, count(*) AS n_lines FROM l GROUP BY doc_id, page_index", "ev": "SELECT DISTINCT doc_id, page_index FROM l WHERE page_index % 7 = 0"}, "SELECT p.doc_id, p.page_index, n_lines, ev.doc_id IS NOT NULL AS ocr_run FROM p LEFT JOIN ev ON p.doc_id = ev.doc_id AND p.page_index = ev.page_index")
+    """Pages with the evaluation of their text as recognised text."""
+    lines = f"SELECT {d.struct(d='doc_id', p='page_index')} AS doc_id, line_no, line FROM l"
+    return with_(
+        {"l": spec_lines(d), "p": "SELECT doc_id, page_index, count(*) AS n_lines FROM l GROUP BY doc_id, page_index", "k": lines, "ev": ocr_evaluated(d, "k")},
+        "SELECT p.doc_id, p.page_index, p.n_lines, e.doc_id IS NOT NULL AS ocr_run, coalesce(e.grade, '') AS grade, coalesce(e.grade, '拒绝') <> '拒绝' AS injected, coalesce(e.content_chars, 0) AS content_chars FROM p LEFT JOIN ev e ON p.doc_id = e.doc_id.d AND p.page_index = e.doc_id.p",
+    )
 
 
 @query
