@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from stratafold.functions.dialect import Dialect
 from stratafold.functions.patterns import Rx
-from stratafold.plans.checks import mismatch_parts, reviewed, scored
+from stratafold.plans.checks import failure_reasons, mismatch_parts, reviewed, scored
 from stratafold.plans.checks import facts as review_facts
 from stratafold.plans.parameters import unit_of
 from stratafold.plans.records import TYPE_LABELS
@@ -18,7 +18,6 @@ from stratafold.plans.text_layer import tally
 #: known; texts of the quarantine; reason where nothing else names one.
 MOST_SECTIONS, MOST_TABLES, LEAST_CONFIDENCE_PCT, UNKNOWN = 500, 50, 50, "unknown"
 QUARANTINE_TAG, SCAN_TAG, QUARANTINE_REASON = "来源隔离", "疑似扫描件", "文件名与正文标准号不一致，已隔离常规摘要流程"
-NO_PASS = "总分未达通过线"
 WHOLE_DOCUMENT = "文档"
 
 #: Names of parameters by pattern; the reason of a mismatch between a file name and its text.
@@ -334,14 +333,8 @@ def a17_state_fingerprint(d, given=None):
 
 @query
 def t09_failure_reasons(d, given=None):
-    """Why a document did not pass: its redlines, else its gravest issues, else its score."""
-    return with_(
-        scored(d, given) | {
-            "grave": "SELECT DISTINCT i.doc_id, i.issue FROM iss i JOIN prob p ON i.issue = p.issue JOIN lev l ON i.doc_id = l.doc_id AND p.problem_id = l.problem_id WHERE l.level = 0 AND i.review IN ('markdown', 'source')",
-            "no_pass": "SELECT doc_id FROM total WHERE score < 85 OR redline",
-        },
-        f"SELECT n.doc_id, CASE WHEN r.issue IS NOT NULL THEN r.issue WHEN g.issue IS NOT NULL THEN g.issue ELSE {d.lit(NO_PASS)} END AS reason FROM no_pass n LEFT JOIN red r ON n.doc_id = r.doc_id LEFT JOIN grave g ON n.doc_id = g.doc_id AND r.doc_id IS NULL",
-    )
+    """Why a document did not pass, in order: its redlines, else its gravest problems, else its score."""
+    return with_(failure_reasons(d, given), "SELECT doc_id, CAST(place AS BIGINT) AS place, reason FROM why")
 
 
 @query

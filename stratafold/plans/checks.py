@@ -43,6 +43,11 @@ PROBLEMS = (
     ("表格未转化为参数", "table_to_param_missing", "", 0, "重跑parser", False, "parser", "document,summary,tags"),
     ("关键标签缺失", "missing_critical_tags", "", 0, "重建tags", False, "tagger", "tags"),
 )
+#: Level, target and kind of the problems of a review; actions in the order in which they are carried out; the
+#: issue that is of the least level, and the one that compares names; what stands for no action and for no other reason.
+LISTED = {"markdown": ("S", "原文解析.md", "结构缺失"), "summary": ("A", "summary.json", "摘要缺失"), "tags": ("B", "tags.json", "标签缺失"), "source": ("S", "结构化结果", "来源异常"), "ocr": ("A", "OCR专项检查", "输出质量风险")}
+ACTIONS = ("标记需OCR", "重跑parser", "重建markdown", "重建summary", "重建tags", "清洗标签噪音")
+MINOR, MISMATCH, NO_ACTION, NO_PASS = "OCR标题噪音轻度", "文件名与正文不一致", "无可用自动修正", "总分未达通过线"
 #: Full marks of the dimensions; names of the redlines by issue and the reviews whose issues count; cap and
 #: pass mark; points for more than so many pseudo-headings.
 FULL_MARKS = {"base": 35, "factual": 40, "consistency": 25}
@@ -412,29 +417,56 @@ def a15_scores(d, given=None):
     return with_(scored(d, given), f"SELECT doc_id, base, factual, consistency, redline, score, score >= {PASS_MARK} AND NOT redline AS passed FROM total")
 
 
-@query
-def t03_problem_list(d, given=None):
-    """Problems of a document, one row for each id with its gravest level: S, A or B."""
-    return with_(scored(d, given), "SELECT doc_id, problem_id, CASE level WHEN 0 THEN 'S' WHEN 1 THEN 'A' ELSE 'B' END AS level, blocking, action, module FROM lev")
+def listed(d: Dialect, given: dict[str, str] | None = None) -> dict[str, str]:
+    """`plist`: the problem list of a document: of each problem the gravest finding, the first one of equals; problems are
+    sorted by level and then by the place of their first finding."""
+    ruled = {"markdown": MARKDOWN_RULES, "summary": SUMMARY_RULES + FACT_RULES + STUB_RULES, "tags": TAG_RULES, "source": SOURCE_RULES + SKELETON_RULES + TABLE_RULES + [(MISMATCH, "", "")], "ocr": [r for r in OCR_RULES if r[0] != MINOR] + [r for r in OCR_RULES if r[0] == MINOR]}
+    places = dict.fromkeys((review, rule[0]) for review in ruled for rule in ruled[review])
+    ranks = ", ".join(f"({d.lit(review)}, {d.lit(issue)}, {i}, {('SAB'.index(LISTED[review][0]) if issue != MINOR else 2)}, {d.lit(LISTED[review][1])}, {d.lit(LISTED[review][2])})" for i, (review, issue) in enumerate(places))
+    return scored(d, given) | {
+        "rk": f"SELECT * FROM (VALUES {ranks}) AS v(review, issue, rank, level, target, kind)",
+        "pb0": "SELECT i.doc_id, coalesce(p.problem_id, i.issue) AS problem_id, i.issue, i.reason, k.rank, k.level, k.target, k.kind, coalesce(p.module, '') AS module, coalesce(p.action, '') AS action, coalesce(p.blocking, false) AS blocking, coalesce(p.outputs, '') AS outputs FROM iss i JOIN rk k ON i.review = k.review AND i.issue = k.issue LEFT JOIN prob p ON i.issue = p.issue",
+        "pb1": "SELECT *, row_number() OVER (PARTITION BY doc_id, problem_id ORDER BY level, rank, reason) AS k, min(rank) OVER (PARTITION BY doc_id, problem_id) AS first_rank FROM pb0",
+        "plist": "SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY level, first_rank) AS BIGINT) AS place FROM pb1 WHERE k = 1",
+    }
 
 
 @query
-def a15_problem_counts(d, given=None):
-    return with_(scored(d, given), f"SELECT doc_id, {tally('level = 0')} AS grave, {tally('level = 1')} AS major, {tally('level = 2')} AS minor FROM lev GROUP BY doc_id")
+def t03_problem_list(d, given=None):
+    """Problems of a document in order, one row for each id with its gravest level: S, A or B."""
+    return with_(listed(d, given), "SELECT doc_id, place, problem_id, CASE level WHEN 0 THEN 'S' WHEN 1 THEN 'A' ELSE 'B' END AS level, target, kind, issue AS position, reason, module, action, blocking, outputs FROM plist")
 
 
 @query
 def t04_fix_actions(d, given=None):
-    """Distinct actions of a document, blocking ones first, then by level."""
+    """What is to be done about a document: each action of a module once, with the first problem that asks for it; by level,
+    then in the order in which actions are carried out."""
+    order = "CASE action " + " ".join(f"WHEN {d.lit(a)} THEN {i}" for i, a in enumerate(ACTIONS)) + " ELSE 99 END"
     return with_(
-        scored(d, given) | {"a": "SELECT doc_id, action, max(CASE WHEN blocking THEN 1 ELSE 0 END) AS blocks, min(level) AS level FROM lev WHERE action <> '' GROUP BY doc_id, action"},
-        "SELECT doc_id, action, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY blocks DESC, level, action) AS BIGINT) AS place FROM a",
+        listed(d, given) | {"a": f"SELECT *, row_number() OVER (PARTITION BY doc_id, action, module ORDER BY place) AS nth FROM plist WHERE action <> '' AND action <> {d.lit(NO_ACTION)}"},
+        f"SELECT doc_id, action, module, issue AS reason, CASE level WHEN 0 THEN 'S' WHEN 1 THEN 'A' ELSE 'B' END AS level, blocking OR action = {d.lit(ACTIONS[0])} AS blocking, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY level, {order}, place) AS BIGINT) AS place FROM a WHERE nth = 1",
     )
 
 
+def failure_reasons(d: Dialect, given: dict[str, str] | None = None) -> dict[str, str]:
+    """`why`: why a document did not pass, in order: the names of its redlines, else its gravest problems, else its score."""
+    names = " ".join(f"WHEN {d.lit(i)} THEN {d.lit(n[0])}" for i, n in REDLINES.items())
+    turn = " ".join(f"WHEN {d.lit(i)} THEN {k}" for k, i in enumerate(REDLINES))
+    return listed(d, given) | {
+        "no_pass": f"SELECT doc_id FROM total WHERE score < {PASS_MARK} OR redline",
+        "why0": f"SELECT n.doc_id, 0 AS origin, CASE issue {turn} END AS place, CASE issue {names} END AS reason FROM no_pass n JOIN red r ON n.doc_id = r.doc_id UNION ALL SELECT n.doc_id, 1, p.place, p.issue FROM no_pass n JOIN plist p ON n.doc_id = p.doc_id WHERE p.level = 0 UNION ALL SELECT doc_id, 2, 0, {d.lit(NO_PASS)} FROM no_pass",
+        "why": "SELECT doc_id, place, reason FROM (SELECT *, min(origin) OVER (PARTITION BY doc_id) AS first FROM why0) w WHERE origin = first",
+    }
+
+
 @query
 def a11_top_failure_reasons(d, given=None):
-    return with_(scored(d, given) | {"n": "SELECT issue, count(DISTINCT doc_id) AS n_docs FROM ded GROUP BY issue"}, "SELECT issue, n_docs FROM n ORDER BY n_docs DESC, issue LIMIT 3")
+    """The three most frequent reasons of the documents that did not pass; of equals the one that comes first."""
+    first = d.struct(d="doc_id", p="CAST(place AS BIGINT)")
+    return with_(
+        failure_reasons(d, given) | {"n": f"SELECT reason, count(*) AS n_docs, min({first}) AS first FROM why GROUP BY reason", "k": "SELECT *, row_number() OVER (ORDER BY n_docs DESC, first) AS nth FROM n"},
+        "SELECT reason, n_docs, CAST(nth AS BIGINT) AS place FROM k WHERE nth <= 3",
+    )
 
 
 @query

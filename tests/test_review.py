@@ -225,3 +225,43 @@ def test_markdown():
     }
     want = "# T\n\n## 文件基础信息\n- 文件名称：f.pdf\n- 文档类型：技术手册\n- 标准编号：GB 1\n- 版本日期：\n- 适用范围：\n\n## Part 1\n\n### 1 范围\n\na\nb\n\n#### Weights\n\n| 300 |\n| --- |\n\n###### 尺寸\n\n| 100 | 101 |\n| --- | --- |\n| 110 |  |\n| 120 | 121 |\n\n#### 3 X\n\n## Part 2\n\n### 4 Y\n\n## 引用标准\n\n- ISO 1：One\n- ISO 2\n"
     assert run("m01_document_markdown", frames)[0].markdown == want
+
+
+def test_problem_list_actions_and_reasons():
+    """Order and choice of problems, worked out by hand: gravest finding first, then the place of a problem's first finding."""
+    import duckdb
+
+    from stratafold.functions.dialect import DUCK
+    from stratafold.plans import checks
+    from stratafold.plans.registry import with_
+
+    found = [
+        (1, "ocr", "表格未消费", "s"), (1, "source", "表格未消费", "t"), (1, "markdown", "markdown内容过少", "m"), (1, "tags", "参数标签为空", "p"), (1, "tags", "标准引用标签为空", "q"),
+        (1, "ocr", "OCR标题噪音轻度", "o"), (1, "source", "疑似扫描件", "x"), (1, "source", "结构未建立", "y"), (2, "markdown", "正文主链缺失", "n"), (3, "tags", "参数标签为空", "p"),
+    ]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE given_iss (doc_id BIGINT, review VARCHAR, issue VARCHAR, reason VARCHAR)")
+    db.executemany("INSERT INTO given_iss VALUES (?, ?, ?, ?)", found)
+    db.execute("CREATE TABLE given_total AS SELECT * FROM (VALUES (1, 60, true), (2, 70, false), (3, 80, false), (4, 90, false)) t(doc_id, score, redline)")
+    own = {"iss": "SELECT * FROM given_iss", "total": "SELECT * FROM given_total", "seen": "SELECT doc_id FROM given_total"}
+
+    def run(parts, last):
+        steps = {k: own.get(k, v) for k, v in parts.items() if k in own or k in ("prob", "ded", "red", "redn", "rk", "pb0", "pb1", "plist", "a", "no_pass", "why0", "why", "n", "k")}
+        return db.execute(with_(steps, last)).fetchall()
+
+    listed = run(checks.listed(DUCK), "SELECT problem_id, level, issue FROM plist WHERE doc_id = 1 ORDER BY place")
+    # the table problem has two findings, of which the one of the sources is graver
+    assert listed == [
+        ("markdown_too_short", 0, "markdown内容过少"), ("scan_like", 0, "疑似扫描件"), ("structure_missing", 0, "结构未建立"), ("table_to_param_missing", 0, "表格未消费"),
+        ("standard_tag_empty", 2, "标准引用标签为空"), ("param_tag_empty", 2, "参数标签为空"), ("ocr_heading_noise_minor", 2, "OCR标题噪音轻度"),
+    ]
+    sql = checks.t04_fix_actions(DUCK)
+    assert "PARTITION BY doc_id, action, module" in sql
+    a = sql[sql.index("a AS (") + 6 :]
+    got = run(checks.listed(DUCK) | {"a": a[: a.index(")\nSELECT")]}, a[a.index(")\nSELECT") + 2 :])
+    mine = [r[1:6] for r in sorted((r for r in got if r[0] == 1), key=lambda r: r[6])]
+    # recognition before parsing before rebuilding among the gravest; each action of a module once, with its first problem
+    assert [(r[0], r[1]) for r in mine] == [("标记需OCR", "ocr"), ("重跑parser", "parser"), ("重建markdown", "md_builder"), ("重建tags", "tagger"), ("观察", "parser")]
+    assert mine[0][4] is True and [r[2] for r in mine if r[0] == "重跑parser"] == ["结构未建立"]
+    why = run(checks.failure_reasons(DUCK), "SELECT doc_id, reason FROM why ORDER BY doc_id, place")
+    assert why == [(1, "表格存在但数值型参数为空"), (1, "文本层不足需要OCR"), (2, "正文主链缺失"), (3, "总分未达通过线")]
