@@ -150,7 +150,7 @@ def facts(d: Dialect, given: dict[str, str] | None = None) -> dict[str, str]:
         "chap1": d.pin("chap", ct=d.norm("title"), cs=d.norm("summary")),
         "f_chap": per(f"count(*) AS n_chap, {tally(low_signal_chapter(d, 'ct', 'cs'))} AS low_chap", "chap1"),
         "pl0": d.rows("pg", d.split("text", "\n"), "raw", "i", "doc_id, page_no, ocr_run, i, raw"),
-        "pl": f"SELECT doc_id, page_no * 10000 + i AS line_no, ocr_run, line FROM (SELECT doc_id, page_no, ocr_run, i, {d.norm('raw')} AS line FROM pl0) x WHERE line <> ''",
+        "pl": f"SELECT doc_id, {d.struct(p='page_no', i='i')} AS line_no, ocr_run, line FROM (SELECT doc_id, page_no, ocr_run, i, {d.norm('raw')} AS line FROM pl0) x WHERE line <> ''",
         "f_pl": per(f"{tally(f'ocr_run AND {d.search("line", Review.STANDARD_CODE_RE)}')} AS ocr_codes, {tally(d.search('line', Review.STANDARD_CODE_RE))} AS raw_codes, {tally(f'ocr_run AND {d.search("line", Review.OCR_TABLE_CAPTION_RE)}')} AS captions, {tally(f'ocr_run AND ({d.search("line", Review.OCR_TABLE_SIGNAL_RE)} OR {d.search("line", Review.TABLE_DRIVEN_BODY_RE)})')} AS table_signals", "pl"),
         "f_pg": per(f"count(*) AS n_pages, {tally('ocr_run')} AS tried, {tally('ocr_run AND ocr_injected')} AS injected", "pg"),
         "gate0": f"SELECT m.*, p.n_pages AS pages FROM ({metrics(d, 'pl')}) m JOIN f_pg p ON m.doc_id = p.doc_id",

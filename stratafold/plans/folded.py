@@ -35,16 +35,12 @@ def w08_row_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def w06_section_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections of the catalogue with every short synthetic title merged into its neighbour."""
-    rows = run_sql(
-        spark,
-        sf_dir,
-        with_(
-            sections(SPARK),
-            "SELECT h.doc_id, h.sec_ord, h.sec_no, h.title, concat_ws('\\n', sort_array(collect_set(CASE WHEN s.block_type = '正文' THEN s.line END))) AS body, CASE WHEN h.sec_ord = 1 THEN 'next' WHEN length(h.title) <= 6 THEN 'previous' END AS direction, true AS keep_title FROM heads h JOIN s6 s ON h.doc_id = s.doc_id AND h.sec_ord = s.sec_ord GROUP BY h.doc_id, h.sec_ord, h.sec_no, h.title",
-        ),
-    )
-    return merge_sections(rows)
+    """Sections of the catalogue with every short synthetic title merged into its neighbour; bodies are in order."""
+    d = SPARK
+    kept = "SELECT doc_id, sec_ord, line, min(struct(page_index, line_no)) AS place FROM s6 WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
+    steps = sections(d) | {"bod0": kept, "bod": f"SELECT doc_id, sec_ord, {d.join_in_order('line', 'place')} AS body FROM bod0 GROUP BY doc_id, sec_ord"}
+    way = "CASE WHEN h.sec_ord = 1 THEN 'next' WHEN length(h.title) <= 6 THEN 'previous' END AS direction, true AS keep_title"
+    return merge_sections(run_sql(spark, sf_dir, with_(steps, f"SELECT h.doc_id, h.sec_ord, h.sec_no, h.title, coalesce(b.body, '') AS body, {way} FROM heads h LEFT JOIN bod b ON h.doc_id = b.doc_id AND h.sec_ord = b.sec_ord")))
 
 
 FOLDED = {f.__name__: f for f in (j04_page_pointer, w08_row_clusters, w06_section_merges)}

@@ -55,7 +55,7 @@ def spec_pages(d: Dialect) -> str:
     content go, recognised grids are made regular and stand after native ones."""
     rows = lambda r: d.array([d.split_cells(x) for x in r])
     raw = f"SELECT {d.div('p_partkey', '50')} AS doc_id, p_partkey % 50 AS page_index, {d.array(LINES)} AS lines, CASE p_partkey % 4 {' '.join(f'WHEN {i} THEN {rows(t)}' for i, t in enumerate(TEMPLATES))} END AS native, CASE WHEN p_partkey % 5 = 2 THEN {rows(RECOGNISED)} END AS said FROM (SELECT *, p_partkey AS k FROM part) p"
-    return f"SELECT doc_id, page_index, lines, {page_tables(d, 'native', 'said')} AS tables FROM ({raw}) r"
+    return f"SELECT doc_id, page_index, lines, tables FROM ({d.pin(f'({raw}) r', tables=page_tables(d, 'native', 'said'))}) q"
 
 
 def page_tables(d: Dialect, native: str, recognised: str) -> str:
@@ -166,7 +166,9 @@ def candidates(d: Dialect, tables: dict[str, str] | None = None) -> dict[str, st
     laid = d.rows("gl", "found", "f", "seq", "doc_id, page_index, tab_no, title, ref, around, seq, f")
     canon = name_of(d, "label", "CASE WHEN kind = 3 THEN around ELSE title END", always=True)
     return graded(d, tables or titled(d)) | {
-        "gl": f"SELECT doc_id, page_index, tab_no, title, ref, concat(title, ' ', {d.joined(d.each('headers', lambda h, _: f'{h}.c', 'h', 'n'), ' ')}) AS around, {d.chained(f'flatten({of_models})', f'flatten({of_matrix})', of_pairs)} AS found FROM gt",
+        "ga": f"SELECT *, concat(title, ' ', {d.joined(d.each('headers', lambda h, _: f'{h}.c', 'h', 'n'), ' ')}) AS around FROM gt",
+        # pinned, as Spark would work it out a second time to skip tables without a candidate
+        "gl": d.pin("ga", found=d.chained(f"flatten({of_models})", f"flatten({of_matrix})", of_pairs)),
         "g5": laid,
         "g6": "SELECT doc_id, page_index, tab_no, title, ref, around, CAST(seq AS BIGINT) AS seq, f.kind AS kind, CAST(f.row_at AS BIGINT) AS row_idx, f.col_at AS col_idx, f.label AS label, f.value AS value, f.cond AS said_cond, f.hint AS said_hint FROM g5",
         "g7": d.pin("g6", name=canon),

@@ -98,12 +98,10 @@ def t06_t11_metadata(d):
     return with_(
         {
             "l": spec_lines(d),
-            "f": "SELECT doc_id, page_index * 1000 + line_no AS place, line FROM l WHERE page_index < 2 AND line_no <= 12",
+            "f": f"SELECT doc_id, {d.struct(p='page_index', l='line_no')} AS place, line FROM l WHERE page_index < 2 AND line_no <= 12",
             "g": d.pin("f", title_ok=f"({title_ok})", code=d.extract("line", Parser.STANDARD_RE, 1), version=version),
         },
-        "SELECT doc_id, min_by(line, CASE WHEN title_ok THEN place END) AS title, coalesce(min_by(code, CASE WHEN code <> '' THEN place END), '') AS code, coalesce(min_by(version, CASE WHEN version <> '' THEN place END), '') AS version FROM g GROUP BY doc_id"
-        if d.name == "spark"
-        else "SELECT doc_id, arg_min(line, place) FILTER (title_ok) AS title, coalesce(arg_min(code, place) FILTER (code <> ''), '') AS code, coalesce(arg_min(version, place) FILTER (version <> ''), '') AS version FROM g GROUP BY doc_id",
+        f"SELECT doc_id, {d.first_by('line', 'place', 'title_ok')} AS title, coalesce({d.first_by('code', 'place', d.lit('') + ' <> code')}, '') AS code, coalesce({d.first_by('version', 'place', d.lit('') + ' <> version')}, '') AS version FROM g GROUP BY doc_id",
     )
 
 

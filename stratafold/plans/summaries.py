@@ -299,7 +299,8 @@ def f27_m26_parameter_tag_names(d, given=None):
 def pooled(d: Dialect) -> dict[str, str]:
     """`pool`: titles of sections and tables and the first ten body lines of each section, in order."""
     lines = d.rows("e_sec", d.split("body", "\n"), "raw", "i", "doc_id, ord, i, raw")
-    return {"pool": f"SELECT doc_id, place, txt FROM (SELECT doc_id, ord * 100 AS place, title AS txt FROM e_sec UNION ALL SELECT doc_id, ord * 100 + 1 + i AS place, {d.norm('raw')} AS txt FROM ({lines}) l WHERE i < 10 UNION ALL SELECT doc_id, 100000000 + ord AS place, title AS txt FROM e_tab) p WHERE txt <> ''"}
+    said = f"SELECT doc_id, 0 AS origin, ord, -1 AS i, title AS txt FROM e_sec UNION ALL SELECT doc_id, 0, ord, i, {d.norm('raw')} FROM ({lines}) l WHERE i < 10 UNION ALL SELECT doc_id, 1, ord, 0, title FROM e_tab"
+    return {"pool": f"SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY origin, ord, i) AS place, txt FROM ({said}) p WHERE txt <> ''"}
 
 
 @query
@@ -331,7 +332,7 @@ def tag_rows(d: Dialect, given: dict[str, str] | None) -> dict[str, str]:
         6: f"SELECT doc_id, ord AS place, {series} AS tag FROM e_prd",
         7: "SELECT doc_id, ord AS place, model AS tag FROM e_prd",
         8: f"SELECT h.doc_id, place, CASE WHEN length({named}) BETWEEN 2 AND 60 THEN {named} ELSE '' END AS tag FROM hint h JOIN loc ON h.txt = loc.txt",
-        9: f"SELECT doc_id, place * 100 + i AS place, upper(found) AS tag FROM ({d.rows('pool', d.extract_all('txt', Tags.CERTIFICATION_RE, 0), 'found', 'i', 'doc_id, place, i, found')}) c",
+        9: f"SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY place, i) AS place, upper(found) AS tag FROM ({d.rows('pool', d.extract_all('txt', Tags.CERTIFICATION_RE, 0), 'found', 'i', 'doc_id, place, i, found')}) c",
     }
     every = " UNION ALL ".join(f"SELECT {i} AS list_no, {d.lit(LISTS[i])} AS list, doc_id, CAST(place AS BIGINT) AS place, tag FROM ({q}) q{i}" for i, q in rows.items())
     limits = "CASE list " + " ".join(f"WHEN {d.lit(k)} THEN {v}" for k, v in LIMITS.items()) + " ELSE 1000000000 END"
