@@ -207,6 +207,26 @@ class Spark(Dialect):
 
     no_tables = "CAST(array() AS ARRAY<ARRAY<ARRAY<STRING>>>)"
 
+    def parsed_json(self, x: str) -> str:
+        """A text as JSON; null if it is none."""
+        return f"try_parse_json({x})"
+
+    def json_kind(self, v: str) -> str:
+        """'ARRAY', 'OBJECT' or another word for what a JSON value is; null for null."""
+        return f"regexp_extract(schema_of_variant({v}), '^[A-Z]+', 0)"
+
+    def json_items(self, v: str, path: str = "") -> str:
+        """The elements of a JSON array, or of one under a name; null if it is no array."""
+        where = "$" + (f"[\"{path}\"]" if path else "")
+        return f"try_variant_get({v}, {self.lit(where)}, 'array<variant>')"
+
+    def json_has(self, v: str, name: str) -> str:
+        return f"(try_variant_get({v}, {self.lit(f'$["{name}"]')}, 'variant') IS NOT NULL)"
+
+    def json_text(self, v: str, name: str) -> str:
+        """A text under a name of a JSON object; '' if there is none."""
+        return f"coalesce(try_variant_get({v}, {self.lit(f'$["{name}"]')}, 'string'), '')"
+
     def part_of(self, array: str, start: str, n: str) -> str:
         """At most n elements of an array from an index that counts from 0."""
         return f"slice({array}, {start} + 1, {n})"
@@ -349,6 +369,22 @@ class Duck(Dialect):
 
     no_tables = "CAST([] AS VARCHAR[][][])"
 
+    def parsed_json(self, x: str) -> str:
+        return f"CASE WHEN json_valid({x}) THEN CAST({x} AS JSON) END"
+
+    def json_kind(self, v: str) -> str:
+        return f"CAST(json_type({v}) AS VARCHAR)"
+
+    def json_items(self, v: str, path: str = "") -> str:
+        at = f"json_extract({v}, {self.lit(f'$."{path}"')})" if path else v
+        return f"CASE WHEN json_type({at}) = 'ARRAY' THEN json_extract({at}, '$[*]') END"
+
+    def json_has(self, v: str, name: str) -> str:
+        return f"json_exists({v}, {self.lit(f'$."{name}"')})"
+
+    def json_text(self, v: str, name: str) -> str:
+        return f"coalesce(json_extract_string({v}, {self.lit(f'$."{name}"')}), '')"
+
     def part_of(self, array: str, start: str, n: str) -> str:
         return f"({array})[{start} + 1:{start} + {n}]"
 

@@ -84,13 +84,41 @@ def s10_s12_uploads(d):
     return with_(routed(d), f"SELECT batch_id, file_no, safe, layer, right(lower(safe), 4) = '.pdf' AS taken, CASE WHEN {d.size('parts')} > 1 THEN 'folder_picker' ELSE 'file_picker' END AS picked_by FROM route")
 
 
+def manifests(d: Dialect, said: str) -> dict[str, str]:
+    """`ent` from said(batch_id, manifest): the shape of each manifest and its entries in order. A list gives its objects, an
+    object those under its files; a manifest that is absent has none, and anything else is refused."""
+    listed = d.kept("items", lambda x, _: f"{d.json_kind(x)} = 'OBJECT'", "x", "n")
+    return {
+        "mf": said,
+        "mj": f"SELECT batch_id, coalesce(manifest, '') = '' AS none, {d.parsed_json('manifest')} AS v FROM mf",
+        "mk": f"SELECT batch_id, none, v, {d.json_kind('v')} AS kind FROM mj",
+        "mi": f"SELECT batch_id, none, kind, CASE WHEN kind = 'ARRAY' THEN {d.json_items('v')} WHEN kind = 'OBJECT' THEN {d.json_items('v', '文件')} END AS items, kind = 'OBJECT' AND NOT {d.json_has('v', '文件')} AS bare, CASE WHEN kind = 'OBJECT' THEN {d.json_text('v', '来源类型')} ELSE '' END AS source_type FROM mk",
+        "ent": f"SELECT batch_id, CASE WHEN none THEN 'none' WHEN kind = 'ARRAY' THEN 'list' WHEN kind = 'OBJECT' AND (items IS NOT NULL OR bare) THEN 'object' ELSE 'refused' END AS shape, source_type, CASE WHEN items IS NOT NULL THEN {listed} END AS entries FROM mi",
+    }
+
+
+def aligned(d: Dialect, said: str, uploads: str) -> dict[str, str]:
+    """`upl`: uploads(batch_id, place, name) with the manifest's entry at the same place (from 0), if there is one."""
+    return manifests(d, said) | {
+        "up": uploads,
+        "um": f"SELECT u.batch_id, u.place, u.name, e.shape, e.source_type, CASE WHEN e.entries IS NOT NULL THEN {d.get('e.entries', 'u.place')} END AS meta FROM up u JOIN ent e ON u.batch_id = e.batch_id",
+        "upl": f"SELECT batch_id, place, shape, source_type, coalesce(nullif(name, ''), nullif({d.json_text('meta', 'original_name')}, ''), concat('upload_', place, '.pdf')) AS original_name, {d.json_text('meta', '相对路径')} AS relative_path, {d.json_text('meta', '来源层')} AS layers, meta IS NOT NULL AS described FROM um",
+    }
+
+
+#: Upload lists by the remainder of a part's key; name stands for its brand.
+MANIFESTS = (
+    '[{"original_name":"name.pdf","相对路径":"a/b/name.pdf"},3,{"相对路径":"c/x.pdf","来源层":"库/一"}]', '{"来源类型":"网页","文件":[{"original_name":"name"},{"相对路径":"d\\\\e.pdf"}]}', "[]", "not json name", '{"文件":{"name":1}}', '{"来源类型":"本地"}', '"text"', "",
+)
+
+
 @query
 def s11_manifests(d):
-    """Upload lists in JSON: an array of objects, or an object with one under its files; anything else is refused."""
-    said = "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN concat('[{\"name\":\"', p_brand, '\"},3]') WHEN 1 THEN concat('{\"文件\":[{\"name\":\"', p_brand, '\"}]}') WHEN 2 THEN '[]' ELSE concat('not json ', p_size) END AS said FROM part"
-    head = "left(trim(said), 1)"
-    one, two = ("get_json_object(said, '$[0].name')", "get_json_object(said, '$.文件[0].name')") if d.name == "spark" else ("said->>'$[0].name'", "said->>'$.文件[0].name'")
-    return with_({"m": said}, f"SELECT p_partkey, CASE {head} WHEN '[' THEN 'list' WHEN '{{' THEN 'object' ELSE 'refused' END AS shape, CASE {head} WHEN '[' THEN coalesce({one}, '') WHEN '{{' THEN coalesce({two}, '') ELSE '' END AS first_name FROM m")
+    """Three uploads for each part, aligned with the entries of its upload list."""
+    k = "p_partkey"
+    said = f"SELECT {k} AS batch_id, replace(CASE {k} % {len(MANIFESTS)} {' '.join(f'WHEN {i} THEN {d.lit(m)}' for i, m in enumerate(MANIFESTS))} END, 'name', p_brand) AS manifest FROM part"
+    files = d.rows(f"(SELECT {k}, p_brand FROM part) p", d.series(3), "n", "", f"{k}, p_brand, n")
+    return with_(aligned(d, said, f"SELECT {k} AS batch_id, n - 1 AS place, CASE WHEN ({k} + n) % 4 = 0 THEN '' ELSE concat(p_brand, '-', n, '.pdf') END AS name FROM ({files}) f"), "SELECT batch_id, CAST(place AS BIGINT) AS place, shape, source_type, original_name, relative_path, layers, described FROM upl")
 
 
 @query
