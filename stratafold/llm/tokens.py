@@ -193,7 +193,7 @@ def token_pieces(docs: DataFrame, max_len: int = 2048, text: str = "text", id_co
                     if with_ids:
                         parts.append(part)
                     held += len(part)
-                if held > 8_000_000:
+                if held > 4_000_000:
                     yield flush()
                     rows, parts, held = [], [], 0
             if rows:
@@ -332,7 +332,7 @@ def pack(pieces: DataFrame, max_len: int = 2048, id_col: str = "doc_id", plan: C
 
     ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(row_col or id_col, "start")))
     schema = StructType([*slim.schema.fields]).add("sequence_id", LongType()).add("offset", LongType())
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(tidy(place), schema)
 
 
 def packed_documents(docs: DataFrame, max_len: int = 2048, **how) -> tuple[DataFrame, DataFrame]:
