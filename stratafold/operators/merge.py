@@ -2,72 +2,23 @@
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MERGED = "doc_id long, sec_ord long, sec_no string, title string, body string, merged_into long"
-
-
-def _before(first: OrderedDict, second: OrderedDict) -> OrderedDict:
-    """Lines of `first`, then those of `second` that it lacks. The shorter one moves, so chains of merges stay cheap."""
-    if len(first) >= len(second):
-        for line in second:
-            first.setdefault(line)
-        return first
-    for line in reversed(first):
-        second[line] = None
-        second.move_to_end(line, last=False)
-    return second
+from stratafold.functions.dialect import SPARK
+from stratafold.plans.merges import contracted
+from stratafold.plans.registry import with_
+from stratafold.plans.steps import view
 
 
 def merge_sections(sections: DataFrame) -> DataFrame:
     """Merge sections(doc_id, sec_ord, sec_no, title, body, direction, keep_title): rows with a direction ('previous' or
     'next') go into that neighbour, from the last to the first; lines go before the neighbour's if it is the next one, and
     none stands twice. keep_title makes the title a line of its own. Every input row comes back: survivors with their
-    body, merged ones with the section they ended up in.
-
-    The chain depends on the merges after it, so it runs over one document at a time, with all of its sections."""
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        rows = part.sort_values("sec_ord").reset_index(drop=True)
-        n = len(rows)
-        body = [OrderedDict.fromkeys(x for x in str(b or "").split("\n") if x) for b in rows["body"]]
-        before, after = [*range(-1, n - 1)], [*range(1, n), -1]  # neighbours that are still there
-        into: dict[int, int] = {}
-        for i in reversed(range(n)):
-            way = rows["direction"][i]
-            if not way or (before[i] < 0 and after[i] < 0):
-                continue
-            if way == "previous" and before[i] < 0:
-                way = "next"
-            elif way == "next" and after[i] < 0:
-                way = "previous"
-            target = before[i] if way == "previous" else after[i]
-            moved = body[i]
-            if rows["keep_title"][i] and rows["title"][i]:
-                moved[rows["title"][i]] = None
-                moved.move_to_end(rows["title"][i], last=False)
-            body[target] = _before(moved, body[target]) if way == "next" else _before(body[target], moved)
-            into[i] = target
-            if before[i] >= 0:
-                after[before[i]] = after[i]
-            if after[i] >= 0:
-                before[after[i]] = before[i]
-        ends = []
-        for i in range(n):
-            j = i
-            while j in into:
-                j = into[j]
-            if j != i:
-                into[i] = j
-            ends.append(int(rows["sec_ord"][j]) if j != i else None)
-        return pd.DataFrame({"doc_id": rows["doc_id"], "sec_ord": rows["sec_ord"], "sec_no": rows["sec_no"], "title": rows["title"], "body": ["\n".join(b) if i not in into else None for i, b in enumerate(body)], "merged_into": pd.array(ends, "Int64")})
-
-    return sections.groupBy("doc_id").applyInPandas(run, MERGED)
+    body, merged ones with the section they ended up in (see plans.merges)."""
+    return sections.sparkSession.sql(with_(contracted(SPARK, f"SELECT * FROM {view(sections)}"), "SELECT * FROM zm"))
 
 
 def review_loop(state: DataFrame, review: Callable[[DataFrame], DataFrame], repair: Callable[[DataFrame], DataFrame], keep: Callable[[DataFrame], DataFrame], rounds: int = 3, pass_mark: int = 85) -> DataFrame:

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from stratafold.functions.dialect import DUCK, SPARK, Dialect
 from stratafold.operators.folds import row_clusters
-from stratafold.operators.merge import merge_sections
 from stratafold.operators.pointers import page_sections
 from stratafold.plans.document import to_shared
+from stratafold.plans.merges import contracted
 from stratafold.plans.pages import pointer, pointer_lines
-from stratafold.plans.registry import run_sql, with_
+from stratafold.plans.registry import query, run_sql, with_
 from stratafold.plans.structure import sections
 
 
@@ -34,16 +34,21 @@ def w08_row_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page", F.inline(row_clusters(F.col("boxes"))))
 
 
-def w06_section_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections of the catalogue with every short synthetic title merged into its neighbour; bodies are in order."""
-    d = SPARK
-    kept = "SELECT doc_id, sec_ord, line, min(struct(page_index, line_no)) AS place FROM s6 WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
-    steps = sections(d) | {"bod0": kept, "bod": f"SELECT doc_id, sec_ord, {d.join_in_order('line', 'place')} AS body FROM bod0 GROUP BY doc_id, sec_ord"}
+def _merges(d: Dialect) -> dict[str, str]:
+    """Sections of the catalogue with every short title to be merged into its neighbour; bodies are in order."""
+    kept = f"SELECT doc_id, sec_ord, line, min({d.struct(p='page_index', l='line_no')}) AS place FROM s6 WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
     way = "CASE WHEN h.sec_ord = 1 THEN 'next' WHEN length(h.title) <= 6 THEN 'previous' END AS direction, true AS keep_title"
-    return merge_sections(run_sql(spark, sf_dir, with_(steps, f"SELECT h.doc_id, h.sec_ord, h.sec_no, h.title, coalesce(b.body, '') AS body, {way} FROM heads h LEFT JOIN bod b ON h.doc_id = b.doc_id AND h.sec_ord = b.sec_ord")))
+    steps = sections(d) | {"bod0": kept, "bod": f"SELECT doc_id, sec_ord, {d.join_in_order('line', 'place')} AS body FROM bod0 GROUP BY doc_id, sec_ord"}
+    return steps | contracted(d, f"SELECT h.doc_id, h.sec_ord, h.sec_no, h.title, coalesce(b.body, '') AS body, {way} FROM heads h LEFT JOIN bod b ON h.doc_id = b.doc_id AND h.sec_ord = b.sec_ord")
+
+
+@query
+def w06_section_merges(d):
+    """Sections after all merges, with a digest of their bodies, and merged ones with the section they ended up in."""
+    return with_(_merges(d), f"SELECT doc_id, sec_ord, sec_no, title, coalesce({d.sha256('body')}, '') AS body_sha, coalesce(merged_into, 0) AS merged_into FROM zm")
 
 
-FOLDED = {f.__name__: f for f in (j04_page_pointer, w08_row_clusters, w06_section_merges)}
+FOLDED = {f.__name__: f for f in (j04_page_pointer, w08_row_clusters)}
 
 
 def folded_sql() -> dict[str, str]:

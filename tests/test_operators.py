@@ -10,6 +10,7 @@ from stratafold.operators.folds import merge_cell_texts, row_clusters
 from stratafold.operators.merge import merge_sections, review_loop
 from stratafold.operators.pointers import page_sections
 from stratafold.plans.document import to_shared
+from stratafold.plans import all_queries
 from stratafold.plans.folded import FOLDED
 from stratafold.plans.registry import run_sql, with_
 from stratafold.plans.structure import sections
@@ -31,7 +32,7 @@ def test_documents_of_more_than_500_sections_stay_whole(spark, tmp_path):
     heads = run_sql(spark, str(tmp_path), with_(sections(SPARK), "SELECT sec_ord FROM heads"))
     n = heads.count()
     assert n > 500
-    got = FOLDED["w06_section_merges"](spark, str(tmp_path)).collect()
+    got = all_queries()["w06_section_merges"](spark, str(tmp_path)).collect()
     assert sorted(r.sec_ord for r in got) == list(range(1, n + 1))
     seen = []
     with pytest.MonkeyPatch.context() as m:
