@@ -185,7 +185,7 @@ def test_slots_of_one_source_are_laid_out_by_many_tasks(spark):
     assert sum(r.n for r in tasks) == plan[0][0] and len(tasks) > 8 and max(r.n for r in tasks) < plan[0][0] / 4
 
 
-@pytest.mark.parametrize("dim, least", [(64, 0.97), (384, 0.94), (1024, 0.92)])
+@pytest.mark.parametrize("dim, least", [(64, 0.97), (384, 0.94), (1024, 0.92), (2048, 0.9), (4096, 0.9)])
 def test_recall_at_the_threshold(dim, least):
     rng = np.random.default_rng(dim)
     x = rng.normal(size=(300, dim))
