@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratafold.functions.dialect import DUCK, SPARK, Dialect
+from stratafold.functions.dialect import DUCK, REGISTERED, SPARK, Dialect
 from stratafold.functions.patterns import Parser
 from stratafold.plans.document import to_shared
 from stratafold.plans.registry import run_sql, with_
@@ -66,8 +66,8 @@ def _catalogue(d: Dialect) -> dict[str, str]:
 
 def x16_structure_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tree of the catalogue's sections, with sums over subtrees."""
-    lines = sections(SPARK)
-    steps = Steps(spark, _catalogue(SPARK), to_shared)
+    lines = sections(REGISTERED)
+    steps = Steps(spark, _catalogue(REGISTERED), to_shared)
     steps.add("s6", to_shared(run_sql(spark, sf_dir, with_({k: v for k, v in lines.items() if k != "heads"}, "SELECT * FROM s6")).drop("once")))
     for name in ("heads", "anc", "own"):
         steps.keep(name)
