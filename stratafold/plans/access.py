@@ -10,7 +10,7 @@ from stratafold.plans.checks import facts as review_facts
 from stratafold.plans.parameters import unit_of
 from stratafold.plans.records import TYPE_LABELS
 from stratafold.plans.registry import query, with_
-from stratafold.plans.state import relations
+from stratafold.plans.state import relations, whole
 from stratafold.plans.summaries import entries, first_wins, tag_rows
 from stratafold.plans.text_layer import tally
 
@@ -284,14 +284,14 @@ def p03_quarantine(d, given=None):
 @query
 def p04_quarantined_summary(d, given=None):
     name = "CASE WHEN title <> '' THEN title WHEN file_name <> '' THEN file_name ELSE '当前文档' END"
-    return with_(quarantined(d, given), f"SELECT doc.doc_id, concat('《', {name}, '》已触发来源隔离：', why) AS summary, {d.lit(QUARANTINE_REASON)} AS llm_reason FROM doc JOIN quar q ON doc.doc_id = q.doc_id")
+    return with_(quarantined(d, whole(d, given)), f"SELECT doc.doc_id, concat('《', {name}, '》已触发来源隔离：', why) AS summary, {d.lit(QUARANTINE_REASON)} AS llm_reason FROM doc JOIN quar q ON doc.doc_id = q.doc_id")
 
 
 @query
 def p05_quarantined_tags(d, given=None):
     kind = "CASE WHEN raw_type <> '' THEN raw_type ELSE doc_type END"
     tags = d.array([kind, d.lit(QUARANTINE_TAG), f"CASE WHEN needs_ocr THEN {d.lit(SCAN_TAG)} ELSE '' END"])
-    return with_(quarantined(d, given) | {"t": d.rows("(SELECT doc.* FROM doc JOIN quar ON doc.doc_id = quar.doc_id) x", tags, "tag", "i", "doc_id, i, tag")}, "SELECT doc_id, CAST(i AS BIGINT) AS place, tag FROM t WHERE tag <> ''")
+    return with_(quarantined(d, whole(d, given)) | {"t": d.rows("(SELECT doc.* FROM doc JOIN quar ON doc.doc_id = quar.doc_id) x", tags, "tag", "i", "doc_id, i, tag")}, "SELECT doc_id, CAST(i AS BIGINT) AS place, tag FROM t WHERE tag <> ''")
 
 
 def snapshot(d: Dialect, given: dict[str, str] | None) -> dict[str, str]:

@@ -9,7 +9,7 @@ from stratafold.functions.patterns import Refine
 from stratafold.plans.checks import PROBLEMS, scored
 from stratafold.plans.registry import query, with_
 from stratafold.plans.review import BLOCK_REASONS, reason_tests, score_of
-from stratafold.plans.state import relations, texts
+from stratafold.plans.state import relations, texts, whole
 from stratafold.plans.text_layer import gate, metrics, tally, watermark
 from stratafold.sources.language import SUMMARY_RULES, TAG_RULES
 
@@ -114,7 +114,7 @@ def x20_repair_plan(d, given=None):
 @query
 def p02_round_states(d, given=None):
     """What a round hands on: the score and how many issues of each review are open."""
-    return with_(scored(d, given) | {"n": "SELECT doc_id, review, count(*) AS n FROM iss GROUP BY doc_id, review"}, "SELECT t.doc_id, score, redline, review, coalesce(n, 0) AS n_issues FROM total t LEFT JOIN n ON t.doc_id = n.doc_id")
+    return with_(scored(d, whole(d, given)) | {"n": "SELECT doc_id, review, count(*) AS n FROM iss GROUP BY doc_id, review"}, "SELECT t.doc_id, score, redline, review, coalesce(n, 0) AS n_issues FROM total t LEFT JOIN n ON t.doc_id = n.doc_id")
 
 
 @query
