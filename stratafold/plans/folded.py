@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratafold.functions.dialect import DUCK, SPARK, Dialect
+from stratafold.functions.dialect import DUCK, REGISTERED, Dialect
 from stratafold.operators.folds import row_clusters
 from stratafold.operators.pointers import page_sections
 from stratafold.plans.document import to_shared
@@ -21,7 +21,7 @@ def _catalogue_pages(d: Dialect) -> dict[str, str]:
 
 def j04_page_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section of every page of the catalogue by the greedy pointer over section titles, followed by doubling."""
-    steps = _catalogue_pages(SPARK)
+    steps = _catalogue_pages(REGISTERED)
     heads = run_sql(spark, sf_dir, with_(steps, "SELECT doc_id, sec_ord, title FROM heads"))
     return page_sections(run_sql(spark, sf_dir, with_(steps, "SELECT * FROM plp")), heads, to_shared)
 
@@ -39,7 +39,7 @@ def _merges(d: Dialect) -> dict[str, str]:
     kept = f"SELECT doc_id, sec_ord, line, min({d.struct(p='page_index', l='line_no')}) AS place FROM s6 WHERE sec_ord > 0 AND (block_type IN ('正文', '标准引用') OR (is_head AND NOT opens)) GROUP BY doc_id, sec_ord, line"
     way = "CASE WHEN h.sec_ord = 1 THEN 'next' WHEN length(h.title) <= 6 THEN 'previous' END AS direction, true AS keep_title"
     steps = sections(d) | {"bod0": kept, "bod": f"SELECT doc_id, sec_ord, {d.join_in_order('line', 'place')} AS body FROM bod0 GROUP BY doc_id, sec_ord"}
-    return steps | contracted(d, f"SELECT h.doc_id, h.sec_ord, h.sec_no, h.title, coalesce(b.body, '') AS body, {way} FROM heads h LEFT JOIN bod b ON h.doc_id = b.doc_id AND h.sec_ord = b.sec_ord")
+    return steps | contracted(d, f"SELECT {d.apart('b')}h.doc_id, h.sec_ord, h.sec_no, h.title, coalesce(b.body, '') AS body, {way} FROM heads h LEFT JOIN bod b ON h.doc_id = b.doc_id AND h.sec_ord = b.sec_ord")
 
 
 @query

@@ -28,5 +28,5 @@ def contracted(d: Dialect, rows: str) -> dict[str, str]:
         "zl": f"SELECT doc_id, root, sec_ord, pos, line FROM ({lines}) l WHERE line <> '' UNION ALL SELECT doc_id, root, sec_ord, -1 AS pos, title AS line FROM zr WHERE root <> sec_ord AND keep_title AND coalesce(title, '') <> ''",
         "zf": f"SELECT doc_id, root, line, min({d.struct(s='sec_ord', p='pos')}) AS place FROM zl GROUP BY doc_id, root, line",
         "zb": f"SELECT doc_id, root, {d.join_in_order('line', 'place')} AS body FROM zf GROUP BY doc_id, root",
-        "zm": "SELECT r.doc_id, r.sec_ord, r.sec_no, r.title, CASE WHEN r.root = r.sec_ord THEN coalesce(b.body, '') END AS body, CASE WHEN r.root <> r.sec_ord THEN r.root END AS merged_into FROM zr r LEFT JOIN zb b ON r.doc_id = b.doc_id AND r.sec_ord = b.root",
+        "zm": f"SELECT {d.apart('b')}r.doc_id, r.sec_ord, r.sec_no, r.title, CASE WHEN r.root = r.sec_ord THEN coalesce(b.body, '') END AS body, CASE WHEN r.root <> r.sec_ord THEN r.root END AS merged_into FROM zr r LEFT JOIN zb b ON r.doc_id = b.doc_id AND r.sec_ord = b.root",
     }
