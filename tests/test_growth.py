@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from stratafold.operators.pointers import page_sections
 from stratafold.plans import all_queries
 
 SF = "/root/testdata/sf0.001"
@@ -15,7 +16,32 @@ def planned(df) -> str:
 
 
 @needs_tables
-@pytest.mark.parametrize("name", ["f14_cells_of_page"])
+@pytest.mark.parametrize("name", ["f14_cells_of_page", "f24_f25_rendered_titles", "j09_renamed_sections"])
 def test_joined_rows_are_not_broadcast(spark, name):
     """Pages and lines are made of few bytes, so Spark takes them for small tables."""
     assert "Broadcast" not in planned(all_queries()[name](spark, SF))
+
+
+def test_pointer_broadcasts_no_titles(spark):
+    """Every step of the pointer (j04_page_pointer) but the mark of documents that have a section."""
+    pages = spark.createDataFrame([(1, 0, ["a", "b"]), (1, 1, ["c"]), (2, 0, ["x"])], "doc_id long, page_index long, lines array<string>")
+    heads = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "c")], "doc_id long, sec_ord long, title string")
+    plans = []
+
+    def keep(df):
+        plans.append(planned(df))
+        return df.localCheckpoint()
+
+    last = page_sections(pages, heads, keep)
+    assert sorted(map(tuple, last.collect())) == [(1, 0, 2), (1, 1, 3)]
+    assert all("BroadcastHashJoin" not in p or "LeftSemi" in p for p in [*plans, planned(last)])
+    assert "BroadcastHashJoin" not in planned(last)
+
+
+@pytest.mark.parametrize("name", ["f03_class_counts", "w03_sections"])
+def test_tasks_follow_the_pages(spark, tmp_path, name):
+    """Ten times the pages are dealt out to ten times the tasks, whatever the bytes of their lines."""
+    made = "id AS p_partkey, 'bolt' AS p_name, 'Brand#1' AS p_brand, 'STEEL' AS p_type, CAST(id % 50 AS INT) AS p_size"
+    spark.range(50_000).selectExpr(*made.split(", ", 4)).write.parquet(f"{tmp_path}/part.parquet")
+    plan = planned(all_queries()[name](spark, str(tmp_path)))
+    assert ", 20), REPARTITION_BY_NUM" in plan
