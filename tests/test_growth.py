@@ -4,8 +4,12 @@ import os
 
 import pytest
 
+from stratafold.functions.dialect import REGISTERED, ascii_classes, guarded
+from stratafold.functions.patterns import Parser, Rx
 from stratafold.operators.pointers import page_sections
 from stratafold.plans import all_queries
+from stratafold.plans.pages import back, front
+from stratafold.plans.steps import Steps
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
@@ -45,3 +49,39 @@ def test_tasks_follow_the_pages(spark, tmp_path, name):
     spark.range(50_000).selectExpr(*made.split(", ", 4)).write.parquet(f"{tmp_path}/part.parquet")
     plan = planned(all_queries()[name](spark, str(tmp_path)))
     assert ", 20), REPARTITION_BY_NUM" in plan
+
+
+def parse_steps(spark):
+    """The steps of s14_parsed_catalogue over pages, sections and products that are there already."""
+    s = Steps(spark, front(REGISTERED, "SELECT 1") | back(REGISTERED), lambda df: df)
+    s.add("cpg", spark.createDataFrame([(1, 0, ["Scope", "a b"], [[["a b"]]], False, False)], "doc_id long, page_index long, lines array<string>, tables array<array<array<string>>>, ocr_used boolean, in_pieces boolean"))
+    s.add("headed", spark.createDataFrame([(1,)], "doc_id long"))
+    s.add("sec", spark.createDataFrame([(1, 1, "U1", "", "u"), (1, 2, "U2", "Scope", "v")], "doc_id long, sec_ord long, no string, title string, ref string"))
+    return s
+
+
+def test_page_marks_are_worked_out_once(spark):
+    """A row is made of each mark of a page's lines; the optimiser would ask the whole array twice more for its size."""
+    s = parse_steps(spark)
+    marks, rows = (planned(s.frame(x)).count("regexp_extract") for x in ("pfl", "pex"))
+    assert rows == marks > 0
+    assert planned(s.frame("bare")).count("filter(") == planned(s.frame("bare0")).count("filter(") == 1
+
+
+def test_page_text_is_joined_once(spark):
+    """The text of a page is not joined anew for each title of the document, and the titles are not broadcast."""
+    pages = parse_steps(spark).frame("pgr")
+    assert [r.page_ref for r in pages.collect()] == ["v"]
+    assert "Contains(array_join" not in planned(pages) and "Broadcast" not in planned(pages)
+
+
+def test_guards_find_the_same(spark):
+    """Patterns that begin with an edge or alternatives look at the first character first, and find what they found."""
+    known = [Parser.STANDARD_RE, Parser.MODEL_RE, Parser.FRONT_MATTER_CUE_RE, Parser.SENTENCE_VERB_RE, Rx(r"\b(?:size|kind|ist)\b", True), Rx(r"\b(?:größe|dn)\b", True)]
+    assert sum(guarded(p.pattern, p.ignore_case)[0] != "" for p in known) == len(known)
+    texts = ["DIN EN 12-3", "xDIN 12", "äDIN 12, GB/T 7", "_EN 1", "AB-100 CD12", "ſize size xſize", "x\u017fize", "\u212aind kind", "\u0130st ist ıst", "GRÖßE 3 DN 4", "must musſt", "电话 12", "", "É ICS 3"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for p in known:
+        plain = REGISTERED.lit("(?iu)" * p.ignore_case + ascii_classes(p.pattern))
+        rows = df.selectExpr(f"regexp_replace(x, {plain}, '<$0>') AS a", f"regexp_replace(x, {REGISTERED.rx(p)}, '<$0>') AS b").collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
