@@ -26,6 +26,13 @@ def test_joined_rows_are_not_broadcast(spark, name):
     assert "Broadcast" not in planned(all_queries()[name](spark, SF))
 
 
+@needs_tables
+def test_tables_are_found_without_joins(spark):
+    """The lines of f24_f25_rendered_titles are dealt out by page and by document, and their steps planned for one reader."""
+    plan = planned(all_queries()["f24_f25_rendered_titles"](spark, SF))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_pointer_broadcasts_no_titles(spark):
     """Every step of the pointer (j04_page_pointer) but the mark of documents that have a section."""
     pages = spark.createDataFrame([(1, 0, ["a", "b"]), (1, 1, ["c"]), (2, 0, ["x"])], "doc_id long, page_index long, lines array<string>")
