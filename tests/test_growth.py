@@ -8,6 +8,7 @@ from stratafold.functions.dialect import REGISTERED, ascii_classes, guarded
 from stratafold.functions.patterns import Parser, Rx
 from stratafold.operators.pointers import page_sections
 from stratafold.plans import all_queries
+from stratafold.plans.batch import UNSAFE
 from stratafold.plans.pages import back, front
 from stratafold.plans.steps import Steps
 
@@ -92,3 +93,10 @@ def test_guards_find_the_same(spark):
         plain = REGISTERED.lit("(?iu)" * p.ignore_case + ascii_classes(p.pattern))
         rows = df.selectExpr(f"regexp_replace(x, {plain}, '<$0>') AS a", f"regexp_replace(x, {REGISTERED.rx(p)}, '<$0>') AS b").collect()
         assert [r.a for r in rows] == [r.b for r in rows]
+
+
+def test_patterns_unknown_to_python(spark):
+    """Java and RE2 know classes such as \\p{L}, Python's parser does not: such a pattern has no guard."""
+    assert guarded(UNSAFE.pattern, UNSAFE.ignore_case) == ("", UNSAFE.pattern)
+    df = spark.createDataFrame([("Größe 3/电话.pdf",)], "x string")
+    assert df.selectExpr(f"{REGISTERED.replace_all('x', UNSAFE, '_')} AS y").first().y == "Größe_3_电话.pdf"
